@@ -3,21 +3,57 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pelagia.llm.minhash import keep_one
+from pelagia.llm import decontam, minhash, mixing, pii, toxicity
+from pelagia.llm.queries import TARGETS, labelled_domains
 from pelagia.llm.scratch import save
 
 
-def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go."""
+    return toxicity.reject_toxic(docs, _labels(spark, sf_dir))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
-    return keep_one(docs)
+    return minhash.keep_one(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def hide_persons(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal values become pseudonyms; n_chars follows the text."""
+    new = pii.pseudonymize(docs)
+    return new.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def weigh(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its rate and its whole number of copies in the mix."""
+    rates = mixing.mix(docs, labelled_domains(docs, _labels(spark, sf_dir)), TARGETS)
+    return rates.select("doc_id", "tokens", *(F.col(f"p_{k}").alias(f"p_{d}") for k, d in enumerate(TARGETS)), "rate", "copies")
 
 
-STAGES = [("minhash", dedup)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("minhash", drop_near_copies),
+    ("decontaminate", drop_benchmark),
+    ("pii", hide_persons),
+    ("mixing", weigh),
+]
+#: Trained scores have no SQL form; the tests hold the stages against plain code.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = save(stage(spark, docs, sf_dir))
