@@ -81,14 +81,15 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, own = at[keep], own[keep]
         h = gram_hashes(t.hash, WINDOW, 7)[at].view(np.int64) if len(at) else np.zeros(0, np.int64)
         start = (at - t.first[own]).astype(np.int32)
-        # one row for a window of a document: its first place and how often it is there
+        # one row for a window of a document: its first place and the further ones
         order = np.lexsort((start, h, own))
         h, own, start = h[order], own[order], start[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (own[1:] != own[:-1])
         head = np.flatnonzero(new)
         times = np.diff(np.append(head, len(h))).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(h[head]), pa.array(k[own[head]]), pa.array(start[head]), pa.array(times)], ["h", "k", "start", "n"])
+        more = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(times - 1)), pa.int32()), pa.array(start[~new], pa.int32()))
+        yield pa.RecordBatch.from_arrays([pa.array(h[head]), pa.array(k[own[head]]), pa.array(start[head]), pa.array(times), more], ["h", "k", "start", "n", "more"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +101,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, passages = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE), {}
         for d, rows in enumerate(known):
             a, run = int(t.first[d]), None
-            for start, k0, start0 in sorted((r["start"], r["k0"], r["start0"]) for r in rows or ()):
+            for start, k0, start0 in sorted((p, r["k0"], r["start0"]) for r in rows or () for p in (r["start"], *r["more"])):
                 if run and run[1] == k0 and start == run[0] + run[3] and start0 == run[2] + run[3]:
                     run[3] += 1
                     continue
@@ -146,11 +147,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     often = post.groupBy("name").agg(F.sum("n").alias("n")).where("n > 1").select("name")
     suspects = save(post.join(often, "name").groupBy("k").agg(F.collect_set("name").alias("names")))
     release(spark)
-    windows = save(rows.join(suspects, "k").select("k", "text", "names").mapInArrow(_windows, "h long, k long, start int, n int"))
+    windows = save(rows.join(suspects, "k").select("k", "text", "names").mapInArrow(_windows, "h long, k long, start int, n int, more array<int>"))
     release(spark)
     first = windows.groupBy("h").agg(F.sum("n").alias("times"), F.min("k").alias("k0"), F.min_by("start", "k").alias("start0")).where("times > 1")
     later = windows.join(first, "h").where("k <> k0 or n > 1 or start <> start0")
-    found = save(later.groupBy("k").agg(F.collect_list(F.struct("start", "k0", "start0")).alias("found")))
+    found = save(later.groupBy("k").agg(F.collect_list(F.struct("start", "k0", "start0", "more")).alias("found")))
     release(spark)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
     return rows.join(found, "k", "left").select("doc_id", "k", "text", "found").mapInArrow(_cut, schema)
