@@ -1,13 +1,262 @@
-"""Queries over the driver's tables, with their DuckDB oracles."""
+"""Queries over the driver's tables, with their DuckDB oracles.
+
+Instrument logs are synthesised from ``events`` by one SQL text that both
+engines run: a user is a file, the order of its events that of its lines.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from pelagia.functions.families import EVENT_FIELDS, battery_values, classify, event_kind, event_payload, gps_kind, matches, pressure_values
+from pelagia.functions.lines import artifact_name, explode_lines, log_epoch_time, parse_lines, severity
+from pelagia.operators.episodes import build_episodes, group_episodes
+from pelagia.operators.mer import attributes
+from pelagia.operators.state import actions, diff_sources, snapshot_id
+from pelagia.sources.files import instrument
+
+_V = "CAST(CAST(floor(value) AS BIGINT) AS STRING)"
+_MESSAGES = (
+    "'[MRMAID,123]acq started'", "'[MRMAID]ACQ  already stopped'", "'[SURFIN,007]Ascent request accepted'", "'[SURF,0022]GPS fix...'",
+    f"'[SURF,0394]N35deg19.262mn, E139deg' || {_V} || '.043mn'", f"'[SURF]hdop 1.' || {_V} || ', vdop 1.9'", f"'[PRESS,0038]P' || {_V} || 'mbar,T-25120mdegC'",
+    f"'[MRMAID,0152]' || {_V} || 'dbar, -27degC'", f"'[MONITR,0461]internal pressure ' || {_V} || 'Pa'", f"'[MAIN,0013]Pext -' || {_V} || 'mbar (rng 300mbar)'",
+    f"'[MAIN,0013]Vbat ' || {_V} || 'mV (min 13665mV)'", f"'[MONITR,0082]battery ' || {_V} || 'mV,   19840uA'", "'[SURF,0021]Iridium...'",
+    f"'[SURF,0029]connected in ' || {_V} || 's, signal quality 4'", "'[ZTX,0038]$TIME:12;'", "'[ZTX]$GPSACK:+48,+10;'", f"'[ZTX]' || {_V} || ' cmd(s) received'",
+    f"'[UPLOAD,0231]\"07/5F5F98DC.MER\" uploaded at ' || {_V} || 'bytes/s'", f"'[UPLOAD]peer ask to resume 07/5F5F.LOG (' || {_V} || 'bytes) from byte 4294967294'",
+    f"'[UPLOAD,0218]' || {_V} || ' file(s) uploaded'", f"'[SURF,0025]disconnected after ' || {_V} || 's'", "'[TESTMD,0053]enter test mode'", "'[TESTMD]\"quit\"'",
+    "'[SBE61,0420]P 100, T 200, S 300'", "'[STAGE,0091]Stage [3] surfacing 1000mbar'", "'    bypass 1000 20000'", "'    stage[0] 150000mbar'", "'*** switching to 0007/5F5F98DC ***'",
+    f"'<WARN>[SURF,0292]timeout ' || {_V}", "'<ERR>[PUMP]pump error'", f"'[PUMP,0016]pump during ' || {_V} || 'ms'", "'not a known line'",
+)
+_CASE = "CASE event_id % 33 " + " ".join(f"WHEN {i} THEN {m}" for i, m in enumerate(_MESSAGES)) + " ELSE '' END"
+LINES_SQL = f"""
+SELECT 'log' || CAST(user_id AS STRING) AS source_path, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS line_number,
+  CASE WHEN event_id % 33 = 32 THEN '' ELSE CAST(1600000000 + event_id AS STRING) || ':' || {_CASE} END AS raw_line
+FROM events
+"""
+_L = f"lines AS ({LINES_SQL})"
+_TAGGED = r"^(.+?):\[([^\]]+)\](.*)$"
+_WRAPPED = r"^(.+?):(<(?:ERR|WARN|WRN)>)\[([^\]]+)\](.*)$"
+_P = rf"""{_L}, parsed AS (
+  SELECT source_path, line_number, raw_line, regexp_matches(raw_line, '{_TAGGED}') OR regexp_matches(raw_line, '{_WRAPPED}') AS tagged,
+    CASE WHEN regexp_matches(raw_line, '{_TAGGED}') THEN regexp_extract(raw_line, '{_TAGGED}', 2) ELSE nullif(regexp_extract(raw_line, '{_WRAPPED}', 3), '') END AS tag,
+    CASE WHEN regexp_matches(raw_line, '{_TAGGED}') THEN regexp_extract(raw_line, '{_TAGGED}', 3)
+         WHEN regexp_matches(raw_line, '{_WRAPPED}') THEN regexp_extract(raw_line, '{_WRAPPED}', 2) || regexp_extract(raw_line, '{_WRAPPED}', 4) END AS message
+  FROM lines), t AS (SELECT *, trim(split_part(tag, ',', 1)) AS subsystem, nullif(trim(split_part(tag, ',', 2)), '') AS code FROM parsed)"""
+_N = r"([+-]?\d+)"
+_FAMILY = rf"""CASE WHEN lower(regexp_replace(trim(message), '\s+', ' ', 'g')) IN ('acq started', 'acq stopped', 'acq already started', 'acq already stopped') THEN 'acquisition'
+  WHEN lower(message) IN ('ascent request accepted', 'ascent request rejected') THEN 'ascent_request'
+  WHEN message LIKE '%GPS fix...%' OR regexp_matches(message, '[NS]\d+deg\d+(\.\d+)?mn\s*,\s*[EW]\d+deg\d+(\.\d+)?mn') OR regexp_matches(message, '\b[hv]dop\s+[+-]?\d') OR regexp_matches(message, 'GPSACK:[^;]') OR regexp_matches(message, 'GPSOFF:[+-]?\d') THEN 'gps'
+  WHEN regexp_matches(message, '\bP\s*{_N}mbar,\s*T\s*{_N}mdegC\b') OR regexp_matches(message, '^P\s*{_N}mbar$') OR regexp_matches(message, '\b{_N}dbar,\s*{_N}degC\b') OR regexp_matches(message, '\b(internal pressure|Pint)\s+{_N}Pa\b') OR regexp_matches(message, '\bPext\s+{_N}mbar\s+\(rng') THEN 'pressure_temperature'
+  WHEN regexp_matches(message, '(?i)\b(battery|Vbat)\s+{_N}mV') THEN 'battery' ELSE 'unclassified' END"""
+_KIND = r"""CASE WHEN regexp_matches(m, '(?i)^Iridium\.\.\.$') THEN 'session_start' WHEN regexp_matches(m, '(?i)connected in \d+s,\s*signal quality') THEN 'connection'
+  WHEN regexp_matches(m, '^\$(GPSACK|GPSOFF)(:[^;]*)?;$') THEN 'session_line' WHEN regexp_matches(m, '^\$\w+(:[^;]*)?;$') THEN 'command'
+  WHEN regexp_matches(m, '\d+ cmd(\(s\)|s)? received') THEN 'command_summary' WHEN regexp_matches(m, '"[0-9]{2,4}/\w+\.(MER|LOG|BIN)" uploaded at \d+bytes/s') THEN 'upload_artifact'
+  WHEN m LIKE 'peer ask to resume%' THEN 'upload_resume' WHEN regexp_matches(m, '\d+ file(\(s\)|s)? uploaded') THEN 'upload_session_summary'
+  WHEN regexp_matches(m, 'disconnected after \d+s') THEN 'disconnect' ELSE 'session_line' END"""
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_lines(spark.sql(LINES_SQL.replace("FROM events", "FROM {events}"), events=_read(spark, sf_dir, "events")))
+
+
+def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).where("tagged")
+
+
+def line_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explode_lines(_read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content")))
+
+
+def tagged_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tagged(spark, sf_dir).select("source_path", "line_number", "time_text", "subsystem", "code", "message", "record_time", log_epoch_time(F.col("raw_line")).alias("log_epoch_time"))
+
+
+def classify_single_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tagged(spark, sf_dir).select("source_path", "line_number", classify(F.col("message")).alias("family"))
+
+
+def classify_exclusivity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tagged(spark, sf_dir).groupBy(F.size(matches(F.col("message"))).cast("long").alias("n_families")).agg(F.count("*").alias("n_lines"))
 
 
 def family_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").count()
+    return _tagged(spark, sf_dir).groupBy(classify(F.col("message")).alias("family")).agg(F.count("*").alias("n_records"))
+
+
+def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tagged(spark, sf_dir).groupBy(classify(F.col("message")).alias("family")).agg(F.count("*").alias("n_rows"), F.countDistinct("source_path").alias("n_files"))
+
+
+def pressure_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = F.col("message")
+    rows = _tagged(spark, sf_dir).where(classify(m) == "pressure_temperature")
+    return rows.select("source_path", "line_number", *(c.cast("string").alias(n) for n, c in pressure_values(m).items()))
+
+
+def battery_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = F.col("message")
+    return _tagged(spark, sf_dir).where(classify(m) == "battery").select("source_path", "line_number", *(c.cast("string").alias(n) for n, c in battery_values(m).items()))
+
+
+def gps_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tagged(spark, sf_dir).groupBy(gps_kind(F.col("message")).alias("gps_record_kind")).agg(F.count("*").alias("n")).where("gps_record_kind is not null")
+
+
+def severities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tagged(spark, sf_dir).groupBy(severity(F.col("message")).alias("severity")).agg(F.count("*").alias("n"))
+
+
+def artifact_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = artifact_name(F.col("rollover_target"), ".LOG")
+    return _lines(spark, sf_dir).where("rollover_target is not null").select("source_path", "line_number", target.alias("switched_to_log_file"))
+
+
+def iridium_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _tagged(spark, sf_dir).withColumn("kind", event_kind(F.col("message"))).where("kind <> 'session_line'")
+    rows = rows.withColumn("p", event_payload(F.col("message"), F.col("kind")))
+    fields = ("connection_duration_s", "signal_quality", "received_command_count", "byte_offset", "artifact_size_bytes", "rate_bytes_per_s", "uploaded_file_count", "disconnect_duration_s")
+    assert set(fields) <= set(EVENT_FIELDS)
+    return rows.select("source_path", "line_number", F.col("kind").alias("iridium_event_kind"), *(F.col(f"p.{f}").cast("string").alias(f) for f in fields), "p.referenced_artifact", "p.command_name", "p.command_payload")
+
+
+def episodes_latch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_episodes(_lines(spark, sf_dir)).where("episode is not null").select("source_path", "line_number", "episode", "episode_index")
+
+
+def episode_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = build_episodes(group_episodes(_lines(spark, sf_dir)))
+    return rows.select("source_path", "episode", "episode_index", "line_start_index", "line_end_index", F.size("lines").cast("long").alias("n_lines"), F.array_join("raw_lines", "\n").alias("raw_text"))
+
+
+def topk_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _tagged(spark, sf_dir).where(classify(F.col("message")) == "unclassified")
+    counts = rows.groupBy("subsystem", F.coalesce("code", F.lit("")).alias("code"), "message").agg(F.count("*").alias("n"))
+    return counts.orderBy(F.desc("n"), "subsystem", "code", "message").limit(10)
+
+
+def attr_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "pages").select("page_id", attributes(F.regexp_extract("html", r"<(html [^>]*)>", 1)).alias("a"))
+    return rows.select("page_id", F.explode("a").alias("name", "content"))
+
+
+def section_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.regexp_extract_all("html", F.lit(r"(?s)<title>(.*?)</title>"), F.lit(1))
+    return _read(spark, sf_dir, "pages").select("page_id", F.explode(found).alias("body"))
+
+
+def source_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).cast("string").alias("instrument_serial"), F.col("o_orderkey").cast("string").alias("source_file"), F.when(F.col("o_orderkey") % 3 == 0, "mer").otherwise("log").alias("source_kind"), F.col("o_orderkey").alias("size_bytes"), F.col("o_orderstatus").alias("content_hash"), F.col("o_orderkey").alias("k"))
+    old = rows.where("k % 7 <> 0").withColumn("content_hash", F.when(F.col("k") % 11 == 0, "X").otherwise(F.col("content_hash")))
+    return diff_sources(old, rows.where("k % 13 <> 0")).select("instrument_serial", "source_file", "source_kind", "change_kind")
+
+
+def source_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("instrument_serial"), F.col("o_orderkey").cast("string").alias("source_file"), F.when(F.col("o_orderkey") % 3 == 0, "mer").otherwise("log").alias("source_kind"), F.col("o_orderstatus").alias("content_hash"), F.col("o_orderkey").alias("k"))
+    old = rows.where("k % 5 <> 0").withColumn("content_hash", F.when(F.col("k") % 11 == 0, "X").otherwise(F.col("content_hash")))
+    return actions(diff_sources(old, rows)).select("instrument_serial", "family", "action")
+
+
+def authority_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.floor(F.col("doc_id") / 3).alias("stem"))
+    bins = docs.where("lang = 'de'").select("source", "stem").distinct()
+    return docs.where("lang <> 'de'").join(bins, ["source", "stem"], "left_anti").select("doc_id")
+
+
+def file_param_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _read(spark, sf_dir, "conversations")
+    only = turns.where("role = 'system'").groupBy("conv_id").agg(F.count("*").alias("n"), F.min("text").alias("system_text")).where("n = 1").drop("n")
+    return turns.where("role = 'user'").join(only, "conv_id", "left").select("conv_id", "turn", "system_text")
+
+
+def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("source_sha256"))
+
+
+def snapshot_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree's listing, a line a file, is one value by definition."""
+    rows = _read(spark, sf_dir, "nation").select(F.col("n_name").alias("path"), F.col("n_nationkey").alias("byte_size"), F.sha2("n_name", 256).alias("sha256"))
+    return snapshot_id(rows)
+
+
+def payload_base64(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.encode("text", "UTF-8")
+    return _read(spark, sf_dir, "documents").select("doc_id", F.octet_length(text).cast("long").alias("payload_nbytes"), F.translate(F.base64(text), "\r\n", "").alias("encoded_payload"))
+
+
+def instrument_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    serial = F.concat(F.lit("452."), F.lpad((F.col("s_suppkey") % 1000).cast("string"), 3, F.lit("0")), F.lit("-"), F.when(F.col("s_suppkey") % 2 == 0, "P").otherwise("R"), F.lit("-"), F.lpad((F.col("s_suppkey") % 100).cast("string"), 2, F.lit("0")))
+    return _read(spark, sf_dir, "supplier").select("s_suppkey", instrument(serial).alias("i")).select("s_suppkey", "i.serial", "i.instrument_id")
+
+
+def audit_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _tagged(spark, sf_dir).withColumn("family", classify(F.col("message"))).withColumn("stored", F.when(F.col("line_number") % 17 == 0, "battery").otherwise(F.col("family")))
+    return rows.where("stored <> family").select("source_path", "line_number", "stored", "family")
+
+
+def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One seeded row per label class: the operator samples by definition."""
+    by = Window.partitionBy("quality", "toxic").orderBy(F.xxhash64(F.lit(7), "doc_id"), "doc_id")
+    return _read(spark, sf_dir, "labels").withColumn("nth", F.row_number().over(by)).where("nth = 1").drop("nth")
+
 
+QUERIES = {f.__name__: f for f in (
+    line_explode, tagged_parse, classify_single_line, classify_exclusivity, family_counts, inventory, pressure_fields, battery_fields, gps_kinds, severities,
+    artifact_references, iridium_events, episodes_latch, episode_build, topk_patterns, attr_parse, section_extract, source_diff, source_actions,
+    authority_antijoin, file_param_attach, content_hash, snapshot_digest, payload_base64, instrument_name, audit_findings, hash_sample,
+)}
 
-QUERIES = {}
-ORACLE_SQL = {}
+#: An independent line-by-line automaton: each line extends the state of the one before it.
+_WALK = rf"""WITH RECURSIVE {_P}, k AS (SELECT *, trim(coalesce(message, '')) AS m FROM t), f AS (
+  SELECT source_path, line_number, raw_line, coalesce(subsystem, '') = 'TESTMD' AS test, lower(m) IN ('"q"', '"quit"') AND subsystem = 'TESTMD' AS quits,
+    tagged AND {_KIND} <> 'session_line' AS event, tagged AND ({_KIND} <> 'session_line' OR regexp_matches(m, '^\$\w+(:[^;]*)?;$')) AS follows, m = 'Iridium...' AS opens, regexp_matches(m, 'disconnected after \d+s') AS ends,
+    coalesce(subsystem, '') = 'SBE61' AS ctd, coalesce(subsystem, '') = 'STAGE' AS stage, regexp_matches(raw_line, ':\s*(bypass|stage\[0\])\s') AND NOT tagged AS par
+  FROM k), a AS (
+  SELECT source_path, CAST(0 AS BIGINT) AS line_number, CAST('' AS VARCHAR) AS raw_line, CAST('' AS VARCHAR) AS episode, CAST('' AS VARCHAR) AS nxt, false AS starts FROM (SELECT DISTINCT source_path FROM f)
+  UNION ALL
+  SELECT source_path, line_number, raw_line, episode, CASE WHEN (episode = 'testmode' AND quits) OR (episode = 'iridium' AND ends) THEN '' ELSE episode END,
+    episode <> '' AND (episode <> was OR (episode = 'iridium' AND opens)) AS starts
+  FROM (SELECT f.*, a.nxt AS was, CASE WHEN a.nxt = 'testmode' THEN 'testmode' WHEN a.nxt = 'iridium' AND follows THEN 'iridium' WHEN test THEN 'testmode'
+      WHEN ctd OR (stage AND a.nxt = 'ctd') THEN 'ctd' WHEN event THEN 'iridium' WHEN par THEN 'parameter' ELSE '' END AS episode
+    FROM a JOIN f ON f.source_path = a.source_path AND f.line_number = a.line_number + 1)
+), e AS (SELECT source_path, line_number, raw_line, episode, CAST(sum(CAST(starts AS BIGINT)) OVER (PARTITION BY source_path, episode ORDER BY line_number) - 1 AS BIGINT) AS episode_index FROM a WHERE line_number > 0 AND episode <> '')"""
+_INT = lambda pattern, group=1: f"CAST(TRY_CAST(nullif(regexp_extract(message, '{pattern}', {group}), '') AS BIGINT) AS VARCHAR)"
+_PT, _DB = rf"\bP\s*{_N}mbar,\s*T\s*{_N}mdegC\b", rf"\b{_N}dbar,\s*{_N}degC\b"
+_DIFF = """SELECT coalesce(n.s, o.s) AS instrument_serial, coalesce(n.f, o.f) AS source_file, coalesce(n.k, o.k) AS source_kind,
+  CASE WHEN o.f IS NULL THEN 'new' WHEN n.f IS NULL THEN 'removed' WHEN n.h = o.h THEN 'unchanged' ELSE 'changed' END AS change_kind FROM o FULL OUTER JOIN n ON n.s = o.s AND n.f = o.f"""
+ORACLE_SQL = {
+    "line_explode": r"SELECT doc_id, CAST(i AS BIGINT) AS line_number, parts[i] AS raw_line FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT doc_id, string_split_regex(regexp_replace(text, '(\r\n|\r|\n)$', ''), '\r\n|\r|\n') AS parts FROM documents WHERE text <> ''))",
+    "tagged_parse": f"WITH {_P} SELECT source_path, line_number, split_part(raw_line, ':', 1) AS time_text, subsystem, code, message, strftime(make_timestamp(CAST(split_part(raw_line, ':', 1) AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS record_time, split_part(raw_line, ':', 1) AS log_epoch_time FROM t WHERE tagged",
+    "classify_single_line": f"WITH {_P} SELECT source_path, line_number, {_FAMILY} AS family FROM t WHERE tagged",
+    "classify_exclusivity": f"WITH {_P} SELECT CAST(CASE WHEN family = 'unclassified' THEN 0 ELSE 1 END AS BIGINT) AS n_families, count(*) AS n_lines FROM (SELECT {_FAMILY} AS family FROM t WHERE tagged) GROUP BY 1",
+    "family_counts": f"WITH {_P} SELECT {_FAMILY} AS family, count(*) AS n_records FROM t WHERE tagged GROUP BY 1",
+    "inventory": f"WITH {_P} SELECT {_FAMILY} AS family, count(*) AS n_rows, count(DISTINCT source_path) AS n_files FROM t WHERE tagged GROUP BY 1",
+    "pressure_fields": rf"WITH {_P} SELECT source_path, line_number, {_INT(_PT)} AS pressure_mbar, {_INT(_PT, 2)} AS temperature_mdegc, {_INT(_DB)} AS pressure_dbar, {_INT(_DB, 2)} AS temperature_degc, {_INT(rf'internal pressure\s+{_N}Pa')} AS internal_pressure_pa, {_INT(rf'Pext\s+{_N}mbar')} AS external_pressure_mbar, {_INT(rf'rng\s+{_N}mbar')} AS external_pressure_range_mbar FROM t WHERE tagged AND {_FAMILY} = 'pressure_temperature'",
+    "battery_fields": rf"WITH {_P} SELECT source_path, line_number, CASE WHEN message LIKE 'Vbat%' THEN 'vbat_summary' ELSE 'voltage_current' END AS battery_record_kind, {_INT(rf'(?:battery|Vbat)\s+{_N}mV', 1)} AS voltage_mv, {_INT(rf'{_N}uA')} AS current_ua, {_INT(rf'min\s+{_N}mV')} AS minimum_voltage_mv FROM t WHERE tagged AND {_FAMILY} = 'battery'",
+    "gps_kinds": rf"WITH {_P} SELECT CASE WHEN message LIKE '%GPS fix...%' THEN 'fix_attempt' WHEN message LIKE '%deg%mn%' THEN 'fix_position' WHEN message LIKE '%dop%' THEN 'dop' ELSE 'gps_ack' END AS gps_record_kind, count(*) AS n FROM t WHERE tagged AND {_FAMILY} = 'gps' GROUP BY 1",
+    "severities": f"WITH {_P} SELECT CASE WHEN message LIKE '%<ERR>%' THEN 'err' WHEN message LIKE '%<WARN>%' OR message LIKE '%<WRN>%' THEN 'warn' END AS severity, count(*) AS n FROM t WHERE tagged GROUP BY 1",
+    "artifact_references": f"WITH {_L} SELECT source_path, line_number, replace(regexp_extract(raw_line, 'switching to (.*) ', 1), '/', '_') || '.LOG' AS switched_to_log_file FROM lines WHERE raw_line LIKE '%switching to%'",
+    "iridium_events": rf"""WITH {_P}, e AS (SELECT *, {_KIND.replace('(m,', '(message,').replace('WHEN m ', 'WHEN message ')} AS kind FROM t WHERE tagged) SELECT source_path, line_number, kind AS iridium_event_kind,
+      {_INT(r'connected in (\d+)s')} AS connection_duration_s, {_INT(r'signal quality (\d+)')} AS signal_quality, {_INT(r'(\d+) cmd')} AS received_command_count, {_INT(r'from byte (\d+)')} AS byte_offset, {_INT(r'\((\d+)bytes\)')} AS artifact_size_bytes,
+      {_INT(r'uploaded at (\d+)')} AS rate_bytes_per_s, {_INT(r'(\d+) file')} AS uploaded_file_count, {_INT(r'disconnected after (\d+)s')} AS disconnect_duration_s,
+      nullif(replace(regexp_extract(message, '\d+/\w+\.(?:MER|LOG|BIN)', 0), '/', '_'), '') AS referenced_artifact, CASE WHEN kind = 'command' THEN regexp_extract(message, '^\$(\w+)', 1) END AS command_name, CASE WHEN kind = 'command' THEN regexp_extract(message, ':([^;]*);', 1) END AS command_payload FROM e WHERE kind <> 'session_line'""",
+    "episodes_latch": f"{_WALK} SELECT source_path, line_number, episode, episode_index FROM e",
+    "episode_build": f"{_WALK} SELECT source_path, episode, episode_index, min(line_number) AS line_start_index, max(line_number) AS line_end_index, count(*) AS n_lines, string_agg(raw_line, chr(10) ORDER BY line_number) AS raw_text FROM e GROUP BY 1, 2, 3",
+    "topk_patterns": f"WITH {_P} SELECT subsystem, coalesce(code, '') AS code, message, count(*) AS n FROM t WHERE tagged AND {_FAMILY} = 'unclassified' GROUP BY 1, 2, 3 ORDER BY n DESC, 1, 2, 3 LIMIT 10",
+    "attr_parse": r"SELECT page_id, regexp_extract(a, '^([^=]*)=', 1) AS name, regexp_extract(a, '=(.*)$', 1) AS content FROM (SELECT page_id, unnest(regexp_extract_all(regexp_extract(html, '<(html [^>]*)>', 1), '[A-Za-z_][A-Za-z0-9_\[\]]*=[^\s>]+')) AS a FROM pages)",
+    "section_extract": "SELECT page_id, unnest(regexp_extract_all(html, '(?s)<title>(.*?)</title>', 1)) AS body FROM pages",
+    "source_diff": f"WITH r AS (SELECT CAST(o_custkey % 50 AS VARCHAR) AS s, CAST(o_orderkey AS VARCHAR) AS f, CASE WHEN o_orderkey % 3 = 0 THEN 'mer' ELSE 'log' END AS k, o_orderstatus AS h, o_orderkey AS q FROM orders), o AS (SELECT s, f, k, CASE WHEN q % 11 = 0 THEN 'X' ELSE h END AS h FROM r WHERE q % 7 <> 0), n AS (SELECT * FROM r WHERE q % 13 <> 0) {_DIFF}",
+    "source_actions": f"WITH n AS (SELECT CAST(o_custkey AS VARCHAR) AS s, CAST(o_orderkey AS VARCHAR) AS f, CASE WHEN o_orderkey % 3 = 0 THEN 'mer' ELSE 'log' END AS k, o_orderstatus AS h, o_orderkey AS q FROM orders), o AS (SELECT s, f, k, CASE WHEN q % 11 = 0 THEN 'X' ELSE h END AS h FROM n WHERE q % 5 <> 0), d AS ({_DIFF}) SELECT instrument_serial, source_kind AS family, CASE WHEN bool_or(change_kind IN ('changed', 'removed')) THEN 'rewrite' WHEN bool_or(change_kind = 'new') THEN 'append' ELSE 'noop' END AS action FROM d GROUP BY 1, 2",
+    "authority_antijoin": "SELECT doc_id FROM documents d WHERE lang <> 'de' AND NOT EXISTS (SELECT 1 FROM documents b WHERE b.lang = 'de' AND b.source = d.source AND b.doc_id // 3 = d.doc_id // 3)",
+    "file_param_attach": "SELECT u.conv_id, u.turn, s.system_text FROM conversations u LEFT JOIN (SELECT conv_id, min(text) AS system_text FROM conversations WHERE role = 'system' GROUP BY 1 HAVING count(*) = 1) s USING (conv_id) WHERE u.role = 'user'",
+    "content_hash": "SELECT doc_id, sha256(text) AS source_sha256 FROM documents",
+    "snapshot_digest": "SELECT sha256(string_agg(n_name || chr(9) || n_nationkey || chr(9) || sha256(n_name), chr(10) ORDER BY n_name) || chr(10)) AS snapshot_id, count(*) AS file_count FROM nation",
+    "payload_base64": "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS payload_nbytes, to_base64(encode(text)) AS encoded_payload FROM documents",
+    "instrument_name": "SELECT s_suppkey, '452.' || lpad(CAST(s_suppkey % 1000 AS VARCHAR), 3, '0') || '-' || c || '-' || lpad(CAST(s_suppkey % 100 AS VARCHAR), 2, '0') AS serial, c || '00' || lpad(CAST(s_suppkey % 100 AS VARCHAR), 2, '0') AS instrument_id FROM (SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'P' ELSE 'R' END AS c FROM supplier)",
+    "audit_findings": f"WITH {_P} SELECT source_path, line_number, 'battery' AS stored, family FROM (SELECT source_path, line_number, {_FAMILY} AS family FROM t WHERE tagged) WHERE line_number % 17 = 0 AND family <> 'battery'",
+}
