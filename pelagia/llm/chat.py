@@ -142,8 +142,8 @@ def transcripts(turns: DataFrame) -> DataFrame:
     # equal rows are counted, not gathered: a turn can repeat without bound
     rows = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("times"))
     rows = rows.withColumn("part", F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / PART))
-    many = rows.groupBy("conv_id", "part").agg(F.count("*").alias("own"))
-    rows = rows.join(many, ["conv_id", "part"])
+    many = rows.groupBy(F.col("conv_id").alias("c"), F.col("part").alias("p")).agg(F.count("*").alias("own"))
+    rows = rows.join(many, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")))
     rows = rows.withColumn("spill", F.when(F.col("own") > PART, F.pmod(F.xxhash64("turn", "role", "text"), F.ceil(F.col("own") / PART))).otherwise(0))
     style = F.pmod(F.xxhash64(F.col("conv_id").cast("string")), F.lit(4))
     named = F.create_map(*[F.lit(x) for k, names in enumerate((("System: ", "User: ", "Assistant: "), ("System: ", "Human: ", "AI: "), ("## Instructions: ", "Q: ", "A: "), ("System: ", "User: ", "Assistant: "))) for r, m in zip(ROLES, names, strict=True) for x in (f"{k}{r}", m)])

@@ -161,8 +161,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = save(pairs.mapInArrow(_confirm, "a long, b long"))
     label = components(links)
     release(spark)
-    more = save(_across(post.select("token", "node"), save(label), cand))
-    label = save(components(links.union(more)))
+    more = save(_across(post.select("token", "node"), label, cand))
+    if not more.isEmpty():
+        label = components(label.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more))
     release(spark)
     named = node.join(label, "node", "left").select("set_key", F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component"))
     out = signed.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")

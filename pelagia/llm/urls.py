@@ -61,17 +61,15 @@ def segment(name: str) -> tuple[str, ...]:
     A known word costs its negative log frequency, an unknown run ``UNKNOWN_COST``
     and 2 a letter. Equal costs take the split found first, from the left.
     """
-    best: list[tuple[float, int, bool]] = [(0.0, 0, True)]
+    best, run = [(0.0, 0)], [(float("inf"), 0)]
     for end in range(1, len(name) + 1):
-        choice = (float("inf"), 0, False)
+        run.append(min((run[-1][0] + 2.0, run[-1][1]), (best[-1][0] + UNKNOWN_COST + 2.0, end - 1)))
+        choice = run[-1]
         for start in range(max(0, end - _LONGEST), end):
             word = name[start:end]
             if word in _UNIGRAM:
-                choice = min(choice, (best[start][0] - log(_UNIGRAM[word] / _TOTAL), start, True))
-        prior = best[end - 1]
-        grow = (prior[0] + 2.0, prior[1], False) if not prior[2] else (prior[0] + UNKNOWN_COST + 2.0, end - 1, False)
-        fresh = (prior[0] + UNKNOWN_COST + 2.0, end - 1, False)
-        best.append(min(choice, grow, fresh))
+                choice = min(choice, (best[start][0] - log(_UNIGRAM[word] / _TOTAL), start))
+        best.append(choice)
     words, end = [], len(name)
     while end:
         start = best[end][1]
