@@ -26,7 +26,7 @@ RULES = (
 #: The labelled training names.
 UNWANTED = (
     "spam farm", "cheap pills", "casino win", "free bets", "ads track", "online casino bonus", "win free cash", "cheap loans online",
-    "best pills shop", "free spins slots", "poker bets win", "adult chat cams", "adult video x", "hot singles dating", "payday loans fast", "replica watches cheap",
+    "best pills shop", "free spins slots", "poker bets win", "adult chat cams", "adult video", "hot singles dating", "payday loans fast", "replica watches cheap",
     "click ads banner", "track pixel ads", "spam mail blast", "viagra pills online", "lottery prize winner", "betting odds bonus", "link farm seo",
     "popup ads server", "torrent crack keygen", "porn tube free", "sex cams live", "bitcoin double cash", "miracle weight loss pills",
 )
@@ -34,7 +34,7 @@ WANTED = (
     "city museum", "state university", "public library", "daily news", "weather service", "science journal", "history archive", "open source docs",
     "world health report", "school math lessons", "music festival guide", "garden plants", "cooking recipes kitchen", "national park trails",
     "local government office", "travel guide europe", "film review magazine", "language learning course", "research institute physics", "art gallery online",
-    "football club news", "book review", "software developer forum", "river water project", "hospital care center", "train travel times", "encyclopedia article", "help center support",
+    "football club news", "book review", "bird watching club", "software developer forum", "river water project", "hospital care center", "train travel times", "encyclopedia article", "help center support",
 )
 UNKNOWN_COST = 9.0
 
