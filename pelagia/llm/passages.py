@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import compress
 
 import ahocorasick
 import numpy as np
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.scratch import release, save
+from pelagia.llm.scratch import drop, release, save
 from pelagia.llm.words import WordTable, gram_hashes, small_batches, word_table
 
 WINDOW = 20
@@ -88,55 +89,62 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[1:] = (h[1:] != h[:-1]) | (own[1:] != own[:-1])
         head = np.flatnonzero(new)
         times = np.diff(np.append(head, len(h))).astype(np.int32)
-        more = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(times - 1)), pa.int32()), pa.array(start[~new], pa.int32()))
+        # null where there are no further places
+        ends = [None if n == 1 else int(e) for n, e in zip(times, np.cumsum(times - 1) - (times - 1), strict=True)]
+        more = pa.ListArray.from_arrays(pa.array([*ends, int((times - 1).sum())], pa.int32()), pa.array(start[~new], pa.int32()))
         yield pa.RecordBatch.from_arrays([pa.array(h[head]), pa.array(k[own[head]]), pa.array(start[head]), pa.array(times), more], ["h", "k", "start", "n", "more"])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        t = word_table(b.column("text"))
-        k, known = b.column("k").to_pylist(), b.column("found").to_pylist()
-        # words as small numbers: the automaton's alphabet
-        letter = np.unique(t.hash, return_inverse=True)[1] if len(t.hash) else np.zeros(0, np.int64)
-        shard, passages = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE), {}
-        for d, rows in enumerate(known):
-            a, run = int(t.first[d]), None
-            for start, k0, start0 in sorted((p, r["k0"], r["start0"]) for r in rows or () for p in (r["start"], *r["more"])):
-                if run and run[1] == k0 and start == run[0] + run[3] and start0 == run[2] + run[3]:
-                    run[3] += 1
-                    continue
+def _cut(keep_text: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            t = word_table(b.column("text"))
+            k, known, texts = b.column("k").to_pylist(), b.column("found").to_pylist(), b.column("text").to_pylist()
+            # words as small numbers: the automaton's alphabet
+            letter = np.unique(t.hash, return_inverse=True)[1] if len(t.hash) else np.zeros(0, np.int64)
+            shard, passages = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE), {}
+            for d, rows in enumerate(known):
+                a, run = int(t.first[d]), None
+                for start, k0, start0 in sorted((p, r["k0"], r["start0"]) for r in rows or () for p in (r["start"], *(r["more"] or ()))):
+                    if run and run[1] == k0 and start == run[0] + run[3] and start0 == run[2] + run[3]:
+                        run[3] += 1
+                        continue
+                    if run:
+                        passages[run[1], run[2], run[3] + WINDOW - 1] = a + run[0]
+                    run = [start, k0, start0, 1]
                 if run:
                     passages[run[1], run[2], run[3] + WINDOW - 1] = a + run[0]
-                run = [start, k0, start0, 1]
-            if run:
-                passages[run[1], run[2], run[3] + WINDOW - 1] = a + run[0]
-        for (k0, start0, size), at in passages.items():
-            shard.add_word(tuple(letter[at : at + size].tolist()), (size, k0, start0))
-        if passages:
-            shard.make_automaton()
-        out = []
-        for d in range(len(b)):
-            a, z = int(t.first[d]), int(t.first[d + 1])
-            kept, n = np.ones(z - a, bool), z - a
-            if known[d]:
-                for end, (size, k0, start0) in shard.iter(tuple(letter[a:z].tolist())):
-                    if (k[d], end + 1 - size) != (k0, start0):
-                        kept[end + 1 - size : end + 1] = False
-            words = np.flatnonzero(kept) + a
-            text = b" ".join(t.buf[s:e].tobytes() for s, e in zip(t.start[words], t.end[words], strict=True))
-            out.append((n, n - len(words), sha256(text).hexdigest(), text.decode("utf-8", "replace")))
-        cols = list(zip(*out, strict=True)) or [(), (), (), ()]
-        yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string())],
-            ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"],
-        )
-
-
-def remove_repeats(docs: DataFrame) -> DataFrame:
+            for (k0, start0, size), at in passages.items():
+                shard.add_word(tuple(letter[at : at + size].tolist()), (size, k0, start0))
+            if passages:
+                shard.make_automaton()
+            out = []
+            for d in range(len(b)):
+                a, z = int(t.first[d]), int(t.first[d + 1])
+                kept, n = np.ones(z - a, bool), z - a
+                if known[d]:
+                    for end, (size, k0, start0) in shard.iter(tuple(letter[a:z].tolist())):
+                        if (k[d], end + 1 - size) != (k0, start0):
+                            kept[end + 1 - size : end + 1] = False
+                # bytes.split() parts words at the same six characters
+                words = (texts[d] or "").encode().split()
+                left = int(kept.sum())
+                text = b" ".join(words if left == n else compress(words, kept))
+                out.append((n, n - left, sha256(text).hexdigest(), text.decode() if keep_text else None))
+            cols = list(zip(*out, strict=True)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string())],
+                ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"],
+            )
+
+    return run
+
+
+def remove_repeats(docs: DataFrame, *, keep_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept_text of every row of docs (doc_id, text).
 
     Defined cases: null text has no words; texts under 20 words lose nothing;
-    null ids come before all others; rows that share a doc_id are places of one
+    kept_text is null unless ``keep_text``; null ids come before all others; rows that share a doc_id are places of one
     document, so neither is earlier than the other at the same start; an empty
     table gives an empty result; extra columns are ignored.
     """
@@ -146,15 +154,19 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     post = save(rows.select("k", "text").mapInArrow(_post, "k long, name long, n int"))
     often = post.groupBy("name").agg(F.sum("n").alias("n")).where("n > 1").select("name")
     suspects = save(post.join(often, "name").groupBy("k").agg(F.collect_set("name").alias("names")))
+    drop(post)
     release(spark)
     windows = save(rows.join(suspects, "k").select("k", "text", "names").mapInArrow(_windows, "h long, k long, start int, n int, more array<int>"))
     release(spark)
     first = windows.groupBy("h").agg(F.sum("n").alias("times"), F.min("k").alias("k0"), F.min_by("start", "k").alias("start0")).where("times > 1")
-    later = windows.join(first, "h").where("k <> k0 or n > 1 or start <> start0")
+    # more is null for a window that is once in its document
+    later = windows.drop("n").join(first.drop("times"), "h").where("k <> k0 or more is not null")
     found = save(later.groupBy("k").agg(F.collect_list(F.struct("start", "k0", "start0", "more")).alias("found")))
+    drop(suspects)
+    drop(windows)
     release(spark)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
-    return rows.join(found, "k", "left").select("doc_id", "k", "text", "found").mapInArrow(_cut, schema)
+    return rows.join(found, "k", "left").select("doc_id", "k", "text", "found").mapInArrow(_cut(keep_text), schema)
 
 
 OP6_SQL = r"""

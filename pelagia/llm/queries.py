@@ -40,7 +40,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
+    return passages.remove_repeats(_table(spark, sf_dir, "documents"), keep_text=False).drop("kept_text")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,16 @@ def save(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}.parquet"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch_path = path
+    return table
+
+
+def drop(table: DataFrame) -> None:
+    """Delete a table made by ``save`` that nothing reads any more."""
+    jvm = table.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(table._scratch_path)
+    path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:
