@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.scratch import save
+from pelagia.llm.scratch import drop, save
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -21,6 +21,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least).distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one parent and no parent has one: then all is done."""
+    ends = edges.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)))
+    odd = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)")
+    return odd.isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b): the smallest node it reaches.
 
@@ -28,13 +35,9 @@ def components(links: DataFrame) -> DataFrame:
     is a join and a pre-aggregated minimum, so a node with very many links never
     meets in one task.
     """
-    edges = save(links.select("a", "b").where("a <> b").distinct())
-    mark = None
-    while True:
-        edges = save(_small_star(_large_star(edges)))
-        seen = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == mark:
-            break
-        mark = seen
+    edges = save(_small_star(links.select("a", "b").where("a <> b")))
+    while not _stars(edges):
+        spent, edges = edges, save(_small_star(_large_star(edges)))
+        drop(spent)
     roots = edges.select(F.col("b").alias("node")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots.select("node", F.col("node").alias("component")))

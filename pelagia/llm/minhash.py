@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pelagia.llm.components import components
-from pelagia.llm.scratch import release, save
+from pelagia.llm.scratch import drop, release, save
 from pelagia.llm.words import WordTable, gram_hashes, mix, small_batches, stream, word_table
 
 K, T = 64, 32
@@ -38,6 +38,7 @@ SHINGLE = 5
 BLOCK = 128
 _MULT = stream(K, 11)[:, None]
 _COORD = (np.arange(K, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+_PLACE = np.arange(K, dtype=np.uint64)
 
 
 def shingle_sets(table: WordTable, n: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -52,6 +53,11 @@ def shingle_sets(table: WordTable, n: int = SHINGLE) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
+def _tokens(least: np.ndarray) -> np.ndarray:
+    """Coordinate-value pairs as numbers; the low six bits are the coordinate."""
+    return ((mix(least + _COORD) & ~np.uint64(K - 1)) | _PLACE).view(np.int64)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         sizes, keys, tokens = [], [], []
@@ -59,7 +65,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(s))
             keys.append(blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
             # a column at a time keeps the working set of one text small
-            tokens.append(mix((s * _MULT).min(1) + _COORD).view(np.int64) if len(s) else None)
+            tokens.append(_tokens((s * _MULT).min(1)) if len(s) else None)
         yield pa.RecordBatch.from_arrays(
             [b.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(tokens, pa.list_(pa.int64()))],
             ["doc_id", "n_shingles", "set_key", "tokens"],
@@ -69,7 +75,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         own = [s.tobytes() for s in shingle_sets(word_table(b.column("text"), lower=True))]
-        yield pa.RecordBatch.from_arrays([b.column("node"), b.column("tokens"), pa.array(own, pa.binary())], ["node", "tokens", "own"])
+        yield pa.RecordBatch.from_arrays([b.column("node"), b.column("prefix"), b.column("tokens"), pa.array(own, pa.binary())], ["node", "prefix", "tokens", "own"])
 
 
 def linked(x: np.ndarray, y: np.ndarray) -> bool:
@@ -83,47 +89,70 @@ def linked(x: np.ndarray, y: np.ndarray) -> bool:
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        x, y = b.column("x_own").to_pylist(), b.column("y_own").to_pylist()
+        x, y = b.column("a_own").to_pylist(), b.column("b_own").to_pylist()
         keep = [linked(np.frombuffer(i, np.uint64), np.frombuffer(j, np.uint64)) for i, j in zip(x, y, strict=True)]
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _block(table: pa.Table) -> pa.Table:
-    """Links across components between the askers and the others of one block of one key."""
-    key = table.column("token")[0].as_py()
+def _compare(table: pa.Table, edge: np.ndarray) -> pa.RecordBatch:
+    """One link between each two components that askers and others of one block connect."""
     node, comp = table.column("node").to_numpy(), table.column("component").to_numpy()
-    ask = table.column("ask").to_numpy(zero_copy_only=False)
-    tokens = np.array(table.column("tokens").to_pylist(), np.int64).reshape(-1, K)
-    post = table.column("prefix").to_pylist()
-    own = [np.frombuffer(s, np.uint64) for s in table.column("own").to_pylist()]
-    posts = [set(p) for p in post]
+    key, ask = table.column("token").to_numpy(), table.column("ask").to_numpy()
+    lists = table.column("tokens").combine_chunks()
+    tokens = np.zeros((len(table), K), np.int64)
+    value = lists.flatten().to_numpy()
+    tokens[np.repeat(np.arange(len(table)), lists.value_lengths().to_numpy()), value & (K - 1)] = value
+    prefix, own = table.column("prefix"), table.column("own")
     found = []
-    left, right = np.flatnonzero(ask), np.flatnonzero(~ask)
-    for i in left:
-        alike = (tokens[right] == tokens[i]).sum(1) >= T
-        for j in right[alike & (comp[right] != comp[i])]:
-            # of the keys that bring two sets together, only the smallest compares them
-            if min(posts[i] & posts[j]) == key and linked(own[i], own[j]):
-                found.append((node[i], node[j]))
-    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+    for a, z in zip(edge[:-1], edge[1:], strict=True):
+        rows, done = np.arange(a, z), set()
+        right = rows[~ask[a:z]]
+        for i in rows[ask[a:z]]:
+            alike = ((tokens[right] == tokens[i]) & (tokens[i] != 0)).sum(1) >= T
+            for j in right[alike & (comp[right] != comp[i])]:
+                if (comp[i], comp[j]) in done or min(set(prefix[i].as_py()) & set(prefix[j].as_py())) != key[i]:
+                    continue  # joined already, or compared under a smaller key that both post under
+                if linked(np.frombuffer(own[i].as_py(), np.uint64), np.frombuffer(own[j].as_py(), np.uint64)):
+                    found.append((node[i], node[j]))
+                    done.add((comp[i], comp[j]))
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compare block after block of rows sorted by block; only the open block is held."""
+    held = None
+    for b in batches:
+        table = pa.Table.from_batches([b])
+        held = table if held is None else pa.concat_tables([held, table])
+        new = np.zeros(len(held), bool)
+        for c in ("token", "i", "j"):
+            v = held.column(c).to_numpy()
+            new[1:] |= v[1:] != v[:-1]
+        edge = np.flatnonzero(new)
+        if len(edge):
+            yield _compare(held.slice(0, edge[-1]), np.concatenate(([0], edge)))
+            held = held.slice(edge[-1])
+    if held is not None and len(held):
+        yield _compare(held, np.array([0, len(held)]))
 
 
 def _across(post: DataFrame, label: DataFrame, cand: DataFrame) -> DataFrame:
     """Confirmed links between different components that meet under one key."""
     at = post.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = at.groupBy("token", "component").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("token").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.sum("n").alias("size"), F.count("*").alias("parts")).where("parts > 1")
-    rows = save(at.join(main, "token").withColumn("asks", F.col("component") != F.col("main")))
-    n_ask = rows.where("asks").groupBy("token").agg(F.count("*").alias("n_ask"))
-    rows = rows.join(n_ask, "token")
-    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("long")
-    own = lambda c, k: F.pmod(F.xxhash64("node", F.lit(k)), blocks(c))
+    main = sizes.groupBy("token").agg(
+        F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.sum("n").alias("size"), (F.sum("n") - F.max("n")).alias("n_ask")
+    ).where("n_ask > 0")
     # a block holds the askers of one part and the members of another: about 2 * BLOCK rows
-    asks = rows.where("asks").withColumn("i", own("n_ask", 1)).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), blocks("size") - 1))).withColumn("ask", F.lit(True))
-    told = rows.withColumn("j", own("size", 2)).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), blocks("n_ask") - 1))).withColumn("ask", F.lit(False))
-    cols = ["token", "i", "j", "node", "component", "ask"]
-    grid = asks.select(cols).unionByName(told.select(cols)).join(cand.select("node", "tokens", "prefix", "own"), "node")
-    return grid.groupBy("token", "i", "j").applyInArrow(_block, "a long, b long")
+    tall, wide = (F.ceil(F.col(c) / BLOCK).cast("long") for c in ("n_ask", "size"))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    own = lambda n, k: F.pmod(F.xxhash64("node", F.lit(k)), n)
+    place = lambda i, j, ask: F.struct(i.alias("i"), j.alias("j"), F.lit(ask).alias("ask"))
+    asks = F.when(F.col("component") != F.col("main"), F.transform(upto(wide), lambda j: place(own(tall, 1), j, True)))
+    told = F.transform(upto(tall), lambda i: place(i, own(wide, 2), False))
+    rows = at.join(main, "token").select("token", "node", "component", F.explode(F.concat(F.coalesce(asks, F.slice(told, 1, 0)), told)).alias("at"))
+    grid = rows.select("token", "node", "component", "at.*").join(cand, "node")
+    return grid.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(_blocks, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -140,28 +169,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = save(docs.mapInArrow(_sign, "doc_id long, n_shingles long, set_key binary, tokens array<bigint>"))
     # equal sets are one node: their smallest doc_id
-    node = signed.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("node"))
-    heads = signed.select("doc_id", "set_key", "tokens").join(node, "set_key").where("doc_id = node").dropDuplicates(["set_key"])
+    whole = signed.where("set_key is not null and doc_id is not null").groupBy("set_key")
+    node = whole.agg(F.min("doc_id").alias("node"))
+    heads = whole.agg(F.min("doc_id").alias("node"), F.first("tokens").alias("tokens"))
     token = save(heads.select("node", F.explode("tokens").alias("token")))
     often = token.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     shared = token.join(often, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("keys")).where(F.size("keys") >= T)
-    prefix = save(shared.select("node", F.expr(f"transform(slice(keys, 1, size(keys) - {T} + 1), k -> k.token)").alias("prefix")))
+    # keys of one set alone collide with nothing: the shared ones are the signature from here on
+    posts = shared.select("node", F.expr(f"transform(slice(keys, 1, size(keys) - {T} + 1), k -> k.token)").alias("prefix"), F.col("keys.token").alias("tokens"))
+    held = docs.join(posts, F.col("doc_id") == F.col("node")).dropDuplicates(["doc_id"]).select("node", "prefix", "tokens", "text")
+    cand = save(held.mapInArrow(_sets, "node long, prefix array<bigint>, tokens array<bigint>, own binary"))
+    drop(token)
     release(spark)
-    post = prefix.select("node", F.explode("prefix").alias("token"))
+    post = cand.select("node", F.explode("prefix").alias("token"))
     met = post.groupBy("token").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
     post = save(post.join(met, "token").select("token", "node", "head"))
     star = post.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    texts = docs.join(post.select(F.col("node").alias("doc_id")).distinct(), "doc_id")
-    cand = texts.join(heads.select("node", "tokens"), F.col("doc_id") == F.col("node")).select("node", "tokens", "text")
-    cand = save(cand.mapInArrow(_sets, "node long, tokens array<bigint>, own binary").dropDuplicates(["node"]).join(prefix, "node"))
-    x = cand.select(F.col("node").alias("a"), F.col("tokens").alias("x_tokens"))
-    y = cand.select(F.col("node").alias("b"), F.col("tokens").alias("y_tokens"))
-    alike = star.join(x, "a").join(y, "b").where(F.expr(f"size(array_intersect(x_tokens, y_tokens)) >= {T}")).select("a", "b")
-    pairs = alike.join(cand.select(F.col("node").alias("a"), F.col("own").alias("x_own")), "a").join(cand.select(F.col("node").alias("b"), F.col("own").alias("y_own")), "b")
-    links = save(pairs.mapInArrow(_confirm, "a long, b long"))
+    x, y = (cand.select(F.col("node").alias(k), F.col("tokens").alias(f"{k}_tokens")) for k in "ab")
+    alike = star.join(x, "a").join(y, "b").where(F.expr(f"size(array_intersect(a_tokens, b_tokens)) >= {T}")).select("a", "b")
+    x, y = (cand.select(F.col("node").alias(k), F.col("own").alias(f"{k}_own")) for k in "ab")
+    links = alike.join(x, "a").join(y, "b").mapInArrow(_confirm, "a long, b long")
     label = components(links)
-    release(spark)
     more = save(_across(post.select("token", "node"), label, cand))
+    drop(post)
+    drop(cand)
     if not more.isEmpty():
         label = components(label.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more))
     release(spark)
