@@ -102,7 +102,8 @@ def _compare(table: pa.Table, edge: np.ndarray) -> pa.RecordBatch:
     tokens = np.zeros((len(table), K), np.int64)
     value = lists.flatten().to_numpy()
     tokens[np.repeat(np.arange(len(table)), lists.value_lengths().to_numpy()), value & (K - 1)] = value
-    prefix, own = table.column("prefix"), table.column("own")
+    prefix = [set(p) for p in table.column("prefix").to_pylist()]
+    own = [np.frombuffer(s, np.uint64) for s in table.column("own").to_pylist()]
     found = []
     for a, z in zip(edge[:-1], edge[1:], strict=True):
         rows, done = np.arange(a, z), set()
@@ -110,9 +111,9 @@ def _compare(table: pa.Table, edge: np.ndarray) -> pa.RecordBatch:
         for i in rows[ask[a:z]]:
             alike = ((tokens[right] == tokens[i]) & (tokens[i] != 0)).sum(1) >= T
             for j in right[alike & (comp[right] != comp[i])]:
-                if (comp[i], comp[j]) in done or min(set(prefix[i].as_py()) & set(prefix[j].as_py())) != key[i]:
+                if (comp[i], comp[j]) in done or min(prefix[i] & prefix[j]) != key[i]:
                     continue  # joined already, or compared under a smaller key that both post under
-                if linked(np.frombuffer(own[i].as_py(), np.uint64), np.frombuffer(own[j].as_py(), np.uint64)):
+                if linked(own[i], own[j]):
                     found.append((node[i], node[j]))
                     done.add((comp[i], comp[j]))
     return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
