@@ -96,7 +96,7 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _compare(table: pa.Table, edge: np.ndarray) -> pa.RecordBatch:
     """One link between each two components that askers and others of one block connect."""
-    node, comp = table.column("node").to_numpy(), table.column("component").to_numpy()
+    comp = table.column("component").to_numpy()
     key, ask = table.column("token").to_numpy(), table.column("ask").to_numpy()
     lists = table.column("tokens").combine_chunks()
     tokens = np.zeros((len(table), K), np.int64)
@@ -114,7 +114,7 @@ def _compare(table: pa.Table, edge: np.ndarray) -> pa.RecordBatch:
                 if (comp[i], comp[j]) in done or min(prefix[i] & prefix[j]) != key[i]:
                     continue  # joined already, or compared under a smaller key that both post under
                 if linked(own[i], own[j]):
-                    found.append((node[i], node[j]))
+                    found.append((comp[i], comp[j]))
                     done.add((comp[i], comp[j]))
     return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
 
@@ -138,7 +138,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _across(post: DataFrame, label: DataFrame, cand: DataFrame) -> DataFrame:
-    """Confirmed links between different components that meet under one key."""
+    """Links between components, for confirmed links of their members that meet under one key."""
     at = post.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = at.groupBy("token", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("token").agg(
@@ -194,10 +194,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = save(_across(post.select("token", "node"), label, cand))
     drop(post)
     drop(cand)
+    named = node.join(label, "node", "left").select("set_key", F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component"))
     if not more.isEmpty():
-        label = components(label.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more))
+        above = components(more).select(F.col("node").alias("component"), F.col("component").alias("above"))
+        named = named.join(above, "component", "left").select("set_key", "class_id", F.coalesce("above", "component").alias("component"))
     release(spark)
-    named = node.join(label, "node", "left").select("set_key", F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component"))
     out = signed.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select(
