@@ -36,6 +36,7 @@ from pelagia.llm.words import WordTable, gram_hashes, mix, small_batches, stream
 K, T = 64, 32
 SHINGLE = 5
 BLOCK = 128
+BITS = 4096
 _MULT = stream(K, 11)[:, None]
 _COORD = (np.arange(K, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.arange(K, dtype=np.uint64)
@@ -94,26 +95,45 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _runs(column: pa.ChunkedArray, dtype: type) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a binary column and where each row's numbers begin."""
+    raw = column.cast(pa.large_binary()).combine_chunks()
+    off = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+    flat = np.frombuffer(raw.buffers()[2], np.uint8)[off[0] : off[-1]].view(dtype)
+    return flat, (off - off[0]) // flat.itemsize
+
+
+def _sketches(flat: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A bitmap of BITS bits of each set; bitmaps differ in no more places than their sets differ in members."""
+    seen = np.zeros((len(first) - 1, BITS), bool)
+    seen[np.repeat(np.arange(len(first) - 1), np.diff(first)), flat % np.uint64(BITS)] = True
+    return np.packbits(seen, axis=1).view(np.uint64)
+
+
 def _compare(table: pa.Table, edge: np.ndarray) -> pa.RecordBatch:
     """One link between each two components that askers and others of one block connect."""
-    comp = table.column("component").to_numpy()
-    key, ask = table.column("token").to_numpy(), table.column("ask").to_numpy()
-    lists = table.column("tokens").combine_chunks()
+    comp, key, ask = (table.column(c).to_numpy() for c in ("component", "token", "ask"))
+    lists, posted = table.column("tokens").combine_chunks(), table.column("prefix").combine_chunks()
     tokens = np.zeros((len(table), K), np.int64)
     value = lists.flatten().to_numpy()
     tokens[np.repeat(np.arange(len(table)), lists.value_lengths().to_numpy()), value & (K - 1)] = value
-    prefix = [set(p) for p in table.column("prefix").to_pylist()]
-    own = [np.frombuffer(s, np.uint64) for s in table.column("own").to_pylist()]
+    flat, first = _runs(table.column("own"), np.uint64)
+    sketch, size = _sketches(flat, first), np.diff(first)
+    own = lambda i: flat[first[i] : first[i + 1]]
+    prefix = lambda i: posted[int(i)].values.to_numpy()
     found = []
     for a, z in zip(edge[:-1], edge[1:], strict=True):
         rows, done = np.arange(a, z), set()
         right = rows[~ask[a:z]]
+        others, other_comp = tokens[right], comp[right]
         for i in rows[ask[a:z]]:
-            alike = ((tokens[right] == tokens[i]) & (tokens[i] != 0)).sum(1) >= T
-            for j in right[alike & (comp[right] != comp[i])]:
-                if (comp[i], comp[j]) in done or min(prefix[i] & prefix[j]) != key[i]:
+            near = right[(((others == tokens[i]) & (tokens[i] != 0)).sum(1) >= T) & (other_comp != comp[i])]
+            # 75 of 100 in common: at most a seventh of all members may differ
+            near = near[7 * np.bitwise_count(sketch[near] ^ sketch[i]).sum(1).astype(np.int64) <= size[near] + size[i]]
+            for j in near:
+                if (comp[i], comp[j]) in done or np.intersect1d(prefix(i), prefix(j)).min() != key[i]:
                     continue  # joined already, or compared under a smaller key that both post under
-                if linked(own[i], own[j]):
+                if linked(own(i), own(j)):
                     found.append((comp[i], comp[j]))
                     done.add((comp[i], comp[j]))
     return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
