@@ -21,7 +21,7 @@ probability below 1e-4, one of 0.8 with probability below 1e-7.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -36,7 +36,8 @@ from pelagia.llm.words import WordTable, gram_hashes, mix, small_batches, stream
 K, T = 64, 32
 SHINGLE = 5
 BLOCK = 128
-BITS = 4096
+#: Bits of the bitmap that rules pairs out before their full sets are sent.
+BITS = 2048
 _MULT = stream(K, 11)[:, None]
 _COORD = (np.arange(K, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.arange(K, dtype=np.uint64)
@@ -73,10 +74,23 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _sketches(flat: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A bitmap of BITS bits of each set; bitmaps differ in no more places than their sets differ in members."""
+    seen = np.zeros((len(first) - 1, BITS), bool)
+    seen[np.repeat(np.arange(len(first) - 1), np.diff(first)), flat % np.uint64(BITS)] = True
+    return np.packbits(seen, axis=1)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        own = [s.tobytes() for s in shingle_sets(word_table(b.column("text"), lower=True))]
-        yield pa.RecordBatch.from_arrays([b.column("node"), b.column("prefix"), b.column("tokens"), pa.array(own, pa.binary())], ["node", "prefix", "tokens", "own"])
+        own = list(shingle_sets(word_table(b.column("text"), lower=True)))
+        size = np.array([len(s) for s in own], np.int64)
+        sketch = _sketches(np.concatenate(own), np.append(0, np.cumsum(size))) if own else []
+        mask = [int(np.bitwise_or.reduce(np.int64(1) << (p.values.to_numpy() & (K - 1)))) for p in b.column("prefix")]
+        yield pa.RecordBatch.from_arrays(
+            [b.column("node"), b.column("prefix"), pa.array(mask, pa.int64()), b.column("tokens"), pa.array(size), pa.array([s.tobytes() for s in sketch], pa.binary()), pa.array([s.tobytes() for s in own], pa.binary())],
+            ["node", "prefix", "mask", "tokens", "size", "sketch", "own"],
+        )
 
 
 def linked(x: np.ndarray, y: np.ndarray) -> bool:
@@ -95,66 +109,80 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _runs(column: pa.ChunkedArray, dtype: type) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of a binary column and where each row's numbers begin."""
-    raw = column.cast(pa.large_binary()).combine_chunks()
-    off = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
-    flat = np.frombuffer(raw.buffers()[2], np.uint8)[off[0] : off[-1]].view(dtype)
-    return flat, (off - off[0]) // flat.itemsize
-
-
-def _sketches(flat: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """A bitmap of BITS bits of each set; bitmaps differ in no more places than their sets differ in members."""
-    seen = np.zeros((len(first) - 1, BITS), bool)
-    seen[np.repeat(np.arange(len(first) - 1), np.diff(first)), flat % np.uint64(BITS)] = True
-    return np.packbits(seen, axis=1).view(np.uint64)
-
+def _near(table: pa.Table, edge: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(start of the block, asker, rows of other components that may be linked to it).
 
-def _compare(table: pa.Table, edge: np.ndarray) -> pa.RecordBatch:
-    """One link between each two components that askers and others of one block connect."""
-    comp, key, ask = (table.column(c).to_numpy() for c in ("component", "token", "ask"))
-    lists, posted = table.column("tokens").combine_chunks(), table.column("prefix").combine_chunks()
+    A pair is given under the smallest key that both post under only, with T or
+    more collisions, and if its bitmaps allow a link.
+    """
+    comp, key, ask, size = (table.column(c).to_numpy() for c in ("component", "token", "ask", "size"))
+    lists = table.column("tokens").combine_chunks()
     tokens = np.zeros((len(table), K), np.int64)
     value = lists.flatten().to_numpy()
     tokens[np.repeat(np.arange(len(table)), lists.value_lengths().to_numpy()), value & (K - 1)] = value
-    flat, first = _runs(table.column("own"), np.uint64)
-    sketch, size = _sketches(flat, first), np.diff(first)
-    own = lambda i: flat[first[i] : first[i + 1]]
-    prefix = lambda i: posted[int(i)].values.to_numpy()
-    found = []
+    posted = (table.column("mask").to_numpy()[:, None] >> _PLACE.astype(np.int64)) & 1 > 0
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(table), -1)
+    top = np.iinfo(np.int64).max
     for a, z in zip(edge[:-1], edge[1:], strict=True):
-        rows, done = np.arange(a, z), set()
+        rows = np.arange(a, z)
         right = rows[~ask[a:z]]
         others, other_comp = tokens[right], comp[right]
         for i in rows[ask[a:z]]:
-            near = right[(((others == tokens[i]) & (tokens[i] != 0)).sum(1) >= T) & (other_comp != comp[i])]
+            same = (others == tokens[i]) & (tokens[i] != 0)
+            alike = np.flatnonzero((same.sum(1) >= T) & (other_comp != comp[i]))
+            near = right[alike]
             # 75 of 100 in common: at most a seventh of all members may differ
-            near = near[7 * np.bitwise_count(sketch[near] ^ sketch[i]).sum(1).astype(np.int64) <= size[near] + size[i]]
-            for j in near:
-                if (comp[i], comp[j]) in done or np.intersect1d(prefix(i), prefix(j)).min() != key[i]:
-                    continue  # joined already, or compared under a smaller key that both post under
-                if linked(own(i), own(j)):
-                    found.append((comp[i], comp[j]))
-                    done.add((comp[i], comp[j]))
-    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare block after block of rows sorted by block; only the open block is held."""
-    held = None
-    for b in batches:
-        table = pa.Table.from_batches([b])
-        held = table if held is None else pa.concat_tables([held, table])
-        new = np.zeros(len(held), bool)
-        for c in ("token", "i", "j"):
-            v = held.column(c).to_numpy()
-            new[1:] |= v[1:] != v[:-1]
-        edge = np.flatnonzero(new)
-        if len(edge):
-            yield _compare(held.slice(0, edge[-1]), np.concatenate(([0], edge)))
-            held = held.slice(edge[-1])
-    if held is not None and len(held):
-        yield _compare(held, np.array([0, len(held)]))
+            fit = 7 * np.bitwise_count(sketch[near] ^ sketch[i]).sum(1).astype(np.int64) <= size[near] + size[i]
+            alike, near = alike[fit], near[fit]
+            least = np.where(same[alike] & posted[near] & posted[i], tokens[i], top).min(1)
+            if (least == key[i]).any():
+                yield a, i, near[least == key[i]]
+
+
+def _alive(table: pa.Table, edge: np.ndarray) -> pa.Table:
+    """The rows that may be linked to another row of their block."""
+    stay = np.zeros(len(table), bool)
+    for _, i, near in _near(table, edge):
+        stay[i] = True
+        stay[near] = True
+    return table.select(["token", "i", "j", "node", "component", "ask"]).filter(pa.array(stay)).combine_chunks()
+
+
+def _compare(table: pa.Table, edge: np.ndarray) -> pa.Table:
+    """One link between each two components that askers and others of one block connect."""
+    comp, own, found, done = table.column("component").to_numpy(), table.column("own"), [], (None, set())
+    for block, i, near in _near(table, edge):
+        if block != done[0]:
+            done = (block, set())
+        x = np.frombuffer(own[int(i)].as_py(), np.uint64)
+        for j in near:
+            pair = (comp[i], comp[j])
+            if pair not in done[1] and linked(x, np.frombuffer(own[int(j)].as_py(), np.uint64)):
+                found.append(pair)
+                done[1].add(pair)
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
+def _by_block(work: Callable[[pa.Table, np.ndarray], pa.Table]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` on block after block of rows sorted by block; only the open block is held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            table = pa.Table.from_batches([b])
+            held = table if held is None else pa.concat_tables([held, table])
+            new = np.zeros(len(held), bool)
+            for c in ("token", "i", "j"):
+                v = held.column(c).to_numpy()
+                new[1:] |= v[1:] != v[:-1]
+            edge = np.flatnonzero(new)
+            if len(edge):
+                yield from work(held.slice(0, edge[-1]), np.concatenate(([0], edge))).to_batches()
+                held = held.slice(edge[-1])
+        if held is not None and len(held):
+            yield from work(held, np.array([0, len(held)])).to_batches()
+
+    return run
 
 
 def _across(post: DataFrame, label: DataFrame, cand: DataFrame) -> DataFrame:
@@ -172,8 +200,15 @@ def _across(post: DataFrame, label: DataFrame, cand: DataFrame) -> DataFrame:
     asks = F.when(F.col("component") != F.col("main"), F.transform(upto(wide), lambda j: place(own(tall, 1), j, True)))
     told = F.transform(upto(tall), lambda i: place(i, own(wide, 2), False))
     rows = at.join(main, "token").select("token", "node", "component", F.explode(F.concat(F.coalesce(asks, F.slice(told, 1, 0)), told)).alias("at"))
-    grid = rows.select("token", "node", "component", "at.*").join(cand, "node")
-    return grid.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(_blocks, "a long, b long")
+    rows = rows.select("token", "node", "component", "at.*")
+    blocks = lambda r, work, schema: r.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(_by_block(work), schema)
+    brief = cand.select("node", "mask", "tokens", "size", "sketch")
+    # full sets go only where the short forms leave a possible link
+    alive = save(blocks(rows.join(brief, "node"), _alive, "token long, i long, j long, node long, component long, ask boolean"))
+    release(post.sparkSession)
+    links = save(blocks(alive.join(cand.drop("prefix"), "node"), _compare, "a long, b long"))
+    drop(alive)
+    return links
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -199,7 +234,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # keys of one set alone collide with nothing: the shared ones are the signature from here on
     posts = shared.select("node", F.expr(f"transform(slice(keys, 1, size(keys) - {T} + 1), k -> k.token)").alias("prefix"), F.col("keys.token").alias("tokens"))
     held = docs.join(posts, F.col("doc_id") == F.col("node")).dropDuplicates(["doc_id"]).select("node", "prefix", "tokens", "text")
-    cand = save(held.mapInArrow(_sets, "node long, prefix array<bigint>, tokens array<bigint>, own binary"))
+    cand = save(held.mapInArrow(_sets, "node long, prefix array<bigint>, mask long, tokens array<bigint>, size long, sketch binary, own binary"))
     drop(token)
     release(spark)
     post = cand.select("node", F.explode("prefix").alias("token"))
@@ -211,7 +246,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     x, y = (cand.select(F.col("node").alias(k), F.col("own").alias(f"{k}_own")) for k in "ab")
     links = alike.join(x, "a").join(y, "b").mapInArrow(_confirm, "a long, b long")
     label = components(links)
-    more = save(_across(post.select("token", "node"), label, cand))
+    release(spark)
+    more = _across(post.select("token", "node"), label, cand)
     drop(post)
     drop(cand)
     named = node.join(label, "node", "left").select("set_key", F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component"))
