@@ -32,12 +32,13 @@ _FIRST = -(1 << 63)
 
 def _names(t: WordTable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For every window inside one text: its first word and its name (48 bits);
-    and the names that lie within one window twice."""
+    and the names that lie twice within two adjoining windows."""
     m = len(t.hash) - WINDOW + 1
     if m <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     grams = low = gram_hashes(t.hash, GRAM, 5) >> np.uint64(16)
-    twice = np.unique(np.concatenate([grams[:-d][grams[:-d] == grams[d:]] for d in range(1, WINDOW - GRAM + 1)])).astype(np.int64)
+    # places of a name that are further apart leave a window without it between them, which shows as a gap
+    twice = np.unique(np.concatenate([grams[:-d][grams[:-d] == grams[d:]] for d in range(1, WINDOW - GRAM + 2)])).astype(np.int64)
     # the minimum of WINDOW - GRAM + 1 = 13 neighbours from those of 8 and 8
     for step in (1, 2, 4):
         low = np.minimum(low[:-step], low[step:])
@@ -62,7 +63,7 @@ def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = np.ones(len(own), bool)
         new[1:] = (own[1:] != own[:-1]) | (name[1:] != name[:-1])
         head = np.flatnonzero(new)
-        # a name occurs again in its text if its windows have a gap or hold it twice
+        # a name occurs again in its text if its windows have a gap or two adjoining ones hold it twice
         apart = np.zeros(len(own), bool)
         apart[1:] = ~new[1:] & (at[1:] - at[:-1] > 1)
         again = np.logical_or.reduceat(apart, head) if len(head) else apart[:0]

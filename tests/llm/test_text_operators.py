@@ -93,6 +93,19 @@ def test_repeats_brute_force(spark):
     assert len(odd) == len(_corpus())
 
 
+def test_repeats_of_every_period(spark):
+    # every text has its own words, so only it can make its names recur
+    rows = [(100 * period + n, " ".join(f"v{period}x{n}x{i % period}" for i in range(period * n + 5))) for period in range(1, 41) for n in (2, 3, 9)]
+    got = {r.doc_id: r.n_removed for r in passages.remove_repeats(_docs(spark, rows)).collect()}
+    for i, t in rows:
+        words, seen, lost = t.split(), set(), set()
+        for p in range(len(words) - 19):
+            if tuple(words[p : p + 20]) in seen:
+                lost |= set(range(p, p + 20))
+            seen.add(tuple(words[p : p + 20]))
+        assert (i, got[i]) == (i, len(lost))
+
+
 def test_fingerprints(spark):
     rows = [(i, t) for i, t in _corpus() if i is None or i != 1003] + [(2000, "the über quick brown fox of long chains and more words here")]
     got = spotsigs.fingerprints(_docs(spark, rows)).collect()
