@@ -10,6 +10,8 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
+from math import ceil
 
 import pandas as pd
 import regex
@@ -42,6 +44,7 @@ _WORD = regex.compile(r"[^\W_]+(?:\.\d+)*")
 _SIGN = {
     name: [w.casefold() for w in _WORD.findall(text)] for name, text in TEMPLATES.items()
 }
+_WANTED = frozenset(w for sign in _SIGN.values() for w in sign)
 
 
 def patience(a: list[str], b: list[str]) -> list[tuple[int, int]]:
@@ -91,43 +94,57 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def scan_text(text: str) -> list[tuple[str, float, int, int]]:
     """(template, coverage, first word, last word) of every notice in a text.
 
-    A template is aligned with the stretches around its words: consecutive
-    places whose gaps are shorter than the template form one stretch.
+    A template is aligned with the stretches around the places of its rarest
+    words, so many of them that a notice can't lack them all.
     """
     words = [w.casefold() for w in _WORD.findall(text)]
     where: dict[str, list[int]] = {}
-    wanted = set().union(*map(set, _SIGN.values()))
     for n, w in enumerate(words):
-        if w in wanted:
+        if w in _WANTED:
             where.setdefault(w, []).append(n)
     found = []
     for name, sign in _SIGN.items():
-        need = COVERAGE * len(sign)
-        if sum(w in where for w in set(sign)) < COVERAGE * len(set(sign)):
+        need = _need(sign)
+        if sum(w in where for w in sign) < need:
             continue
-        rare = min(set(sign) & set(where), key=lambda w: (len(where[w]), w))
-        # 20 % of the template may be missing, so one of its rarest words must be there
-        keys = sorted(set(sign), key=lambda w: (len(where.get(w, ())), w))[: len(sign) - int(need) + 1]
+        # len(sign) - need words of the template may be missing, so one of so many and one more must be there
+        keys = sorted(set(sign), key=lambda w: (len(where.get(w, ())), w))[: len(sign) - need + 1]
         last = -1
-        for p in sorted(q for w in {rare, *keys} for q in where.get(w, ())):
+        for p in sorted(q for w in keys for q in where.get(w, ())):
             if p <= last:
                 continue
-            start = max(last + 1, p - 2 * len(sign))
-            part = words[start : p + 2 * len(sign)]
-            pairs = _tightest(part, sign)
-            if len(pairs) >= need:
-                last = start + pairs[-1][0]
-                found.append((name, len(pairs) / len(sign), start + pairs[0][0], last))
+            got = _notices(words, max(last + 1, p - 2 * len(sign)), min(len(words), p + 2 * len(sign)), sign)
+            if got:
+                last = got[-1][2]
+                found += [(name, *g) for g in got]
     return found
 
 
+def _need(sign: list[str]) -> int:
+    """The least number of aligned words that is ``COVERAGE`` of a template."""
+    return ceil(round(COVERAGE * len(sign), 9))
+
+
+def _notices(words: list[str], start: int, stop: int, sign: list[str]) -> list[tuple[float, int, int]]:
+    """(coverage, first word, last word) of the notices of one template from ``start`` to ``stop``."""
+    pairs = _tightest(words[start:stop], sign)
+    if not pairs:
+        return []
+    first, last = start + pairs[0][0], start + pairs[-1][0]
+    before, after = _notices(words, start, first, sign), _notices(words, last + 1, stop, sign)
+    return [*before, (len(pairs) / len(sign), first, last), *after]
+
+
 def _tightest(part: list[str], sign: list[str]) -> list[tuple[int, int]]:
-    """The best alignment within any run about as long as the template."""
-    span, best = len(sign) + max(2, len(sign) // 4), []
-    for s in range(0, max(1, len(part) - len(sign) + 1)):
-        if part[s] in sign:
+    """The best alignment within any run about as long as the template, if it is a notice."""
+    need, span, best = _need(sign), len(sign) + max(2, len(sign) // 4), []
+    inside = [w in sign for w in part]
+    upto = [0, *accumulate(inside)]
+    for s in range(len(part) - need + 1):
+        # no more words can be aligned than the run has of the template
+        if inside[s] and upto[min(s + span, len(part))] - upto[s] >= max(need, len(best) + 1):
             pairs = patience(part[s : s + span], sign)
-            if len(pairs) > len(best):
+            if len(pairs) >= max(need, len(best) + 1):
                 best = [(s + p, q) for p, q in pairs]
     return best
 
@@ -139,23 +156,20 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             found = scan_text(text) if text else []
             # most coverage, then the longer template, then the name
             top = max(found, key=lambda f: (f[1], len(_SIGN[f[0]]), f[0]), default=(None, 0.0, None, None))
-            rows.append((*top, len(found)))
-        got = pd.DataFrame(rows, columns=["license", "coverage", "first_word", "last_word", "n_notices"], index=b.index)
+            every = [dict(zip(("license", "coverage", "first_word", "last_word"), f, strict=True)) for f in sorted(found, key=lambda f: (f[2], f[3], f[0]))]
+            rows.append((*top, len(found), every))
+        got = pd.DataFrame(rows, columns=["license", "coverage", "first_word", "last_word", "n_notices", "notices"], index=b.index)
         got = got.astype({"first_word": "Int64", "last_word": "Int64"})
         yield pd.concat([b[["doc_id"]], got], axis=1)
 
 
-#: A text without any of these words can't hold 80 % of a template.
-HINT = "(?i)licen[sc]|permission|redistribution|public domain"
-
-
 def scan_licenses(docs: DataFrame) -> DataFrame:
-    """doc_id, license, coverage, first_word, last_word, n_notices of every row of docs.
+    """doc_id, license, coverage, first_word, last_word, n_notices, notices of every row of docs.
 
+    The first columns hold the best notice, ``notices`` all of them by place.
     Defined cases: null, empty and notice-free texts get a null license and
     coverage 0; repeated rows and null ids are kept; other columns are ignored.
     """
     small_batches(docs.sparkSession)
-    text = F.when(F.col("text").rlike(HINT), F.col("text"))
-    schema = "doc_id long, license string, coverage double, first_word long, last_word long, n_notices int"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).mapInPandas(_scan, schema)
+    schema = "doc_id long, license string, coverage double, first_word long, last_word long, n_notices int, notices array<struct<license: string, coverage: double, first_word: long, last_word: long>>"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_scan, schema)

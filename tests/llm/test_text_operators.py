@@ -224,3 +224,25 @@ def test_licenses(spark):
     assert {i: r.license for i, r in got.items()} == {1: "MIT", 2: "Apache-2.0", 3: None, 4: None, 5: None, 6: "GPL-3.0", None: "CC-BY-NC-4.0", 7: "GPL-3.0"}
     assert (got[6].coverage, got[6].first_word) == (1.0, 5000) and 0.8 <= got[7].coverage < 1
     assert licenses.scan_licenses(_docs(spark, [])).count() == 0
+
+
+def test_licenses_with_words_missing(spark):
+    rows, want = [], []
+    for name, text in licenses.TEMPLATES.items():
+        words = licenses._WORD.findall(text)
+        spare = len(words) - licenses._need(words)
+        for k in range(len(words) if spare else 0):
+            # any one word, and as many as may be missing from there on
+            for gone in ({k}, {(k + j) % len(words) for j in range(spare)}):
+                left = [w for j, w in enumerate(words) if j not in gone]
+                for joint, lead in ((" ", ""), ("\n", "ahead stand other lines\n")):
+                    rows.append((len(rows), lead + joint.join(left)))
+                    want.append((name, len(left) / len(words), len(lead.split())))
+    got = {r.doc_id: r for r in licenses.scan_licenses(_docs(spark, rows)).collect()}
+    for (i, _), (name, share, first) in zip(rows, want, strict=True):
+        found = [(n.coverage, n.first_word) for n in got[i].notices if n.license == name]
+        assert found == [(pytest.approx(share), first)], (rows[i], got[i])
+    two = "Licensed under CC BY and x Licensed under CC BY 4.0 end"
+    assert [(n.license, n.first_word) for n in licenses.scan_licenses(_docs(spark, [(1, two)])).first().notices if n.license == "CC-BY-4.0"] == [("CC-BY-4.0", 0), ("CC-BY-4.0", 6)]
+    whole = "dedicated to the public\ndomain under CC0 1.0 Universal"
+    assert licenses.scan_licenses(_docs(spark, [(1, whole)])).first().coverage == 1.0
