@@ -15,8 +15,15 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 DEFAULT_KEY = "rotate-me"
 
+#: Characters of a bank account number, by country.
+ACCOUNTS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_ACCOUNT = "|".join(rf"(?:{names.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{size - 4}}}" for size, names in ACCOUNTS.items())
 #: Shapes of candidates, tried in this order at each place.
-PATTERNS = (
+_SHAPES = (
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
     r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])",
@@ -24,14 +31,23 @@ PATTERNS = (
     r"(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?!\.?[0-9])",
     r"(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/])",
     r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    r"(?<![0-9+.])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+    r"(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])",
     r"(?<![0-9A-Za-z])[0-9a-f]{32,64}(?![0-9A-Za-z])",
+)
+PATTERNS = (
+    *_SHAPES[:7],
+    rf"(?<![A-Za-z0-9])(?:{_ACCOUNT})(?![A-Za-z0-9])",
+    r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    # a run of digit groups, up to a group that begins another shape
+    rf"(?<![0-9+.])(?=[0-9](?:[ -]?[0-9]){{12}})(?!{'|'.join(_SHAPES)})[0-9]++(?:[ -](?!{'|'.join(_SHAPES)})[0-9]++)*+",
+    _SHAPES[8],
     r"(?<![0-9A-Za-z])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])",
     r"(?<![0-9+])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])",
-    r"(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])",
+    _SHAPES[7],
 )
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS)
+#: How card numbers are grouped, and how they begin.
+USUAL = r"^(?=[3-6]|2[2-7])([0-9]{13,19}|[0-9]{4}([ -][0-9]{4}){3}([ -][0-9]{1,3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})[ -]?$"
 #: A text without one of these holds no candidate.
 HINT = r"[0-9][0-9.)(/ -]{0,3}[0-9]|@|[0-9a-f]{32}"
 
@@ -63,6 +79,14 @@ def _by_class(text: str, key: str) -> str:
     return f"array_join(zip_with({_feistel(values, bases, key)}, {own}, (v, c) -> chr({first} + v)), '')"
 
 
+def _one(char: str, key: str) -> str:
+    """One letter or digit, moved within its class; a Feistel network needs two places."""
+    first = f"ascii(CASE WHEN {char} rlike '[0-9]' THEN '0' WHEN {char} rlike '[a-z]' THEN 'a' ELSE 'A' END)"
+    base = f"if({char} rlike '[0-9]', 10, 26)"
+    shift = f"1 + cast(conv(substring(sha2({_q(key)}, 256), 1, 10), 16, 10) as bigint) % ({base} - 1)"
+    return f"chr({first} + (ascii({char}) - {first} + {shift}) % {base})"
+
+
 def _digits(text: str, key: str) -> str:
     values = f"transform({_chars(text)}, c -> cast(c as bigint))"
     return f"array_join({_feistel(values, f'transform({_chars(text)}, c -> 10L)', key)}, '')"
@@ -94,13 +118,12 @@ def _date(day: str, pattern: str, match: str, key: str) -> str:
 
 def _pseudonym(m: str, key: str) -> str:
     """SQL for the pseudonym of match ``m``; the match itself if it is not valid."""
-    plain = f"regexp_replace({m}, '[ -]', '')"
     number = f"regexp_replace({m}, '[^0-9]', '')"
     cases = []
     # the domain of an address stays; dots and signs of its name stay in place
     name = f"substring_index({m}, '@', 1)"
     bare = f"regexp_replace({name}, '[^0-9A-Za-z]', '')"
-    cases.append((f"contains({m}, '@')", f"concat(if(length({bare}) < 2, {name}, {_refill(name, _by_class(bare, key + ':mail'))}), substring({m}, instr({m}, '@')))"))
+    cases.append((f"contains({m}, '@')", f"concat(CASE length({bare}) WHEN 0 THEN {name} WHEN 1 THEN {_refill(name, _one(bare, key + ':mail'))} ELSE {_refill(name, _by_class(bare, key + ':mail'))} END, substring({m}, instr({m}, '@')))"))
     octets = f"transform(split({m}, '[.]'), o -> cast(o as bigint))"
     valid = f"{m} rlike '^[0-9]+([.][0-9]+){{3}}$' and forall(split({m}, '[.]'), o -> length(o) <= 3 and cast(o as int) < 256)"
     cases.append((valid, f"array_join({_feistel(octets, 'array(256L, 256L, 256L, 256L)', key + ':ip')}, '.')"))
@@ -111,15 +134,16 @@ def _pseudonym(m: str, key: str) -> str:
     valid = f"{m} rlike '^[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}$' and {area} between 1 and 899 and {area} <> 666 and {group} > 0 and {serial} > 0"
     new = _feistel(f"array({area} - if({area} > 666, 2, 1), {group} - 1, {serial} - 1)", "array(898L, 99L, 9999L)", key + ":ssn")
     cases.append((valid, f"transform(array({new}), v -> format_string('%03d-%02d-%04d', v[0] + if(v[0] >= 665, 2, 1), v[1] + 1, v[2] + 1))[0]"))
-    body = f"substring({plain}, 5)"
+    # the longest start of the match, up to a blank, that is an account number
+    starts = f"transform(sequence(1, size(split({m}, ' '))), n -> array_join(slice(split({m}, ' '), 1, n), ' '))"
+    whole = "regexp_replace(concat(substring(x, 5), substring(x, 1, 4)), ' ', '')"
+    account = f"filter({starts}, y -> length(y) > 11 and transform(array(replace(y, ' ', '')), x -> {_mod97(whole)})[0] = 1)"
+    body = "substring(replace(y, ' ', ''), 5)"
     moved = _by_class(body, key + ":iban")
-    check = f"lpad(cast(98 - {_mod97(f'concat(b, substring({plain}, 1, 2), {_q("00")})')} as string), 2, '0')"
-    iban = f"transform(array({moved}), b -> concat(substring({plain}, 1, 2), {check}, b))[0]"
-    whole = f"concat({body}, substring({plain}, 1, 4))"
-    cases.append((f"{m} rlike '^[A-Z]{{2}}[0-9]{{2}}' and {_mod97(whole)} = 1", f"transform(array({iban}), n -> {_refill(m, 'n')})[0]"))
-    inner = _digits(f"substring({plain}, 2, length({plain}) - 2)", key + ":card")
-    card = f"transform(array(concat(substring({plain}, 1, 1), {inner})), p -> concat(p, cast((10 - {_luhn('concat(p, 0)')} % 10) % 10 as string)))[0]"
-    cases.append((f"{m} rlike '^[0-9][0-9 -]+$' and length({plain}) between 13 and 19 and {_luhn(plain)} % 10 = 0", f"transform(array({card}), n -> {_refill(m, 'n')})[0]"))
+    check = f"lpad(cast(98 - {_mod97(f'concat(b, substring(y, 1, 2), {_q("00")})')} as string), 2, '0')"
+    iban = f"transform(array({moved}), b -> concat(substring(y, 1, 2), {check}, b))[0]"
+    put = f"concat(transform(array({iban}), n -> {_refill('y', 'n')})[0], substring({m}, length(y) + 1))"
+    cases.append((f"{m} rlike '^[A-Z]{{2}}[0-9]{{2}}'", f"coalesce(transform(slice(reverse({account}), 1, 1), y -> {put})[0], {m})"))
     nibbles = f"transform({_chars(m)}, c -> cast(conv(c, 16, 10) as bigint))"
     hexed = f"array_join(transform({_feistel(nibbles, f'transform({_chars(m)}, c -> 16L)', key + ':hex')}, v -> lower(hex(v))), '')"
     cases.append((f"{m} rlike '^[0-9a-f]{{32,64}}$'", hexed))
@@ -132,25 +156,55 @@ def _pseudonym(m: str, key: str) -> str:
     return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in cases) + f" ELSE {m} END"
 
 
+def _cards(m: str, key: str) -> str:
+    """SQL for (t, n): a run of digit groups with its card numbers replaced, and their number.
+
+    At each group the longest card number of whole groups is taken, but none
+    that reaches into one written as cards are (``USUAL``).
+    """
+    number = "regexp_replace(x, '[^0-9]', '')"
+    inner = _digits("substring(d, 2, length(d) - 2)", key + ":card")
+    card = f"transform(array(concat(substring(d, 1, 1), {inner})), p -> concat(p, cast((10 - {_luhn('concat(p, 0)')} % 10) % 10 as string)))[0]"
+    new = f"transform(array({number}), d -> {card})[0]"
+    most = "least(19, coalesce(get(filter(u, v -> v > i), 0), size(g) + 1) - i)"
+    valid = f"transform(array({number}), d -> length(d) between 13 and 19 and {_luhn('d')} % 10 = 0)[0]"
+    at = "transform(sequence(1, {most}), l -> array_join(slice(g, i, l), ''))"
+    good = f"transform({at.format(most=most)}, x -> {valid})"
+    longest = f"cast(array_position(reverse({good}), true) as int)"
+    size = f"if({longest} = 0, 0, {most} - {longest} + 1)"
+    put = f"transform(array(array_join(slice(g, i, l), '')), x -> transform(array({new}), n -> {_refill('x', 'n')})[0])[0]"
+    found = f"named_struct('t', concat(s.t, {put}), 'n', s.n + 1, 'i', i + l)"
+    none = "named_struct('t', concat(s.t, g[i - 1]), 'n', s.n, 'i', i + 1)"
+    step = f"if(i < s.i, s, transform(array({size}), l -> if(l > 0, {found}, {none}))[0])"
+    start = "named_struct('t', '', 'n', 0, 'i', 1)"
+    groups = f"regexp_extract_all({m}, '[0-9]+[ -]?', 0)"
+    usual = f"filter(sequence(1, size(g)), i -> exists({at.format(most='least(5, size(g) - i + 1)')}, x -> x rlike {_q(USUAL)} and {valid}))"
+    return f"transform(array({groups}), g -> transform(array({usual}), u -> aggregate(sequence(1, size(g)), {start}, (s, i) -> {step}, s -> named_struct('t', s.t, 'n', s.n)))[0])[0]"
+
+
 def pseudonymize(docs: DataFrame, *, key: str = DEFAULT_KEY, text: str = "text", count: str | None = None) -> DataFrame:
     """docs with every validated number, date, address or secret in ``text`` replaced.
 
     Card numbers keep their first digit and a right Luhn digit, bank account
     numbers their country and right check digits, dates stay valid days,
     network addresses valid octets, telephone numbers their country code and
-    punctuation, mail addresses their domain. Numbers that fail validation stay.
+    punctuation, mail addresses their domain. Numbers that fail validation stay,
+    as do those that only stand beside a valid one.
     ``count`` names a column for the number of values replaced. Defined cases:
     null stays null (count 0), empty stays empty, repeated rows are treated
     alike, all other columns pass through.
     """
     found, gaps, new = "_pii_found", "_pii_gaps", "_pii_new"
     held = F.col(text).rlike(HINT)
+    run = "m rlike '^[0-9][0-9 -]*$' and not m rlike '^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{32,64})$'"
+    other = f"transform(array({_pseudonym('m', key)}), t -> named_struct('t', t, 'n', if(t <> m, 1, 0)))[0]"
+    new_one = f"if({run}, {_cards('m', key)}, {other})"
     rows = docs.withColumn(found, F.when(held, F.expr(f"regexp_extract_all(`{text}`, {_q(PATTERN)}, 0)")))
-    rows = rows.withColumn(new, F.expr(f"transform({found}, m -> {_pseudonym('m', key)})"))
+    rows = rows.withColumn(new, F.expr(f"transform({found}, m -> {new_one})"))
     some = F.coalesce(F.size(found), F.lit(0)) > 0
     rows = rows.withColumn(gaps, F.when(some, F.expr(f"split(`{text}`, {_q(PATTERN)}, -1)")))
-    joined = F.expr(f"array_join(transform({gaps}, (g, i) -> if(i < size({new}), concat(g, {new}[i]), g)), '')")
+    joined = F.expr(f"array_join(transform({gaps}, (g, i) -> if(i < size({new}), concat(g, {new}[i].t), g)), '')")
     out = {text: F.when(some, joined).otherwise(F.col(text))}
     if count:
-        out[count] = F.when(some, F.expr(f"size(filter({new}, (n, i) -> n <> {found}[i]))")).otherwise(0).cast("long")
+        out[count] = F.when(some, F.expr(f"aggregate({new}, 0, (a, x) -> a + x.n)")).otherwise(0).cast("long")
     return rows.withColumns(out).drop(found, gaps, new)

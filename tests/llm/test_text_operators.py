@@ -195,6 +195,23 @@ def test_pii(spark):
     assert pii.pseudonymize(_docs(spark, [])).count() == 0
 
 
+def test_pii_beside_other_numbers(spark):
+    card, bank = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332"
+    texts = [f"{card} 123", f"{card} 12/27", f"3 {card}", f"1 2 3 4 5 6 7 8 {card} 9", f"{card} {card}", f"{bank} EUR", f"{bank} USDT", f"{bank} {card}", f"{bank} {bank}",
+             f"{card} 12/31/1999", "7 2024-02-29 1200", "123-456-7890 1234", f"{card} 123-45-6789", "XX98", "j@firm.com", "7@firm.com", "4111111111111111"]
+    got = {r.doc_id: r for r in pii.pseudonymize(_docs(spark, list(enumerate(texts))), count="n").collect()}
+    for i, text in enumerate(texts):
+        new = got[i].text
+        assert len(new) == len(text) and card not in new and bank not in new and "12/31/1999" not in new and "2024-02-29" not in new and "123-45-6789" not in new, new
+    assert [got[i].n for i in (0, 4, 5, 7, 8, 9, 10, 11, 12, 14, 15)] == [1, 2, 1, 2, 2, 2, 1, 1, 2, 1, 1]
+    assert got[0].text.endswith(" 123") and got[1].text.endswith(" 12/27") and got[5].text.endswith(" EUR") and got[3].text.startswith("1 2 3 4 5 6 7 8 ")
+    assert re.fullmatch("[a-z]@firm.com", got[14].text) and got[14].text[0] != "j" and re.fullmatch("[0-9]@firm.com", got[15].text)
+    # equal values keep equal pseudonyms
+    plain = got[16].text
+    assert {got[i].text.replace(" ", "")[:16] for i in (0, 1, 4)} == {plain}
+    assert pii.pseudonymize(_docs(spark, [(1, "7" * 20000 + " " + card), (2, "12 " * 2000 + card)]), count="n").agg(F.min("n")).first()[0] >= 1
+
+
 def test_mixing(spark):
     rng = random.Random(6)
     words = {"en": "the of and with this that", "de": "der und die nicht schön für", "fr": "la les été que çà dès", "es": "el los señor canción que así"}
