@@ -1,7 +1,8 @@
 """Benchmark decontamination by spaced seeds.
 
-Each mask looks at 7 of 11 consecutive terms and ignores the rest, so a passage
-with substituted words still hashes alike under some mask. Hashes of all
+Each mask looks at 7 of up to 11 consecutive terms and ignores the rest. Under
+some mask and shift a passage of 11 terms or more still hashes alike when the
+verifier accepts its substituted words; shorter items have masks of their own. Hashes of all
 documents meet those of the benchmark; around every hit the two are laid side
 by side and a stretch of ``WORDS`` terms (or the whole item, if shorter) with at
 least ``SHARE`` of them equal confirms the overlap.
@@ -10,6 +11,7 @@ least ``SHARE`` of them equal confirms the overlap.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 from math import ceil
 
 import numpy as np
@@ -23,8 +25,10 @@ from pelagia.llm.words import mix, small_batches, stream, word_table
 
 WORDS, SHARE, LEAST = 13, 0.8, 5
 #: 1 marks a term that counts.
-MASKS = ("11101101001", "11010011011", "10110111001", "11111110000")
+MASKS = ("11110111", "110011111", "1111010011", "1101110101", "1101001111", "101111011")
 SPAN = 11
+#: Items under so many terms must occur unchanged.
+TOLERANT = 7
 #: Benchmark terms sent to the tasks at a time; a larger benchmark goes in blocks.
 BLOCK_TERMS = 200_000
 _BITS = 22
@@ -34,11 +38,26 @@ def _table(texts: pa.Array):
     return word_table(pc.utf8_lower(texts.fill_null("")), terms=True)
 
 
-def _seeds(h: np.ndarray, mask: int) -> np.ndarray:
-    on = [i for i, c in enumerate(MASKS[mask]) if c == "1"]
-    n = len(h) - SPAN + 1
-    mult = stream(SPAN, 50 + mask)
-    out = np.zeros(max(n, 0), np.uint64)
+def need(size: int) -> int:
+    """Equal terms that confirm an overlap of ``size`` terms."""
+    return size if size < TOLERANT else ceil(round(SHARE * size, 9))
+
+
+def masks(size: int) -> tuple[str, ...]:
+    """Masks that find every overlap the verifier accepts with items of ``size`` terms."""
+    if size >= SPAN:
+        return MASKS
+    # each substituted term spoils one block; one mask for each choice of spoiled blocks
+    spare = size - need(size)
+    blocks = [len(b) for b in np.array_split(np.arange(size), 2 * spare + 1)]
+    return tuple("".join("01"[k not in gone] * n for k, n in enumerate(blocks)) for gone in combinations(range(len(blocks)), spare))
+
+
+def _seeds(h: np.ndarray, mask: str) -> np.ndarray:
+    on = [i for i, c in enumerate(mask) if c == "1"]
+    n = max(len(h) - len(mask) + 1, 0)
+    mult = stream(len(mask), 50 + int(mask, 2))
+    out = np.zeros(n, np.uint64)
     for i in on:
         out += h[i : i + n] * mult[i]
     return mix(out)
@@ -51,20 +70,11 @@ class _Index:
         t = _table(pa.array([text for _, text in items], pa.string()))
         self.ids = [i for i, _ in items]
         self.terms = [t.hash[a:z] for a, z in zip(t.first[:-1], t.first[1:], strict=True)]
-        self.seeds = []
-        for m in range(len(MASKS)):
-            got = [(s, n, p) for n, h in enumerate(self.terms) if len(h) >= SPAN for p, s in enumerate(_seeds(h, m))]
-            self.seeds.append(self._sorted(got))
-        #: items shorter than a mask are looked up whole, by length
-        self.short = {}
-        for size in sorted({len(h) for h in self.terms if LEAST <= len(h) < SPAN}):
-            self.short[size] = self._sorted([(self._whole(h)[0], n, 0) for n, h in enumerate(self.terms) if len(h) == size])
-
-    @staticmethod
-    def _whole(h: np.ndarray, size: int | None = None) -> np.ndarray:
-        size = size or len(h)
-        n, mult = len(h) - size + 1, stream(size, 90)
-        return mix(sum((h[i : i + n] * mult[i] for i in range(size)), np.zeros(max(n, 0), np.uint64)))
+        by_mask: dict[str, list[int]] = {}
+        for n, h in enumerate(self.terms):
+            for mask in masks(len(h)) if len(h) >= LEAST else ():
+                by_mask.setdefault(mask, []).append(n)
+        self.seeds = [(mask, self._sorted([(s, n, p) for n in own for p, s in enumerate(_seeds(self.terms[n], mask))])) for mask, own in sorted(by_mask.items())]
 
     @staticmethod
     def _sorted(got: list[tuple[int, int, int]]):
@@ -76,11 +86,8 @@ class _Index:
 
     def hits(self, h: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(place in h, item, place in the item)."""
-        looked = [(_seeds(h, m), s) for m, s in enumerate(self.seeds)] if len(h) >= SPAN else []
-        looked += [(self._whole(h, size), s) for size, s in self.short.items() if len(h) >= size]
-        for seeds, (hashes, item, place, bits) in looked:
-            if not len(hashes):
-                continue
+        for mask, (hashes, item, place, bits) in self.seeds:
+            seeds = _seeds(h, mask)
             for p in np.flatnonzero(bits[(seeds >> np.uint64(64 - _BITS)).astype(np.int64)]):
                 a, z = np.searchsorted(hashes, seeds[p]), np.searchsorted(hashes, seeds[p], side="right")
                 for k in range(a, z):
@@ -96,8 +103,7 @@ def overlap(own: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int] |
         return None
     same = (own[a:z] == item[a - shift : z - shift]).astype(np.int64)
     total = np.concatenate(([0], np.cumsum(same)))
-    need = len(item) if len(item) < SPAN else ceil(SHARE * size)
-    good = np.flatnonzero(total[size:] - total[:-size] >= need)
+    good = np.flatnonzero(total[size:] - total[:-size] >= need(size))
     return (int(a + good[0]), int(a + good[-1] + size)) if len(good) else None
 
 
@@ -141,8 +147,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     item_id is the item of the longest confirmed overlap (then the smallest id).
     Defined cases: null and empty texts are clean; items under ``LEAST`` terms
-    are too common to search and match nothing; items under 11 terms must occur
-    whole and unchanged; repeated rows and null ids are kept, each judged by its
+    are too common to search and match nothing; items under ``TOLERANT`` terms
+    must occur whole and unchanged, those up to ``WORDS`` whole; repeated rows and null ids are kept, each judged by its
     text; other columns are ignored; an empty benchmark leaves all clean.
     """
     small_batches(docs.sparkSession)

@@ -174,6 +174,27 @@ def test_decontamination(spark):
     assert parts == got
 
 
+def test_seeds_reach_all_that_is_verified():
+    from itertools import combinations
+
+    for size in range(decontam.LEAST, decontam.WORDS + 1):
+        item = [f"t{i}" for i in range(size)]
+        index = decontam._Index([(3, " ".join(item))])
+        for k in range(size - decontam.need(size) + 1):
+            for gone in combinations(range(size), k):
+                text = ["n1", "n2", *("zz" if i in gone else w for i, w in enumerate(item)), "n3"]
+                own = decontam._table(__import__("pyarrow").array([" ".join(text)])).hash
+                shifts = {p - q for p, _, q in index.hits(own)}
+                assert 2 in shifts and decontam.overlap(own, index.terms[0], 2), (size, gone)
+    # a longer item of which only 13 terms occur, two of them substituted
+    item = [f"t{i}" for i in range(30)]
+    index = decontam._Index([(3, " ".join(item))])
+    for gone in combinations(range(8, 21), 2):
+        text = ["zz" if i in gone else w for i, w in enumerate(item) if 8 <= i < 21]
+        own = decontam._table(__import__("pyarrow").array([" ".join(["n", *text, "n"])])).hash
+        assert -7 in {p - q for p, _, q in index.hits(own)}
+
+
 def test_pii(spark):
     rows = [(1, "card 4111 1111 1111 1111, 4111111111111111; bad 4111111111111112"), (2, "on 2024-02-29 or 2023-02-30 and 31.12.1999"), (3, "from 10.0.0.255. not 300.1.1.1, ssn 123-45-6789 not 666-45-6789"),
             (4, "me.too@x.org or +1 (743) 555-3824"), (5, "DE89 3704 0044 0532 0130 00"), (6, None), (7, ""), (8, "plain words"), (8, "plain words"), (None, "4111111111111111")]
