@@ -26,6 +26,8 @@ STATES = tuple((role, first) for role in ROLES for first in (True, False))
 MARKERS = {"system": ("system", "instructions"), "user": ("user", "human", "q", "question", "me"), "assistant": ("assistant", "ai", "bot", "a", "answer")}
 _ROLE_OF = {m: role for role, marks in MARKERS.items() for m in marks}
 _MARK = re.compile(r"^\s*(?:[#*>\[<|]+\s*)?([A-Za-z]+)\s*(?:[\]>|*]+)?\s*:\s?", re.ASCII)
+#: Characters of a blank line, here and in SQL.
+BLANK = " \t\r\f\v"
 #: Turns of one conversation that make one transcript.
 PART = 256
 
@@ -47,7 +49,7 @@ def _lines(text: str) -> list[tuple[str, bool]]:
     """Non-blank lines with whether a blank line stands before."""
     out, blank = [], True
     for line in text.split("\n"):
-        if line.strip():
+        if line.strip(BLANK):
             out.append((line, blank))
             blank = False
         else:
@@ -90,15 +92,21 @@ class Model:
 
 
 def parse(text: str, model: Model) -> list[tuple[str, str]]:
-    """(role, text) turns of one transcript; markers are taken off first lines."""
+    """(role, text) turns of one transcript; markers are taken off first lines, blank lines between turns belong to none."""
     lines = _lines(text)
+    states = iter(model.viterbi([features(*x) for x in lines]))
     turns: list[tuple[str, list[str]]] = []
-    for (line, _), state in zip(lines, model.viterbi([features(*x) for x in lines]), strict=True):
-        role, first = STATES[state]
+    gap: list[str] = []
+    for line in text.split("\n"):
+        if not line.strip(BLANK):
+            gap.append(line)
+            continue
+        role, first = STATES[next(states)]
         if first or not turns or turns[-1][0] != role:
             turns.append((role, []))
-            line = marker(line)[1]
-        turns[-1][1].append(line.rstrip())
+            line, gap = marker(line)[1], []
+        turns[-1][1].extend([*gap, line])
+        gap = []
     return [(role, "\n".join(own)) for role, own in turns]
 
 
@@ -108,21 +116,26 @@ def render(turns: list[tuple[str, str]]) -> str:
 
 
 def fit(transcripts: DataFrame) -> Model:
-    """Counts over all transcripts (transcript, roles array, sizes array of lines per turn)."""
+    """Counts over all transcripts (transcript, roles array, sizes array of lines per turn,
+    new array: false for further copies of a row, which teach nothing)."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             tally: dict[tuple[int, int, str], int] = {}
-            for text, roles, sizes in zip(b["transcript"], b["roles"], b["sizes"], strict=True):
-                states = [STATES.index((r, k == 0)) for r, n in zip(roles, sizes, strict=True) for k in range(n)]
-                for i, (s, line) in enumerate(zip(states, _lines(text), strict=True)):
-                    keys = [(-1 if i == 0 else states[i - 1], s, ""), *((s, s, f) for f in features(*line))]
+            for text, roles, sizes, new in zip(b["transcript"], b["roles"], b["sizes"], b["new"], strict=True):
+                states = [(STATES.index((r, k == 0)), once) for r, n, once in zip(roles, sizes, new, strict=True) for k in range(n)]
+                before = -1
+                for (s, once), line in zip(states, _lines(text), strict=True):
+                    if not once:
+                        continue
+                    keys = [(before, s, ""), *((s, s, f) for f in features(*line))]
+                    before = s
                     for key in keys:
                         tally[key] = tally.get(key, 0) + 1
             yield pd.DataFrame([(*k, n) for k, n in tally.items()], columns=["a", "b", "f", "n"])
 
     # at most states * (states + features) rows
-    rows = transcripts.select("transcript", "roles", "sizes").mapInPandas(count, "a int, b int, f string, n long").groupBy("a", "b", "f").agg(F.sum("n").alias("n")).collect()
+    rows = transcripts.select("transcript", "roles", "sizes", "new").mapInPandas(count, "a int, b int, f string, n long").groupBy("a", "b", "f").agg(F.sum("n").alias("n")).collect()
     starts = {r.b: r.n for r in rows if r.a < 0}
     moves = {(r.a, r.b): r.n for r in rows if r.a >= 0 and not r.f}
     return Model(starts, moves, {(r.b, r.f): r.n for r in rows if r.f})
@@ -132,32 +145,35 @@ def transcripts(turns: DataFrame) -> DataFrame:
     """Raw transcripts from (conv_id, turn, role, text), in four marker styles.
 
     A conversation is cut every ``PART`` turns, so no row grows with it; rows
-    repeated under one turn follow each other by role and text, and more than
-    ``PART`` of them go to further parts. Turns without a non-blank line, with a
+    repeated under one turn follow each other by role and text, each as often as
+    it is given, and more than ``PART`` of them go to further parts. Leading
+    blank lines and trailing blanks of a text go; all else of it stays. Turns without a non-blank line, with a
     null text, or of an unknown role are no turns. One style leaves the user's
     turns unmarked after the first.
     """
-    text = F.trim(F.regexp_replace("text", r"\s*\n\s*", "\n"), F.lit(" \t\r\n"))
+    # blank lines and indentation inside a turn stay
+    text = F.rtrim(F.regexp_replace("text", r"^(?:[ \t\r\f\x0B]*+\n)*+", ""), F.lit(BLANK + "\n"))
     rows = turns.select("conv_id", "turn", "role", text.alias("text")).where(F.col("role").isin(*ROLES) & (F.col("text") != ""))
-    # equal rows are counted, not gathered: a turn can repeat without bound
+    # equal rows are counted until they have their parts: a turn can repeat without bound
     rows = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("times"))
     rows = rows.withColumn("part", F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / PART))
-    many = rows.groupBy(F.col("conv_id").alias("c"), F.col("part").alias("p")).agg(F.count("*").alias("own"))
+    many = rows.groupBy(F.col("conv_id").alias("c"), F.col("part").alias("p")).agg(F.sum("times").alias("own"))
     rows = rows.join(many, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")))
-    rows = rows.withColumn("spill", F.when(F.col("own") > PART, F.pmod(F.xxhash64("turn", "role", "text"), F.ceil(F.col("own") / PART))).otherwise(0))
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
+    rows = rows.withColumn("spill", F.when(F.col("own") > PART, F.pmod(F.xxhash64("turn", "role", "text", "copy"), F.ceil(F.col("own") / PART))).otherwise(0))
     style = F.pmod(F.xxhash64(F.col("conv_id").cast("string")), F.lit(4))
     named = F.create_map(*[F.lit(x) for k, names in enumerate((("System: ", "User: ", "Assistant: "), ("System: ", "Human: ", "AI: "), ("## Instructions: ", "Q: ", "A: "), ("System: ", "User: ", "Assistant: "))) for r, m in zip(ROLES, names, strict=True) for x in (f"{k}{r}", m)])
     bare = (F.col("style") == 3) & (F.col("role") == "user") & (F.col("turn") > 1)
     rows = rows.withColumn("style", style).withColumn("mark", F.when(bare, "").otherwise(named[F.concat(F.col("style").cast("string"), F.col("role"))]))
-    line = F.struct("turn", "role", "text", "mark")
+    line = F.struct("turn", "role", "text", "copy", "mark")
     groups = rows.groupBy("conv_id", "part", "spill").agg(F.sort_array(F.collect_list(line)).alias("t"), F.first("style").alias("style"))
     gap = F.when(F.col("style") == 1, "\n").otherwise("\n\n")
     return groups.select(
         "conv_id", "part", "spill",
-        F.array_join(F.transform("t", lambda x: F.concat(x["mark"], x["text"])), "\u0000").alias("joined"), gap.alias("gap"),
-        F.transform("t", lambda x: x["role"]).alias("roles"),
-        F.transform("t", lambda x: F.size(F.split(x["text"], "\n"))).alias("sizes"),
-    ).select("conv_id", "part", "spill", F.expr("replace(joined, '\\0', gap)").alias("transcript"), "roles", "sizes")
+        F.transform("t", lambda x: F.concat(x["mark"], x["text"])).alias("joined"), gap.alias("gap"),
+        F.transform("t", lambda x: x["role"]).alias("roles"), F.transform("t", lambda x: x["copy"] == 1).alias("new"),
+        F.transform("t", lambda x: F.size(F.filter(F.split(x["text"], "\n"), lambda y: y.rlike(r"[^ \t\r\f\x0B]")))).alias("sizes"),
+    ).select("conv_id", "part", "spill", F.expr("array_join(joined, gap)").alias("transcript"), "roles", "sizes", "new")
 
 
 def format_chats(raw: DataFrame, model: Model, columns: list[str]) -> DataFrame:

@@ -47,6 +47,22 @@ def test_chat(spark):
     assert chat.parse("", chat.Model({}, {}, {})) == []
 
 
+def test_chat_keeps_every_row_and_line(spark):
+    code = "look:\n\ndef f():\n    if x:\n\n        return 1\n\treturn 2"
+    rows = [(c, t, ("user", "assistant")[t % 2], f"turn {t} of {c}") for c in range(30) for t in range(4)]
+    rows += [(50, 0, "user", "again")] * 3 + [(50, 1, "assistant", "yes")]
+    rows += [(51, None, "user", "same")] * 600
+    rows += [(52, 0, "user", "\n \nshow me"), (52, 1, "assistant", code + " \n\n"), (53, 0, "user", "\u00a0"), (53, 1, "assistant", "nul \0 here")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {}
+    for r in chat.recover_turns(turns).collect():
+        got.setdefault(r.conv_id, []).append(r)
+    assert got[50][0].n_given == got[50][0].n_turns == 4 and got[50][0].rendered.count(">\nagain\n<|end|>") == 3
+    assert sum(r.n_given for r in got[51]) == 600 and len(got[51]) == 3 and sum(r.rendered.count("same") for r in got[51]) == 600
+    assert got[52][0].rendered == chat.render([("user", "show me"), ("assistant", code)])
+    assert got[53][0].rendered == chat.render([("user", "\u00a0"), ("assistant", "nul \0 here")])
+
+
 def test_viterbi_brute_force():
     from itertools import product
 
