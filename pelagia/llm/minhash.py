@@ -10,10 +10,12 @@ posting key. Sets that are alike share at least ``T`` of their ``K`` keys, so
   counted for pairs that the prefix brought together;
 * pairs with ``T`` or more collisions are confirmed on the full shingle sets.
 
-First each key's members are compared with its smallest member; components are
-formed; then only keys whose members still lie in several components are
-compared further, in blocks, and only across components. No link between two
-components is skipped, and links inside one component are never listed.
+First each key's members are compared with ``HEADS`` of them, then, round after
+round, the members outside a key's largest component with further ``HEADS`` of
+that component: rows stay in proportion to the members, and nearly all of a
+group is one component soon. Only what no round could join is compared with
+all others of its key, in blocks and across components only. No link between
+two components is skipped, and links inside one component are never listed.
 
 With K = 64 and T = 32 a pair of similarity exactly 0.75 is missed with
 probability below 1e-4, one of 0.8 with probability below 1e-7.
@@ -26,7 +28,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pelagia.llm.components import components
@@ -35,7 +37,11 @@ from pelagia.llm.words import WordTable, gram_hashes, mix, small_batches, stream
 
 K, T = 64, 32
 SHINGLE = 5
-BLOCK = 128
+#: Members of a key that its other members are compared with in one round.
+HEADS = 4
+#: Pairs with one head that meet in one task; a head with more is sent to several.
+SPREAD = 256
+BLOCK = 1024
 #: Bits of the bitmap that rules pairs out before their full sets are sent.
 BITS = 2048
 _MULT = stream(K, 11)[:, None]
@@ -69,8 +75,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # a column at a time keeps the working set of one text small
             tokens.append(_tokens((s * _MULT).min(1)) if len(s) else None)
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(tokens, pa.list_(pa.int64()))],
-            ["doc_id", "n_shingles", "set_key", "tokens"],
+            [b.column("doc_id").cast(pa.int64()), b.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(tokens, pa.list_(pa.int64()))],
+            ["doc_id", "text_hash", "n_shingles", "set_key", "tokens"],
         )
 
 
@@ -104,7 +110,7 @@ def linked(x: np.ndarray, y: np.ndarray) -> bool:
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        x, y = b.column("a_own").to_pylist(), b.column("b_own").to_pylist()
+        x, y = b.column("x").to_pylist(), b.column("y").to_pylist()
         keep = [linked(np.frombuffer(i, np.uint64), np.frombuffer(j, np.uint64)) for i, j in zip(x, y, strict=True)]
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -185,13 +191,76 @@ def _by_block(work: Callable[[pa.Table, np.ndarray], pa.Table]) -> Callable[[Ite
     return run
 
 
-def _across(post: DataFrame, label: DataFrame, cand: DataFrame) -> DataFrame:
-    """Links between components, for confirmed links of their members that meet under one key."""
+def _linked_pairs(pairs: DataFrame, cand: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes that are links. ``a`` may be in very many pairs: it goes to as many tasks as they need."""
+    fan = pairs.groupBy("a").agg(F.ceil(F.count("*") / SPREAD).cast("long").alias("n"))
+    pairs = pairs.join(fan, "a").select("a", "b", F.pmod(F.xxhash64("b"), "n").alias("part"))
+    spread = cand.join(fan, F.col("node") == F.col("a")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+
+    def beside(rows: DataFrame, column: str) -> DataFrame:
+        x = spread.select("a", "part", F.col(column).alias("x"))
+        return rows.join(x, ["a", "part"]).join(cand.select(F.col("node").alias("b"), F.col(column).alias("y")), "b")
+
+    # full sets go only to pairs with enough collisions
+    alike = beside(pairs, "tokens").where(F.expr(f"size(array_intersect(x, y)) >= {T}")).select("a", "b", "part")
+    return beside(alike, "own").select("a", "b", "x", "y").mapInArrow(_confirm, "a long, b long")
+
+
+def _heads(where: Column, turn: int) -> Column:
+    """``HEADS`` nodes of a group, others each turn; every key of one group of copies picks nearly the same."""
+    return F.array_compact(F.array(*(F.min_by(F.when(where, F.col("node")), F.when(where, F.xxhash64("node", F.lit(turn * HEADS + k)))) for k in range(HEADS))))
+
+
+def _at(post: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Posts with their component, and the keys whose posts are of several: (token, main component, size, n_ask outside it)."""
     at = post.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = at.groupBy("token", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("token").agg(
         F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.sum("n").alias("size"), (F.sum("n") - F.max("n")).alias("n_ask")
     ).where("n_ask > 0")
+    return at, main
+
+
+def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` after its components are joined by ``links`` between components."""
+    above = components(links).select(F.col("node").alias("component"), F.col("component").alias("above"))
+    known = label.join(above, "component", "left").select("node", F.coalesce("above", "component").alias("component"))
+    # a node alone until now has no label yet
+    return known.union(above.select("component", "above")).groupBy("node").agg(F.min("component").alias("component"))
+
+
+def _contracted(post: DataFrame, label: DataFrame, cand: DataFrame) -> DataFrame:
+    """``label`` after rounds of comparing the members outside each key's main component with heads inside it.
+
+    Ends when a round joins less than an eighth of the components that asked.
+    """
+    spark = post.sparkSession
+    turn, asked, joined = 1, 1, 1
+    while 8 * joined >= asked:
+        at, main = _at(post, label)
+        at = at.join(main.select("token", "main"), "token")
+        picked = at.groupBy("token").agg(_heads(F.col("component") == F.col("main"), turn).alias("heads"))
+        pairs = at.where("component <> main").join(picked, "token").select(F.explode("heads").alias("a"), F.col("node").alias("b")).distinct()
+        pairs = save(pairs)
+        links = save(_linked_pairs(pairs, cand))
+        ends = label.select(F.col("node").alias("a"), F.col("component").alias("x")), label.select(F.col("node").alias("b"), F.col("component").alias("y"))
+        joint = links.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
+        asked = pairs.join(ends[1], "b", "left").agg(F.count_distinct(F.coalesce("y", "b"))).first()[0]
+        joined = joint.agg(F.count_distinct("b")).first()[0]
+        if joined:
+            label = save(_merged(label, joint))
+        drop(pairs)
+        drop(links)
+        release(spark)
+        turn += 1
+        if not asked:
+            break
+    return label
+
+
+def _across(post: DataFrame, label: DataFrame, cand: DataFrame) -> DataFrame:
+    """Links between components, for confirmed links of their members that meet under one key."""
+    at, main = _at(post, label)
     # a block holds the askers of one part and the members of another: about 2 * BLOCK rows
     tall, wide = (F.ceil(F.col(c) / BLOCK).cast("long") for c in ("n_ask", "size"))
     upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
@@ -217,46 +286,50 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Returns doc_id, n_shingles, component_id, kept and class_id (smallest doc_id
     with the same shingle set). Defined cases: null or wordless text has no
     shingles, links with nothing and is kept; a null doc_id takes no part and
-    gets a null component; rows repeated under one doc_id share its component;
-    an empty table gives an empty result; further columns are ignored.
+    gets a null component; rows that share a doc_id are judged each by its own
+    text, so equal ones share a component and others may not; an empty table
+    gives an empty result; further columns are ignored.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = save(docs.mapInArrow(_sign, "doc_id long, n_shingles long, set_key binary, tokens array<bigint>"))
-    # equal sets are one node: their smallest doc_id
-    whole = signed.where("set_key is not null and doc_id is not null").groupBy("set_key")
-    node = whole.agg(F.min("doc_id").alias("node"))
-    heads = whole.agg(F.min("doc_id").alias("node"), F.first("tokens").alias("tokens"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    signed = save(docs.mapInArrow(_sign, "doc_id long, text_hash long, n_shingles long, set_key binary, tokens array<bigint>"))
+    # equal sets are one node, read from the text of its smallest doc_id
+    whole = signed.where("set_key is not null and doc_id is not null").groupBy(F.xxhash64("set_key").alias("node"))
+    least = F.min(F.struct("doc_id", "text_hash"))
+    node = whole.agg(F.min("doc_id").alias("class_id"))
+    heads = save(whole.agg(least.alias("least"), F.first("tokens").alias("tokens")))
     token = save(heads.select("node", F.explode("tokens").alias("token")))
     often = token.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     shared = token.join(often, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("keys")).where(F.size("keys") >= T)
     # keys of one set alone collide with nothing: the shared ones are the signature from here on
     posts = shared.select("node", F.expr(f"transform(slice(keys, 1, size(keys) - {T} + 1), k -> k.token)").alias("prefix"), F.col("keys.token").alias("tokens"))
-    held = docs.join(posts, F.col("doc_id") == F.col("node")).dropDuplicates(["doc_id"]).select("node", "prefix", "tokens", "text")
+    posts = posts.join(heads.select("node", "least.*"), "node")
+    held = docs.join(posts, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"]).select("node", "prefix", "tokens", "text")
     cand = save(held.mapInArrow(_sets, "node long, prefix array<bigint>, mask long, tokens array<bigint>, size long, sketch binary, own binary"))
     drop(token)
+    drop(heads)
     release(spark)
     post = cand.select("node", F.explode("prefix").alias("token"))
-    met = post.groupBy("token").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
-    post = save(post.join(met, "token").select("token", "node", "head"))
-    star = post.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    x, y = (cand.select(F.col("node").alias(k), F.col("tokens").alias(f"{k}_tokens")) for k in "ab")
-    alike = star.join(x, "a").join(y, "b").where(F.expr(f"size(array_intersect(a_tokens, b_tokens)) >= {T}")).select("a", "b")
-    x, y = (cand.select(F.col("node").alias(k), F.col("own").alias(f"{k}_own")) for k in "ab")
-    links = alike.join(x, "a").join(y, "b").mapInArrow(_confirm, "a long, b long")
-    label = components(links)
+    met = post.groupBy("token").agg(_heads(F.lit(True), 0).alias("heads"), F.count("*").alias("n")).where("n > 1")
+    star = save(post.join(met, "token").select(F.explode("heads").alias("a"), F.col("node").alias("b")).where("a <> b").distinct())
+    post = save(post.join(met.select("token"), "token").select("token", "node"))
+    label = save(components(_linked_pairs(star, cand)))
+    drop(star)
     release(spark)
-    more = _across(post.select("token", "node"), label, cand)
+    label = _contracted(post, label, cand)
+    more = _across(post, label, cand)
     drop(post)
     drop(cand)
-    named = node.join(label, "node", "left").select("set_key", F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component"))
     if not more.isEmpty():
-        above = components(more).select(F.col("node").alias("component"), F.col("component").alias("above"))
-        named = named.join(above, "component", "left").select("set_key", "class_id", F.coalesce("above", "component").alias("component"))
+        label = save(_merged(label, more))
     release(spark)
-    out = signed.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    grouped = label.join(node, "node")
+    lowest = grouped.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    named = node.join(grouped.join(lowest, "component").select("node", "component_id"), "node", "left")
+    out = signed.select("doc_id", "n_shingles", F.xxhash64("set_key").alias("node"), F.col("set_key").isNotNull().alias("some"))
+    out = out.join(named, (out["node"] == named["node"]) & F.col("some"), "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "class_id", "doc_id"))
     return out.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
