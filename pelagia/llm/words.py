@@ -123,7 +123,8 @@ def ids(column: pa.Array) -> np.ndarray:
     return np.array(column.to_pylist(), object)
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
+def small_batches(spark: SparkSession, rows: int = 512, size: str = "16m") -> None:
     """Bound what one Arrow batch of whole texts can hold in a Python worker."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
