@@ -93,6 +93,54 @@ def test_repeats_brute_force(spark):
     assert len(odd) == len(_corpus())
 
 
+def test_repeats_under_shared_and_null_ids(spark):
+    part = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    p, q, r = part("p", 30), part("q", 30), part("r", 30)
+    rows = [(1, q), (4, f"{part('a', 100)} {p}"), (4, f"{p} {part('b', 5)}"), (5, f"{part('x', 100)} {r} {r}"), (5, part("c", 5)), (8, f"{part('e', 300)} {q}"),
+            (None, q), (None, part("n", 40)), (9, p), (9, p)]
+    got = {}
+    for x in passages.remove_repeats(_docs(spark, rows)).collect():
+        got.setdefault(x.doc_id, []).append((x.n_words, x.n_removed))
+    assert sorted(got[4]) in ([(35, 0), (130, 30)], [(35, 30), (130, 0)])
+    assert sorted(got[5]) == [(5, 0), (160, 30)]
+    assert got[8] == [(330, 30)] and got[1] == [(30, 30)] and sorted(got[None]) == [(30, 0), (40, 0)] and got[9] == [(30, 30)] * 2
+
+
+def test_repeats_in_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(passages, "SHARD_BYTES", 2000)
+    monkeypatch.setattr(passages, "CHUNK", 50)
+    rng = random.Random(8)
+    shared = [" ".join(f"s{j}x{i}" for i in range(rng.randrange(20, 60))) for j in range(6)]
+    rows = []
+    for i in range(80):
+        parts = [" ".join(f"u{i}x{j}x{k}" for k in range(rng.randrange(30))) for j in range(4)]
+        words = " ".join(x for j in range(4) for x in (parts[j], rng.choice(shared))).split()
+        rows.append((i, " ".join(words[rng.randrange(15) :])))
+    seen, lost = {}, {}
+    for i, t in rows:
+        words, lost[i] = t.split(), set()
+        for k in range(len(words) - 19):
+            key = tuple(words[k : k + 20])
+            if key in seen:
+                lost[i] |= set(range(k, k + 20))
+            seen.setdefault(key, i)
+    got = {x.doc_id: x for x in passages.remove_repeats(_docs(spark, rows)).collect()}
+    for i, t in rows:
+        assert got[i].kept_text == " ".join(w for k, w in enumerate(t.split()) if k not in lost[i])
+
+
+def test_automaton_tells_colliding_letters_apart():
+    import pyarrow as pa
+
+    t = passages.word_table(pa.array([" ".join(f"a{i}" for i in range(25)), " ".join(f"b{i}" for i in range(25))]))
+    t.hash[25:] = (t.hash[:25] & np.uint64(0xFFFF)) | np.uint64(1 << 40)  # other words of equal letters
+    code, zero = t.hash.astype("<u2"), np.zeros(1, np.int64)
+    blobs = [(passages._pack([zero + 7, zero.astype("<i4"), zero.astype("<i4"), zero.astype("<i4") + 25, t.hash[a : a + 25].sum(keepdims=True)]), code[a : a + 25].tobytes()) for a in (0, 25)]
+    both = passages._Shard(blobs).repeated(t, np.array([1, 7]), np.array([0, 0], np.int32))
+    assert both[:25].all() and not both[25:].any()  # the second is the first place of its passage
+    assert not passages._Shard(blobs[:1]).repeated(t, np.array([7, 1]), np.array([0, 0], np.int32)).any()
+
+
 def test_repeats_of_every_period(spark):
     # every text has its own words, so only it can make its names recur
     rows = [(100 * period + n, " ".join(f"v{period}x{n}x{i % period}" for i in range(period * n + 5))) for period in range(1, 41) for n in (2, 3, 9)]
