@@ -39,25 +39,31 @@ WINDOW = 20
 GRAM = 8
 #: Text of one shard; with its windows and automaton it fits a Python worker.
 SHARD_BYTES = 8 << 20
+#: Shards whose windows, at most all of them, one counting task holds.
+SHARDS_PER_BUCKET = 4
 #: Words of passages packed at a time.
 CHUNK = 1 << 20
 _FIRST = -(1 << 63)
 #: Fewer bytes can't hold WINDOW words.
 _LEAST_BYTES = 2 * WINDOW - 1
 _NAMES = ("<u8", "u1")
-_WINDOWS = ("<u8", "<u8", "<i8", "<i4", "<i4", "<i4")
+_WINDOWS = ("<u8", "<u4", "<i8", "<i4", "<i4", "<i4")
 _PASSAGES = ("<i8", "<i4", "<i4", "<i4", "<u8")
 
 
 def _pack(columns: list[np.ndarray]) -> bytes:
-    return b"".join(c.tobytes() for c in columns)
+    """Columns as differences of neighbours, byte by byte: what grows slowly or is small is then nearly all zeros to Spark's codec."""
+    steps = (np.diff(c, prepend=c.dtype.type(0)) for c in columns)
+    return b"".join(c.view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in steps)
 
 
-def _unpack(blob: bytes, kinds: tuple[str, ...]) -> list[np.ndarray]:
-    n, at, out = len(blob) // sum(np.dtype(k).itemsize for k in kinds), 0, []
+def _unpack(blob: bytes, kinds: tuple[str, ...], n: int | None = None) -> list[np.ndarray]:
+    n, at, out = len(blob) // sum(np.dtype(k).itemsize for k in kinds) if n is None else n, 0, []
     for k in kinds:
-        out.append(np.frombuffer(blob, k, n, at))
-        at += n * np.dtype(k).itemsize
+        width = np.dtype(k).itemsize
+        planes = np.frombuffer(blob, np.uint8, n * width, at).reshape(width, n)
+        out.append(np.cumsum(np.ascontiguousarray(planes.T).view(k)[:, 0], dtype=k))
+        at += n * width
     return out
 
 
@@ -149,7 +155,7 @@ def _recurring_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         _, at, n = _counted(name, np.concatenate(counts))
         keep = n[at] > 1
         name = name[keep]
-        yield _rows([(k, name[i].tobytes()) for k, i in _parts(shard[keep])], ["shard", "blob"])
+        yield _rows([(k, _pack([name[i]])) for k, i in _parts(shard[keep])], ["shard", "blob"])
 
 
 def _places(t: WordTable, b: pa.RecordBatch, words: np.ndarray) -> list[np.ndarray]:
@@ -163,7 +169,7 @@ def _shard_windows(buckets: int) -> Callable:
         shard, replies, known, found = -1, [], None, []
         for b in batches:
             shard = b.column("shard")[0].as_py() if len(b) else shard
-            replies += [np.frombuffer(x, "<u8") for x in b.column("blob").drop_null().to_pylist()]
+            replies += [_unpack(x, _NAMES[:1])[0] for x in b.column("blob").drop_null().to_pylist()]
             b = b.filter(b.column("blob").is_null())
             if not len(b) or not replies:
                 continue
@@ -173,27 +179,29 @@ def _shard_windows(buckets: int) -> Callable:
             if not len(at):
                 continue
             h = gram_hashes(t.hash, WINDOW, 7)[at]
-            after = np.zeros(len(h), np.uint64)
-            after[:-1] = np.where(at[1:] == at[:-1] + 1, h[1:], np.uint64(0))
+            after = np.zeros(len(h), np.uint32)
+            after[:-1] = np.where(at[1:] == at[:-1] + 1, h[1:].astype(np.uint32), np.uint32(0))
             keep = known[np.minimum(np.searchsorted(known, name), len(known) - 1)] == name
             found.append([h[keep], after[keep], *_places(t, b, at[keep])])
         if found:
             h, after, k, doc, start = (np.concatenate(c) for c in zip(*found, strict=True))
-            one = _firsts(h, after, k, doc, start, np.ones(len(h), np.int32))
-            yield _rows([(i, shard, _pack([c[j] for c in one[:6]])) for i, j in _parts((one[0] % np.uint64(buckets)).astype(np.int64))], ["bucket", "shard", "blob"])
+            one = _firsts(h, after, k, doc, start, np.ones(len(h), np.int32))[:6]
+            order = np.lexsort((one[4], one[3], one[2]))
+            one = [c[order] for c in one]
+            yield _rows([(i, shard, _pack([c[j] for c in one])) for i, j in _parts((one[0] % np.uint64(buckets)).astype(np.int64))], ["bucket", "shard", "blob"])
 
     return run
 
 
 def _firsts(h, after, k, doc, start, n) -> tuple:
-    """One row for each window: h, the window that always follows it or 0, first place, number; and the rows' order and edges."""
+    """One row for each window: h, the low bits of the window that always follows it or 0, first place, number; and the rows' order and edges."""
     order = np.lexsort((start, doc, k, h))
     h, after = h[order], after[order]
     head = np.flatnonzero(np.diff(h, prepend=h[:1] ^ np.uint64(1)))
     low, high = (f.reduceat(after, head) for f in (np.minimum, np.maximum))
     total = np.add.reduceat(n[order], head).astype(np.int32)
     first = order[head]
-    return h[head], np.where(low == high, low, np.uint64(0)), k[first], doc[first], start[first], total, order, head
+    return h[head], np.where(low == high, low, np.uint32(0)), k[first], doc[first], start[first], total, order, head
 
 
 def _recurring_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,25 +218,25 @@ def _recurring_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     *one, order, head = _firsts(h, after, k, doc, start, n)
     size = np.diff(np.append(head, len(h)))
     keep = np.flatnonzero(one[5] > 1)
+    keep = keep[np.lexsort((one[4][keep], one[3][keep], one[2][keep]))]
     home, shard = shard[order[head]], shard[order]
     yield _rows(
-        [(s, _pack([c[keep[i]] for c in one]), _pack([size[keep[i]].astype("<i4"), shard[_ragged(head[keep[i]], size[keep[i]])]])) for s, i in _parts(home[keep])],
+        [(s, _pack([c[keep[i]] for c in one]), _pack([size[keep[i]].astype("<i4")]) + _pack([shard[_ragged(head[keep[i]], size[keep[i]])]])) for s, i in _parts(home[keep])],
         ["shard", "blob", "more"],
     )
 
 
 def _chained(blobs: list[tuple[bytes, bytes]]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Passages: k, t, start, number of words; the shards of each as (flat, sizes)."""
-    cols = [np.concatenate(c) for c in zip(*(_unpack(x, _WINDOWS) for x, _ in blobs), strict=True)]
-    sizes, flat = [], []
-    for (x, more), rows in ((b, len(b[0]) // 36) for b in blobs):
-        sizes.append(np.frombuffer(more, "<i4", rows))
-        flat.append(np.frombuffer(more, "<i4", offset=4 * rows))
+    each = [_unpack(x, _WINDOWS) for x, _ in blobs]
+    cols = [np.concatenate(c) for c in zip(*each, strict=True)]
+    sizes = [_unpack(more, ("<i4",), len(c[0]))[0] for c, (_, more) in zip(each, blobs, strict=True)]
+    flat = [_unpack(more[4 * len(n) :], ("<i4",))[0] for n, (_, more) in zip(sizes, blobs, strict=True)]
     sizes, flat = np.concatenate(sizes), np.concatenate(flat)
     order = np.lexsort((cols[4], cols[3], cols[2]))
     h, after, k, doc, start, n = (c[order] for c in cols)
     joined = np.zeros(len(h), bool)
-    joined[1:] = (k[1:] == k[:-1]) & (doc[1:] == doc[:-1]) & (start[1:] == start[:-1] + 1) & (after[:-1] == h[1:]) & (n[1:] == n[:-1])
+    joined[1:] = (k[1:] == k[:-1]) & (doc[1:] == doc[:-1]) & (start[1:] == start[:-1] + 1) & (after[:-1] == h[1:].astype(np.uint32)) & (n[1:] == n[:-1])
     head = np.flatnonzero(~joined)
     words = np.diff(np.append(head, len(h))) + WINDOW - 1
     at, own = (np.cumsum(sizes) - sizes)[order[head]], sizes[order[head]]
@@ -348,8 +356,10 @@ def remove_repeats(docs: DataFrame, *, keep_text: bool = True) -> DataFrame:
     n = ceil((able.agg(F.sum(F.octet_length("text"))).first()[0] or 1) / SHARD_BYTES)
     dealt = able.withColumn("shard", F.pmod(F.xxhash64("k", "t"), F.lit(n)).cast("int"))
 
+    buckets = ceil(n / SHARDS_PER_BUCKET)
+
     def by_bucket(sent: DataFrame, work: Callable, schema: str) -> DataFrame:
-        return sent.repartitionById(n, "bucket").mapInArrow(work, schema)
+        return sent.repartitionById(buckets, "bucket").mapInArrow(work, schema)
 
     def by_shard(sent: DataFrame | None, work: Callable, schema: str) -> DataFrame:
         """``work`` on each shard: what was sent to it, then its documents."""
@@ -359,9 +369,9 @@ def remove_repeats(docs: DataFrame, *, keep_text: bool = True) -> DataFrame:
         return both.repartitionById(n, "shard").sortWithinPartitions(F.desc("sent")).mapInArrow(work, schema)
 
     to_bucket, to_shard, packed = "bucket int, shard int, blob binary", "shard int, blob binary", "shard int, blob binary, more binary"
-    names = save(by_bucket(by_shard(None, _shard_names(n), to_bucket), _recurring_names, to_shard))
+    names = save(by_bucket(by_shard(None, _shard_names(buckets), to_bucket), _recurring_names, to_shard))
     release(docs.sparkSession)
-    windows = save(by_bucket(by_shard(names, _shard_windows(n), to_bucket), _recurring_windows, packed))
+    windows = save(by_bucket(by_shard(names, _shard_windows(buckets), to_bucket), _recurring_windows, packed))
     drop(names)
     release(docs.sparkSession)
     passages = save(by_shard(windows, _passages, packed))
