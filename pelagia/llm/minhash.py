@@ -298,17 +298,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     whole = signed.where("set_key is not null and doc_id is not null").groupBy(F.xxhash64("set_key").alias("node"))
     least = F.min(F.struct("doc_id", "text_hash"))
     node = whole.agg(F.min("doc_id").alias("class_id"))
-    heads = save(whole.agg(least.alias("least"), F.first("tokens").alias("tokens")))
-    token = save(heads.select("node", F.explode("tokens").alias("token")))
+    token = save(whole.agg(F.first("tokens").alias("tokens")).select("node", F.explode("tokens").alias("token")))
+    release(spark)
     often = token.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     shared = token.join(often, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("keys")).where(F.size("keys") >= T)
     # keys of one set alone collide with nothing: the shared ones are the signature from here on
     posts = shared.select("node", F.expr(f"transform(slice(keys, 1, size(keys) - {T} + 1), k -> k.token)").alias("prefix"), F.col("keys.token").alias("tokens"))
-    posts = posts.join(heads.select("node", "least.*"), "node")
+    posts = save(posts.join(whole.agg(least.alias("least")), "node").select("node", "prefix", "tokens", "least.*"))
+    drop(token)
+    release(spark)
     held = docs.join(posts, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"]).select("node", "prefix", "tokens", "text")
     cand = save(held.mapInArrow(_sets, "node long, prefix array<bigint>, mask long, tokens array<bigint>, size long, sketch binary, own binary"))
-    drop(token)
-    drop(heads)
+    drop(posts)
     release(spark)
     post = cand.select("node", F.explode("prefix").alias("token"))
     met = post.groupBy("token").agg(_heads(F.lit(True), 0).alias("heads"), F.count("*").alias("n")).where("n > 1")
