@@ -3,22 +3,26 @@
 from __future__ import annotations
 
 import gc
-import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL: list[str] = []
-
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder named by spark.checkpoint.dir, which all executors share.
+
+    Where it is unset (as in tests) a local master gets a folder of its own; a
+    cluster has none that all its machines see, so there it must be set.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared
-    if not _LOCAL:
-        _LOCAL.append(tempfile.mkdtemp(prefix="spark-scratch-"))
-    return _LOCAL[0]
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+    spark.conf.set("spark.checkpoint.dir", path)
+    return path
 
 
 def save(df: DataFrame) -> DataFrame:
@@ -40,5 +44,7 @@ def drop(table: DataFrame) -> None:
 
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files that no live DataFrame needs."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for wait in (0.1, 0.1):  # the first collection frees the plans, the second what only they held
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(wait)
