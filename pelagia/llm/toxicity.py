@@ -1,20 +1,22 @@
 """Toxicity by a factorization machine over hashed terms.
 
 A text is the set of its lower-cased terms (runs of letters, digits and
-non-ASCII characters), each named by a 64-bit hash. The score is
+non-ASCII characters) and of the ``STEM`` first bytes of longer terms, each
+hashed to one of ``DIMS`` slots; no term is left out. The score is
 
     sigmoid(w0 + sum w_i + sum over pairs <v_i, v_j>)
 
-over the known terms of the text, so a pair such as an insult next to a group
-mention has a weight of its own. Fitting sees at most ``TRAIN_ROWS`` labelled
-rows (those of smallest hash of doc_id; equal texts count once) and at most
-``MAX_TERMS`` terms (those most associated with the label); scoring reads every
+over the slots of the text, so a pair such as an insult next to a group mention
+has a weight of its own. Fitting sees at most ``TRAIN_ROWS`` labelled rows
+(those of smallest hash of doc_id; equal texts count once); an L1 penalty on
+weights and factors keeps slots that say nothing at zero. Scoring reads every
 whole text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,15 +24,21 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.words import small_batches, word_table
+from pelagia.llm.words import byte_hashes, mix, small_batches, word_table
 
-TRAIN_ROWS = 20_000
-MAX_TERMS = 1024
-MIN_TEXTS = 8
-#: Least log-likelihood ratio of a term and the label (1 degree of freedom).
-LEAST_G2 = 30.0
+#: Bound of the labelled rows that fitting reads.
+TRAIN_ROWS = 12_000
+DIMS = 1 << 18
+STEM = 5
 FACTORS = 4
 THRESHOLD = 0.7
+EPOCHS, BATCH, RATE, L1 = 10, 256, 0.1, 5e-3
+#: Least number of steps; few rows are read more often than EPOCHS times.
+STEPS = 400
+#: In a small sample the penalty outweighs at least so many misjudged rows, or what single texts share by chance would count.
+LEAST_ROWS = 20.0
+#: Weight of a toxic row against a clean one, as they are few.
+TOXIC_WEIGHT = 4.0
 
 
 def held_out() -> Column:
@@ -38,41 +46,79 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
 
 
-def _table(texts: pa.Array):
-    return word_table(pc.utf8_lower(texts.fill_null("")), terms=True)
+def slots(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(text, slot) pairs, each once, ascending."""
+    t = word_table(pc.utf8_lower(texts.fill_null("")), terms=True)
+    text = np.repeat(np.arange(len(texts)), np.diff(t.first))
+    long = np.flatnonzero(t.end - t.start > STEM)
+    stem = byte_hashes(t.buf, t.start[long], np.full(len(long), STEM)) if len(long) else t.hash[:0]
+    slot = mix(np.concatenate((t.hash, stem + np.uint64(1)))) % np.uint64(DIMS)
+    pair = np.unique(np.concatenate((text, text[long])) * DIMS + slot.astype(np.int64))
+    return pair // DIMS, pair % DIMS
 
 
-def _term_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slot_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        t = _table(b.column("text"))
-        own = [np.unique(t.hash[a:z]).view(np.int64) for a, z in zip(t.first[:-1], t.first[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(own, pa.list_(pa.int64()))], ["toxic", "terms"])
-
-
-def _known(t, vocab: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, term) index pairs, each once, of the known terms."""
-    at = np.minimum(np.searchsorted(vocab, t.hash), max(len(vocab) - 1, 0))
-    hit = np.flatnonzero(vocab[at] == t.hash) if len(vocab) else np.zeros(0, np.int64)
-    text = np.searchsorted(t.first, hit, side="right") - 1
-    pair = np.unique(text * max(len(vocab), 1) + at[hit])
-    return pair // max(len(vocab), 1), pair % max(len(vocab), 1)
-
-
-def _machine(x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """Fit by full-batch Adam on the logistic loss with L2 weights."""
-    rng, n, m = np.random.default_rng(7), len(y), x.shape[1]
-    p = [np.array(np.log((y.sum() + 1) / (n - y.sum() + 1))), np.zeros(m), rng.normal(0, 0.05, (m, FACTORS))]
-    mean, var = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p]
-    for step in range(1, 401):
-        xv = x @ p[2]
-        z = p[0] + x @ p[1] + 0.5 * ((xv**2).sum(1) - x @ (p[2] ** 2).sum(1))
-        e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / n
-        grad = [e.sum(), x.T @ e + 2e-4 * p[1], x.T @ (e[:, None] * xv) - (x.T @ e)[:, None] * p[2] + 2e-3 * p[2]]
-        for k in range(3):
-            mean[k] = 0.9 * mean[k] + 0.1 * grad[k]
-            var[k] = 0.999 * var[k] + 0.001 * grad[k] ** 2
-            p[k] = p[k] - 0.05 * (mean[k] / (1 - 0.9**step)) / (np.sqrt(var[k] / (1 - 0.999**step)) + 1e-8)
-    return float(p[0]), p[1], p[2]
+        text, slot = slots(b.column("text"))
+        edge = np.searchsorted(text, np.arange(len(b) + 1))
+        own = [slot[a:z].astype("<i4").tobytes() for a, z in zip(edge[:-1], edge[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(own, pa.binary())], ["toxic", "slots"])
+
+
+@dataclass
+class Machine:
+    w0: float
+    w: np.ndarray
+    v: np.ndarray
+
+    def logits(self, text: np.ndarray, slot: np.ndarray, n: int) -> np.ndarray:
+        """w0 + sum w_i + sum over pairs <v_i, v_j> of each of n texts, given its (text, slot) pairs."""
+        z = self.w0 + np.bincount(text, self.w[slot], n)
+        for v in self.v:
+            z += 0.5 * (np.bincount(text, v[slot], n) ** 2 - np.bincount(text, v[slot] ** 2, n))
+        return z
+
+    def scores(self, text: np.ndarray, slot: np.ndarray, n: int) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.logits(text, slot, n), -30, 30)))
+
+
+def _shrunk(x: np.ndarray, step: np.ndarray) -> np.ndarray:
+    return np.sign(x) * np.maximum(np.abs(x) - step, 0)
+
+
+def train(sets: list[np.ndarray], toxic: np.ndarray) -> Machine:
+    """Proximal Adagrad on the weighted logistic loss with an L1 penalty, in batches of a fixed order."""
+    rng, n, bad = np.random.default_rng(7), len(sets), float(toxic.sum())
+    m = Machine(float(np.log((bad + 1) / (n - bad + 1))), np.zeros(DIMS), rng.normal(0, 0.01, (FACTORS, DIMS)))
+    if not 0 < bad < n:
+        return Machine(m.w0, m.w, np.zeros((FACTORS, DIMS)))
+    parts, active = [], np.zeros(DIMS)
+    for rows in np.array_split(rng.permutation(n), max(1, n // BATCH)):
+        known, at = np.unique(np.concatenate([sets[i] for i in rows]), return_inverse=True)
+        parts.append((rows, np.repeat(np.arange(len(rows), dtype=np.int32), [len(sets[i]) for i in rows]), known, at.astype(np.int32)))
+        active[known] += 1
+    # a slot of few batches is shrunk as much over all of them as any other
+    penalty = max(L1, LEAST_ROWS / n) * len(parts) / np.maximum(active, 1)
+    sum0, sum_w, sum_v = 1e-8, np.full(DIMS, 1e-8), np.full((FACTORS, DIMS), 1e-8)
+    for _ in range(max(EPOCHS, STEPS // len(parts))):
+        for k in rng.permutation(len(parts)):
+            rows, text, known, at = parts[k]
+            w, v, size = m.w[known], m.v[:, known], len(rows)
+            own = Machine(m.w0, w, v)
+            y = toxic[rows]
+            e = (own.scores(text, at, size) - y) * np.where(y > 0, TOXIC_WEIGHT, 1.0) / size
+            g = np.bincount(at, e[text], len(known))
+            sum_w[known] += g**2
+            step = RATE / np.sqrt(sum_w[known])
+            m.w[known] = _shrunk(w - step * g, step * penalty[known])
+            for f in range(FACTORS):
+                gv = np.bincount(at, (e * np.bincount(text, v[f][at], size))[text], len(known)) - g * v[f]
+                sum_v[f, known] += gv**2
+                step = RATE / np.sqrt(sum_v[f, known])
+                m.v[f, known] = _shrunk(v[f] - step * gv, 0.3 * step * penalty[known])
+            sum0 += e.sum() ** 2
+            m.w0 -= float(RATE * e.sum() / np.sqrt(sum0))
+    return m
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -82,35 +128,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Callable[[Iterator[pa.RecordBatch
     # at most TRAIN_ROWS rows of two numbers: small enough to send to every task
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", F.col("toxic").cast("int"))
-    once = rows.mapInArrow(_term_sets, "toxic int, terms array<bigint>").groupBy(F.xxhash64("terms").alias("k")).agg(F.max("toxic").alias("toxic"), F.first("terms").alias("terms")).persist()
-    size, bad = once.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    a, n = F.col("a").cast("double"), F.col("n").cast("double")
-    cell = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
-    rest, clean = float(size), float(size - bad)
-    g2 = 2 * (cell(a, n * bad / rest) + cell(n - a, n * clean / rest) + cell(bad - a, (rest - n) * bad / rest) + cell(clean - n + a, (rest - n) * clean / rest)) if 0 < bad < size else F.lit(0.0)
-    terms = once.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"), F.sum("toxic").alias("a")).where(n >= MIN_TEXTS)
-    best = terms.withColumn("g2", g2).where(F.col("g2") >= LEAST_G2).orderBy(F.desc("g2"), "term").limit(MAX_TERMS).select("term").collect()
-    vocab = np.sort(np.array([r.term for r in best], np.int64).view(np.uint64))
-    wanted = F.array(*[F.lit(int(v)) for v in vocab.view(np.int64)]).cast("array<bigint>")
-    train = once.select("toxic", F.array_intersect("terms", wanted).alias("terms")).collect() if len(vocab) else []
-    once.unpersist()
-    if len(vocab):
-        x = np.zeros((len(train), len(vocab)))
-        for i, r in enumerate(train):
-            x[i, np.searchsorted(vocab, np.array(r.terms, np.int64).view(np.uint64))] = 1
-        w0, w, v = _machine(x, np.array([r.toxic for r in train], float))
-    else:
-        w0, w, v = float(np.log((bad + 1) / (size - bad + 1))), np.zeros(0), np.zeros((0, FACTORS))
+    once = rows.mapInArrow(_slot_sets, "toxic int, slots binary").groupBy("slots").agg(F.max("toxic").alias("toxic")).collect()
+    once.sort(key=lambda r: bytes(r.slots))
+    m = train([np.frombuffer(r.slots, "<i4") for r in once], np.array([r.toxic for r in once], float))
+    # DIMS * (1 + FACTORS) numbers, whatever the input
+    sent = docs.sparkSession.sparkContext.broadcast(Machine(m.w0, m.w.astype(np.float32), m.v.astype(np.float32)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text, term = _known(_table(b.column("text")), vocab)
-            z, xv, vv = np.full(len(b), w0), np.zeros((len(b), FACTORS)), np.zeros(len(b))
-            np.add.at(z, text, w[term])
-            np.add.at(xv, text, v[term])
-            np.add.at(vv, text, (v[term] ** 2).sum(1))
-            z += 0.5 * ((xv**2).sum(1) - vv)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], ["doc_id", "score"])
+            got = sent.value.scores(*slots(b.column("text")), len(b))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(got)], ["doc_id", "score"])
 
     return score
 

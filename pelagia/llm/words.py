@@ -40,7 +40,7 @@ def stream(n: int, seed: int) -> np.ndarray:
     return mix(k + mix(np.array([seed], np.uint64))) | np.uint64(1)
 
 
-def _hash(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+def byte_hashes(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Hash byte runs, eight bytes at a time, longer runs in further rounds."""
     padded = np.concatenate((buf, np.zeros(8, np.uint8)))
     eight = np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), (len(buf) + 1,), (1,))
@@ -103,7 +103,7 @@ def word_table(texts: pa.Array | pa.ChunkedArray, *, lower: bool = False, terms:
     first = np.searchsorted(start, off)
     if not len(start):
         return WordTable(buf, start, end, first, np.zeros(0, np.uint64))
-    return WordTable(buf, start, end, first, _hash(buf, start, end - start))
+    return WordTable(buf, start, end, first, byte_hashes(buf, start, end - start))
 
 
 def gram_hashes(h: np.ndarray, n: int, seed: int = 3) -> np.ndarray:

@@ -198,6 +198,32 @@ def test_toxicity_learns_a_pair(spark):
     assert toxicity.toxicity(docs.limit(0), lab).count() == 0
 
 
+def test_pair_weights_are_a_double_sum():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    m = toxicity.Machine(0.3, rng.normal(size=toxicity.DIMS), rng.normal(size=(toxicity.FACTORS, toxicity.DIMS)))
+    texts = ["One two three one", "", None, "überlang wörter"]
+    got = m.logits(*toxicity.slots(pa.array(texts)), len(texts))
+    for i, text in enumerate(texts):
+        own = toxicity.slots(pa.array([text], pa.string()))[1]
+        pairs = sum(float(m.v[:, a] @ m.v[:, b]) for k, a in enumerate(own) for b in own[k + 1 :])
+        assert got[i] == pytest.approx(0.3 + m.w[own].sum() + pairs)
+
+
+def test_toxicity_learns_what_no_sum_of_weights_can():
+    # toxic: exactly one of two terms, so neither has a weight of its own
+    rng = np.random.default_rng(5)
+    sets, toxic = [], []
+    for _ in range(4000):
+        a, b = rng.integers(0, 2, 2)
+        sets.append(np.unique(np.concatenate((rng.integers(100, 130, 5), [10] * a, [20] * b))).astype(np.int32))
+        toxic.append(a ^ b)
+    m = toxicity.train(sets, np.array(toxic, float))
+    text = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    assert np.mean((m.scores(text, np.concatenate(sets), len(sets)) > 0.5) == np.array(toxic)) > 0.95
+
+
 def test_decontamination(spark):
     rng = random.Random(4)
     item = [f"t{rng.randrange(500)}" for _ in range(40)]
