@@ -1,8 +1,8 @@
 """Mixing to target weights with soft domain membership, in DataFrame functions only.
 
-A multinomial naive Bayes over counts of short marker strings, fitted on a
-labelled table, gives each document a posterior over domains. Projected
-gradient then solves the least squares problem
+A naive Bayes over hashed terms, fitted on a labelled table, gives each document
+a posterior over domains. Projected gradient then solves the least squares
+problem
 
     min over r >= 0 of sum_d (sum_i r_i n_i p_id - target_d)^2 / mass_d
 
@@ -13,61 +13,68 @@ as many numbers as there are domains.
 
 from __future__ import annotations
 
+import json
 from math import log
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.scratch import save
+from pelagia.llm.scratch import drop, save
 
-#: Marker strings of European languages; each is one feature.
-MARKERS = (" the ", " of ", " and ", " der ", " und ", " die ", " la ", " de ", " que ", " el ", " les ", " et ", "é", "ñ", "ó", "ß", "ü", "ä", "ç", "è", "w", "th", "sch", "ci")
-#: A long text counts as this many observations at most, so posteriors stay soft.
-EVIDENCE = 40.0
-STEPS = 25
+#: Slots of the hashed terms; the model is this many numbers a domain.
+SLOTS = 8192
+#: Bound of the labelled rows that the classifier is fitted on.
+TRAIN_ROWS = 20_000
+#: Characters that end a term besides blanks and line ends.
+MARKS = ".,;:!?()[]{}<>\"'`/\\|*+=_#-"
+STEPS = 300
 TOLERANCE = 1e-6
 
 
-def _features(docs: DataFrame) -> DataFrame:
-    """docs with _tokens, _size and one count per marker."""
-    # one column first: each count reads the lowered text once
-    rows = docs.withColumn("_low", F.lower(F.concat(F.lit(" "), F.coalesce("text", F.lit("")), F.lit(" "))))
-    rows = rows.withColumn("_size", F.octet_length("_low") - 2)
-    counts = {f"_f{i}": ((F.octet_length("_low") - F.octet_length(F.replace("_low", F.lit(m)))) / len(m.encode())).cast("long") for i, m in enumerate(MARKERS)}
-    tokens = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
-    return rows.withColumns(counts | {"_tokens": tokens.cast("long")}).drop("_low")
+def _slots(text: Column) -> Column:
+    """The slots of a text's distinct terms: lower-cased runs between blanks and marks."""
+    gaps = MARKS + "\t\n\x0b\x0c\r"
+    terms = F.array_distinct(F.split(F.translate(F.lower(text), gaps, " " * len(gaps)), " "))
+    return F.transform(F.array_remove(terms, ""), lambda t: F.pmod(F.hash(t), F.lit(SLOTS)))
 
 
-def _fit(rows: DataFrame, labelled: DataFrame, domains: list[str]) -> tuple[dict[str, float], dict[str, list[float]]]:
-    """Log priors and log feature weights by domain; bounded by domains x markers."""
-    known = rows.join(labelled.where(F.col("domain").isin(domains)).select("doc_id", "domain").distinct(), "doc_id")
-    sums = {r.domain: r for r in known.groupBy("domain").agg(F.count("*").alias("n"), F.sum("_size").alias("size"), *(F.sum(f"_f{i}").alias(f"f{i}") for i in range(len(MARKERS)))).collect()}
-    total = sum(r.n for r in sums.values())
-    prior, weight = {}, {}
+def _fit(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> tuple[list[float], list[list[float]]]:
+    """Log priors and log slot weights by domain, smoothed by one; at most domains x SLOTS numbers."""
+    known = labelled.where(F.col("domain").isin(domains)).select("doc_id", "domain").distinct().orderBy(F.xxhash64("doc_id", "domain"), "doc_id", "domain").limit(TRAIN_ROWS)
+    rows = docs.join(F.broadcast(known), "doc_id").where("text is not null")
+    n = dict(rows.groupBy("domain").count().collect())
+    seen = {(r.domain, r.slot): r.n for r in rows.select("domain", F.explode(_slots(F.col("text"))).alias("slot")).groupBy("domain", "slot").agg(F.count("*").alias("n")).collect()}
+    prior, weight = [], []
     for d in domains:
-        r = sums.get(d)
-        seen = [(r[f"f{i}"] if r else 0) for i in range(len(MARKERS))]
-        prior[d] = log(((r.n if r else 0) + 1) / (total + len(domains)))
-        weight[d] = [log((c + 1) / (sum(seen) + len(MARKERS))) for c in seen]
+        own = [seen.get((d, s), 0) + 1 for s in range(SLOTS)]
+        prior.append(log((n.get(d, 0) + 1) / (sum(n.values()) + len(domains))))
+        weight.append([log(c / sum(own)) for c in own])
     return prior, weight
 
 
 def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> DataFrame:
     """doc_id, tokens and p_<k> for the k-th domain, for every row of docs (doc_id, text).
 
-    A text without markers gets the prior. ``labelled`` is (doc_id, domain);
-    labels of other domains and of unknown rows are ignored.
+    The evidence of n distinct terms counts as that of sqrt(n) independent ones,
+    as terms of one text are not independent. A text without terms gets the
+    prior. ``labelled`` is (doc_id, domain); labels of other domains and of
+    unknown rows are ignored.
     """
-    rows = save(_features(docs.select("doc_id", "text")).drop("text"))
-    prior, weight = _fit(rows, labelled, domains)
-    seen = sum((F.col(f"_f{i}") for i in range(len(MARKERS))), F.lit(0))
-    scale = F.least(F.lit(1.0), EVIDENCE / F.greatest(seen, F.lit(1)))
-    logs = {f"_l{k}": F.lit(prior[d]) + F.col("_scale") * sum((F.col(f"_f{i}") * weight[d][i] for i in range(len(MARKERS))), F.lit(0.0)) for k, d in enumerate(domains)}
-    names = list(logs)
-    rows = rows.withColumn("_scale", scale).withColumns(logs).withColumn("_top", F.greatest(*names) if len(names) > 1 else F.col(names[0]))
+    docs = docs.select("doc_id", "text")
+    prior, weight = _fit(docs, labelled, domains)
+    tokens = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    # one column first, else every sum would split the text again
+    rows = save(docs.select("doc_id", tokens.alias("tokens"), _slots(F.coalesce("text", F.lit(""))).alias("_s")).select("doc_id", "tokens", "_s", F.sqrt(F.greatest(F.size("_s"), F.lit(1))).alias("_n")).select("doc_id", "tokens", *(_log(k, prior[k], weight[k]) for k in range(len(domains)))))
+    names = [f"_l{k}" for k in range(len(domains))]
+    rows = rows.withColumn("_top", F.greatest(*names) if len(names) > 1 else F.col(names[0]))
     rows = rows.withColumns({n: F.exp(F.col(n) - F.col("_top")) for n in names})
     total = sum((F.col(n) for n in names), F.lit(0.0))
-    return rows.select("doc_id", F.col("_tokens").alias("tokens"), *((F.col(n) / total).alias(f"p_{k}") for k, n in enumerate(names)))
+    return rows.select("doc_id", "tokens", *((F.col(n) / total).alias(f"p_{k}") for k, n in enumerate(names)))
+
+
+def _log(k: int, prior: float, weight: list[float]) -> Column:
+    table = F.from_json(F.lit(json.dumps(weight)), "array<double>")
+    return (F.lit(prior) + F.aggregate("_s", F.lit(0.0), lambda a, s: a + F.get(table, s)) / F.col("_n")).alias(f"_l{k}")
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> DataFrame:
@@ -76,9 +83,11 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> Data
     Targets are shares of the smallest total at which no domain has to shrink,
     so rates say how often a document is read and no document is dropped by
     them. ``copies`` rounds the rate up or down by a hash of doc_id, to the same
-    expected tokens. Defined cases: null and empty texts have no tokens and rate
-    1; an empty table or one without tokens gives rates of 1; a domain without
-    mass keeps none; repeated rows are rated each; extra columns are ignored.
+    expected tokens. The steps end when all expected totals are met, or when
+    rates move no more where they can't be; without either after ``STEPS`` the
+    job fails. Defined cases: null and empty texts have no tokens and rate 1; an
+    empty table or one without tokens gives rates of 1; a domain without mass
+    keeps none; repeated rows are rated each; extra columns are ignored.
     """
     domains = list(targets)
     total_weight = sum(targets.values())
@@ -88,16 +97,23 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> Data
     live = [k for k, m in enumerate(mass) if m > 0 and targets[domains[k]] > 0]
     budget = max((mass[k] * total_weight / targets[domains[k]] for k in live), default=0.0)
     goal = [budget * targets[d] / total_weight for d in domains]
-    # a rate is 1 plus the sum of projected steps; three at a time keep the plan short
-    rated, rate = base.withColumn("rate", F.lit(1.0)), F.col("rate")
-    for step in range(STEPS if live else 0):
-        have = [float(x or 0.0) for x in rated.agg(*(F.sum(x * rate).alias(f"h{k}") for k, x in enumerate(n_p))).first()]
+    # three steps at a time keep the plan short; what they start from is kept in a table
+    rated, rate, moved, spent = base.withColumn("rate", F.lit(1.0)), F.col("rate"), F.lit(budget), None
+    for step in range(STEPS + 1 if live else 0):
+        *have, gone = (float(x or 0.0) for x in rated.agg(*(F.sum(x * rate).alias(f"h{k}") for k, x in enumerate(n_p)), F.sum(moved).alias("moved")).first())
         miss = {k: (goal[k] - have[k]) / mass[k] for k in live}
-        if max(abs(goal[k] - have[k]) for k in live) <= TOLERANCE * budget:
+        if max(abs(goal[k] - have[k]) for k in live) <= TOLERANCE * budget or gone <= TOLERANCE * budget:
             break
-        rate = F.greatest(F.lit(0.0), rate + sum((F.col(f"p_{k}") * m for k, m in miss.items()), F.lit(0.0)))
+        if step == STEPS:
+            raise RuntimeError(f"rates do not settle in {STEPS} steps: {have} for {goal}")
+        new = F.greatest(F.lit(0.0), rate + sum((F.col(f"p_{k}") * m for k, m in miss.items()), F.lit(0.0)))
+        rate, moved = new, F.col("tokens") * F.abs(new - rate)
         if step % 3 == 2:
-            rated, rate = save(rated.withColumn("rate", rate)), F.col("rate")
+            rated = save(rated.withColumns({"rate": rate, "_moved": moved}))
+            if spent is not None:
+                drop(spent)
+            spent, rate, moved = rated, F.col("rate"), F.col("_moved")
     part = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) / float(1 << 20)
     final = F.when(F.col("tokens") > 0, rate).otherwise(1.0)
-    return rated.withColumn("rate", final).withColumn("copies", (F.floor("rate") + (part < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
+    out = rated.withColumn("rate", final).withColumn("copies", (F.floor("rate") + (part < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
+    return out.select("doc_id", "tokens", *(f"p_{k}" for k in range(len(domains))), "rate", "copies")

@@ -324,6 +324,35 @@ def test_mixing(spark):
     assert mixing.mix(docs.limit(0), labelled, targets).count() == 0
 
 
+def test_posteriors_brute_force(spark):
+    import math
+
+    texts = {1: "Red, red fish!", 2: "blue bird", 3: "red bird\tsings", 4: "", 5: None, 6: "fish (bird) unseen"}
+    docs = _docs(spark, list(texts.items()))
+    labelled = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (2, "other"), (99, "a")], "doc_id long, domain string")
+    terms = {i: set(re.sub(r"[,!()\t]", " ", (t or "").lower()).split()) for i, t in texts.items()}
+    slot = {r.t: r.s[0] for r in spark.createDataFrame([(w,) for w in set().union(*terms.values())], "t string").select("t", mixing._slots(F.col("t")).alias("s")).collect()}
+    assert len(set(slot.values())) == len(slot)
+    prior, weight = {"a": math.log(2 / 5), "b": math.log(3 / 5)}, {}
+    for d, own in (("a", (1,)), ("b", (2, 3))):
+        n = {s: sum(s in {slot[w] for w in terms[i]} for i in own) for s in slot.values()}
+        weight[d] = {s: math.log((c + 1) / (sum(n.values()) + mixing.SLOTS)) for s, c in n.items()}
+    for r in mixing.posteriors(docs, labelled, ["a", "b"]).collect():
+        own = [slot[w] for w in terms[r.doc_id]]
+        score = {d: prior[d] + sum(weight[d][s] for s in own) / math.sqrt(max(len(own), 1)) for d in "ab"}
+        assert r.p_0 == pytest.approx(1 / (1 + math.exp(score["b"] - score["a"])))
+        assert r.p_0 + r.p_1 == pytest.approx(1) and r.tokens == len((texts[r.doc_id] or "").split())
+
+
+def test_rates_where_targets_cannot_be_met(spark):
+    # every text is half of both domains, so no rates give three quarters of one
+    docs = _docs(spark, [(i, "same words here") for i in range(20)])
+    labelled = spark.createDataFrame([(0, "a"), (1, "b")], "doc_id long, domain string")
+    got = mixing.mix(docs, labelled, {"a": 0.75, "b": 0.25}).collect()
+    # least squares: equal rates r with (r/2 - 1.5)^2 + (r/2 - 0.5)^2 least
+    assert {round(r.rate, 3) for r in got} == {2.0}
+
+
 def test_patience():
     a, b = "x a b c y d e".split(), "a b q c d e".split()
     assert [a[i] for i, _ in licenses.patience(a, b)] == ["a", "b", "c", "d", "e"]
