@@ -1,13 +1,13 @@
 """URL filter: rules on host and path, else segmented words under naive Bayes.
 
-A host label such as ``cheappills`` is split by Viterbi over unigram word
-costs; multinomial naive Bayes, trained on the short labelled list below, then
-scores the words of host and path.
+A name such as ``cheappills`` in host or path is split by Viterbi over unigram
+word costs; multinomial naive Bayes, trained on the labelled names below, then
+scores the words. The unigram costs are counted over the words of all pages.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from math import log
 
@@ -36,7 +36,12 @@ WANTED = (
     "local government office", "travel guide europe", "film review magazine", "language learning course", "research institute physics", "art gallery online",
     "football club news", "book review", "bird watching club", "software developer forum", "river water project", "hospital care center", "train travel times", "encyclopedia article", "help center support",
 )
-UNKNOWN_COST = 9.0
+#: Words of the unigram model sent to every task: the most frequent ones; all others cost what unknown words do.
+VOCABULARY = 50_000
+#: Share of the labelled names' words in the unigram model, so that all of them are known.
+LISTED = 0.01
+#: A smaller corpus counts as one of so many words.
+LEAST_WORDS = 1_000_000
 
 
 def _bag(names: tuple[str, ...]) -> dict[str, int]:
@@ -47,63 +52,74 @@ def _bag(names: tuple[str, ...]) -> dict[str, int]:
 
 
 _BAD, _GOOD = _bag(UNWANTED), _bag(WANTED)
-_VOCAB = _BAD | _GOOD
-_UNIGRAM = {w: _BAD.get(w, 0) + _GOOD.get(w, 0) for w in _VOCAB}
-_TOTAL = sum(_UNIGRAM.values())
-_LONGEST = max(map(len, _VOCAB))
+_LISTED = {w: _BAD.get(w, 0) + _GOOD.get(w, 0) for w in _BAD | _GOOD}
 _BAD_SUM, _GOOD_SUM = sum(_BAD.values()), sum(_GOOD.values())
 
 
-@lru_cache(maxsize=65536)
-def segment(name: str) -> tuple[str, ...]:
-    """The cheapest split of a name into words; runs of unknown letters stay one word.
-
-    A known word costs its negative log frequency, an unknown run ``UNKNOWN_COST``
-    and 2 a letter. Equal costs take the split found first, from the left.
-    """
-    best, run = [(0.0, 0)], [(float("inf"), 0)]
-    for end in range(1, len(name) + 1):
-        run.append(min((run[-1][0] + 2.0, run[-1][1]), (best[-1][0] + UNKNOWN_COST + 2.0, end - 1)))
-        choice = run[-1]
-        for start in range(max(0, end - _LONGEST), end):
-            word = name[start:end]
-            if word in _UNIGRAM:
-                choice = min(choice, (best[start][0] - log(_UNIGRAM[word] / _TOTAL), start))
-        best.append(choice)
-    words, end = [], len(name)
-    while end:
-        start = best[end][1]
-        words.append(name[start:end])
-        end = start
-    return tuple(reversed(words))
+def odds(words: Iterable[str]) -> float:
+    """Log odds that these words are unwanted; words outside the labelled names say nothing."""
+    out, size = log(len(UNWANTED) / len(WANTED)), len(_LISTED)
+    for word in words:
+        if word in _LISTED:
+            out += log((_BAD.get(word, 0) + 1) / (_BAD_SUM + size)) - log((_GOOD.get(word, 0) + 1) / (_GOOD_SUM + size))
+    return out
 
 
 def _names(text: str) -> list[str]:
     return "".join(c if c.isalnum() else " " for c in text.lower()).split()
 
 
-@lru_cache(maxsize=65536)
-def spam_odds(host: str, path: str) -> float:
-    """Log odds that host and path are unwanted; words outside the training names say nothing."""
-    odds, size = log(len(UNWANTED) / len(WANTED)), len(_VOCAB)
-    for name in _names(host) + _names(path):
-        for word in segment(name):
-            if word in _VOCAB:
-                odds += log((_BAD.get(word, 0) + 1) / (_BAD_SUM + size)) - log((_GOOD.get(word, 0) + 1) / (_GOOD_SUM + size))
-    return odds
-
-
-def _judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        b["method"] = ["block" if spam_odds(h, p) > 0 else "allow" for h, p in zip(b["host"], b["path"], strict=True)]
-        yield b
+class Segmenter:
+    """Splits names into words; ``counts`` are of a corpus of ``total`` words."""
+
+    def __init__(self, counts: dict[str, int], total: int):
+        total, listed = max(total, LEAST_WORDS), sum(_LISTED.values())
+        self.cost = {w: -log((1 - LISTED) * counts.get(w, 0) / total + LISTED * _LISTED.get(w, 0) / listed) for w in counts.keys() | _LISTED.keys()}
+        self.longest = max(map(len, self.cost))
+        #: An unknown word of n letters: ten of all words, shared among 10 ** n spellings.
+        self.base, self.letter = log(total / 10), log(10)
+        self.segment = lru_cache(maxsize=65536)(self._segment)
+
+    def _segment(self, name: str) -> tuple[str, ...]:
+        """The cheapest split; equal costs take the one found first, from the left."""
+        best, run = [(0.0, 0)], [(float("inf"), 0)]
+        for end in range(1, len(name) + 1):
+            run.append(min((run[-1][0] + self.letter, run[-1][1]), (best[-1][0] + self.base + self.letter, end - 1)))
+            choice = run[-1]
+            for start in range(max(0, end - self.longest), end):
+                cost = self.cost.get(name[start:end])
+                if cost is not None:
+                    choice = min(choice, (best[start][0] + cost, start))
+            best.append(choice)
+        words, end = [], len(name)
+        while end:
+            start = best[end][1]
+            words.append(name[start:end])
+            end = start
+        return tuple(reversed(words))
+
+    def unwanted(self, host: str, path: str) -> bool:
+        return odds(w for name in _names(host) + _names(path) for w in self.segment(name)) > 0
+
+
+def unigrams(pages: DataFrame) -> tuple[dict[str, int], int]:
+    """Counts of the ``VOCABULARY`` most frequent words of the pages' text, and the number of all its words."""
+    if "html" not in pages.columns:
+        return {}, 0
+    text = F.lower(F.regexp_replace("html", r"(?s)<(?:script|style)\b.*?</(?:script|style)>|<[^>]*>", " "))
+    words = pages.select(F.explode(F.split(text, r"[^\p{L}]+")).alias("word")).where("word <> ''")
+    counts = words.groupBy("word").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    # at most VOCABULARY rows, whatever the pages hold
+    return {r.word: r.n for r in counts.where(F.length("word") <= 30).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()}, total
 
 
 def judge_urls(pages: DataFrame) -> DataFrame:
     """page_id, host, path, rule, verdict of every row of pages (page_id, url).
 
+    The unigram model is counted over the pages' ``html``, where that is given.
     Defined cases: a null url or one without ``://`` has an empty host and path
-    and is allowed; rows repeat as given; a null page_id is kept; other columns
+    and is allowed; null html has no words; rows repeat as given; a null page_id is kept; other columns
     are ignored.
     """
     url = F.coalesce("url", F.lit(""))
@@ -121,4 +137,12 @@ def judge_urls(pages: DataFrame) -> DataFrame:
         rule, said = F.when(fits, host + path).otherwise(rule), F.when(fits, verdict).otherwise(said)
     judged = parts.withColumns({"rule": rule, "said": said})
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, host string, path string, rule string, said string, method string"
-    return judged.mapInPandas(_judge, schema).select("page_id", "host", "path", "rule", F.coalesce("said", "method").alias("verdict"))
+    sent = pages.sparkSession.sparkContext.broadcast(unigrams(pages))
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        split = Segmenter(*sent.value)
+        for b in batches:
+            b["method"] = ["block" if split.unwanted(h, p) else "allow" for h, p in zip(b["host"], b["path"], strict=True)]
+            yield b
+
+    return judged.mapInPandas(judge, schema).select("page_id", "host", "path", "rule", F.coalesce("said", "method").alias("verdict"))

@@ -21,18 +21,43 @@ def test_urls(spark):
         assert got[i] == want, u
     assert got[99] == ("", "", None, "allow") and got[None][2] == "org/"
     assert urls.judge_urls(pages.limit(0)).count() == 0
-    assert urls.segment("freecasinobonus") == ("free", "casino", "bonus") and urls.segment("") == () and urls.segment("zqx") == ("zqx",)
+    split = urls.Segmenter({}, 0).segment
+    assert split("freecasinobonus") == ("free", "casino", "bonus") and split("") == () and split("zqx") == ("zqx",)
+
+
+def test_words_of_the_pages_are_learnt(spark):
+    for name in ("uploads", "downloads", "sussex", "essex", "window", "winter", "linkedin", "roads"):
+        assert urls.Segmenter({}, 0).segment(name) == (name,)
+    html = "<html><script>var secret = 1;</script><p class='x'>Whale <b>song</b> whale</p></html>"
+    pages = spark.createDataFrame([(i, "http://whalesong.net/", html) for i in range(50)] + [(90, "http://x.net/", None)], "page_id long, url string, html string")
+    counts, total = urls.unigrams(pages)
+    assert (counts, total) == ({"whale": 100, "song": 50}, 150)
+    assert urls.Segmenter({}, 0).segment("whalesong") == ("whalesong",)
+    assert urls.Segmenter(counts, total).segment("whalesong") == ("whale", "song")
+    assert urls.judge_urls(pages).count() == 51 and urls.unigrams(pages.limit(0)) == ({}, 0)
 
 
 def test_segment_brute_force():
+    own = urls.Segmenter({"new": 50, "news": 900, "sfarm": 2, "farm": 40}, 5_000_000)
+
     def cost(words):
-        return sum(-urls.log(urls._UNIGRAM[w] / urls._TOTAL) if w in urls._UNIGRAM else urls.UNKNOWN_COST + 2 * len(w) for w in words)
+        return sum(own.cost.get(w, own.base + own.letter * len(w)) for w in words)
 
     def splits(s):
         return [[s]] + [[s[:i], *r] for i in range(1, len(s)) for r in splits(s[i:])] if s else [[]]
 
-    for name in ("winfree", "zbetsq", "adsx", "newsfarm"):
-        assert cost(urls.segment(name)) == pytest.approx(min(map(cost, splits(name))))
+    for name in ("winfree", "zbetsq", "adsx", "newsfarm", "newfarms"):
+        assert cost(own.segment(name)) == pytest.approx(min(map(cost, splits(name))))
+
+
+def test_naive_bayes_brute_force():
+    from math import log, prod
+
+    bad, good = (" ".join(x).split() for x in (urls.UNWANTED, urls.WANTED))
+    size = len({*bad, *good})
+    for words in (["free", "casino"], ["city", "news", "free"], ["nothing", "known"], ["ads", "track", "en", "ads"]):
+        chance = [len(names) / 58 * prod((own.count(w) + 1) / (len(own) + size) for w in words if w in {*bad, *good}) for names, own in ((urls.UNWANTED, bad), (urls.WANTED, good))]
+        assert urls.odds(words) == pytest.approx(log(chance[0] / chance[1]))
 
 
 def test_chat(spark):
