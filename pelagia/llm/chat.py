@@ -3,8 +3,9 @@
 Each line of a transcript is emitted by a hidden state: the first or a later
 line of a turn of one role. Its features are the speaker marker it starts with,
 whether a blank line stands before it, its end mark and its length. Transition
-and emission counts come from transcripts whose roles are known (all of them);
-Viterbi then recovers the states, and runs of lines become turns.
+and emission counts come from transcripts whose roles are known, but for a third
+of the conversations, which is held out; Viterbi then recovers the states of
+all, and runs of lines become turns.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 from math import log
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pelagia.llm.scratch import save
@@ -146,7 +147,9 @@ def transcripts(turns: DataFrame) -> DataFrame:
 
     A conversation is cut every ``PART`` turns, so no row grows with it; rows
     repeated under one turn follow each other by role and text, each as often as
-    it is given, and more than ``PART`` of them go to further parts. Leading
+    it is given. A part of more than ``PART`` rows is cut at every turn, and a
+    turn of more, whose rows have no order, by their hash; ``part`` and ``spill``
+    keep the order of turns. Leading
     blank lines and trailing blanks of a text go; all else of it stays. Turns without a non-blank line, with a
     null text, or of an unknown role are no turns. One style leaves the user's
     turns unmarked after the first.
@@ -159,8 +162,12 @@ def transcripts(turns: DataFrame) -> DataFrame:
     rows = rows.withColumn("part", F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / PART))
     many = rows.groupBy(F.col("conv_id").alias("c"), F.col("part").alias("p")).agg(F.sum("times").alias("own"))
     rows = rows.join(many, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")))
+    rows = rows.drop("c", "p")
+    long = rows.where(F.col("own") > PART).groupBy(F.col("conv_id").alias("c"), F.col("turn").alias("u")).agg(F.ceil(F.sum("times") / PART).alias("cuts"))
+    rows = rows.join(long, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("u")), "left").drop("c", "u")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
-    rows = rows.withColumn("spill", F.when(F.col("own") > PART, F.pmod(F.xxhash64("turn", "role", "text", "copy"), F.ceil(F.col("own") / PART))).otherwise(0))
+    turn = F.pmod(F.coalesce("turn", F.lit(-1)), F.lit(PART)).cast("long") + 1
+    rows = rows.withColumn("spill", F.when(F.col("cuts").isNotNull(), turn * (1 << 40) + F.pmod(F.xxhash64("role", "text", "copy"), F.col("cuts"))).otherwise(F.lit(0).cast("long")))
     style = F.pmod(F.xxhash64(F.col("conv_id").cast("string")), F.lit(4))
     named = F.create_map(*[F.lit(x) for k, names in enumerate((("System: ", "User: ", "Assistant: "), ("System: ", "Human: ", "AI: "), ("## Instructions: ", "Q: ", "A: "), ("System: ", "User: ", "Assistant: "))) for r, m in zip(ROLES, names, strict=True) for x in (f"{k}{r}", m)])
     bare = (F.col("style") == 3) & (F.col("role") == "user") & (F.col("turn") > 1)
@@ -192,16 +199,26 @@ def format_chats(raw: DataFrame, model: Model, columns: list[str]) -> DataFrame:
     return raw.select("transcript", *columns).mapInPandas(run, f"{schema}, n_turns long, roles_found array<string>, rendered string")
 
 
+def held_out() -> Column:
+    """Conversations that teach the model nothing; a null conv_id is not held out."""
+    return F.coalesce(F.crc32(F.col("conv_id").cast("string")) % 3 == 1, F.lit(False))
+
+
 def recover_turns(conversations: DataFrame) -> DataFrame:
-    """conv_id, part, spill, n_turns, n_given, same_roles, rendered of every conversation.
+    """conv_id, part, spill, held_out, n_turns, n_given, same_roles, rendered of every conversation.
 
-    Transcripts are written from the turns, the model is fitted on all of them
-    and the roles are recovered from the bare lines. Defined cases: see
-    ``transcripts``; a null conv_id is a conversation of its own; an empty table
-    gives an empty result; extra columns are ignored.
+    Transcripts are written from the turns, the model is fitted on those not
+    held out and the roles of all are recovered from the bare lines. Defined
+    cases: see ``transcripts``; a conversation without usable turns has one row
+    of no turns and an empty text; a null conv_id is a conversation of its own;
+    an empty table gives an empty result; extra columns are ignored.
     """
     small_batches(conversations.sparkSession)
     raw = save(transcripts(conversations))
-    model = fit(raw)
+    model = fit(raw.where(~held_out()))
     out = format_chats(raw, model, ["conv_id", "part", "spill", "roles"])
-    return out.select("conv_id", "part", "spill", "n_turns", F.size("roles").cast("long").alias("n_given"), (F.col("roles") == F.col("roles_found")).alias("same_roles"), "rendered")
+    out = out.select("conv_id", "part", "spill", held_out().alias("held_out"), "n_turns", F.size("roles").cast("long").alias("n_given"), (F.col("roles") == F.col("roles_found")).alias("same_roles"), "rendered")
+    some = raw.select(F.col("conv_id").alias("c")).distinct()
+    none = conversations.select("conv_id").distinct().join(some, F.col("conv_id").eqNullSafe(F.col("c")), "left_anti")
+    zero = F.lit(0).cast("long")
+    return out.unionByName(none.select("conv_id", zero.alias("part"), zero.alias("spill"), held_out().alias("held_out"), zero.alias("n_turns"), zero.alias("n_given"), F.lit(True).alias("same_roles"), F.lit("").alias("rendered")))

@@ -65,8 +65,10 @@ def test_chat(spark):
     rows += [(100, 0, "system", "be kind"), (100, 1, "user", "hi"), (101, 0, "user", None), (102, 0, "robot", "x"), (None, 0, "user", "lost"), (103, None, "user", "when"), (0, 0, "user", "turn 0 of 0?")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumnRenamed("x", "y")
     got = chat.recover_turns(turns).collect()
-    assert {r.conv_id for r in got} == {*range(40), 100, 103, None}
-    assert sum(r.same_roles for r in got) / len(got) > 0.95
+    assert {r.conv_id for r in got} == {*range(40), 100, 101, 102, 103, None}
+    assert [(r.n_turns, r.n_given, r.rendered) for r in got if r.conv_id in (101, 102)] == [(0, 0, "")] * 2
+    judged = [r for r in got if r.held_out]
+    assert len(judged) > 8 and sum(r.same_roles for r in judged) / len(judged) > 0.95
     assert next(r for r in got if r.conv_id == 100).rendered == "<|system|>\nbe kind\n<|end|>\n<|user|>\nhi\n<|end|>\n"
     assert chat.recover_turns(turns.limit(0)).count() == 0
     assert chat.parse("", chat.Model({}, {}, {})) == []
@@ -74,7 +76,7 @@ def test_chat(spark):
 
 def test_chat_keeps_every_row_and_line(spark):
     code = "look:\n\ndef f():\n    if x:\n\n        return 1\n\treturn 2"
-    rows = [(c, t, ("user", "assistant")[t % 2], f"turn {t} of {c}") for c in range(30) for t in range(4)]
+    rows = [(c, t, ("user", "assistant")[t % 2], f"turn {t} of {c}" + "\n\nmore\n    of it" * (t % 2 * 2)) for c in range(30) for t in range(4)]
     rows += [(50, 0, "user", "again")] * 3 + [(50, 1, "assistant", "yes")]
     rows += [(51, None, "user", "same")] * 600
     rows += [(52, 0, "user", "\n \nshow me"), (52, 1, "assistant", code + " \n\n"), (53, 0, "user", "\u00a0"), (53, 1, "assistant", "nul \0 here")]
@@ -88,6 +90,16 @@ def test_chat_keeps_every_row_and_line(spark):
     assert got[53][0].rendered == chat.render([("user", "\u00a0"), ("assistant", "nul \0 here")])
 
 
+def test_long_parts_keep_the_order_of_turns(spark):
+    rows = [(1, t, ("user", "assistant")[t % 2], f"turn {t} copy {k}") for t in range(40) for k in range(9)]
+    rows += [(2, t, ("user", "assistant")[t % 2], f"turn {t}") for t in range(600)]
+    got = chat.transcripts(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).orderBy("conv_id", "part", "spill").collect()
+    for c in (1, 2):
+        own = [r for r in got if r.conv_id == c]
+        said = [int(n) for r in own for n in __import__("re").findall(r"turn (\d+)", r.transcript)]
+        assert said == sorted(said) and len(said) == sum(x[0] == c for x in rows)
+
+
 def test_viterbi_brute_force():
     from itertools import product
 
