@@ -3,14 +3,14 @@
 Each mask looks at 7 of up to 11 consecutive terms and ignores the rest. Under
 some mask and shift a passage of 11 terms or more still hashes alike when the
 verifier accepts its substituted words; shorter items have masks of their own. Hashes of all
-documents meet those of the benchmark; around every hit the two are laid side
-by side and a stretch of ``WORDS`` terms (or the whole item, if shorter) with at
+documents that pass a filter of fixed size are joined with those of the benchmark;
+around every hit the two are laid side by side and a stretch of ``WORDS`` terms (or the whole item, if shorter) with at
 least ``SHARE`` of them equal confirms the overlap.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 from math import ceil
 
@@ -19,9 +19,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from pelagia.llm.words import mix, small_batches, stream, word_table
+from pelagia.llm.scratch import save
+from pelagia.llm.words import WordTable, mix, small_batches, stream, word_table
 
 WORDS, SHARE, LEAST = 13, 0.8, 5
 #: 1 marks a term that counts.
@@ -29,12 +29,13 @@ MASKS = ("11110111", "110011111", "1111010011", "1101110101", "1101001111", "101
 SPAN = 11
 #: Items under so many terms must occur unchanged.
 TOLERANT = 7
-#: Benchmark terms sent to the tasks at a time; a larger benchmark goes in blocks.
-BLOCK_TERMS = 200_000
-_BITS = 22
+#: Terms on either side of a seed that a confirmed stretch which holds it can reach.
+AROUND = WORDS + SPAN
+#: Bound of the filter before the join, as a power of two: 16 MB.
+MOST_BITS = 27
 
 
-def _table(texts: pa.Array):
+def _table(texts: pa.Array) -> WordTable:
     return word_table(pc.utf8_lower(texts.fill_null("")), terms=True)
 
 
@@ -63,35 +64,88 @@ def _seeds(h: np.ndarray, mask: str) -> np.ndarray:
     return mix(out)
 
 
-class _Index:
-    """Seeds of one block of the benchmark: sorted hashes and a bit table before them."""
-
-    def __init__(self, items: list[tuple[int, str]]):
-        t = _table(pa.array([text for _, text in items], pa.string()))
-        self.ids = [i for i, _ in items]
-        self.terms = [t.hash[a:z] for a, z in zip(t.first[:-1], t.first[1:], strict=True)]
-        by_mask: dict[str, list[int]] = {}
-        for n, h in enumerate(self.terms):
-            for mask in masks(len(h)) if len(h) >= LEAST else ():
-                by_mask.setdefault(mask, []).append(n)
-        self.seeds = [(mask, self._sorted([(s, n, p) for n in own for p, s in enumerate(_seeds(self.terms[n], mask))])) for mask, own in sorted(by_mask.items())]
-
-    @staticmethod
-    def _sorted(got: list[tuple[int, int, int]]):
-        hashes = np.array([g[0] for g in got], np.uint64)
-        order = np.argsort(hashes, kind="stable")
-        bits = np.zeros(1 << _BITS, bool)
-        bits[(hashes >> np.uint64(64 - _BITS)).astype(np.int64)] = True
-        return hashes[order], np.array([g[1] for g in got], np.int64)[order], np.array([g[2] for g in got], np.int64)[order], bits
-
-    def hits(self, h: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(place in h, item, place in the item)."""
-        for mask, (hashes, item, place, bits) in self.seeds:
-            seeds = _seeds(h, mask)
-            for p in np.flatnonzero(bits[(seeds >> np.uint64(64 - _BITS)).astype(np.int64)]):
-                a, z = np.searchsorted(hashes, seeds[p]), np.searchsorted(hashes, seeds[p], side="right")
-                for k in range(a, z):
-                    yield int(p), int(item[k]), int(place[k])
+def _inside(t: WordTable, mask: str) -> tuple[np.ndarray, np.ndarray]:
+    """Seeds of a mask over all texts of a table and the first term of each; none crosses texts."""
+    seeds, text = _seeds(t.hash, mask), np.repeat(np.arange(len(t.first) - 1), np.diff(t.first))
+    at = np.flatnonzero(text[: len(seeds)] == text[len(mask) - 1 :]) if len(seeds) else np.zeros(0, np.int64)
+    return seeds[at], at
+
+
+def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each item's seeds under the masks of its own length."""
+    for b in batches:
+        t = _table(b.column("text"))
+        for item, a, z in zip(b.column("item_id").to_pylist(), t.first[:-1], t.first[1:], strict=True):
+            for mask in masks(z - a) if z - a >= LEAST else ():
+                seed = _seeds(t.hash[a:z], mask).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([item] * len(seed), pa.int64()), pa.array(seed), pa.array(np.arange(len(seed), dtype=np.int32)), pa.array([mask] * len(seed))], ["item_id", "seed", "place", "mask"])
+
+
+def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        t = _table(b.column("text"))
+        yield pa.RecordBatch.from_arrays([b.column("item_id"), pa.array([t.hash[a:z].tobytes() for a, z in zip(t.first[:-1], t.first[1:], strict=True)], pa.binary())], ["item", "terms"])
+
+
+def _spots(seed: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits of a filter of 2 ** bits for each seed."""
+    return (seed >> np.uint64(64 - bits)).astype(np.int64), (seed & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def _filter(seeds: DataFrame) -> tuple[int, np.ndarray]:
+    """(bits, a bit for each of two spots of every seed): at most 2 ** MOST_BITS bits, whatever the benchmark."""
+    bits = min(MOST_BITS, max(16, (64 * seeds.count()).bit_length()))
+    spots = [F.shiftrightunsigned("seed", 64 - bits), F.col("seed").bitwiseAND((1 << bits) - 1)]
+    rows = seeds.select(F.explode(F.array(*spots)).alias("s"))
+    words = rows.groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("b"))
+    out, got = np.zeros(1 << (bits - 6), np.int64), words.toArrow()
+    out[got.column("w").to_numpy()] = got.column("b").to_numpy()
+    return bits, out
+
+
+def _set(table: np.ndarray, spot: np.ndarray) -> np.ndarray:
+    return (table[spot >> 6] >> (spot & 63)) & 1 > 0
+
+
+def _hits(sent) -> Callable:
+    """Places of the documents whose seed may be the benchmark's, with the terms around them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, table, used = sent.value
+        for b in batches:
+            t = _table(b.column("text"))
+            found = []
+            for seed, at in (_inside(t, mask) for mask in used):
+                one, two = _spots(seed, bits)
+                some = np.flatnonzero(_set(table, one))
+                some = some[_set(table, two[some])]
+                found.append((seed[some], at[some]))
+            seed, at = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            if not len(seed):
+                continue
+            own = np.searchsorted(t.first, at, side="right") - 1
+            low, high = np.maximum(at - AROUND, t.first[own]), np.minimum(at + AROUND, t.first[own + 1])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column("doc_id").take(pa.array(own)), b.column("text_hash").take(pa.array(own)), pa.array(seed.view(np.int64)), pa.array(at - t.first[own]),
+                    pa.array(low - t.first[own]), pa.array([t.hash[x:y].tobytes() for x, y in zip(low, high, strict=True)], pa.binary()),
+                ],
+                ["doc_id", "text_hash", "seed", "p", "low", "around"],
+            )
+
+    return run
+
+
+def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The confirmed stretch around each hit, if there is one."""
+    for b in batches:
+        start, stop = [], []
+        for p, q, low, around, terms in zip(*(b.column(c).to_pylist() for c in ("p", "place", "low", "around", "terms")), strict=True):
+            got = overlap(np.frombuffer(around, np.uint64), np.frombuffer(terms, np.uint64), p - low - q)
+            start.append(got and got[0] + low)
+            stop.append(got and got[1] + low)
+        out = pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), b.column("item_id"), pa.array(start, pa.int64()), pa.array(stop, pa.int64()), b.column("shift")], ["doc_id", "text_hash", "item_id", "start", "stop", "shift"])
+        yield out.filter(pc.is_valid(out.column("start")))
 
 
 def overlap(own: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int] | None:
@@ -107,39 +161,21 @@ def overlap(own: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int] |
     return (int(a + good[0]), int(a + good[-1] + size)) if len(good) else None
 
 
-def _search(index: _Index):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            t = _table(b.column("text"))
-            best: dict[int, tuple[int, int, int, int]] = {}
-            diagonals = set()
-            for p, item, q in index.hits(t.hash):
-                d = int(np.searchsorted(t.first, p, side="right") - 1)
-                diagonals.add((d, item, p - int(t.first[d]) - q))
-            for d, item, shift in sorted(diagonals):
-                got = overlap(t.hash[t.first[d] : t.first[d + 1]], index.terms[item], shift)
-                if got:
-                    new = (got[0] - got[1], index.ids[item], *got)
-                    best[d] = min(best.get(d, new), new)
-            n = range(len(b))
-            pick = lambda k: pa.array([best[d][k] if d in best else None for d in n], pa.int64())  # noqa: E731,B023
-            arrays = [*b.columns, pick(1), pick(2), pick(3)]
-            yield pa.RecordBatch.from_arrays(arrays, [*b.schema.names, "_item", "_start", "_stop"])
-
-    return run
-
-
-def _blocks(benchmark: DataFrame) -> list[DataFrame]:
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
-    size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = max(1, ceil(size / 2 / BLOCK_TERMS))
-    return [rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k) for k in range(n)]
-
-
-def _searched(docs: DataFrame, block: DataFrame) -> DataFrame:
-    items = [(r.item_id, r.text) for r in block.orderBy("item_id").collect()]
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in ("_item", "_start", "_stop"))])
-    return docs.mapInArrow(_search(_Index(items)), schema)
+def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(k, t, item_id, start, stop): the longest confirmed overlap of every document that has one, by doc_id and hash of its text."""
+    small_batches(docs.sparkSession)
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null").distinct()
+    seeds = save(items.mapInArrow(_item_seeds, "item_id long, seed long, place int, mask string"))
+    used = sorted(r.mask for r in seeds.select("mask").distinct().collect())  # at most all of the masks above
+    sent = docs.sparkSession.sparkContext.broadcast((*_filter(seeds), used))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    hits = keyed.mapInArrow(_hits(sent), "doc_id long, text_hash long, seed long, p long, low long, around binary")
+    met = hits.join(seeds.drop("mask"), "seed").withColumn("shift", F.col("p") - F.col("place"))
+    met = met.join(items.mapInArrow(_item_terms, "item long, terms binary"), F.col("item_id") == F.col("item"))
+    good = met.select("doc_id", "text_hash", "item_id", "p", "place", "low", "around", "terms", "shift").mapInArrow(_confirm, "doc_id long, text_hash long, item_id long, start long, stop long, shift long")
+    whole = good.groupBy("doc_id", "text_hash", "item_id", "shift").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    best = F.min_by(F.struct("item_id", "start", "stop"), F.struct(F.col("start") - F.col("stop"), "item_id", "start"))
+    return whole.groupBy(F.col("doc_id").alias("k"), F.col("text_hash").alias("t")).agg(best.alias("r")).select("k", "t", "r.*")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -148,25 +184,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     item_id is the item of the longest confirmed overlap (then the smallest id).
     Defined cases: null and empty texts are clean; items under ``LEAST`` terms
     are too common to search and match nothing; items under ``TOLERANT`` terms
-    must occur whole and unchanged, those up to ``WORDS`` whole; repeated rows and null ids are kept, each judged by its
-    text; other columns are ignored; an empty benchmark leaves all clean.
+    must occur whole and unchanged, those up to ``WORDS`` whole; repeated rows
+    and null ids are kept, each judged by its text; rows of one item_id are
+    searched each; other columns are ignored; an empty benchmark leaves all
+    clean.
     """
-    small_batches(docs.sparkSession)
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("_row"), "text")
-    found = None
-    for block in _blocks(benchmark):
-        one = _searched(out, block).select("doc_id", "_row", "_item", "_start", "_stop")
-        found = one if found is None else found.unionByName(one)
-    if len(_blocks(benchmark)) > 1:
-        order = F.struct(F.col("_item").isNull(), (F.col("_start") - F.col("_stop")), "_item")
-        found = found.groupBy("_row").agg(F.min_by(F.struct("doc_id", "_item", "_start", "_stop"), order).alias("r")).select("r.*")
-    return found.select("doc_id", F.col("_item").isNotNull().alias("contaminated"), F.col("_item").alias("item_id"), F.col("_start").alias("first_term"), (F.col("_stop") - 1).alias("last_term"))
+    found = overlaps(docs, benchmark)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
+    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("text_hash") == F.col("t")), "left")
+    return rows.select("doc_id", F.col("item_id").isNotNull().alias("contaminated"), "item_id", F.col("start").alias("first_term"), (F.col("stop") - 1).alias("last_term"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, all columns, without a confirmed overlap."""
-    small_batches(docs.sparkSession)
-    names = docs.columns
-    for block in _blocks(benchmark):
-        docs = _searched(docs, block).where("_item is null").select(names)
-    return docs
+    found = overlaps(docs, benchmark)
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["k"]) & (F.xxhash64(docs["text"]) == found["t"]), "left_anti")

@@ -240,33 +240,60 @@ def test_decontamination(spark):
     assert (got[1].item_id, got[1].first_term, got[1].last_term, got[8].item_id) == (10, 30, 69, 11)
     assert {r.doc_id for r in decontam.decontaminate(docs, bench).collect()} == {3, 4, 5, 7, 9}
     assert decontam.contamination(docs, bench.limit(0)).where("contaminated").count() == 0
-    old, decontam.BLOCK_TERMS = decontam.BLOCK_TERMS, 20
-    try:  # a benchmark in several blocks gives the same rows
-        parts = {r.doc_id: r for r in decontam.contamination(docs, bench).collect()}
-    finally:
-        decontam.BLOCK_TERMS = old
-    assert parts == got
+    clash = docs.select("*", *(F.lit(9).alias(c) for c in ("k", "t", "seed", "item_id", "start", "_item")))
+    assert {r.doc_id for r in decontam.contamination(clash, bench).where("contaminated").collect()} == {1, 2, 6, 8, None}
+    assert decontam.decontaminate(clash, bench).columns == clash.columns and decontam.decontaminate(clash, bench).count() == 5
+    assert decontam.contamination(docs.limit(0), bench).count() == 0
 
 
-def test_seeds_reach_all_that_is_verified():
+def _overlaps(own, item):
+    """Brute force: the longest stretch between first and last accepted windows of one diagonal."""
+    size, best = min(decontam.WORDS, len(item)), None
+    for shift in range(-len(item), len(own)) if len(item) >= decontam.LEAST else ():
+        good = [p for p in range(max(shift, 0), min(shift + len(item), len(own)) - size + 1) if sum(own[p + i] == item[p + i - shift] for i in range(size)) >= decontam.need(size)]
+        if good:
+            best = max(best or (0,), (good[-1] + size - good[0],))
+    return best
+
+
+def test_seeds_reach_all_that_is_verified(spark):
     from itertools import combinations
 
+    items, rows, rng = [], [], random.Random(7)
     for size in range(decontam.LEAST, decontam.WORDS + 1):
-        item = [f"t{i}" for i in range(size)]
-        index = decontam._Index([(3, " ".join(item))])
+        item = [f"s{size}t{i}" for i in range(size)]
+        items.append((size, " ".join(item)))
         for k in range(size - decontam.need(size) + 1):
             for gone in combinations(range(size), k):
-                text = ["n1", "n2", *("zz" if i in gone else w for i, w in enumerate(item)), "n3"]
-                own = decontam._table(__import__("pyarrow").array([" ".join(text)])).hash
-                shifts = {p - q for p, _, q in index.hits(own)}
-                assert 2 in shifts and decontam.overlap(own, index.terms[0], 2), (size, gone)
+                rows.append((len(rows), " ".join(["n1", "n2", *("zz" if i in gone else w for i, w in enumerate(item)), "n3"]), size, 2, size))
     # a longer item of which only 13 terms occur, two of them substituted
-    item = [f"t{i}" for i in range(30)]
-    index = decontam._Index([(3, " ".join(item))])
+    item = [f"l{i}" for i in range(30)]
+    items.append((30, " ".join(item)))
     for gone in combinations(range(8, 21), 2):
-        text = ["zz" if i in gone else w for i, w in enumerate(item) if 8 <= i < 21]
-        own = decontam._table(__import__("pyarrow").array([" ".join(["n", *text, "n"])])).hash
-        assert -7 in {p - q for p, _, q in index.hits(own)}
+        rows.append((len(rows), " ".join(["n", *("zz" if i in gone else w for i, w in enumerate(item) if 8 <= i < 21), "n"]), 30, 1, 13))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r for r in decontam.contamination(_docs(spark, [r[:2] for r in rows]), bench).collect()}
+    for i, text, item_id, first, size in rows:
+        # where the ends are substituted the stretch may lie further on
+        assert got[i].item_id == item_id and got[i].last_term - got[i].first_term >= size - 1, text
+        assert item_id == 30 or (got[i].first_term, got[i].last_term) == (first, first + size - 1), text
+
+
+def test_decontamination_brute_force(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(40)]
+    items = [[rng.choice(words) for _ in range(n)] for n in (3, 5, 6, 8, 10, 12, 20, 45)]
+    rows = []
+    for i in range(120):
+        item = rng.choice(items)
+        a = rng.randrange(len(item))
+        part = [w if rng.random() > 0.1 else rng.choice(words) for w in item[a // 2 :]]
+        rows.append((i, " ".join([*(f"n{rng.randrange(900)}" for _ in range(rng.randrange(40))), *part, *(rng.choice(words) for _ in range(rng.randrange(30)))])))
+    bench = spark.createDataFrame([(k, " ".join(item)) for k, item in enumerate(items)], "item_id long, text string")
+    for r in decontam.contamination(_docs(spark, rows), bench).collect():
+        found = [(-got[0], k) for k, item in enumerate(items) if (got := _overlaps(rows[r.doc_id][1].split(), item))]
+        want = min(found, default=None)
+        assert (r.item_id, r.contaminated and r.first_term - r.last_term - 1) == ((want[1], want[0]) if want else (None, False)), rows[r.doc_id]
 
 
 def test_pii(spark):
