@@ -230,15 +230,19 @@ def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _contracted(post: DataFrame, label: DataFrame, cand: DataFrame) -> DataFrame:
-    """``label`` after rounds of comparing the members outside each key's main component with heads inside it.
+    """``label`` after rounds of comparing the members outside a key's main component with heads inside it.
 
+    Asked are the keys of more than ``BLOCK`` members; others fit one block.
     Ends when a round joins less than an eighth of the components that asked.
     """
     spark = post.sparkSession
     turn, asked, joined = 1, 1, 1
     while 8 * joined >= asked:
         at, main = _at(post, label)
-        at = at.join(main.select("token", "main"), "token")
+        large = save(main.where(F.col("size") > BLOCK).select("token", "main"))
+        if large.isEmpty():
+            break
+        at = at.join(large, "token")
         picked = at.groupBy("token").agg(_heads(F.col("component") == F.col("main"), turn).alias("heads"))
         pairs = at.where("component <> main").join(picked, "token").select(F.explode("heads").alias("a"), F.col("node").alias("b")).distinct()
         pairs = save(pairs)
@@ -249,12 +253,10 @@ def _contracted(post: DataFrame, label: DataFrame, cand: DataFrame) -> DataFrame
         joined = joint.agg(F.count_distinct("b")).first()[0]
         if joined:
             label = save(_merged(label, joint))
-        drop(pairs)
-        drop(links)
+        for spent in (pairs, links, large):
+            drop(spent)
         release(spark)
         turn += 1
-        if not asked:
-            break
     return label
 
 
