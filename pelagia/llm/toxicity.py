@@ -86,6 +86,10 @@ def _shrunk(x: np.ndarray, step: np.ndarray) -> np.ndarray:
     return np.sign(x) * np.maximum(np.abs(x) - step, 0)
 
 
+def _small(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
 def train(sets: list[np.ndarray], toxic: np.ndarray) -> Machine:
     """Proximal Adagrad on the weighted logistic loss with an L1 penalty, in batches of a fixed order."""
     rng, n, bad = np.random.default_rng(7), len(sets), float(toxic.sum())
@@ -95,7 +99,7 @@ def train(sets: list[np.ndarray], toxic: np.ndarray) -> Machine:
     parts, active = [], np.zeros(DIMS)
     for rows in np.array_split(rng.permutation(n), max(1, n // BATCH)):
         known, at = np.unique(np.concatenate([sets[i] for i in rows]), return_inverse=True)
-        parts.append((rows, np.repeat(np.arange(len(rows), dtype=np.int32), [len(sets[i]) for i in rows]), known, at.astype(np.int32)))
+        parts.append((rows, _small(np.repeat(np.arange(len(rows)), [len(sets[i]) for i in rows])), known, _small(at)))
         active[known] += 1
     # a slot of few batches is shrunk as much over all of them as any other
     penalty = max(L1, LEAST_ROWS / n) * len(parts) / np.maximum(active, 1)
@@ -129,8 +133,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Callable[[Iterator[pa.RecordBatch
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", F.col("toxic").cast("int"))
     once = rows.mapInArrow(_slot_sets, "toxic int, slots binary").groupBy("slots").agg(F.max("toxic").alias("toxic")).collect()
-    once.sort(key=lambda r: bytes(r.slots))
-    m = train([np.frombuffer(r.slots, "<i4") for r in once], np.array([r.toxic for r in once], float))
+    once.sort(key=lambda r: r.slots)
+    toxic = np.array([r.toxic for r in once], float)
+    sets = [np.frombuffer(r.slots, "<i4") for r in once]
+    del once
+    m = train(sets, toxic)
+    del sets
     # DIMS * (1 + FACTORS) numbers, whatever the input
     sent = docs.sparkSession.sparkContext.broadcast(Machine(m.w0, m.w.astype(np.float32), m.v.astype(np.float32)))
 
