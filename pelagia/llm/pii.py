@@ -9,11 +9,14 @@ stay different, and the key holder can undo it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import secrets
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-DEFAULT_KEY = "rotate-me"
+#: Session setting that holds the secret key.
+KEY_SETTING = "spark.pelagia.pii.key"
 
 #: Characters of a bank account number, by country.
 ACCOUNTS = {
@@ -52,6 +55,19 @@ USUAL = r"^(?=[3-6]|2[2-7])([0-9]{13,19}|[0-9]{4}([ -][0-9]{4}){3}([ -][0-9]{1,3
 HINT = r"[0-9][0-9.)(/ -]{0,3}[0-9]|@|[0-9a-f]{32}"
 
 
+def session_key(spark: SparkSession) -> str:
+    """The secret named by ``spark.pelagia.pii.key``.
+
+    Where it is unset the session gets a random one, so no published value can
+    undo the pseudonyms; they then are linked within this session only.
+    """
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
+
+
 def _q(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -116,6 +132,15 @@ def _date(day: str, pattern: str, match: str, key: str) -> str:
     return f"transform(array({new}), d -> date_format(date_add(date'1900-01-01', cast(d[0] * 271 + d[1] as int)), {_q(pattern)}))[0]"
 
 
+def _date_day_first(day: str, key: str) -> str:
+    """A valid day after the 12th of its month moves among such days, so it can't be read month first: the permutation is repeated until it meets one."""
+    first = f"array(cast({day} div 271 as bigint), cast({day} % 271 as bigint))"
+    step = _feistel("v", "array(270L, 271L)", key)
+    late = "dayofmonth(date_add(date'1900-01-01', cast(v[0] * 271 + v[1] as int))) > 12"
+    new = f"aggregate(sequence(1, 64), transform(array({first}), v -> {step})[0], (v, i) -> if({late}, v, {step}))"
+    return f"transform(array({new}), d -> date_format(date_add(date'1900-01-01', cast(d[0] * 271 + d[1] as int)), 'dd/MM/yyyy'))[0]"
+
+
 def _pseudonym(m: str, key: str) -> str:
     """SQL for the pseudonym of match ``m``; the match itself if it is not valid."""
     number = f"regexp_replace({m}, '[^0-9]', '')"
@@ -130,6 +155,8 @@ def _pseudonym(m: str, key: str) -> str:
     for shape, pattern in ((r"^....-..-..$", "yyyy-MM-dd"), (r"^..../../..$", "yyyy/MM/dd"), (r"^..[.]..[.]....$", "dd.MM.yyyy"), (r"^../../....$", "MM/dd/yyyy")):
         day = f"datediff(cast(try_to_timestamp({m}, {_q(pattern)}) as date), date'1900-01-01')"
         cases.append((f"{m} rlike {_q(shape)} and coalesce({day}, -1) between 0 and 73169", _date(day, pattern, m, key + ":date")))
+    day = f"datediff(cast(try_to_timestamp({m}, 'dd/MM/yyyy') as date), date'1900-01-01')"
+    cases.append((f"{m} rlike '^../../....$' and coalesce({day}, -1) between 0 and 73169", _date_day_first(day, key + ":date")))
     area, group, serial = (f"cast(split_part({m}, '-', {i}) as bigint)" for i in (1, 2, 3))
     valid = f"{m} rlike '^[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}$' and {area} between 1 and 899 and {area} <> 666 and {group} > 0 and {serial} > 0"
     new = _feistel(f"array({area} - if({area} > 666, 2, 1), {group} - 1, {serial} - 1)", "array(898L, 99L, 9999L)", key + ":ssn")
@@ -182,7 +209,14 @@ def _cards(m: str, key: str) -> str:
     return f"transform(array({groups}), g -> transform(array({usual}), u -> aggregate(sequence(1, size(g)), {start}, (s, i) -> {step}, s -> named_struct('t', s.t, 'n', s.n)))[0])[0]"
 
 
-def pseudonymize(docs: DataFrame, *, key: str = DEFAULT_KEY, text: str = "text", count: str | None = None) -> DataFrame:
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
+def pseudonymize(docs: DataFrame, *, key: str, text: str = "text", count: str | None = None) -> DataFrame:
     """docs with every validated number, date, address or secret in ``text`` replaced.
 
     Card numbers keep their first digit and a right Luhn digit, bank account
@@ -192,9 +226,10 @@ def pseudonymize(docs: DataFrame, *, key: str = DEFAULT_KEY, text: str = "text",
     as do those that only stand beside a valid one.
     ``count`` names a column for the number of values replaced. Defined cases:
     null stays null (count 0), empty stays empty, repeated rows are treated
-    alike, all other columns pass through.
+    alike, all other columns pass through, whatever their names; dates of years
+    before 1900 or after 2100-05-01 stay.
     """
-    found, gaps, new = "_pii_found", "_pii_gaps", "_pii_new"
+    found, gaps, new = (_free(docs, n) for n in ("_pii_found", "_pii_gaps", "_pii_new"))
     held = F.col(text).rlike(HINT)
     run = "m rlike '^[0-9][0-9 -]*$' and not m rlike '^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{32,64})$'"
     other = f"transform(array({_pseudonym('m', key)}), t -> named_struct('t', t, 'n', if(t <> m, 1, 0)))[0]"

@@ -20,7 +20,7 @@ def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def op1_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymize(_table(spark, sf_dir, "documents").select("doc_id", "text"), count="n_replaced")
+    return pii.pseudonymize(_table(spark, sf_dir, "documents").select("doc_id", "text"), key=pii.session_key(spark), count="n_replaced")
 
 
 def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:

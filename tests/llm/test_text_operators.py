@@ -299,7 +299,7 @@ def test_decontamination_brute_force(spark):
 def test_pii(spark):
     rows = [(1, "card 4111 1111 1111 1111, 4111111111111111; bad 4111111111111112"), (2, "on 2024-02-29 or 2023-02-30 and 31.12.1999"), (3, "from 10.0.0.255. not 300.1.1.1, ssn 123-45-6789 not 666-45-6789"),
             (4, "me.too@x.org or +1 (743) 555-3824"), (5, "DE89 3704 0044 0532 0130 00"), (6, None), (7, ""), (8, "plain words"), (8, "plain words"), (None, "4111111111111111")]
-    got = pii.pseudonymize(_docs(spark, rows), count="n").collect()
+    got = pii.pseudonymize(_docs(spark, rows), key="k", count="n").collect()
     text = {r.doc_id: r.text for r in got}
     luhn = lambda s: sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(s))) % 10 == 0
     spaced, plain = re.findall(r"\d{4} \d{4} \d{4} \d{4}|\d{16}", text[1])[:2]
@@ -313,15 +313,15 @@ def test_pii(spark):
     assert sum(r.n for r in got) == 2 + 2 + 2 + 2 + 1 + 1
     # a permutation: different values of a small format stay different
     dates = spark.range(2000).select(F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd").alias("text"))
-    assert pii.pseudonymize(dates).distinct().count() == 2000
-    assert pii.pseudonymize(_docs(spark, [])).count() == 0
+    assert pii.pseudonymize(dates, key="k").distinct().count() == 2000
+    assert pii.pseudonymize(_docs(spark, []), key="k").count() == 0
 
 
 def test_pii_beside_other_numbers(spark):
     card, bank = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332"
     texts = [f"{card} 123", f"{card} 12/27", f"3 {card}", f"1 2 3 4 5 6 7 8 {card} 9", f"{card} {card}", f"{bank} EUR", f"{bank} USDT", f"{bank} {card}", f"{bank} {bank}",
              f"{card} 12/31/1999", "7 2024-02-29 1200", "123-456-7890 1234", f"{card} 123-45-6789", "XX98", "j@firm.com", "7@firm.com", "4111111111111111"]
-    got = {r.doc_id: r for r in pii.pseudonymize(_docs(spark, list(enumerate(texts))), count="n").collect()}
+    got = {r.doc_id: r for r in pii.pseudonymize(_docs(spark, list(enumerate(texts))), key="k", count="n").collect()}
     for i, text in enumerate(texts):
         new = got[i].text
         assert len(new) == len(text) and card not in new and bank not in new and "12/31/1999" not in new and "2024-02-29" not in new and "123-45-6789" not in new, new
@@ -331,7 +331,51 @@ def test_pii_beside_other_numbers(spark):
     # equal values keep equal pseudonyms
     plain = got[16].text
     assert {got[i].text.replace(" ", "")[:16] for i in (0, 1, 4)} == {plain}
-    assert pii.pseudonymize(_docs(spark, [(1, "7" * 20000 + " " + card), (2, "12 " * 2000 + card)]), count="n").agg(F.min("n")).first()[0] >= 1
+    assert pii.pseudonymize(_docs(spark, [(1, "7" * 20000 + " " + card), (2, "12 " * 2000 + card)]), key="k", count="n").agg(F.min("n")).first()[0] >= 1
+
+
+def test_pii_keys_dates_and_names(spark):
+    days = [f"{d:02}/{m:02}/{y}" for y in (1999, 2024) for m in range(1, 13) for d in (13, 21, 28)]
+    docs = spark.createDataFrame([(i, d, 1, "x") for i, d in enumerate(days)], "doc_id long, text string, _pii_new int, _PII_gaps string")
+    got = pii.pseudonymize(docs, key="one").collect()
+    new = [r.text for r in got]
+    assert len(set(new)) == len(days) and not set(new) & set(days) and all(re.fullmatch(r"(1[3-9]|2\d|3[01])/(0\d|1[0-2])/\d{4}", d) for d in new)
+    assert {(r["_pii_new"], r["_PII_gaps"]) for r in got} == {(1, "x")} and got[0].asDict().keys() == {"doc_id", "text", "_pii_new", "_PII_gaps"}
+    other = [r.text for r in pii.pseudonymize(docs, key="two").collect()]
+    assert sum(a == b for a, b in zip(new, other, strict=True)) < 3
+    spark.conf.unset(pii.KEY_SETTING)
+    key = pii.session_key(spark)
+    assert len(key) == 64 and pii.session_key(spark) == key
+
+
+def test_feistel_is_undone_by_its_key():
+    """Brute force in plain Python: the rounds run backwards give the value back."""
+    from hashlib import sha256
+
+    def shift(key, r, j, other):
+        return int(sha256(",".join([key, str(r), str(j), ".".join(map(str, other))]).encode()).hexdigest()[:10], 16)
+
+    def forth(v, bases, key):
+        h = len(v) // 2
+        a, b, p, q = v[:h], v[h:], bases[:h], bases[h:]
+        for r in range(1, pii.ROUNDS + 1):
+            a, b, p, q = b, [(x + shift(key, r, j, b)) % p[j] for j, x in enumerate(a)], q, p
+        return a + b
+
+    def back(v, bases, key):
+        h = len(v) // 2
+        a, b, p, q = v[:h], v[h:], bases[:h], bases[h:]
+        for r in range(pii.ROUNDS, 0, -1):
+            a, b, p, q = [(x - shift(key, r, j, a)) % q[j] for j, x in enumerate(b)], a, q, p
+        return a + b
+
+    spark = __import__("pyspark").sql.SparkSession.getActiveSession()
+    for bases in ([10] * 4, [26, 10, 10, 26, 26], [270, 271]):
+        rows = [[(i * 7 + k * 3) % b for k, b in enumerate(bases)] for i in range(40)]
+        sql = pii._feistel("v", "array(" + ",".join(f"{b}L" for b in bases) + ")", "k1")
+        for r in spark.createDataFrame([(x,) for x in rows], "v array<bigint>").select("v", F.expr(sql).alias("n")).collect():
+            # half of an odd number of places swaps sizes each round; an even number of rounds restores them
+            assert r.n == forth(r.v, bases, "k1") and back(r.n, bases, "k1") == r.v
 
 
 def test_mixing(spark):
