@@ -31,7 +31,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def hide_persons(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal values become pseudonyms; n_chars follows the text."""
-    new = pii.pseudonymize(docs)
+    new = pii.pseudonymize(docs, key=pii.session_key(spark))
     return new.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
