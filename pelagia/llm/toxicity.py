@@ -125,6 +125,15 @@ def train(sets: list[np.ndarray], toxic: np.ndarray) -> Machine:
     return m
 
 
+def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sets, toxic = [], []
+    for b in batches:
+        sets += [np.frombuffer(x, "<i4") for x in b.column("slots").to_pylist()]
+        toxic += b.column("toxic").to_pylist()
+    m = train(sets, np.array(toxic, float))
+    yield pa.RecordBatch.from_arrays([pa.array([m.w0]), *(pa.array([x.astype(np.float32).tobytes()], pa.binary()) for x in (m.w, m.v))], ["w0", "w", "v"])
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A scorer of Arrow batches (doc_id, text), learnt from labels (doc_id, toxic)."""
     small_batches(docs.sparkSession)
@@ -132,15 +141,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Callable[[Iterator[pa.RecordBatch
     # at most TRAIN_ROWS rows of two numbers: small enough to send to every task
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", F.col("toxic").cast("int"))
-    once = rows.mapInArrow(_slot_sets, "toxic int, slots binary").groupBy("slots").agg(F.max("toxic").alias("toxic")).collect()
-    once.sort(key=lambda r: r.slots)
-    toxic = np.array([r.toxic for r in once], float)
-    sets = [np.frombuffer(r.slots, "<i4") for r in once]
-    del once
-    m = train(sets, toxic)
-    del sets
-    # DIMS * (1 + FACTORS) numbers, whatever the input
-    sent = docs.sparkSession.sparkContext.broadcast(Machine(m.w0, m.w.astype(np.float32), m.v.astype(np.float32)))
+    once = rows.mapInArrow(_slot_sets, "toxic int, slots binary").groupBy("slots").agg(F.max("toxic").alias("toxic"))
+    # at most TRAIN_ROWS rows: one task learns from them, and only the machine passes the driver
+    model = once.coalesce(1).sortWithinPartitions("slots").mapInArrow(_learn, "w0 double, w binary, v binary").first()
+    if model is None:
+        m = train([], np.zeros(0))
+    else:
+        m = Machine(model.w0, np.frombuffer(model.w, np.float32), np.frombuffer(model.v, np.float32).reshape(FACTORS, DIMS))
+    sent = docs.sparkSession.sparkContext.broadcast(m)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
