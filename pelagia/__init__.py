@@ -1 +1,3 @@
-"""Pelagia: instrument-record normalisation as Spark jobs."""
+"""Instrument-record normalisation and training-data operators on Spark."""
+
+__version__ = "0.2.0"

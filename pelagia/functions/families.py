@@ -49,6 +49,10 @@ EVENTS = (
     ("upload_batch", r"(?i)^Upload data files\.\.\.$", {}, 0),
 )
 EVENT_FIELDS = tuple(dict.fromkeys(f for _, _, fields, _ in EVENTS for f in fields))
+#: The kinds that have each payload field; other kinds lack its key in JSON.
+KINDS_OF = {f: tuple(kind for kind, _, fields, _ in EVENTS if f in fields) for f in EVENT_FIELDS} | {
+    "referenced_artifact": tuple(kind for kind, _, _, group in EVENTS if group), "command_name": ("command",), "command_payload": ("command",),
+}
 FAMILIES = ("acquisition", "ascent_request", "gps", "pressure_temperature", "battery")
 
 
@@ -146,7 +150,11 @@ def matches(message: Column) -> Column:
 
 def classify(message: Column) -> Column:
     """The one family that fits, 'unclassified' for none; two or more fail the job."""
-    found = matches(message)
+    return classified(matches(message), message)
+
+
+def classified(found: Column, message: Column) -> Column:
+    """``classify`` for an array of matches that is a column already, so that its patterns run once."""
     clash = F.raise_error(F.concat(F.lit("line fits several families: "), F.array_join(found, ", "), F.lit(": "), message)).cast("string")
     return F.when(F.size(found) == 0, "unclassified").when(F.size(found) == 1, found[0]).otherwise(clash)
 

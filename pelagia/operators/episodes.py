@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pelagia.functions.families import COMMAND, event_kind
+from pelagia.functions.families import COMMAND, EVENT_FIELDS, event_kind, event_payload
 from pelagia.functions.lines import strip
 
 #: Subsystems and messages that steer the grouping.
@@ -155,7 +155,9 @@ def iridium_sessions(episodes: DataFrame) -> DataFrame:
     """Adds session_kind, iridium_events and iridium_event_count to Iridium episodes."""
     def event(x: Column) -> Column:
         kind = event_kind(x["message"])
-        return F.struct(x["line_number"].alias("source_line_number"), x["record_time"].alias("record_time"), x["time_text"].alias("log_epoch_time"), x["subsystem"].alias("subsystem"), x["code"].alias("code"), x["message"].alias("message"), kind.alias("iridium_event_kind"), x["raw_line"].alias("raw_line"))
+        payload = event_payload(x["message"], kind)
+        own = [payload[f].alias(f) for f in (*EVENT_FIELDS, "referenced_artifact", "command_name", "command_payload")]
+        return F.struct(x["line_number"].alias("source_line_number"), x["record_time"].alias("record_time"), x["time_text"].alias("log_epoch_time"), x["subsystem"].alias("subsystem"), x["code"].alias("code"), x["message"].alias("message"), kind.alias("iridium_event_kind"), *own, x["raw_line"].alias("raw_line"))
 
     rows = episodes.where("episode = 'iridium'").withColumn("iridium_events", F.transform(F.filter("lines", lambda x: x["tagged"]), event))
     explicit = F.exists("iridium_events", lambda e: e["iridium_event_kind"] == "session_start")

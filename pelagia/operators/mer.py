@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pelagia.functions.lines import format_time, parse_time, strip
 
@@ -158,6 +159,56 @@ def events(files: DataFrame) -> DataFrame:
     return files.select("source_path", "content").mapInPandas(run, "source_path string, event_pos long, info_line string, format_line string, payload binary, error string")
 
 
+#: Attributes that must be numbers, times or yes and no, where they are given.
+_INFO_TYPES = {"DATE": "time", **dict.fromkeys(("PRESSURE", "TEMPERATURE", "CRITERION", "SNR"), "double"), "TRIG": "long", "DETRIG": "long"}
+_FORMAT_TYPES = {"BYTES_PER_SAMPLE": "long", "SAMPLING_RATE": "double", "STAGES": "long", "NORMALIZED": "bool", "LENGTH": "long"}
+
+
+def typed(value: Column, kind: str) -> Column:
+    """An attribute's text as long, finite double, YES or NO, or time; null if it is none."""
+    if kind == "bool":
+        return F.when(F.upper(value) == "YES", True).when(F.upper(value) == "NO", False)
+    if kind == "time":
+        return parse_time(value)
+    number = value.try_cast(kind)
+    return F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number) if kind == "double" else number
+
+
+def judged(framed: DataFrame, *, strict: bool) -> DataFrame:
+    """``framed`` with block_kind and error of events that can't be records.
+
+    An event without INFO is one of them, but not in strict mode.
+    """
+    checks = [(F.col("error").isNotNull(), "event_data", F.col("error"))]
+    if not strict:
+        checks.append((F.col("info_line").isNull(), "event_info", F.lit("missing INFO tag")))
+    for line, kind, types in (("info_line", "event_info", _INFO_TYPES), ("format_line", "event_format", _FORMAT_TYPES)):
+        attrs = attributes(F.coalesce(line, F.lit("")))
+        checks += [(attrs[k].isNotNull() & typed(attrs[k], t).isNull(), kind, F.lit(f"unparseable {k}")) for k, t in types.items()]
+    kind, error = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for bad, name, said in reversed(checks):
+        kind, error = F.when(bad, name).otherwise(kind), F.when(bad, said).otherwise(error)
+    return framed.withColumns({"block_kind": kind, "error": error})
+
+
+def odd_metadata(lines: DataFrame) -> DataFrame:
+    """(source_path, block_index, block_kind, raw_block, error): metadata lines that are no tag, and repeated sections."""
+    no_tag = lines.where(~tag_line()).select("source_path", F.lit(None).cast("long").alias("block_index"), F.col("section").alias("block_kind"), F.col("line").alias("raw_block"), F.concat(F.lit("malformed "), "section", F.lit(" tag line")).alias("error"))
+    again = lines.where("body_pos > 0").select("source_path", F.col("body_pos").cast("long").alias("block_index"), F.lit("repeated_metadata_section").alias("block_kind"), F.lit(None).cast("string").alias("raw_block"), F.concat(F.lit("repeated complete "), "section", F.lit(" section kept in the records")).alias("error")).distinct()
+    return no_tag.unionByName(again)
+
+
+def tag_line() -> Column:
+    return F.col("line").rlike(r"^<.*/>$")
+
+
+def hopeless(files: DataFrame) -> DataFrame:
+    """(source_path, error) of files that hold neither a complete section nor an event."""
+    text = F.decode("content", "ISO-8859-1")
+    found = text.rlike(r"(?s)<(ENVIRONMENT|PARAMETERS)>.*?</\1>") | text.contains("<EVENT>")
+    return files.where(~found).select("source_path", F.lit("no MER section or event").alias("error"))
+
+
 def event_records(framed: DataFrame, params: DataFrame, env: DataFrame) -> DataFrame:
     """Event rows with payload accounting; unknown keys fail the job.
 
@@ -165,7 +216,9 @@ def event_records(framed: DataFrame, params: DataFrame, env: DataFrame) -> DataF
     STANFORD and it has exactly one such parameter line.
     """
     info, form = attributes(F.coalesce("info_line", F.lit(""))), attributes(F.coalesce("format_line", F.lit("")))
-    rows = framed.where("error is null").withColumns({"_info": info, "_format": form})
+    # events that became records are counted from 0 in each file
+    by = Window.partitionBy("source_path").orderBy("event_pos")
+    rows = framed.where("error is null").withColumn("block_index", (F.row_number().over(by) - 1).cast("long")).withColumns({"_info": info, "_format": form, "event_index": F.col("block_index")})
     odd = F.concat(F.array_except(F.map_keys("_info"), F.array(*map(F.lit, INFO_KEYS))), F.array_except(F.map_keys("_format"), F.array(*map(F.lit, FORMAT_KEYS))))
     checked = F.when(F.size(odd) == 0, F.col("source_path")).otherwise(F.raise_error(F.concat(F.lit("unknown keys in "), F.col("source_path"), F.lit(": "), F.array_join(odd, ", "))).cast("string"))
     rows = rows.withColumn("source_path", checked)
@@ -176,4 +229,5 @@ def event_records(framed: DataFrame, params: DataFrame, env: DataFrame) -> DataF
     rows = rows.withColumns(names | {"date": date, "event_info_date": date, "event_rounds": F.col("_info")["ROUNDS"], "expected_payload_nbytes": expected, "encoded_payload_byte_count": size, "data_payload_nbytes": size, "payload_length_matches_expected": size == expected, "encoded_payload": F.translate(F.base64("payload"), "\r\n", "")})
     stanford = env.where("software like '%STANFORD%'").select("source_path").distinct()
     own = params.where("parameter_kind = 'stanford_process'").groupBy("source_path").agg(F.count("*").alias("n"), F.first(F.struct(*(F.col(f"stanford_process_{c}").alias(c) for c in ("duration_h", "period_h", "window_len", "window_type", "overlap_percent", "db_offset")), F.col("line").alias("raw_parameter_line"))).alias("stanford_psd_processing")).where("n = 1").drop("n")
-    return rows.drop("_info", "_format", "error").join(own.join(stanford, "source_path", "left_semi"), "source_path", "left")
+    rows = rows.withColumnsRenamed({"info_line": "raw_info_line", "format_line": "raw_format_line"})
+    return rows.drop("_info", "_format", "error", "block_kind").join(own.join(stanford, "source_path", "left_semi"), "source_path", "left")

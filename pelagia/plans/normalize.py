@@ -1,112 +1,323 @@
-"""A normalisation run: raw files to record families, quarantine, state and manifests."""
+"""A normalisation run: raw files to record families, quarantine, state and manifests.
+
+A run reads what changed, parses it once into a staging table, writes the
+families of the instruments concerned and only then its state. If it breaks off,
+the instruments it had begun are written anew by the next run.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.functions.families import FAMILIES, classify, event_kind, family_fields
+from pelagia import __version__
+from pelagia.functions.families import FAMILIES, KINDS_OF, PRESSURE_FIELDS, classified, event_kind, family_fields, matches
 from pelagia.functions.lines import explode_lines, log_epoch_time, parse_lines
 from pelagia.operators import mer
 from pelagia.operators.episodes import build_episodes, ctd_samples, group_episodes, iridium_sessions
-from pelagia.operators.state import actions, diff_sources, paths_for, snapshot_id
-from pelagia.sources.files import authoritative, discover, identify
+from pelagia.operators.state import actions, diff_sources, invalidated, paths_for, snapshot_id
+from pelagia.plans import manifests
+from pelagia.sources.files import authoritative, belonging_to, decoded_owner, discover, identify, instrument, serial_from_log, vit_names
 
 SINGLE = (*FAMILIES, "unclassified")
 GROUPED = ("parameter", "testmode", "ctd", "iridium")
+LOG_FAMILIES = tuple(f"log_{f}" for f in (*SINGLE, *GROUPED))
+MER_FAMILIES = ("mer_environment", "mer_parameter", "mer_event")
+QUARANTINE = ("malformed_log_lines", "untimed_log_episodes", "malformed_mer_blocks", "skipped_files")
+#: Turns BIN files (source_path, prefix, stem, content, ...) into LOG files (prefix, stem, content).
+Decoder = Callable[[DataFrame], DataFrame]
+#: Columns that begin every row, and those of an episode.
+PREFIX = ("instrument_id", "instrument_serial", "records_version", "source_file", "source_id", "source_sha256")
+_EPISODE = ("source_path", "episode_index", "line_start_index", "line_end_index", "source_line_numbers", "start_record_time", "end_record_time", "start_log_epoch_time", "end_log_epoch_time", "raw_lines")
 
 
 @dataclass
 class LogTables:
     families: dict[str, DataFrame]
     malformed: DataFrame
+    untimed: DataFrame
     lines: DataFrame
 
 
-def log_tables(files: DataFrame) -> LogTables:
-    """The ten LOG families and the malformed lines of ``files`` (source_path, content, ...)."""
-    grouped = group_episodes(parse_lines(explode_lines(files)))
-    ordinary = grouped.where("episode is null and not is_blank")
+@dataclass
+class MerTables:
+    families: dict[str, DataFrame]
+    quarantine: DataFrame
+    skipped: DataFrame
+
+
+def grouped_lines(files: DataFrame) -> DataFrame:
+    """Every line of ``files`` (source_path, content, ...) parsed, in its episode, with its family; this is all that the log tables read."""
+    rows = group_episodes(parse_lines(explode_lines(files.select("source_path", "content"))))
+    ordinary = F.col("episode").isNull() & ~F.col("is_blank")
     fine = (F.col("tagged") | F.col("rollover_target").isNotNull()) & F.col("record_time").isNotNull()
-    malformed = ordinary.where(~fine).select("source_path", "line_number", "raw_line")
-    rows = ordinary.where(fine)
+    rows = rows.withColumn("_found", F.when(ordinary & fine & F.col("tagged"), matches(F.col("message"))))
+    family = F.when(ordinary & ~fine, "malformed").when(ordinary & F.col("tagged"), classified(F.col("_found"), F.col("message"))).when(ordinary, "unclassified")
+    return rows.withColumn("family", family).drop("_found")
+
+
+def log_tables(files: DataFrame) -> LogTables:
+    """The ten LOG families and what is in none of them, of ``files`` (source_path, content, ...)."""
+    return tables_of(grouped_lines(files))
+
+
+def tables_of(lines: DataFrame) -> LogTables:
+    """``log_tables`` of lines that ``grouped_lines`` made."""
+    malformed = lines.where("family = 'malformed'").select("source_path", "line_number", "raw_line", F.lit("no tagged, parameter or rollover line with a time").alias("error"))
+    rows = lines.where("family is not null and family <> 'malformed'")
     rows = rows.withColumns({"subsystem": F.when(F.col("tagged"), F.col("subsystem")).otherwise("ROLLOVER"), "message": F.coalesce("message", F.expr("substring(raw_line, instr(raw_line, ':') + 1)"))})
-    rows = rows.withColumn("family", F.when(F.col("tagged"), classify(F.col("message"))).otherwise("unclassified"))
     tables = {}
     for family in SINGLE:
-        own = rows.where(F.col("family") == family).withColumns(family_fields(family, F.col("message")))
-        tables[f"log_{family}"] = own.select("source_path", F.lit("log").alias("source_container"), "record_time", log_epoch_time(F.col("raw_line")).alias("log_epoch_time"), "subsystem", "code", "message", F.col("line_number").alias("source_line_number"), *family_fields(family, F.col("message")), "raw_line")
-    episodes = build_episodes(grouped)
+        fields = family_fields(family, F.col("message"))
+        own = rows.where(F.col("family") == family).withColumns(fields)
+        tables[f"log_{family}"] = own.select("source_path", F.lit("log").alias("source_container"), "record_time", log_epoch_time(F.col("raw_line")).alias("log_epoch_time"), "subsystem", "code", "message", F.col("line_number").alias("source_line_number"), *fields, "raw_line")
+    episodes = build_episodes(lines)
     # an episode without one parseable time is kept apart, not fatal
     timed = episodes.where("start_record_time is not null")
-    base = ["source_path", "episode_index", "line_start_index", "line_end_index", "source_line_numbers", "start_record_time", "end_record_time", "start_log_epoch_time", "end_log_epoch_time", "raw_lines"]
+    untimed = episodes.where("start_record_time is null").select("source_path", "episode", "episode_index", "source_line_numbers", "raw_lines", F.lit("no parseable time").alias("error"))
     for family in ("parameter", "testmode"):
-        tables[f"log_{family}"] = timed.where(F.col("episode") == family).select(base)
-    tables["log_ctd"] = ctd_samples(timed).select(*base, "ctd_sample_count", "ctd_samples")
-    tables["log_iridium"] = iridium_sessions(timed).select(*base, "session_index", "session_kind", "iridium_event_count", "iridium_events")
-    return LogTables(tables, malformed, rows)
+        tables[f"log_{family}"] = timed.where(F.col("episode") == family).select(*_EPISODE)
+    tables["log_ctd"] = ctd_samples(timed).select(*_EPISODE, "ctd_sample_count", "ctd_samples")
+    tables["log_iridium"] = iridium_sessions(timed).select(*_EPISODE, F.lit("log").alias("source_container"), "session_index", "session_kind", "iridium_event_count", "iridium_events")
+    return LogTables(tables, malformed, untimed, rows)
 
 
-def mer_tables(files: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
-    """The three MER families and the quarantined blocks."""
-    lines = mer.sections(files)
-    env, par, framed = mer.environment(lines), mer.parameters(lines), mer.events(files)
-    return {"mer_environment": env, "mer_parameter": par, "mer_event": mer.event_records(framed, par, env)}, framed.where("error is not null")
+def mer_tables(files: DataFrame, *, strict: bool = False) -> MerTables:
+    """The three MER families, the quarantined blocks and the files that hold nothing.
+
+    ``strict`` keeps odd metadata lines and events without INFO as records and
+    fails the job on any other block that can't be one.
+    """
+    lines, framed = mer.sections(files), mer.judged(mer.events(files), strict=strict)
+    bad = framed.where("error is not null").select("source_path", F.col("event_pos").alias("block_index"), "block_kind", F.concat_ws("\n", "info_line", "format_line").alias("raw_block"), "error")
+    if strict:
+        said = F.concat(F.lit("malformed MER block in "), F.col("source_path"), F.lit(": "), F.col("error"))
+        framed = framed.withColumn("event_pos", F.when(F.col("error").isNull(), F.col("event_pos")).otherwise(F.raise_error(said).cast("long"))).where("event_pos >= 0")
+        good, quarantine = lines, bad.limit(0)
+    else:
+        good, quarantine = lines.where(mer.tag_line()), bad.unionByName(mer.odd_metadata(lines))
+    env, par = mer.environment(good), mer.parameters(good)
+    own = lambda df: df.withColumn("source_container", F.lit("mer"))
+    tables = {"mer_environment": own(env), "mer_parameter": own(par), "mer_event": own(mer.event_records(framed, par, env))}
+    return MerTables(tables, quarantine, mer.hopeless(files))
 
 
 def unassigned(tables: LogTables, lines: DataFrame) -> DataFrame:
-    """Source lines that are in no family and not malformed, or in more than one: must be empty."""
+    """Source lines that are in no table, or in more than one: must be empty."""
     seen = tables.malformed.select("source_path", "line_number")
-    for name, t in tables.families.items():
+    for t in (*tables.families.values(), tables.untimed):
         own = t.select("source_path", F.explode("source_line_numbers").alias("line_number")) if "source_line_numbers" in t.columns else t.select("source_path", F.col("source_line_number").alias("line_number"))
         seen = seen.unionByName(own)
     times = seen.groupBy("source_path", "line_number").agg(F.count("*").alias("n"))
     return lines.join(times, ["source_path", "line_number"], "left").where("coalesce(n, 0) <> 1 and not (n is null and is_blank)")
 
 
-def normalize(spark: SparkSession, root: str, out: str, previous: DataFrame | None = None, *, force: bool = False, dry_run: bool = False) -> DataFrame:
+def _fail_on(rows: DataFrame, what: str, place: Column) -> None:
+    """Ends the run with up to three examples if there are rows."""
+    some = [r.p for r in rows.select(place.alias("p")).limit(3).collect()]
+    if some:
+        raise ValueError(f"{what}: {'; '.join(some)}")
+
+
+def sources(spark: SparkSession, root: str | list[str], out: str | None = None) -> DataFrame:
+    """Every source with its instrument."""
+    folder = root if isinstance(root, str) else None
+    files = discover(spark, root)
+    heads = explode_lines(files.where("source_kind = 'log'").select("source_path", "content")).where("line_number <= 32")
+    previous = None
+    if out is not None and manifests.exists(spark, f"{out}/manifests/source_state"):
+        name = F.split_part(F.element_at(F.split("source_file", "/"), -1), F.lit("_"), F.lit(1))
+        previous = manifests.latest_state(spark, out).groupBy(F.regexp_replace(name, r"\.[^.]+$", "").alias("prefix")).agg(F.max("instrument_serial").alias("serial"))
+    return identify(files, vit_names(spark, folder) if folder else None, folder or "", previous, serial_from_log(heads))
+
+
+def _state(files: DataFrame, root: str | list[str], fingerprint: str | None) -> DataFrame:
+    where = root if isinstance(root, str) else ""
+    return files.select(
+        "instrument_serial", F.col("source_path").alias("source_file"), "source_kind", "size_bytes", F.col("source_sha256").alias("content_hash"),
+        F.lit(where).alias("input_root"), F.lit(__version__).alias("normalization_version"), F.lit(fingerprint).cast("string").alias("decoder_fingerprint"),
+    )
+
+
+def _owned(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """``rows`` with the columns that begin every record."""
+    named = F.coalesce(instrument(F.col("instrument_serial"))["instrument_id"], F.col("instrument_serial"))
+    own = files.select("source_path", named.alias("instrument_id"), "instrument_serial", F.lit(__version__).alias("records_version"), "source_file", "source_id", "source_sha256")
+    joined = rows.join(own, "source_path")
+    return joined.select(*PREFIX, *(c for c in joined.columns if c not in PREFIX))
+
+
+def _publish(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """Appends by instrument; a table without any row keeps its schema as a file of no rows."""
+    rows.write.mode("append").partitionBy("instrument_serial").parquet(path)
+    if not manifests.exists(spark, f"{path}/instrument_serial=none"):
+        rows.limit(0).drop("instrument_serial").coalesce(1).write.mode("overwrite").parquet(f"{path}/instrument_serial=none")
+
+
+def normalize(
+    spark: SparkSession, root: str | list[str], out: str, previous: DataFrame | None = None, *, force: bool = False, dry_run: bool = False, strict: bool = False,
+    serial: str | None = None, decoder: Decoder | None = None, fingerprint: str | None = None, manifest: bool = True,
+) -> DataFrame:
     """Read what changed below ``root``, write one table per family below ``out``.
 
-    Only the families of an instrument whose sources changed are touched.
+    ``root`` is a folder, whose state is kept from run to run, or a list of
+    files, which has none. Only the families of an instrument whose sources
+    changed are touched; a rewritten family keeps nothing of before.
+    ``previous`` stands for the state kept in ``out``; ``serial`` limits the run
+    to one instrument. A BIN file needs a ``decoder``, whose ``fingerprint``
+    names its version; without one BIN files are listed as skipped and LOG
+    files of the same name are read instead. ``strict`` ends the run at the
+    first malformed line, episode or block, which otherwise go to the quarantine.
     Returns the difference with its action per file; ``dry_run`` writes nothing.
     """
-    files = identify(authoritative(discover(spark, root)))
-    current = files.select("instrument_serial", F.col("source_path").alias("source_file"), "source_kind", "size_bytes", F.col("source_sha256").alias("content_hash"))
-    before = previous if previous is not None else current.limit(0)
-    diff = diff_sources(before, current)
-    plan = actions(diff, force=force)
-    chosen = paths_for(diff, plan)
-    if not dry_run:
-        own = files.join(chosen.select(F.col("source_file").alias("source_path"), "action"), "source_path")
-        made = log_tables(own.where("source_kind = 'log'")).families | mer_tables(own.where("source_kind = 'mer'"))[0]
-        names = own.select("source_path", "instrument_serial", "source_id")
-        for family, table in made.items():
-            rows = table.join(names, "source_path")
-            for action, mode in (("rewrite", "overwrite"), ("append", "append")):
-                part = rows.join(own.where(F.col("action") == action).select("source_path"), "source_path", "left_semi")
-                if not part.isEmpty():
-                    part.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("instrument_serial").parquet(f"{out}/{family}")
-        current.write.mode("overwrite").parquet(f"{out}/state")
-    return diff.join(plan.select("instrument_serial", "family", "action"), "instrument_serial")
+    if not isinstance(root, str) and manifests.exists(spark, f"{out}/manifests"):
+        raise ValueError(f"{out} holds the state of runs over a folder; files alone need another output")
+    found = sources(spark, root, out)
+    if serial is not None:
+        found = belonging_to(found, serial)
+    bins = found.where("source_kind = 'bin'")
+    files = authoritative(found) if decoder is not None else found.where("source_kind <> 'bin'")
+    current = _state(files, root, fingerprint)
+    kept = manifests.latest_state(spark, out) if previous is None else previous
+    if serial is not None:
+        kept = kept.where(F.col("instrument_serial") == serial)
+    failed = manifests.latest_runs(spark, out).where("status <> 'success'")
+    spoilt = invalidated(kept, current, failed) if set(current.columns) <= set(kept.columns) else None
+    diff = diff_sources(kept, current)
+    plan = actions(diff, force=force, spoilt=spoilt)
+    family = F.when(F.col("source_kind") == "mer", "mer").otherwise("log")
+    told = diff.withColumn("family", family).join(plan.select("instrument_serial", "family", "action"), ["instrument_serial", "family"])
+    if dry_run:
+        return told
+    run_id, began = manifests.new_run_id(), manifests.now()
+    manifests.append(told.withColumn("run_id", F.lit(run_id)), out, "diffs")
+    told = manifests.table(spark, out, "diffs").where(F.col("run_id") == run_id)
+    plan = told.select("instrument_serial", "family", "action").distinct()
+    # one short row an instrument and family
+    todo = [r for r in plan.where("action <> 'noop'").collect()]
+    error = None
+    try:
+        if todo:
+            _write(spark, out, run_id, files, bins, told, plan, todo, strict=strict, decoder=decoder)
+    except Exception as broke:
+        error = str(broke)[:2000]
+        raise
+    finally:
+        touched = plan.select("instrument_serial").distinct()
+        _finish(spark, out, run_id, began, root, touched, current, told, error)
+        manifests.remove(spark, f"{out}/_staging/{run_id}")
+    if manifest:
+        manifests.write_root_manifest(spark, out, root if isinstance(root, str) else None)
+    return told.drop("run_id")
+
+
+def _write(spark: SparkSession, out: str, run_id: str, files: DataFrame, bins: DataFrame, told: DataFrame, plan: DataFrame, todo: list, *, strict: bool, decoder: Decoder | None) -> None:
+    staging = f"{out}/_staging/{run_id}"
+    chosen = paths_for(told.drop("family", "action"), plan).select(F.col("source_file").alias("source_path"))
+    own = files.join(chosen, "source_path", "left_semi")
+    logs = own.where("source_kind = 'log'").select("source_path", "content")
+    if decoder is not None:
+        read = own.where("source_kind = 'bin'")
+        logs = logs.unionByName(decoded_owner(decoder(read), read).select(F.col("bin_path").alias("source_path"), "content"))
+    # parsed once, read by every family
+    grouped_lines(logs).write.parquet(f"{staging}/lines")
+    lines = spark.read.parquet(f"{staging}/lines")
+    log, mers = tables_of(lines), mer_tables(own.where("source_kind = 'mer'"), strict=strict)
+    _fail_on(unassigned(log, lines), "lines in no table or in several", F.concat_ws(":", "source_path", "line_number"))
+    skipped = mers.skipped
+    if decoder is None:
+        skipped = skipped.unionByName(bins.select("source_path", F.lit("no decoder for BIN files").alias("error")))
+    aside = {"malformed_log_lines": log.malformed, "untimed_log_episodes": log.untimed, "malformed_mer_blocks": mers.quarantine, "skipped_files": skipped.withColumn("skipped_at", F.lit(manifests.now()))}
+    if strict:
+        for name in QUARANTINE[:2]:
+            _fail_on(aside[name], f"{name.replace('_', ' ')} in a strict run", F.concat_ws(" ", "source_path", "error", F.col("raw_line") if "raw_line" in aside[name].columns else F.lit("")))
+    again = {(r.instrument_serial, r.family) for r in todo if r.action == "rewrite"}
+    for name, table in (log.families | mers.families).items():
+        for serial, family in again:
+            if name.startswith(family):
+                manifests.remove(spark, f"{out}/{name}/instrument_serial={serial}")
+        _publish(spark, _owned(table, files), f"{out}/{name}")
+    everything = files.unionByName(bins) if decoder is None else files
+    for name, table in aside.items():
+        for serial, family in again:
+            if family in name or name == "skipped_files":
+                manifests.remove(spark, f"{out}/quarantine/{name}/instrument_serial={serial}")
+        _publish(spark, _owned(table, everything).withColumn("run_id", F.lit(run_id)), f"{out}/quarantine/{name}")
+
+
+def _finish(spark: SparkSession, out: str, run_id: str, began: str, root: str | list[str], touched: DataFrame, current: DataFrame, told: DataFrame, error: str | None) -> None:
+    """State, counts and journal of a run; what failed is only recorded as such."""
+    named = lambda df: df.withColumn("run_id", F.lit(run_id))
+    if error is None:
+        gone = told.where("change_kind = 'removed'").withColumn("removed_at", F.lit(manifests.now()))
+        manifests.append(gone, out, "pruned")
+        manifests.append(named(current), out, "source_state")
+        counts = None
+        for family in (*LOG_FAMILIES, *MER_FAMILIES):
+            if manifests.exists(spark, f"{out}/{family}"):
+                one = read_family(spark, out, family).groupBy("instrument_serial").agg(F.count("*").alias("n_rows")).withColumn("family", F.lit(family))
+                counts = one if counts is None else counts.unionByName(one)
+        if counts is not None:
+            manifests.append(named(counts.join(touched, "instrument_serial", "left_semi")), out, "outputs")
+    status = "success" if error is None else "partial" if any(manifests.exists(spark, f"{out}/{f}") for f in (*LOG_FAMILIES, *MER_FAMILIES)) else "failed"
+    facts = {"started_at": began, "completed_at": manifests.now(), "input_root": root if isinstance(root, str) else None, "output_root": out, "normalization_version": __version__, "status": status, "error": error}
+    manifests.append(named(touched).withColumns({k: F.lit(v) for k, v in facts.items()}), out, "runs")
+
+
+def read_family(spark: SparkSession, out: str, family: str) -> DataFrame:
+    """A published family or quarantine table, with the instrument among its first columns."""
+    rows = spark.read.parquet(f"{out}/{family}").where("instrument_serial <> 'none'").withColumn("instrument_serial", F.col("instrument_serial").cast("string"))
+    return rows.select(*(c for c in PREFIX if c in rows.columns), *(c for c in rows.columns if c not in PREFIX))
+
+
+def _pair(name: str, value: Column, kind: str) -> Column:
+    """``"name":value`` as JSON, with null as null; a number that JSON lacks fails the job."""
+    if kind == "double":
+        value = F.when(value.isNull() | ~(F.isnan(value) | (F.abs(value) == float("inf"))), value).otherwise(F.raise_error(F.lit(f"{name} is no JSON number")).cast("double"))
+    text = F.to_json(F.struct(value.alias(name)), {"ignoreNullFields": "false"})
+    return F.substring(text, F.lit(2), F.length(text) - 2)
+
+
+def json_lines(table: DataFrame, absent: tuple[str, ...] = ()) -> DataFrame:
+    """One JSON object a row in column ``value``, in column order.
+
+    Keys of null columns in ``absent`` are left out, all other nulls written.
+    Events of ``iridium_events`` have the keys of their kind only.
+    """
+    parts = []
+    for field in table.schema:
+        value = F.col(f"`{field.name}`")
+        if field.name == "iridium_events":
+            text = F.concat(F.lit('"iridium_events":['), F.array_join(F.transform(value, partial(_event_json, field.dataType.elementType.names)), ","), F.lit("]"))
+        else:
+            text = _pair(field.name, value, field.dataType.simpleString())
+        parts.append(F.when(value.isNotNull(), text) if field.name in absent else text)
+    return table.select(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("value"))
+
+
+def _event_json(names: list[str], event: Column) -> Column:
+    kind = event["iridium_event_kind"]
+    parts = [F.when(kind.isin(*KINDS_OF[n]), _pair(n, event[n], "")) if n in KINDS_OF else _pair(n, event[n], "") for n in names]
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+
+
+#: Columns whose keys a family's JSON rows lack where they are null.
+ABSENT = {"log_pressure_temperature": PRESSURE_FIELDS, "log_unclassified": ("switched_to_log_file",), "mer_event": ("stanford_psd_processing",)}
 
 
 def export_jsonl(table: DataFrame, path: str, absent: tuple[str, ...] = ()) -> None:
-    """One JSON object a line, in column order; null columns in ``absent`` are left out."""
-    from itertools import combinations
-
-    keep = [c for c in table.columns if c not in absent]
-    line = None
-    for n in range(len(absent), -1, -1):
-        for some in combinations(absent, n):
-            names = [c for c in table.columns if c in keep or c in some]
-            made = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
-            fits = F.lit(True)
-            for c in absent:
-                fits = fits & (F.col(c).isNotNull() if c in some else F.col(c).isNull())
-            line = F.when(fits, made) if line is None else line.when(fits, made)
-    table.select(line.alias("value")).write.mode("overwrite").text(path)
-
-
-__all__ = ["event_kind", "export_jsonl", "log_tables", "mer_tables", "normalize", "snapshot_id", "unassigned"]
+    """Writes ``json_lines``; rows of one source stay in the order of its lines."""
+    json_lines(table, absent).write.mode("overwrite").text(path)
+
+
+def export_all(spark: SparkSession, out: str, target: str) -> None:
+    """All thirteen families as JSON lines below ``target``, a folder each, also those without rows."""
+    for family in (*LOG_FAMILIES, *MER_FAMILIES):
+        export_jsonl(read_family(spark, out, family).drop("source_path"), f"{target}/{family}", ABSENT.get(family, ()))
+
+
+__all__ = ["event_kind", "export_all", "export_jsonl", "grouped_lines", "json_lines", "log_tables", "mer_tables", "normalize", "read_family", "snapshot_id", "tables_of", "unassigned"]

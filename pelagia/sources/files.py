@@ -9,13 +9,49 @@ KINDS = ("bin", "log", "mer")
 NAME = r"^(\d+\.\d+)-([A-Z]+)-(\d+)$"
 
 
+def _exists(spark: SparkSession, root: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return files.exists(path) and files.getFileStatus(path).isDirectory()
+
+
+def _glob(suffixes: tuple[str, ...]) -> str:
+    """A name pattern for the suffixes in any case."""
+    return "*.{" + ",".join("".join(f"[{c.lower()}{c.upper()}]" for c in x) for x in suffixes) + "}"
+
+
+def parse_inputs(values: list[str]) -> list[str]:
+    """File paths given one a value, or several with commas or blanks between; each once, in order."""
+    return list(dict.fromkeys(x for v in values for x in v.replace(",", " ").split()))
+
+
 def discover(spark: SparkSession, root: str | list[str], kinds: tuple[str, ...] = KINDS) -> DataFrame:
-    """Every artifact below ``root`` (or each listed file): path, kind, size, hash, content."""
-    names = ",".join(x for k in kinds for x in (k.upper(), k))
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{{{names}}}").load(root)
+    """Every artifact below the folder ``root`` (or each listed file): path, kind, size, hash, content. Suffixes match in any case; files of no bytes hold nothing and are not listed."""
+    reader = spark.read.format("binaryFile")
+    if isinstance(root, str):
+        if not _exists(spark, root):
+            raise ValueError(f"input root is not a folder: {root}")
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", _glob(kinds))
+    else:
+        odd = [f for f in root if f.rpartition(".")[2].lower() not in kinds]
+        if odd:
+            raise ValueError(f"not a {', '.join(k.upper() for k in kinds)} file: {', '.join(odd)}")
+    files = reader.load(root)
     return with_provenance(files.select(F.col("path").alias("source_path"), F.col("length").alias("size_bytes"), "content"))
 
 
+def count_kinds(files: DataFrame) -> DataFrame:
+    """source_kind, n_files, n_bytes."""
+    return files.groupBy("source_kind").agg(F.count("*").alias("n_files"), F.sum("size_bytes").alias("n_bytes"))
+
+
+def vit_names(spark: SparkSession, root: str) -> DataFrame:
+    """(prefix, serial) by the .vit files of the folder ``root`` itself; of two names for one prefix the last by path counts."""
+    rows = spark.read.format("binaryFile").option("pathGlobFilter", _glob(("vit",))).load(root).select("path")
+    name = instrument(F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]+$", ""))
+    return rows.withColumn("i", name).where("i is not null").groupBy(F.col("i.number").alias("prefix")).agg(F.max_by("i.serial", "path").alias("serial"))
+
+
 def with_provenance(files: DataFrame) -> DataFrame:
     name = F.element_at(F.split("source_path", "/"), -1)
     digest = F.sha2(F.col("content").cast("binary"), 256)
@@ -29,6 +65,17 @@ def authoritative(files: DataFrame) -> DataFrame:
     return files.where("source_kind <> 'log'").unionByName(logs.select(files.columns))
 
 
+def decoded_owner(decoded: DataFrame, bins: DataFrame) -> DataFrame:
+    """``decoded`` LOG files (prefix, stem, ...) with bin_path: the one BIN of the same prefix and stem, else the
+    prefix's only BIN; anything else fails the job."""
+    same = bins.groupBy("prefix", "stem").agg(F.count("*").alias("_n"), F.min("source_path").alias("_same"))
+    sole = bins.groupBy("prefix").agg(F.count("*").alias("_all"), F.min("source_path").alias("_sole"))
+    rows = decoded.join(same, ["prefix", "stem"], "left").join(sole, "prefix", "left")
+    owner = F.when(F.col("_n") == 1, F.col("_same")).when(F.col("_n").isNull() & (F.col("_all") == 1), F.col("_sole"))
+    fail = F.raise_error(F.concat(F.lit("no single BIN owns decoded LOG "), F.col("stem"))).cast("string")
+    return rows.withColumn("bin_path", F.coalesce(owner, fail)).drop("_n", "_same", "_all", "_sole")
+
+
 def instrument(name: Column) -> Column:
     """Struct (serial, instrument_id, code, number) of a name such as 452.020-P-06, else null.
 
@@ -40,14 +87,32 @@ def instrument(name: Column) -> Column:
     return F.when(name.rlike(NAME), F.struct(name.alias("serial"), F.concat(code, padded).alias("instrument_id"), code.alias("code"), number.alias("number")))
 
 
-def identify(files: DataFrame, vit_names: DataFrame | None = None) -> DataFrame:
-    """Adds instrument_serial: name list by prefix, else a path part, else the file prefix.
+def identify(files: DataFrame, names: DataFrame | None = None, root: str = "", previous: DataFrame | None = None, sniffed: DataFrame | None = None) -> DataFrame:
+    """Adds instrument_serial, one for all files of a prefix that name no other themselves.
 
-    ``vit_names`` (prefix, serial) is a small table with one row per instrument.
+    In this order: the name list by prefix, the root folder's own name if it has
+    the prefix, the serial of the previous run, a folder on the file's path, the
+    serial named in the first lines of a LOG of the prefix, the prefix itself.
+    ``names`` and ``previous`` (prefix, serial) have one row an instrument,
+    ``sniffed`` is (source_path, serial).
     """
-    rows = files.withColumn("_part", F.try_element_at(F.filter(F.split("source_path", "/"), lambda p: p.rlike(NAME)), F.lit(-1)))
-    rows = rows.join(vit_names.select("prefix", F.col("serial").alias("_vit")), "prefix", "left") if vit_names is not None else rows.withColumn("_vit", F.lit(None).cast("string"))
-    return rows.withColumn("instrument_serial", F.coalesce("_vit", "_part", "prefix")).drop("_vit", "_part")
+    own = F.try_element_at(F.filter(F.split("source_path", "/"), lambda p: p.rlike(NAME)), F.lit(-1))
+    base = root.rstrip("/").rpartition("/")[2]
+    top = instrument(F.lit(base))
+    rows = files.withColumns({"_part": own, "_root": F.when(top["number"] == F.col("prefix"), F.lit(base))})
+    for given, column in ((names, "_vit"), (previous, "_old")):
+        rows = rows.join(given.select("prefix", F.col("serial").alias(column)), "prefix", "left") if given is not None else rows.withColumn(column, F.lit(None).cast("string"))
+    rows = rows.join(sniffed.select("source_path", F.col("serial").alias("_log")), "source_path", "left") if sniffed is not None else rows.withColumn("_log", F.lit(None).cast("string"))
+    # folders and LOGs speak for all files of their prefix: the first by path
+    group = rows.groupBy("prefix").agg(F.min_by("_part", F.when(F.col("_part").isNotNull(), F.col("source_path"))).alias("_parts"), F.min_by("_log", F.when(F.col("_log").isNotNull(), F.col("source_path"))).alias("_logs"))
+    rows = rows.join(group, "prefix", "left")
+    serial = F.coalesce("_vit", "_root", "_part", F.when(F.col("_old").rlike(NAME), F.col("_old")), "_parts", "_log", "_logs", "_old", "prefix")
+    return rows.withColumn("instrument_serial", serial).select(*files.columns, "instrument_serial")
+
+
+def belonging_to(files: DataFrame, serial: str) -> DataFrame:
+    """The identified files of one instrument, asked for by its full serial."""
+    return files.where(F.col("instrument_serial") == serial)
 
 
 def serial_from_log(lines: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ os.environ["PYTHONPATH"] = f"{ROOT}:{os.environ.get('PYTHONPATH', '')}"
 @pytest.fixture(scope="session")
 def spark():
     conf = {
-        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.sql.session.timeZone": "UTC", "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+        "spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false", "spark.sql.session.timeZone": "UTC", "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
         "spark.sql.warehouse.dir": tempfile.mkdtemp(), "spark.checkpoint.dir": tempfile.mkdtemp(), "spark.driver.memory": "4g",
     }
     session = SparkSession.builder.master("local[4]").config(map=conf).getOrCreate()
