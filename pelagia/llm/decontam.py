@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.scratch import save
+from pelagia.llm.scratch import release, save
 from pelagia.llm.words import WordTable, mix, small_batches, stream, word_table
 
 WORDS, SHARE, LEAST = 13, 0.8, 5
@@ -92,19 +92,35 @@ def _spots(seed: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (seed >> np.uint64(64 - bits)).astype(np.int64), (seed & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
+def _bitmaps(bits: int) -> Callable:
+    """One bitmap of 2 ** (bits - 8) bits for each of 256 ranges of spots."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maps: dict[int, np.ndarray] = {}
+        for b in batches:
+            spot = b.column("s").to_numpy()
+            for k in np.unique(spot >> (bits - 8)):
+                own = maps.setdefault(int(k), np.zeros(1 << (bits - 8), bool))
+                own[spot[spot >> (bits - 8) == k] & ((1 << (bits - 8)) - 1)] = True
+        yield pa.RecordBatch.from_arrays([pa.array(list(maps), pa.int64()), pa.array([np.packbits(m, bitorder="little").tobytes() for m in maps.values()], pa.binary())], ["k", "map"])
+
+    return run
+
+
 def _filter(seeds: DataFrame) -> tuple[int, np.ndarray]:
     """(bits, a bit for each of two spots of every seed): at most 2 ** MOST_BITS bits, whatever the benchmark."""
     bits = min(MOST_BITS, max(16, (64 * seeds.count()).bit_length()))
-    spots = [F.shiftrightunsigned("seed", 64 - bits), F.col("seed").bitwiseAND((1 << bits) - 1)]
-    rows = seeds.select(F.explode(F.array(*spots)).alias("s"))
-    words = rows.groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("b"))
-    out, got = np.zeros(1 << (bits - 6), np.int64), words.toArrow()
-    out[got.column("w").to_numpy()] = got.column("b").to_numpy()
+    spots = F.array(F.shiftrightunsigned("seed", 64 - bits), F.col("seed").bitwiseAND((1 << bits) - 1))
+    rows = seeds.select(F.explode(spots).alias("s")).distinct().withColumn("k", F.shiftright("s", bits - 8).cast("int"))
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    # 256 rows of 2 ** bits / 8 bytes in all
+    for r in rows.repartitionById(8, "k").select("s").mapInArrow(_bitmaps(bits), "k long, map binary").collect():
+        out[r.k << (bits - 11) : (r.k + 1) << (bits - 11)] = np.frombuffer(r.map, np.uint8)
     return bits, out
 
 
 def _set(table: np.ndarray, spot: np.ndarray) -> np.ndarray:
-    return (table[spot >> 6] >> (spot & 63)) & 1 > 0
+    return (table[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 > 0
 
 
 def _hits(sent) -> Callable:
@@ -166,6 +182,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null").distinct()
     seeds = save(items.mapInArrow(_item_seeds, "item_id long, seed long, place int, mask string"))
+    release(docs.sparkSession)
     used = sorted(r.mask for r in seeds.select("mask").distinct().collect())  # at most all of the masks above
     sent = docs.sparkSession.sparkContext.broadcast((*_filter(seeds), used))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
