@@ -19,10 +19,10 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.scratch import drop, save
+from pelagia.llm.scratch import drop, release, save
 
 #: Slots of the hashed terms; the model is this many numbers a domain.
-SLOTS = 8192
+SLOTS = 4096
 #: Bound of the labelled rows that the classifier is fitted on.
 TRAIN_ROWS = 20_000
 #: Characters that end a term besides blanks and line ends.
@@ -92,6 +92,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> Data
     domains = list(targets)
     total_weight = sum(targets.values())
     base = save(posteriors(docs, labelled, domains))
+    release(docs.sparkSession)
     n_p = [(F.col("tokens") * F.col(f"p_{k}")) for k in range(len(domains))]
     mass = [float(x or 0.0) for x in base.agg(*(F.sum(x).alias(f"m{k}") for k, x in enumerate(n_p))).first()]
     live = [k for k, m in enumerate(mass) if m > 0 and targets[domains[k]] > 0]
