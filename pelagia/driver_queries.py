@@ -8,14 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from pelagia.functions.families import EVENT_FIELDS, battery_values, classify, event_kind, event_payload, gps_kind, matches, pressure_values
-from pelagia.functions.lines import artifact_name, explode_lines, log_epoch_time, parse_lines, severity
+from pelagia.functions.families import EVENT_FIELDS, battery_values, classified, event_fields, event_kind, gps_kind, matches, pressure_values
+from pelagia.functions.lines import artifact_name, explode_lines, log_epoch_time, parse_lines, severity, strip
 from pelagia.operators.episodes import build_episodes, group_episodes
-from pelagia.operators.mer import attributes
+from pelagia.operators.mer import attributes, sections
 from pelagia.operators.state import actions, diff_sources, snapshot_id
-from pelagia.sources.files import instrument
+from pelagia.plans.audit import audit_family, sample_rows
+from pelagia.plans.normalize import grouped_lines, mer_tables, misassigned
+from pelagia.sources.files import authoritative, instrument, with_provenance
 
 _V = "CAST(CAST(floor(value) AS BIGINT) AS STRING)"
 _MESSAGES = (
@@ -69,6 +70,12 @@ def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir).where("tagged")
 
 
+def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tagged lines with their family; every pattern runs once a line."""
+    rows = _tagged(spark, sf_dir).withColumn("found", matches(F.col("message")))
+    return rows.withColumn("family", classified(F.col("found"), F.col("message")))
+
+
 def line_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_lines(_read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content")))
 
@@ -78,30 +85,30 @@ def tagged_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classify_single_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tagged(spark, sf_dir).select("source_path", "line_number", classify(F.col("message")).alias("family"))
+    return _classified(spark, sf_dir).select("source_path", "line_number", "family")
 
 
 def classify_exclusivity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tagged(spark, sf_dir).groupBy(F.size(matches(F.col("message"))).cast("long").alias("n_families")).agg(F.count("*").alias("n_lines"))
+    return _classified(spark, sf_dir).groupBy(F.size("found").cast("long").alias("n_families")).agg(F.count("*").alias("n_lines"))
 
 
 def family_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tagged(spark, sf_dir).groupBy(classify(F.col("message")).alias("family")).agg(F.count("*").alias("n_records"))
+    return _classified(spark, sf_dir).groupBy("family").agg(F.count("*").alias("n_records"))
 
 
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tagged(spark, sf_dir).groupBy(classify(F.col("message")).alias("family")).agg(F.count("*").alias("n_rows"), F.countDistinct("source_path").alias("n_files"))
+    return _classified(spark, sf_dir).groupBy("family").agg(F.count("*").alias("n_rows"), F.countDistinct("source_path").alias("n_files"))
 
 
 def pressure_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.col("message")
-    rows = _tagged(spark, sf_dir).where(classify(m) == "pressure_temperature")
+    rows = _classified(spark, sf_dir).where("family = 'pressure_temperature'")
     return rows.select("source_path", "line_number", *(c.cast("string").alias(n) for n, c in pressure_values(m).items()))
 
 
 def battery_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.col("message")
-    return _tagged(spark, sf_dir).where(classify(m) == "battery").select("source_path", "line_number", *(c.cast("string").alias(n) for n, c in battery_values(m).items()))
+    return _classified(spark, sf_dir).where("family = 'battery'").select("source_path", "line_number", *(c.cast("string").alias(n) for n, c in battery_values(m).items()))
 
 
 def gps_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,8 +125,8 @@ def artifact_references(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def iridium_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _tagged(spark, sf_dir).withColumn("kind", event_kind(F.col("message"))).where("kind <> 'session_line'")
-    rows = rows.withColumn("p", event_payload(F.col("message"), F.col("kind")))
+    rows = _tagged(spark, sf_dir).withColumn("own", strip(F.col("message"))).withColumn("kind", event_kind(F.col("message"), F.col("own"))).where("kind <> 'session_line'")
+    rows = rows.withColumn("p", F.struct(*(c.alias(f) for f, c in event_fields(F.col("own"), F.col("kind")).items())))
     fields = ("connection_duration_s", "signal_quality", "received_command_count", "byte_offset", "artifact_size_bytes", "rate_bytes_per_s", "uploaded_file_count", "disconnect_duration_s")
     assert set(fields) <= set(EVENT_FIELDS)
     return rows.select("source_path", "line_number", F.col("kind").alias("iridium_event_kind"), *(F.col(f"p.{f}").cast("string").alias(f) for f in fields), "p.referenced_artifact", "p.command_name", "p.command_payload")
@@ -135,7 +142,7 @@ def episode_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topk_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _tagged(spark, sf_dir).where(classify(F.col("message")) == "unclassified")
+    rows = _classified(spark, sf_dir).where("family = 'unclassified'")
     counts = rows.groupBy("subsystem", F.coalesce("code", F.lit("")).alias("code"), "message").agg(F.count("*").alias("n"))
     return counts.orderBy(F.desc("n"), "subsystem", "code", "message").limit(10)
 
@@ -146,8 +153,7 @@ def attr_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def section_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = F.regexp_extract_all("html", F.lit(r"(?s)<title>(.*?)</title>"), F.lit(1))
-    return _read(spark, sf_dir, "pages").select("page_id", F.explode(found).alias("body"))
+    return _sections(spark, sf_dir).select("source_path", "section", "line_pos", "tag", "line")
 
 
 def source_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,19 +169,67 @@ def source_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def authority_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.floor(F.col("doc_id") / 3).alias("stem"))
-    bins = docs.where("lang = 'de'").select("source", "stem").distinct()
-    return docs.where("lang <> 'de'").join(bins, ["source", "stem"], "left_anti").select("doc_id")
+    """Documents stand for files: their language is the kind, their source the prefix."""
+    kind = F.when(F.col("lang") == "de", "BIN").otherwise("LOG")
+    path = F.concat(F.lit("/x/"), F.col("source"), F.lit("_"), F.floor(F.col("doc_id") / 3).cast("string"), F.lit("."), kind)
+    docs = _read(spark, sf_dir, "documents").select("doc_id", path.alias("source_path"), F.col("text").alias("content"))
+    return authoritative(with_provenance(docs)).where("source_kind = 'log'").select("doc_id")
+
+
+#: MER files written from events by one SQL text for both engines: a user is a file.
+_MER = """SELECT user_id, 'mer' || CAST(user_id AS STRING) AS source_path,
+  '<ENVIRONMENT>' || chr(10) || chr(13) || chr(9) || '<SOFTWARE 2.1344' || CASE WHEN user_id % 3 = 0 THEN ' STANFORD' ELSE '' END || ' />' || chr(10) || chr(13) || chr(9) || '<DIVE ID=' || CAST(user_id AS STRING) || ' EVENTS=' || CAST(count(*) AS STRING) || ' />' || chr(10) || chr(13) || chr(9) || '<SAMPLE MIN=-' || CAST(user_id AS STRING) || ' MAX=7 />' || chr(10) || chr(13) || '</ENVIRONMENT>' || chr(13) || chr(10)
+  || '<PARAMETERS>' || chr(10) || chr(13) || chr(9) || '<ADC GAIN=' || CAST(user_id % 5 AS STRING) || ' BUFFER=ON />' || chr(10) || chr(13) || chr(9) || '<STANFORD_PROCESS DURATION_h=' || CAST(user_id % 9 AS STRING) || ' WINDOW_LEN=1024 />' || CASE WHEN user_id % 2 = 0 THEN '<x' ELSE '' END || chr(10) || chr(13) || '</PARAMETERS>' || chr(13) || chr(10)
+  || (CASE WHEN user_id % 4 = 0 THEN '' ELSE '<EVENT>' || chr(10) || '<INFO DATE=2024-01-02T03:04:05 ROUNDS=' || CAST(count(*) AS STRING) || ' />' || chr(10) || '<FORMAT ENDIANNESS=LITTLE BYTES_PER_SAMPLE=2 LENGTH=' || CAST(user_id % 6 AS STRING) || ' /><DATA>' || chr(10) || chr(13) || repeat('ab', CAST(user_id % 7 AS INT)) || chr(10) || chr(13) || chr(9) || '</DATA></EVENT>' || chr(10) END) AS content
+  FROM events GROUP BY user_id"""
+
+
+def _mer_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(_MER.replace("FROM events", "FROM {events}"), events=_read(spark, sf_dir, "events")).withColumn("content", F.encode("content", "UTF-8"))
+
+
+def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sections(_mer_files(spark, sf_dir))
+
+
+def mer_environment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mer_tables(_mer_files(spark, sf_dir)).families["mer_environment"]
+    return rows.select("source_path", "environment_kind", "software", *(F.col(c).cast("string").alias(c) for c in ("dive_id", "dive_declared_event_count", "sample_min", "sample_max")))
+
+
+def mer_parameter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mer_tables(_mer_files(spark, sf_dir)).families["mer_parameter"]
+    return rows.select("source_path", "parameter_kind", "adc_buffer", *(F.col(c).cast("string").alias(c) for c in ("adc_gain", "stanford_process_duration_h", "stanford_process_window_len")))
+
+
+def mer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mer_tables(_mer_files(spark, sf_dir)).families["mer_event"]
+    return rows.select("source_path", "block_index", "rounds", "date", "data_payload_nbytes", "expected_payload_nbytes", "payload_length_matches_expected", "encoded_payload")
 
 
 def file_param_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _read(spark, sf_dir, "conversations")
-    only = turns.where("role = 'system'").groupBy("conv_id").agg(F.count("*").alias("n"), F.min("text").alias("system_text")).where("n = 1").drop("n")
-    return turns.where("role = 'user'").join(only, "conv_id", "left").select("conv_id", "turn", "system_text")
+    rows = mer_tables(_mer_files(spark, sf_dir)).families["mer_event"]
+    return rows.select("source_path", F.col("stanford_psd_processing.duration_h").cast("string").alias("duration_h"), "stanford_psd_processing.raw_parameter_line")
+
+
+def mer_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mer_tables(_mer_files(spark, sf_dir)).quarantine.select("source_path", "block_kind", "raw_block")
 
 
 def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("source_sha256"))
+    docs = _read(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("/x/"), F.col("source"), F.lit("_"), F.col("doc_id").cast("string"), F.lit(".LOG")).alias("source_path"), F.col("text").alias("content"))
+    return with_provenance(docs).select("doc_id", "source_file", "source_kind", "prefix", "source_sha256", "source_id")
+
+
+def log_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source lines by the table that holds them, and those in none or several: there must be none of these."""
+    lines = spark.sql(LINES_SQL.replace("FROM events", "FROM {events}"), events=_read(spark, sf_dir, "events"))
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_number", "raw_line"))), lambda x: x["raw_line"]), "\n")
+    files = lines.groupBy("source_path").agg(F.concat(text, F.lit("\n")).alias("content"))
+    grouped = grouped_lines(files)
+    where = F.coalesce("family", "episode", F.when(F.col("is_blank"), "blank"))
+    held = grouped.groupBy(where.alias("held_by")).agg(F.count("*").alias("n_lines"))
+    return held.unionByName(misassigned(grouped).agg(F.lit("misassigned").alias("held_by"), F.count("*").alias("n_lines")))
 
 
 def snapshot_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,31 +238,31 @@ def snapshot_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_id(rows)
 
 
-def payload_base64(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.encode("text", "UTF-8")
-    return _read(spark, sf_dir, "documents").select("doc_id", F.octet_length(text).cast("long").alias("payload_nbytes"), F.translate(F.base64(text), "\r\n", "").alias("encoded_payload"))
-
-
 def instrument_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     serial = F.concat(F.lit("452."), F.lpad((F.col("s_suppkey") % 1000).cast("string"), 3, F.lit("0")), F.lit("-"), F.when(F.col("s_suppkey") % 2 == 0, "P").otherwise("R"), F.lit("-"), F.lpad((F.col("s_suppkey") % 100).cast("string"), 2, F.lit("0")))
     return _read(spark, sf_dir, "supplier").select("s_suppkey", instrument(serial).alias("i")).select("s_suppkey", "i.serial", "i.instrument_id")
 
 
 def audit_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _tagged(spark, sf_dir).withColumn("family", classify(F.col("message"))).withColumn("stored", F.when(F.col("line_number") % 17 == 0, "battery").otherwise(F.col("family")))
-    return rows.where("stored <> family").select("source_path", "line_number", "stored", "family")
+    """The audit of battery rows of which every 17th holds a wrong voltage."""
+    m = F.col("message")
+    rows = _classified(spark, sf_dir).where("family = 'battery'").withColumns(battery_values(m)).withColumn("voltage_mv", F.when(F.col("line_number") % 17 == 0, F.col("voltage_mv") + 1).otherwise(F.col("voltage_mv")))
+    stored = rows.select(F.lit("x").alias("instrument_serial"), F.col("source_path").alias("source_file"), F.col("line_number").alias("source_line_number"), "record_time", log_epoch_time(F.col("raw_line")).alias("log_epoch_time"), "subsystem", "code", "message", *battery_values(m).keys(), "raw_line")
+    return audit_family(stored, "log_battery").select("source_file", "place", "issue")
 
 
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One seeded row per label class: the operator samples by definition."""
-    by = Window.partitionBy("quality", "toxic").orderBy(F.xxhash64(F.lit(7), "doc_id"), "doc_id")
-    return _read(spark, sf_dir, "labels").withColumn("nth", F.row_number().over(by)).where("nth = 1").drop("nth")
+    """A seeded row of each of up to three files a family, of distinct instruments first: a country stands for an instrument, a customer for a file."""
+    rows = _read(spark, sf_dir, "orders").join(_read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+    named = rows.select(F.col("c_mktsegment").alias("family"), F.col("c_nationkey").cast("string").alias("instrument_serial"), F.col("c_custkey").cast("string").alias("source_file"), F.col("o_orderkey").alias("place"))
+    return sample_rows(named, 3, 7)
 
 
 QUERIES = {f.__name__: f for f in (
     line_explode, tagged_parse, classify_single_line, classify_exclusivity, family_counts, inventory, pressure_fields, battery_fields, gps_kinds, severities,
     artifact_references, iridium_events, episodes_latch, episode_build, topk_patterns, attr_parse, section_extract, source_diff, source_actions,
-    authority_antijoin, file_param_attach, content_hash, snapshot_digest, payload_base64, instrument_name, audit_findings, hash_sample,
+    authority_antijoin, mer_environment, mer_parameter, mer_events, file_param_attach, mer_quarantine, content_hash, log_accounting, snapshot_digest, instrument_name,
+    audit_findings, hash_sample,
 )}
 
 #: An independent line-by-line automaton: each line extends the state of the one before it.
@@ -249,14 +303,27 @@ ORACLE_SQL = {
     "episode_build": f"{_WALK} SELECT source_path, episode, episode_index, min(line_number) AS line_start_index, max(line_number) AS line_end_index, count(*) AS n_lines, string_agg(raw_line, chr(10) ORDER BY line_number) AS raw_text FROM e GROUP BY 1, 2, 3",
     "topk_patterns": f"WITH {_P} SELECT subsystem, coalesce(code, '') AS code, message, count(*) AS n FROM t WHERE tagged AND {_FAMILY} = 'unclassified' GROUP BY 1, 2, 3 ORDER BY n DESC, 1, 2, 3 LIMIT 10",
     "attr_parse": r"SELECT page_id, regexp_extract(a, '^([^=]*)=', 1) AS name, regexp_extract(a, '=(.*)$', 1) AS content FROM (SELECT page_id, unnest(regexp_extract_all(regexp_extract(html, '<(html [^>]*)>', 1), '[A-Za-z_][A-Za-z0-9_\[\]]*=[^\s>]+')) AS a FROM pages)",
-    "section_extract": "SELECT page_id, unnest(regexp_extract_all(html, '(?s)<title>(.*?)</title>', 1)) AS body FROM pages",
     "source_diff": f"WITH r AS (SELECT CAST(o_custkey % 50 AS VARCHAR) AS s, CAST(o_orderkey AS VARCHAR) AS f, CASE WHEN o_orderkey % 3 = 0 THEN 'mer' ELSE 'log' END AS k, o_orderstatus AS h, o_orderkey AS q FROM orders), o AS (SELECT s, f, k, CASE WHEN q % 11 = 0 THEN 'X' ELSE h END AS h FROM r WHERE q % 7 <> 0), n AS (SELECT * FROM r WHERE q % 13 <> 0) {_DIFF}",
     "source_actions": f"WITH n AS (SELECT CAST(o_custkey AS VARCHAR) AS s, CAST(o_orderkey AS VARCHAR) AS f, CASE WHEN o_orderkey % 3 = 0 THEN 'mer' ELSE 'log' END AS k, o_orderstatus AS h, o_orderkey AS q FROM orders), o AS (SELECT s, f, k, CASE WHEN q % 11 = 0 THEN 'X' ELSE h END AS h FROM n WHERE q % 5 <> 0), d AS ({_DIFF}) SELECT instrument_serial, source_kind AS family, CASE WHEN bool_or(change_kind IN ('changed', 'removed')) THEN 'rewrite' WHEN bool_or(change_kind = 'new') THEN 'append' ELSE 'noop' END AS action FROM d GROUP BY 1, 2",
-    "authority_antijoin": "SELECT doc_id FROM documents d WHERE lang <> 'de' AND NOT EXISTS (SELECT 1 FROM documents b WHERE b.lang = 'de' AND b.source = d.source AND b.doc_id // 3 = d.doc_id // 3)",
-    "file_param_attach": "SELECT u.conv_id, u.turn, s.system_text FROM conversations u LEFT JOIN (SELECT conv_id, min(text) AS system_text FROM conversations WHERE role = 'system' GROUP BY 1 HAVING count(*) = 1) s USING (conv_id) WHERE u.role = 'user'",
-    "content_hash": "SELECT doc_id, sha256(text) AS source_sha256 FROM documents",
     "snapshot_digest": "SELECT sha256(string_agg(n_name || chr(9) || n_nationkey || chr(9) || sha256(n_name), chr(10) ORDER BY n_name) || chr(10)) AS snapshot_id, count(*) AS file_count FROM nation",
-    "payload_base64": "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS payload_nbytes, to_base64(encode(text)) AS encoded_payload FROM documents",
     "instrument_name": "SELECT s_suppkey, '452.' || lpad(CAST(s_suppkey % 1000 AS VARCHAR), 3, '0') || '-' || c || '-' || lpad(CAST(s_suppkey % 100 AS VARCHAR), 2, '0') AS serial, c || '00' || lpad(CAST(s_suppkey % 100 AS VARCHAR), 2, '0') AS instrument_id FROM (SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'P' ELSE 'R' END AS c FROM supplier)",
-    "audit_findings": f"WITH {_P} SELECT source_path, line_number, 'battery' AS stored, family FROM (SELECT source_path, line_number, {_FAMILY} AS family FROM t WHERE tagged) WHERE line_number % 17 = 0 AND family <> 'battery'",
+    "section_extract": f"""WITH m AS ({_MER}), s AS (SELECT source_path, 'environment' AS section, unnest([1, 2, 3]) AS i, ['<SOFTWARE 2.1344' || CASE WHEN user_id % 3 = 0 THEN ' STANFORD' ELSE '' END || ' />', '<DIVE ID=' || user_id || ' EVENTS=' || n || ' />', '<SAMPLE MIN=-' || user_id || ' MAX=7 />'] AS lines FROM (SELECT user_id, source_path, e.n FROM m JOIN (SELECT user_id, count(*) AS n FROM events GROUP BY 1) e USING (user_id))
+      UNION ALL SELECT source_path, 'parameter', unnest([1, 2]), ['<ADC GAIN=' || user_id % 5 || ' BUFFER=ON />', '<STANFORD_PROCESS DURATION_h=' || user_id % 9 || ' WINDOW_LEN=1024 />' || CASE WHEN user_id % 2 = 0 THEN '<x' ELSE '' END] FROM m)
+      SELECT source_path, section, CAST(i * 2 AS INTEGER) AS line_pos, regexp_extract(lines[i], '^<([A-Z_]+)', 1) AS tag, lines[i] AS line FROM s""",
+    "authority_antijoin": "SELECT doc_id FROM documents d WHERE lang <> 'de' AND NOT EXISTS (SELECT 1 FROM documents b WHERE b.lang = 'de' AND b.source = d.source AND b.doc_id // 3 = d.doc_id // 3)",
+    "mer_environment": """WITH u AS (SELECT user_id, count(*) AS n FROM events GROUP BY 1) SELECT 'mer' || user_id AS source_path, k AS environment_kind, CASE WHEN k = 'software' THEN '2.1344' || CASE WHEN user_id % 3 = 0 THEN ' STANFORD' ELSE '' END END AS software,
+      CASE WHEN k = 'dive' THEN CAST(user_id AS VARCHAR) END AS dive_id, CASE WHEN k = 'dive' THEN CAST(n AS VARCHAR) END AS dive_declared_event_count, CASE WHEN k = 'sample' THEN CAST(-user_id AS VARCHAR) END AS sample_min, CASE WHEN k = 'sample' THEN '7' END AS sample_max FROM (SELECT *, unnest(['software', 'dive', 'sample']) AS k FROM u)""",
+    "mer_parameter": """SELECT 'mer' || user_id AS source_path, k AS parameter_kind, CASE WHEN k = 'adc' THEN 'ON' END AS adc_buffer, CASE WHEN k = 'adc' THEN CAST(user_id % 5 AS VARCHAR) END AS adc_gain,
+      CASE WHEN k <> 'adc' THEN CAST(user_id % 9 AS VARCHAR) END AS stanford_process_duration_h, CASE WHEN k <> 'adc' THEN '1024' END AS stanford_process_window_len FROM (SELECT user_id, unnest(['adc', 'stanford_process']) AS k FROM (SELECT DISTINCT user_id FROM events)) WHERE k = 'adc' OR user_id % 2 = 1""",
+    "mer_events": """SELECT 'mer' || user_id AS source_path, CAST(0 AS BIGINT) AS block_index, CAST(count(*) AS VARCHAR) AS rounds, '2024-01-02T03:04:05.000000Z' AS date, CAST(user_id % 7 * 2 AS BIGINT) AS data_payload_nbytes, CAST(user_id % 6 * 2 AS BIGINT) AS expected_payload_nbytes,
+      user_id % 7 = user_id % 6 AS payload_length_matches_expected, to_base64(encode(repeat('ab', CAST(user_id % 7 AS INTEGER)))) AS encoded_payload FROM events WHERE user_id % 4 <> 0 GROUP BY user_id""",
+    "file_param_attach": """SELECT 'mer' || user_id AS source_path, CASE WHEN user_id % 3 = 0 AND user_id % 2 = 1 THEN CAST(user_id % 9 AS VARCHAR) END AS duration_h, CASE WHEN user_id % 3 = 0 AND user_id % 2 = 1 THEN '<STANFORD_PROCESS DURATION_h=' || user_id % 9 || ' WINDOW_LEN=1024 />' END AS raw_parameter_line FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 4 <> 0)""",
+    "mer_quarantine": """SELECT 'mer' || user_id AS source_path, 'parameter' AS block_kind, '<STANFORD_PROCESS DURATION_h=' || user_id % 9 || ' WINDOW_LEN=1024 /><x' AS raw_block FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 2 = 0)""",
+    "content_hash": "SELECT doc_id, source || '_' || doc_id || '.LOG' AS source_file, 'log' AS source_kind, split_part(source, '_', 1) AS prefix, sha256(text) AS source_sha256, 'sha256:' || sha256(text) AS source_id FROM documents",
+    "log_accounting": rf"""{_WALK}, h AS (SELECT k.source_path, k.line_number, CASE WHEN e.episode IS NOT NULL THEN e.episode WHEN k.tagged THEN {_FAMILY} WHEN k.raw_line LIKE '%*** switching to%' THEN 'unclassified' WHEN trim(k.raw_line) = '' THEN 'blank' ELSE 'malformed' END AS held_by FROM k LEFT JOIN e ON e.source_path = k.source_path AND e.line_number = k.line_number)
+      SELECT held_by, count(*) AS n_lines FROM h GROUP BY 1 UNION ALL SELECT 'misassigned', 0""",
+    "audit_findings": f"WITH {_P} SELECT source_path AS source_file, line_number AS place, 'voltage_mv does not match raw_line' AS issue FROM t WHERE tagged AND {_FAMILY} = 'battery' AND line_number % 17 = 0",
+    "hash_sample": """WITH r AS (SELECT c_mktsegment AS family, CAST(c_nationkey AS VARCHAR) AS instrument_serial, CAST(c_custkey AS VARCHAR) AS source_file, o_orderkey AS place, md5('7|' || c_mktsegment || '|' || c_nationkey || '|' || c_custkey || '|' || o_orderkey) AS h FROM orders JOIN customer ON o_custkey = c_custkey),
+      o AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY family, instrument_serial, source_file ORDER BY h, place) = 1), n AS (SELECT *, row_number() OVER (PARTITION BY family, instrument_serial ORDER BY h, place) AS nth FROM o)
+      SELECT family, instrument_serial, source_file, place FROM n QUALIFY row_number() OVER (PARTITION BY family ORDER BY nth, h, place) <= 3""",
 }

@@ -60,9 +60,9 @@ def collapsed(message: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(message), r"(?U)\s+", " "))
 
 
-def event_kind(message: Column) -> Column:
-    """The Iridium kind of a message; session_line if it is no event."""
-    own = strip(message)
+def event_kind(message: Column, own: Column | None = None) -> Column:
+    """The Iridium kind of a message; session_line if it is no event. ``own`` is the stripped message, where it is a column already."""
+    own = strip(message) if own is None else own
     kind = None
     for name, pattern, _, _ in EVENTS:
         value: Column | str = name
@@ -72,9 +72,8 @@ def event_kind(message: Column) -> Column:
     return kind.otherwise("session_line")
 
 
-def event_payload(message: Column, kind: Column) -> Column:
-    """A struct of every kind-specific field; null where the kind has none."""
-    own = strip(message)
+def event_fields(own: Column, kind: Column) -> dict[str, Column]:
+    """Every kind-specific field of a stripped message; null where the kind has none."""
     fields: dict[str, Column] = {}
     for field in EVENT_FIELDS:
         made = F.lit(None).cast("long")
@@ -88,11 +87,17 @@ def event_payload(message: Column, kind: Column) -> Column:
             artifact = F.when(kind == name, artifact_name(extract(own, pattern, group))).otherwise(artifact)
     command = F.when(kind == "command", extract(own, COMMAND, 1))
     payload = F.when((kind == "command") & own.contains(":"), F.regexp_extract(own, COMMAND, 2))
-    return F.struct(*(c.alias(f) for f, c in fields.items()), artifact.alias("referenced_artifact"), command.alias("command_name"), payload.alias("command_payload"))
+    return fields | {"referenced_artifact": artifact, "command_name": command, "command_payload": payload}
+
+
+def event_payload(message: Column, kind: Column) -> Column:
+    """``event_fields`` as a struct."""
+    return F.struct(*(c.alias(f) for f, c in event_fields(strip(message), kind).items()))
 
 
 def gps_kind(message: Column) -> Column:
-    own = strip(message)
+    # patterns find their place anywhere, so the message needs no strip
+    own = message
     return (
         F.when(own.contains("GPS fix..."), "fix_attempt").when(own.rlike(POSITION), "fix_position").when(own.rlike(HDOP) | own.rlike(VDOP), "dop")
         .when(own.rlike(GPSACK), "gps_ack").when(own.rlike(GPSOFF), "gps_off")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pelagia.functions.families import COMMAND, EVENT_FIELDS, event_kind, event_payload
+from pelagia.functions.families import COMMAND, event_fields, event_kind
 from pelagia.functions.lines import strip
 
 #: Subsystems and messages that steer the grouping.
@@ -26,8 +26,10 @@ FLAGS = ("is_test", "is_exit", "ir_start", "ir_event", "ir_line", "ir_end", "ctd
 
 def predicates(lines: DataFrame) -> DataFrame:
     """Adds the flags of FLAGS, false on untagged lines."""
-    own, low = strip(F.col("message")), F.lower(strip(F.col("message")))
-    kind = event_kind(F.col("message"))
+    # stripped once and classified once, not in every flag
+    lines = lines.withColumn("_own", strip(F.col("message")))
+    lines = lines.withColumn("_kind", event_kind(F.col("message"), F.col("_own")))
+    own, low, kind = F.col("_own"), F.lower("_own"), F.col("_kind")
     stage = F.col("subsystem") == "STAGE"
     flags = {
         "is_test": F.col("subsystem") == "TESTMD",
@@ -39,7 +41,7 @@ def predicates(lines: DataFrame) -> DataFrame:
         "ctd_hard": F.col("subsystem").isin(*CTD_SUBSYSTEMS) | (stage & (F.col("message").contains("SBE41") | F.col("message").contains("SBE61"))),
         "ctd_soft": stage,
     }
-    return lines.withColumns({n: F.col("tagged") & F.coalesce(c, F.lit(False)) for n, c in flags.items()})
+    return lines.withColumns({n: F.col("tagged") & F.coalesce(c, F.lit(False)) for n, c in flags.items()}).drop("_own", "_kind")
 
 
 def _last(cond: Column, window) -> Column:
@@ -153,12 +155,16 @@ def ctd_samples(episodes: DataFrame) -> DataFrame:
 
 def iridium_sessions(episodes: DataFrame) -> DataFrame:
     """Adds session_kind, iridium_events and iridium_event_count to Iridium episodes."""
+    # one step after the other, or each field would classify the message again
+    def known(x: Column) -> Column:
+        own = strip(x["message"])
+        return F.struct(x.alias("line"), own.alias("own"), event_kind(x["message"], own).alias("kind"))
+
     def event(x: Column) -> Column:
-        kind = event_kind(x["message"])
-        payload = event_payload(x["message"], kind)
-        own = [payload[f].alias(f) for f in (*EVENT_FIELDS, "referenced_artifact", "command_name", "command_payload")]
-        return F.struct(x["line_number"].alias("source_line_number"), x["record_time"].alias("record_time"), x["time_text"].alias("log_epoch_time"), x["subsystem"].alias("subsystem"), x["code"].alias("code"), x["message"].alias("message"), kind.alias("iridium_event_kind"), *own, x["raw_line"].alias("raw_line"))
+        own = [x["line"][n].alias(n) for n in ("record_time", "subsystem", "code", "message")]
+        fields = [c.alias(f) for f, c in event_fields(x["own"], x["kind"]).items()]
+        return F.struct(x["line"]["line_number"].alias("source_line_number"), own[0], x["line"]["time_text"].alias("log_epoch_time"), *own[1:], x["kind"].alias("iridium_event_kind"), *fields, x["line"]["raw_line"].alias("raw_line"))
 
-    rows = episodes.where("episode = 'iridium'").withColumn("iridium_events", F.transform(F.filter("lines", lambda x: x["tagged"]), event))
+    rows = episodes.where("episode = 'iridium'").withColumn("iridium_events", F.transform(F.transform(F.filter("lines", lambda x: x["tagged"]), known), event))
     explicit = F.exists("iridium_events", lambda e: e["iridium_event_kind"] == "session_start")
     return rows.withColumns({"session_index": F.col("episode_index"), "session_kind": F.when(explicit, "explicit_session").otherwise("event_sequence"), "iridium_event_count": F.size("iridium_events").cast("long")})

@@ -8,6 +8,7 @@ the instruments it had begun are written anew by the next run.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
 
@@ -116,6 +117,14 @@ def unassigned(tables: LogTables, lines: DataFrame) -> DataFrame:
     return lines.join(times, ["source_path", "line_number"], "left").where("coalesce(n, 0) <> 1 and not (n is null and is_blank)")
 
 
+def misassigned(lines: DataFrame) -> DataFrame:
+    """(source_path, line_number) of lines of ``grouped_lines`` that the tables would not hold exactly once: must be empty."""
+    tables = F.col("family").isNotNull().cast("int") + F.col("episode").isin(*GROUPED).cast("int")
+    n = F.sum(F.coalesce(tables, F.col("family").isNotNull().cast("int"))).alias("n")
+    rows = lines.groupBy("source_path", "line_number").agg(n, F.count("*").alias("times"), F.bool_and("is_blank").alias("blank"))
+    return rows.where("times > 1 or n > 1 or (n = 0 and not blank)")
+
+
 def _fail_on(rows: DataFrame, what: str, place: Column) -> None:
     """Ends the run with up to three examples if there are rows."""
     some = [r.p for r in rows.select(place.alias("p")).limit(3).collect()]
@@ -155,7 +164,7 @@ def _publish(spark: SparkSession, rows: DataFrame, path: str) -> None:
     """Appends by instrument; a table without any row keeps its schema as a file of no rows."""
     rows.write.mode("append").partitionBy("instrument_serial").parquet(path)
     if not manifests.exists(spark, f"{path}/instrument_serial=none"):
-        rows.limit(0).drop("instrument_serial").coalesce(1).write.mode("overwrite").parquet(f"{path}/instrument_serial=none")
+        spark.createDataFrame([], rows.drop("instrument_serial").schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/instrument_serial=none")
 
 
 def normalize(
@@ -227,7 +236,7 @@ def _write(spark: SparkSession, out: str, run_id: str, files: DataFrame, bins: D
     grouped_lines(logs).write.parquet(f"{staging}/lines")
     lines = spark.read.parquet(f"{staging}/lines")
     log, mers = tables_of(lines), mer_tables(own.where("source_kind = 'mer'"), strict=strict)
-    _fail_on(unassigned(log, lines), "lines in no table or in several", F.concat_ws(":", "source_path", "line_number"))
+    _fail_on(misassigned(lines), "lines in no family, in several or read twice", F.concat_ws(":", "source_path", "line_number"))
     skipped = mers.skipped
     if decoder is None:
         skipped = skipped.unionByName(bins.select("source_path", F.lit("no decoder for BIN files").alias("error")))
@@ -235,18 +244,21 @@ def _write(spark: SparkSession, out: str, run_id: str, files: DataFrame, bins: D
     if strict:
         for name in QUARANTINE[:2]:
             _fail_on(aside[name], f"{name.replace('_', ' ')} in a strict run", F.concat_ws(" ", "source_path", "error", F.col("raw_line") if "raw_line" in aside[name].columns else F.lit("")))
+    everything = files.unionByName(bins) if decoder is None else files
+    todo_tables = [(name, _owned(table, files)) for name, table in (log.families | mers.families).items()]
+    todo_tables += [(f"quarantine/{name}", _owned(table, everything).withColumn("run_id", F.lit(run_id))) for name, table in aside.items()]
     again = {(r.instrument_serial, r.family) for r in todo if r.action == "rewrite"}
-    for name, table in (log.families | mers.families).items():
+
+    def put(name: str, table: DataFrame) -> None:
         for serial, family in again:
-            if name.startswith(family):
+            if f"{family}_" in name or name.endswith("skipped_files"):
                 manifests.remove(spark, f"{out}/{name}/instrument_serial={serial}")
-        _publish(spark, _owned(table, files), f"{out}/{name}")
-    everything = files.unionByName(bins) if decoder is None else files
-    for name, table in aside.items():
-        for serial, family in again:
-            if family in name or name == "skipped_files":
-                manifests.remove(spark, f"{out}/quarantine/{name}/instrument_serial={serial}")
-        _publish(spark, _owned(table, everything).withColumn("run_id", F.lit(run_id)), f"{out}/quarantine/{name}")
+        _publish(spark, table, f"{out}/{name}")
+
+    # the tables are independent, and most are small beside what it takes to plan them
+    with ThreadPoolExecutor(6) as pool:
+        for done in [pool.submit(put, *x) for x in todo_tables]:
+            done.result()
 
 
 def _finish(spark: SparkSession, out: str, run_id: str, began: str, root: str | list[str], touched: DataFrame, current: DataFrame, told: DataFrame, error: str | None) -> None:
