@@ -11,17 +11,19 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import sha256
-from math import floor, log
+from math import ceil, floor, log
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pelagia.llm.words import WordTable, mix, small_batches, stream, word_table
 
 CHAIN = 3
+#: Text of one range bucket.
+BUCKET_BYTES = 8 << 20
 #: Sets of one length class differ in size by less than this factor.
 CLASS = 1.25
 #: Common words that anchor signatures.
@@ -131,6 +133,18 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _bucket(edges: list[int]) -> Column:
+    """How many of the ascending ``edges`` are not above k, found in two steps of about sqrt(n) comparisons."""
+    if not edges:
+        return F.lit(0)
+    width = ceil(len(edges) ** 0.5)
+    groups = [edges[i : i + width] for i in range(0, len(edges), width)]
+    upto = lambda known: F.size(F.filter(known, lambda e: e <= F.col("k")))
+    coarse = upto(F.from_json(F.lit(str([g[0] for g in groups])), "array<bigint>"))
+    fine = upto(F.get(F.from_json(F.lit(str(groups)), "array<array<bigint>>"), coarse - 1))
+    return F.when(coarse > 0, (coarse - 1) * width + fine).otherwise(0).cast("int")
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text of docs (doc_id, text) and of its edited text.
 
@@ -144,19 +158,17 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("k", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = ceil((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 1) / BUCKET_BYTES)
     edges = sorted({int(q) for q in rows.where("doc_id is not null").approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n)}) if n > 1 else []
-    # balanced, or a few hundred edges nest too deep for the parser
-    parts = [("+".join(f"int(k >= {e}L)" for e in edges[i : i + 50])) for i in range(0, len(edges), 50)]
-    bucket = " + ".join(f"({p})" for p in parts) or "0"
-    rows = rows.withColumn("bucket", F.expr(bucket))
+    rows = rows.withColumn("bucket", _bucket(edges))
     heads = sorted((r.bucket, r.k) for r in rows.groupBy("bucket").agg(F.min("k").alias("k")).collect())
-    before = {k: heads[i - 1][0] for i, (_, k) in enumerate(heads)}  # the first bucket's head closes the last one
-    pairs = [x for k, b in before.items() for x in (F.lit(k), F.lit(b))]
-    back = F.create_map(*pairs)[F.col("k")] if pairs else F.lit(None).cast("int")
+    # the first bucket's head closes the last one; two numbers a bucket go to every task
+    before = spark.createDataFrame([(k, heads[i - 1][0]) for i, (_, k) in enumerate(heads)], "k long, back int")
+    rows = rows.join(F.broadcast(before), "k", "left")
+    back = F.col("back")
     own = F.struct(F.col("bucket"), F.lit(False).alias("copy"))
     both = F.when(back.isNull(), F.array(own)).otherwise(F.array(own, F.struct(back.alias("bucket"), F.lit(True).alias("copy"))))
     dealt = rows.withColumn("at", F.explode(both)).select("at.bucket", "at.copy", "k", "doc_id", "text")
-    ordered = dealt.repartition(n, "bucket").sortWithinPartitions("bucket", "copy", "k", F.coalesce("text", F.lit("")))
+    ordered = dealt.repartitionById(n, "bucket").sortWithinPartitions("bucket", "copy", "k", F.coalesce("text", F.lit("")))
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return ordered.select("bucket", "copy", "doc_id", "text").mapInArrow(_walk, schema)

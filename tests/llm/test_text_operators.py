@@ -154,6 +154,36 @@ def test_repeats_of_every_period(spark):
         assert (i, got[i]) == (i, len(lost))
 
 
+def _spots(text):
+    """Brute force: chains of three content words after every common word, as word tuples."""
+    words = re.findall(r"[a-z0-9\x80-\U0010ffff]+", text.lower())
+    common = set(spotsigs.ANCHORS.split())
+    out = set()
+    for i, w in enumerate(words):
+        after = [v for v in words[i + 1 :] if v not in common][: spotsigs.CHAIN]
+        if w in common and len(after) == spotsigs.CHAIN:
+            out.add((w, *after))
+    return out or {tuple(words[i : i + spotsigs.CHAIN + 1]) for i in range(len(words))}
+
+
+def test_signatures_brute_force():
+    rng = random.Random(4)
+    words = spotsigs.ANCHORS.split()[:20] + [f"c{i}" for i in range(25)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.choice((0, 2, 9, 60)))) for _ in range(60)] + ["Über alles, the Straße, x y Z the end"]
+    own, want = spotsigs.signatures(__import__("pyarrow").array(texts)), [_spots(t) for t in texts]
+    assert [len(s) for s in own] == [len(w) for w in want]
+    for i in range(0, len(texts) - 1):
+        union = want[i] | want[i + 1]
+        assert spotsigs.likeness(own[i], own[i + 1]) == pytest.approx(len(want[i] & want[i + 1]) / len(union) if union else 1.0)
+
+
+def test_fingerprints_in_many_buckets(spark, monkeypatch):
+    rows = [(i * 3 - 50, f"w{i} the quick fox number {i} of a chain of words {i * i}") for i in range(90)]
+    one = sorted(map(tuple, spotsigs.fingerprints(_docs(spark, rows)).collect()))
+    monkeypatch.setattr(spotsigs, "BUCKET_BYTES", 300)
+    assert sorted(map(tuple, spotsigs.fingerprints(_docs(spark, rows)).collect())) == one and len(one) == 90
+
+
 def test_fingerprints(spark):
     rows = [(i, t) for i, t in _corpus() if i is None or i != 1003] + [(2000, "the über quick brown fox of long chains and more words here")]
     got = spotsigs.fingerprints(_docs(spark, rows)).collect()
