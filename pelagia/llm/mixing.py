@@ -83,9 +83,10 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> Data
     Targets are shares of the smallest total at which no domain has to shrink,
     so rates say how often a document is read and no document is dropped by
     them. ``copies`` rounds the rate up or down by a hash of doc_id, to the same
-    expected tokens. The steps end when all expected totals are met, or when
-    rates move no more where they can't be; without either after ``STEPS`` the
-    job fails. Defined cases: null and empty texts have no tokens and rate 1; an
+    expected tokens. The steps end when all expected totals are met to
+    ``TOLERANCE``, or, where they can't be, when a step lowers the sum of squares
+    by less than that share of what it was at first; without either after
+    ``STEPS`` the job fails. Defined cases: null and empty texts have no tokens and rate 1; an
     empty table or one without tokens gives rates of 1; a domain without mass
     keeps none; repeated rows are rated each; extra columns are ignored.
     """
@@ -99,21 +100,21 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> Data
     budget = max((mass[k] * total_weight / targets[domains[k]] for k in live), default=0.0)
     goal = [budget * targets[d] / total_weight for d in domains]
     # three steps at a time keep the plan short; what they start from is kept in a table
-    rated, rate, moved, spent = base.withColumn("rate", F.lit(1.0)), F.col("rate"), F.lit(budget), None
+    rated, rate, spent, squares = base.withColumn("rate", F.lit(1.0)), F.col("rate"), None, []
     for step in range(STEPS + 1 if live else 0):
-        *have, gone = (float(x or 0.0) for x in rated.agg(*(F.sum(x * rate).alias(f"h{k}") for k, x in enumerate(n_p)), F.sum(moved).alias("moved")).first())
+        have = [float(x or 0.0) for x in rated.agg(*(F.sum(x * rate).alias(f"h{k}") for k, x in enumerate(n_p))).first()]
+        squares.append(sum((goal[k] - have[k]) ** 2 / mass[k] for k in live))
         miss = {k: (goal[k] - have[k]) / mass[k] for k in live}
-        if max(abs(goal[k] - have[k]) for k in live) <= TOLERANCE * budget or gone <= TOLERANCE * budget:
+        if max(abs(goal[k] - have[k]) for k in live) <= TOLERANCE * budget or (step and squares[-2] - squares[-1] <= TOLERANCE * squares[0]):
             break
         if step == STEPS:
             raise RuntimeError(f"rates do not settle in {STEPS} steps: {have} for {goal}")
-        new = F.greatest(F.lit(0.0), rate + sum((F.col(f"p_{k}") * m for k, m in miss.items()), F.lit(0.0)))
-        rate, moved = new, F.col("tokens") * F.abs(new - rate)
+        rate = F.greatest(F.lit(0.0), rate + sum((F.col(f"p_{k}") * m for k, m in miss.items()), F.lit(0.0)))
         if step % 3 == 2:
-            rated = save(rated.withColumns({"rate": rate, "_moved": moved}))
+            rated = save(rated.withColumn("rate", rate))
             if spent is not None:
                 drop(spent)
-            spent, rate, moved = rated, F.col("rate"), F.col("_moved")
+            spent, rate = rated, F.col("rate")
     part = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) / float(1 << 20)
     final = F.when(F.col("tokens") > 0, rate).otherwise(1.0)
     out = rated.withColumn("rate", final).withColumn("copies", (F.floor("rate") + (part < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))

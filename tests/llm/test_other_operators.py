@@ -122,6 +122,22 @@ def test_pipeline(spark):
         assert names.columns == docs.columns
 
 
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    long = " ".join(f"t{i}" for i in range(3000))
+    schema = "doc_id long, text string, lang string, source string, n_chars long, node long, k string, _pii_new string"
+    rows = [(1, None, "en"), (2, "", None), (None, "mail j.doe@firm.com now", "en"), (3, long, "de"), (4, long, "de"), (5, "a b c d e f", "xx"), (5, "a b c d e f", "xx"), (6, "one two three four five six seven", "fr")]
+    docs = spark.createDataFrame([(i, t, lang, None, len(t or ""), 7, "k", "x") for i, t, lang in rows], schema)
+    labels = spark.createDataFrame([(1, 1, 0), (3, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(9, "one two three four five six seven"), (None, None)], "item_id long, text string")
+    for name, some in (("full", docs), ("none", docs.limit(0))):
+        for table, rows in (("documents", some), ("labels", labels), ("benchmark", bench)):
+            rows.write.parquet(f"{tmp_path}/{name}/{table}.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/full").collect()
+    # one of the copies and of the repeated rows, no benchmark text; rows without an id stay
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == [(False, 1), (False, 2), (False, 3), (False, 5), (True, 0)]
+    assert all(r.rate >= 0 for r in got) and corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_runs(spark, name):
     assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0

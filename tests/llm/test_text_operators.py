@@ -73,6 +73,43 @@ def test_chain_across_components(spark):
     assert {r.component_id for r in minhash.near_duplicates(_docs(spark, rows)).collect()} == {0}
 
 
+def test_minhash_recall_at_the_bound(spark):
+    # 18 of 24 shingles in common: exactly the least similarity of a link; and 17 of 25, no link
+    rows = []
+    for i in range(400):
+        words = [f"p{i}w{k}" for k in range(25)]
+        for n, changed in enumerate((0, 3, 4)):
+            rows.append((10 * i + n, " ".join(words[: 25 - changed] + [f"z{i}n{n}k{k}" for k in range(changed)])))
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(_docs(spark, rows)).collect()}
+    assert all(got[10 * i + 1] == 10 * i and got[10 * i + 2] == 10 * i + 2 for i in range(400))
+
+
+def test_minhash_several_texts_of_one_id(spark):
+    a, b = (" ".join(f"{c}{k}" for k in range(30)) for c in "ab")
+    rows = [(5, a), (5, b), (7, a), (9, b), (9, b), (3, "other words of no other text at all")]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(_docs(spark, rows)).collect())
+    assert got == [(3, 3, True), (5, 5, True), (5, 5, True), (7, 5, False), (9, 5, False), (9, 5, False)]
+    kept = minhash.keep_one(_docs(spark, rows)).collect()
+    assert sorted(r.doc_id for r in kept) == [3, 5]
+
+
+def test_large_group_is_contracted_before_blocks(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "SPREAD", 4)
+    rng, base, rows, sets = random.Random(11), [f"g{k}" for k in range(80)], [], {}
+    for i in range(60):
+        words = list(base)
+        for k in rng.sample(range(80), rng.randrange(5)):
+            words[k] = f"h{i}_{k}"
+        rows.append((i, " ".join(words)))
+        sets[i] = {tuple(words[k : k + 5]) for k in range(76)}
+    low = {i: i for i in sets}
+    for _ in sets:
+        for a in sets:
+            low[a] = min(low[b] for b in sets if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]))
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(_docs(spark, rows)).collect()} == low
+
+
 def test_repeats_brute_force(spark):
     rows = [(i, t) for i, t in _corpus() if i is not None and i != 1003]
     seen, lost = {}, {i: set() for i, _ in rows}
