@@ -104,12 +104,14 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> Data
     for step in range(STEPS + 1 if live else 0):
         have = [float(x or 0.0) for x in rated.agg(*(F.sum(x * rate).alias(f"h{k}") for k, x in enumerate(n_p))).first()]
         squares.append(sum((goal[k] - have[k]) ** 2 / mass[k] for k in live))
-        miss = {k: (goal[k] - have[k]) / mass[k] for k in live}
+        miss = [(goal[k] - have[k]) / mass[k] for k in live]
         if max(abs(goal[k] - have[k]) for k in live) <= TOLERANCE * budget or (step and squares[-2] - squares[-1] <= TOLERANCE * squares[0]):
             break
         if step == STEPS:
             raise RuntimeError(f"rates do not settle in {STEPS} steps: {have} for {goal}")
-        rate = F.greatest(F.lit(0.0), rate + sum((F.col(f"p_{k}") * m for k, m in miss.items()), F.lit(0.0)))
+        # as one array, not as numbers in the code, or every step would be compiled anew
+        shift = F.zip_with(F.array(*(f"p_{k}" for k in live)), F.from_json(F.lit(json.dumps(miss)), "array<double>"), lambda p, m: p * m)
+        rate = F.greatest(F.lit(0.0), rate + F.aggregate(shift, F.lit(0.0), lambda a, x: a + x))
         if step % 3 == 2:
             rated = save(rated.withColumn("rate", rate))
             if spent is not None:
