@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pelagia.llm.scratch import save
+
 #: Fixed values: (host, path prefix, verdict). The longest fitting rule wins.
 RULES = (
     ("org", "/", "allow"),
@@ -36,7 +38,7 @@ WANTED = (
     "local government office", "travel guide europe", "film review magazine", "language learning course", "research institute physics", "art gallery online",
     "football club news", "book review", "bird watching club", "software developer forum", "river water project", "hospital care center", "train travel times", "encyclopedia article", "help center support",
 )
-#: Words of the unigram model sent to every task: the most frequent ones; all others cost what unknown words do.
+#: Words of the unigram model sent to every task at most: the most frequent ones; all others cost what unknown words do.
 VOCABULARY = 50_000
 #: Share of the labelled names' words in the unigram model, so that all of them are known.
 LISTED = 0.01
@@ -108,10 +110,16 @@ def unigrams(pages: DataFrame) -> tuple[dict[str, int], int]:
         return {}, 0
     text = F.lower(F.regexp_replace("html", r"(?s)<(?:script|style)\b.*?</(?:script|style)>|<[^>]*>", " "))
     words = pages.select(F.explode(F.split(text, r"[^\p{L}]+")).alias("word")).where("word <> ''")
-    counts = words.groupBy("word").agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    # at most VOCABULARY rows, whatever the pages hold
-    return {r.word: r.n for r in counts.where(F.length("word") <= 30).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()}, total
+    counts = save(words.groupBy("word").agg(F.count("*").alias("n")).where(F.length("word") <= 30).withColumn("level", F.floor(F.log2("n") * 8).cast("int")))
+    # a few hundred levels of frequency; the lowest that still leaves at most VOCABULARY words
+    levels = {r.level: r for r in counts.groupBy("level").agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()}
+    least, known = max(levels, default=0) + 1, 0
+    for level in sorted(levels, reverse=True):
+        known += levels[level].words
+        if known > VOCABULARY:
+            break
+        least = level
+    return {r.word: r.n for r in counts.where(F.col("level") >= least).collect()}, sum(r.n for r in levels.values())
 
 
 def judge_urls(pages: DataFrame) -> DataFrame:
