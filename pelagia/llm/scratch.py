@@ -25,10 +25,15 @@ def scratch_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new place in the shared folder."""
+    return f"{scratch_dir(spark)}/{uuid.uuid4().hex}.parquet"
+
+
 def save(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}.parquet"
+    path = scratch_path(spark)
     df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._scratch_path = path
