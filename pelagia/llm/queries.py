@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pelagia.llm import chat, decontam, filter_audit, licenses, merkle, minhash, mixing, passages, pii, spotsigs, toxicity, urls
+from pelagia.llm import chat, decontam, filter_audit, licenses, merkle, minhash, mixing, packing, passages, pii, spotsigs, toxicity, urls
 
 #: Shares of the tokens of the mixed corpus, by domain.
 TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
@@ -60,6 +60,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op11_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # only this query needs the vocabulary files
+
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -73,7 +79,7 @@ QUERIES = {
     for f in (
         op1_feistel_pii, op2_spotsigs, op3_chat_format, op4_minhash_dedup, op5_toxicity,
         op6_substring_dedup, op7_decontaminate, op8_mixing, op9_url_filter, op10_license_scan,
-        op12_filter_audit, op13_merkle_manifest,
+        op11_retrieval_packing, op12_filter_audit, op13_merkle_manifest,
     )
 }
 ORACLE_SQL = {

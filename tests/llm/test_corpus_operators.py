@@ -6,10 +6,15 @@ from hashlib import sha256
 from itertools import permutations
 from zlib import crc32
 
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
-from pelagia.llm import filter_audit, merkle
+from pelagia.llm import encode, filter_audit, merkle, packing
 
+TOKENS = public_tokenizers.path("word_bpe_49k.json")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, mask int, grp string, path string"
 
@@ -135,3 +140,91 @@ def test_merkle_store_has_every_level_and_proofs_lead_to_the_root(spark):
     for r in merkle.proofs(made).collect():
         top, rest = merkle.fold(r.hash, r.idx, r.n, r.path)
         assert top == r.subroot and merkle.fold(top, r.source_idx, r.n_sources, rest) == (made.root, "")
+
+
+ODD = ["a", "B", "'s", "'S", "\u00e9", "e\u0301", "\u0130", "\u03a3", "1", "\u00b2", ",", ".", "!?", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|", "<", " ", "\n", "\x0b", "\x1c", "\x85", "\u3000", "\u0338", "\u6f22", "\U0001f600", "don't", "\x00"]
+
+
+def test_words_are_encoded_as_whole_texts_are():
+    rng, whole, made = random.Random(2), Tokenizer.from_file(TOKENS), encode.WordEncoder(TOKENS)
+    for _ in range(4):  # later batches meet words that are known
+        texts = ["".join(rng.choice(ODD) for _ in range(rng.randrange(25))) for _ in range(1500)] + [None, ""]
+        ids, first = made.encode(pa.array(texts))
+        for t, a, z in zip(texts, first[:-1], first[1:], strict=True):
+            assert ids[a:z].tolist() == whole.encode(t or "", add_special_tokens=False).ids, repr(t)
+    assert made.encode(pa.array([], pa.string()))[1].tolist() == [0]
+
+
+def test_known_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(encode, "KEPT_WORDS", 50)
+    made, whole = encode.WordEncoder(TOKENS), Tokenizer.from_file(TOKENS)
+    for k in range(5):
+        text = " ".join(f"word{k}x{i}" for i in range(30))
+        assert made.encode(pa.array([text]))[0].tolist() == whole.encode(text, add_special_tokens=False).ids and len(made.slot) <= 60
+
+
+def _checked(pieces, docs, window):
+    """Every document whole in its pieces, every sequence gapless and full but one a range."""
+    whole, want = Tokenizer.from_file(TOKENS), {}
+    for i, t, _ in docs:
+        want.setdefault(i, []).append(np.array([*whole.encode(t or "", add_special_tokens=False).ids, 1], "<u4"))
+    found, filled = {}, {}
+    for p in pieces:
+        found.setdefault(p.doc_id, []).append((p.start, p.length, p.ids_crc32, p.doc_tokens))
+        filled.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    assert set(found) == set(want)
+    for i, texts in want.items():
+        left = sorted(found[i])
+        for ids in texts:
+            at = 0
+            while at < len(ids):
+                piece = next(p for p in left if p[0] == at and p[3] == len(ids) and p[2] == crc32(ids[at : at + p[1]].tobytes()))
+                left.remove(piece)
+                at += piece[1]
+            assert at == len(ids)
+        assert not left
+    for own in filled.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at and length > 0
+            at += length
+        assert at <= window
+    return sum(sum(n for _, n in own) < window for own in filled.values())
+
+
+def test_packing_keeps_every_token_once(spark):
+    rows = _corpus()
+    got = packing.pack(_docs(spark, rows), TOKENS, 256).collect()
+    assert _checked(got, rows, 256) <= 1
+    assert packing.pack(_docs(spark, []), TOKENS).count() == 0
+    assert [(r.doc_id, r.start, r.length, r.doc_tokens, r.offset) for r in packing.pack(_docs(spark, [(7, None, None)]), TOKENS).collect()] == [(7, 0, 1, 1, 0)]
+
+
+def test_index_scores_are_bm25():
+    rng = np.random.default_rng(1)
+    texts = [np.append(rng.integers(2, 30, rng.integers(0, 40)), 1).astype(np.uint16) for _ in range(25)]
+    n = {t: sum(t in x for x in texts) for t in range(30)}
+    weight = np.array([max(0.0, np.log((25 - n[t] + 0.5) / (n[t] + 0.5))) for t in range(30)], np.float32)
+    mean = sum(map(len, texts)) / 25
+    index = packing.Index(texts, weight, mean)
+    for i, q in enumerate(texts):
+        want = []
+        for x in texts:
+            tf = {t: int((x[:-1] == t).sum()) for t in set(q[:-1].tolist())}
+            want.append(sum(weight[t] * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len(x) / mean)) for t, f in tf.items()))
+        assert index.scores(index.terms[i]) == pytest.approx(want, rel=1e-5)
+
+
+def test_a_seed_meets_its_nearest_documents_first():
+    """Two topics in turn: windows hold one topic each; the rest of a cut document opens the next window, also across shards."""
+    rng = np.random.default_rng(3)
+    docs = [(i, np.append(rng.integers(2, 12, 30) + 20 * (i % 2), 1).astype(np.uint16)) for i in range(40)]
+    weight = np.ones(60, np.float32)
+    packer = packing.Packer(0, weight, 31.0, 62)
+    pieces = [*packer.pack(docs[:21]), *packer.pack(docs[21:])]
+    by_sequence = {}
+    for doc_id, _, _, _, _, sequence, _ in pieces:
+        by_sequence.setdefault(sequence, set()).add(doc_id % 2)
+    assert all(len(topics) == 1 for topics in by_sequence.values()) and sum(p[2] for p in pieces) == 40 * 31
+    long = packing.Packer(0, weight, 31.0, 62)
+    assert [(p[0], p[1], p[2], p[5]) for p in long.pack([(1, np.ones(150, np.uint16)), (2, np.ones(36, np.uint16))])] == [(1, 0, 62, 0), (1, 62, 62, 1), (1, 124, 26, 2), (2, 0, 36, 2)]
