@@ -18,6 +18,8 @@ from math import factorial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pelagia.llm.scratch import save
+
 FILTERS = "ABCDE"
 CELLS = 1 << len(FILTERS)
 LEAST_WORDS, LEAST_DISTINCT, MOST_UPPER = 200, 50, 2
@@ -51,9 +53,11 @@ def failure_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # repeated ids are summed first, so that min_by finds all rows of the smallest id
     by_id = rows.groupBy("doc_id", "digest", "part", "mask").agg(*(F.sum(c).alias(c) for c in _COUNTS))
     named = F.when(F.col("doc_id").isNotNull(), F.struct(*_COUNTS))
-    by_part = by_id.groupBy("digest", "part", "mask").agg(
-        *(F.sum(c).alias(c) for c in _COUNTS), *(F.coalesce(F.sum(named[c]), F.lit(0)).alias(f"named_{c}") for c in _COUNTS),
-        F.min_by(F.struct(*_COUNTS), "doc_id").alias("head"), F.min("doc_id").alias("least"),
+    by_part = save(  # read twice below, the texts once
+        by_id.groupBy("digest", "part", "mask").agg(
+            *(F.sum(c).alias(c) for c in _COUNTS), *(F.coalesce(F.sum(named[c]), F.lit(0)).alias(f"named_{c}") for c in _COUNTS),
+            F.min_by(F.struct(*_COUNTS), "doc_id").alias("head"), F.min("doc_id").alias("least"),
+        )
     )
     found = by_part.join(by_part.groupBy("digest").agg(F.min("least").alias("first")), "digest")
     head = lambda c: F.when(F.col("least") == F.col("first"), F.col("head")[c]).otherwise(0)
