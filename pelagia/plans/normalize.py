@@ -1,8 +1,8 @@
 """A normalisation run: raw files to record families, quarantine, state and manifests.
 
-A run reads what changed, parses it once into a staging table, writes the
-families of the instruments concerned and only then its state. If it breaks off,
-the instruments it had begun are written anew by the next run.
+A run lists the sources, reads what changed once, parses it once into a staging
+table and writes the families of the instruments concerned into folders of its
+own; then it is published as a whole (see ``journal``).
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pelagia import __version__
@@ -21,14 +21,17 @@ from pelagia.functions.lines import explode_lines, log_epoch_time, parse_lines
 from pelagia.operators import mer
 from pelagia.operators.episodes import build_episodes, ctd_samples, group_episodes, iridium_sessions
 from pelagia.operators.state import actions, diff_sources, invalidated, paths_for, snapshot_id
-from pelagia.plans import manifests
-from pelagia.sources.files import authoritative, belonging_to, decoded_owner, discover, identify, instrument, serial_from_log, vit_names
+from pelagia.plans import journal, manifests
+from pelagia.plans.metrics import counted_rows, counters
+from pelagia.sources.files import authoritative, belonging_to, contents, decoded_owner, identify, instrument, listing, named, vit_names
 
 SINGLE = (*FAMILIES, "unclassified")
 GROUPED = ("parameter", "testmode", "ctd", "iridium")
 LOG_FAMILIES = tuple(f"log_{f}" for f in (*SINGLE, *GROUPED))
 MER_FAMILIES = ("mer_environment", "mer_parameter", "mer_event")
 QUARANTINE = ("malformed_log_lines", "untimed_log_episodes", "malformed_mer_blocks", "skipped_files")
+#: Rows of one data file at most.
+RECORDS_A_FILE = 2_000_000
 #: Turns BIN files (source_path, prefix, stem, content, ...) into LOG files (prefix, stem, content).
 Decoder = Callable[[DataFrame], DataFrame]
 #: Columns that begin every row, and those of an episode.
@@ -133,38 +136,95 @@ def _fail_on(rows: DataFrame, what: str, place: Column) -> None:
 
 
 def sources(spark: SparkSession, root: str | list[str], out: str | None = None) -> DataFrame:
-    """Every source with its instrument."""
-    folder = root if isinstance(root, str) else None
-    files = discover(spark, root)
-    heads = explode_lines(files.where("source_kind = 'log'").select("source_path", "content")).where("line_number <= 32")
-    previous = None
-    if out is not None and manifests.exists(spark, f"{out}/manifests/source_state"):
+    """Every source with its instrument, each file read."""
+    found = listing(spark, root)
+    state = manifests.latest_state(spark, out) if out is not None else None
+    return _identified(spark, found.join(contents(spark, root, found), "source_path"), root, state)
+
+
+def _identified(spark: SparkSession, files: DataFrame, root: str | list[str], state: DataFrame | None) -> DataFrame:
+    """``files`` (listing, named_serial, ...) with their instruments."""
+    folder, previous = root if isinstance(root, str) else None, None
+    if state is not None:
         name = F.split_part(F.element_at(F.split("source_file", "/"), -1), F.lit("_"), F.lit(1))
-        previous = manifests.latest_state(spark, out).groupBy(F.regexp_replace(name, r"\.[^.]+$", "").alias("prefix")).agg(F.max("instrument_serial").alias("serial"))
-    return identify(files, vit_names(spark, folder) if folder else None, folder or "", previous, serial_from_log(heads))
+        previous = state.groupBy(F.regexp_replace(name, r"\.[^.]+$", "").alias("prefix")).agg(F.max("instrument_serial").alias("serial"))
+    sniffed = files.where("named_serial is not null").select("source_path", F.col("named_serial").alias("serial"))
+    return identify(files, vit_names(spark, folder) if folder else None, folder or "", previous, sniffed)
 
 
 def _state(files: DataFrame, root: str | list[str], fingerprint: str | None) -> DataFrame:
     where = root if isinstance(root, str) else ""
     return files.select(
-        "instrument_serial", F.col("source_path").alias("source_file"), "source_kind", "size_bytes", F.col("source_sha256").alias("content_hash"),
+        "instrument_serial", F.col("source_path").alias("source_file"), "source_kind", "size_bytes", "modified_at", F.col("source_sha256").alias("content_hash"), "named_serial",
         F.lit(where).alias("input_root"), F.lit(__version__).alias("normalization_version"), F.lit(fingerprint).cast("string").alias("decoder_fingerprint"),
     )
 
 
+def _family() -> Column:
+    return F.when(F.col("source_kind") == "mer", "mer").otherwise("log")
+
+
 def _owned(rows: DataFrame, files: DataFrame) -> DataFrame:
-    """``rows`` with the columns that begin every record."""
+    """``rows`` of ``files`` with the columns that begin every record."""
     named = F.coalesce(instrument(F.col("instrument_serial"))["instrument_id"], F.col("instrument_serial"))
-    own = files.select("source_path", named.alias("instrument_id"), "instrument_serial", F.lit(__version__).alias("records_version"), "source_file", "source_id", "source_sha256")
+    own = files.select("source_path", named.alias("instrument_id"), "instrument_serial", F.lit(__version__).alias("records_version"), "source_file", F.concat(F.lit("sha256:"), "source_sha256").alias("source_id"), "source_sha256")
     joined = rows.join(own, "source_path")
     return joined.select(*PREFIX, *(c for c in joined.columns if c not in PREFIX))
 
 
-def _publish(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    """Appends by instrument; a table without any row keeps its schema as a file of no rows."""
-    rows.write.mode("append").partitionBy("instrument_serial").parquet(path)
-    if not manifests.exists(spark, f"{path}/instrument_serial=none"):
-        spark.createDataFrame([], rows.drop("instrument_serial").schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/instrument_serial=none")
+def reached(step: str) -> None:
+    """Called as a run has come to a step; the tests break off here."""
+
+
+@dataclass
+class _Plan:
+    """What a run found: sources with their instruments, what it has read of them, and the difference with its actions."""
+
+    files: DataFrame
+    bins: DataFrame
+    read: DataFrame
+    state: DataFrame
+    told: DataFrame
+
+
+def _plan(
+    spark: SparkSession, root: str | list[str], out: str, found: DataFrame, keep: Callable[[DataFrame, str], DataFrame], *,
+    previous: DataFrame | None, force: bool, serial: str | None, decoder: Decoder | None, fingerprint: str | None,
+) -> _Plan:
+    """The difference between the sources and the kept state.
+
+    Hashes are memoised: a file whose path, size and modification time are those
+    of the kept state has its kept hash, and only the others are read, once.
+    ``keep`` stores a table that is used more than once.
+    """
+    found = keep(found, "listing")
+    stateful = isinstance(root, str)
+    kept = spark.createDataFrame([], f"{manifests.TABLES['source_state']}, run_id string") if not stateful else manifests.latest_state(spark, out) if previous is None else previous
+    for column in ("modified_at", "named_serial"):
+        if column not in kept.columns:
+            kept = kept.withColumn(column, F.lit(None).cast("timestamp" if column == "modified_at" else "string"))
+    same = ["source_path", "size_bytes", "modified_at"]
+    memo = kept.withColumnRenamed("source_file", "source_path").groupBy(*same).agg(F.max("content_hash").alias("kept_hash"), F.max("named_serial").alias("kept_serial"))
+    known = found.join(memo.where(F.lit(not force)), same, "left")
+    unread = known.where("kept_hash is null" + ("" if decoder is not None else " and source_kind <> 'bin'"))
+    read = keep(contents(spark, root, unread), "read")
+    fresh = read.select("source_path", F.col("source_sha256").alias("own_hash"), F.col("named_serial").alias("own_serial"))
+    hashed = known.join(fresh, "source_path", "left").withColumns({"source_sha256": F.coalesce("own_hash", "kept_hash"), "named_serial": F.when(F.col("own_hash").isNotNull(), F.col("own_serial")).otherwise(F.col("kept_serial"))})
+    every = keep(_identified(spark, hashed.drop("own_hash", "own_serial", "kept_hash", "kept_serial"), root, kept if stateful else None), "files")
+    if serial is not None:
+        every, kept = belonging_to(every, serial), kept.where(F.col("instrument_serial") == serial)
+    bins = every.where("source_kind = 'bin'")
+    files = authoritative(every) if decoder is not None else every.where("source_kind <> 'bin'")
+    state = _state(files, root, fingerprint)
+    diff = diff_sources(kept, state)
+    if stateful:
+        failed = manifests.latest_runs(spark, out).where("status <> 'success'")
+        spoilt = invalidated(kept, state, failed) if set(state.columns) <= set(kept.columns) else None
+        plan = actions(diff, force=force, spoilt=spoilt)
+    else:
+        plan = actions(diff, force=True)
+    told = diff.withColumn("family", _family()).join(plan.select("instrument_serial", "family", "action"), ["instrument_serial", "family"])
+    return _Plan(files, bins, read, state, told)
 
 
 def normalize(
@@ -174,115 +234,209 @@ def normalize(
     """Read what changed below ``root``, write one table per family below ``out``.
 
     ``root`` is a folder, whose state is kept from run to run, or a list of
-    files, which has none. Only the families of an instrument whose sources
-    changed are touched; a rewritten family keeps nothing of before.
+    files, which has none: such a run replaces all rows in ``out`` and is refused
+    where a folder's state is kept. Only the families of an instrument whose
+    sources changed are touched; a rewritten family keeps nothing of before.
     ``previous`` stands for the state kept in ``out``; ``serial`` limits the run
     to one instrument. A BIN file needs a ``decoder``, whose ``fingerprint``
     names its version; without one BIN files are listed as skipped and LOG
     files of the same name are read instead. ``strict`` ends the run at the
     first malformed line, episode or block, which otherwise go to the quarantine.
+    ``force`` reads and writes everything anew, also files whose size and
+    modification time are as before.
     Returns the difference with its action per file; ``dry_run`` writes nothing.
+
+    Readers see the rows of before until the run is published, all at once. A run
+    that ends in any way before that leaves them as they are, and the next one
+    starts from them.
     """
-    if not isinstance(root, str) and manifests.exists(spark, f"{out}/manifests"):
+    stateful = isinstance(root, str)
+    if not stateful and journal.is_stateful(spark, out):
         raise ValueError(f"{out} holds the state of runs over a folder; files alone need another output")
-    found = sources(spark, root, out)
-    if serial is not None:
-        found = belonging_to(found, serial)
-    bins = found.where("source_kind = 'bin'")
-    files = authoritative(found) if decoder is not None else found.where("source_kind <> 'bin'")
-    current = _state(files, root, fingerprint)
-    kept = manifests.latest_state(spark, out) if previous is None else previous
-    if serial is not None:
-        kept = kept.where(F.col("instrument_serial") == serial)
-    failed = manifests.latest_runs(spark, out).where("status <> 'success'")
-    spoilt = invalidated(kept, current, failed) if set(current.columns) <= set(kept.columns) else None
-    diff = diff_sources(kept, current)
-    plan = actions(diff, force=force, spoilt=spoilt)
-    family = F.when(F.col("source_kind") == "mer", "mer").otherwise("log")
-    told = diff.withColumn("family", family).join(plan.select("instrument_serial", "family", "action"), ["instrument_serial", "family"])
+    found = listing(spark, root)
+    options = {"previous": previous, "force": force, "serial": serial, "decoder": decoder, "fingerprint": fingerprint}
     if dry_run:
-        return told
-    run_id, began = manifests.new_run_id(), manifests.now()
-    manifests.append(told.withColumn("run_id", F.lit(run_id)), out, "diffs")
-    told = manifests.table(spark, out, "diffs").where(F.col("run_id") == run_id)
-    plan = told.select("instrument_serial", "family", "action").distinct()
-    # one short row an instrument and family
-    todo = [r for r in plan.where("action <> 'noop'").collect()]
-    error = None
+        return _plan(spark, root, out, found, lambda df, _: df, **options).told
+    recover(spark, out)
+    run_id = journal.new_run_id()
+    facts = {"started_at": journal.now(), "input_root": root if stateful else None, "output_root": out, "normalization_version": __version__}
+    if stateful:
+        journal.begin(spark, out, run_id, facts)
+
+    def keep(table: DataFrame, name: str) -> DataFrame:
+        path = f"{out}/_staging/{run_id}/{name}"
+        table.write.parquet(path)
+        return spark.read.schema(table.schema).parquet(path)
+
     try:
+        reached("begun")
+        made = _plan(spark, root, out, found, keep, **options)
+        reached("read")
+        if stateful:
+            manifests.put(made.told, out, "diffs", run_id)
+            told = manifests.table(spark, out, "diffs").where(F.col("run_id") == run_id).drop("run_id")
+        else:
+            told = keep(made.told, "told")
+        reached("planned")
+        plan = told.select("instrument_serial", "family", "action").distinct()
+        todo = not plan.where("action <> 'noop'").isEmpty()
+        state, metrics = made.state, []
         if todo:
-            _write(spark, out, run_id, files, bins, told, plan, todo, strict=strict, decoder=decoder)
-    except Exception as broke:
-        error = str(broke)[:2000]
+            state, metrics = _write(spark, root, out, run_id, made, told, plan, keep, strict=strict, decoder=decoder)
+        reached("written")
+        if stateful:
+            _account(spark, out, run_id, state, plan, metrics, todo=todo)
+        journal.prepare(spark, out, run_id, plan)
+        reached("prepared")
+        journal.publish(spark, out, run_id, stateful=stateful)
+        reached("published")
+    except BaseException as broke:
+        _failed(spark, out, run_id, facts if stateful else None, broke)
         raise
-    finally:
-        touched = plan.select("instrument_serial").distinct()
-        _finish(spark, out, run_id, began, root, touched, current, told, error)
-        manifests.remove(spark, f"{out}/_staging/{run_id}")
+    if stateful:
+        _succeeded(spark, out, run_id, facts)
+        reached("recorded")
     if manifest:
-        manifests.write_root_manifest(spark, out, root if isinstance(root, str) else None)
-    return told.drop("run_id")
-
-
-def _write(spark: SparkSession, out: str, run_id: str, files: DataFrame, bins: DataFrame, told: DataFrame, plan: DataFrame, todo: list, *, strict: bool, decoder: Decoder | None) -> None:
-    staging = f"{out}/_staging/{run_id}"
+        manifests.write_root_manifest(spark, out, facts["input_root"])
+    reached("listed")
+    told = spark.createDataFrame(told.collect(), told.schema) if not stateful else told
+    if stateful:
+        journal.close(spark, out, run_id)
+    journal.remove(spark, f"{out}/_staging/{run_id}")
+    return told
+
+
+def _write(
+    spark: SparkSession, root: str | list[str], out: str, run_id: str, made: _Plan, told: DataFrame, plan: DataFrame, keep: Callable[[DataFrame, str], DataFrame], *, strict: bool, decoder: Decoder | None
+) -> tuple[DataFrame, list[tuple]]:
+    """The tables of what the plan asks for, in folders of the run; the state with the hashes of what was read, and the counters."""
     chosen = paths_for(told.drop("family", "action"), plan).select(F.col("source_file").alias("source_path"))
-    own = files.join(chosen, "source_path", "left_semi")
-    logs = own.where("source_kind = 'log'").select("source_path", "content")
+    own = made.files.join(chosen, "source_path", "left_semi")
+    # what a rewrite needs besides the files that were read to compare them
+    more = own.join(made.read.select("source_path"), "source_path", "left_anti")
+    again = keep(contents(spark, root, more), "reread").join(made.read.select("source_path"), "source_path", "left_anti")
+    reached("reread")
+    now_read = again.select("source_path", F.col("source_sha256").alias("new_hash"))
+    own = keep(own.join(now_read, "source_path", "left").withColumn("source_sha256", F.coalesce("new_hash", "source_sha256")).drop("new_hash"), "own")
+    state = made.state.join(now_read.withColumnRenamed("source_path", "source_file"), "source_file", "left").withColumn("content_hash", F.coalesce("new_hash", "content_hash")).drop("new_hash")
+    raw = named(made.read.select("source_path", "content").unionByName(again.select("source_path", "content")))
+    logs = raw.where("source_kind = 'log'").select("source_path", "content")
     if decoder is not None:
-        read = own.where("source_kind = 'bin'")
-        logs = logs.unionByName(decoded_owner(decoder(read), read).select(F.col("bin_path").alias("source_path"), "content"))
+        bins = raw.where("source_kind = 'bin'").join(own.select("source_path", "instrument_serial", "size_bytes", "source_sha256"), "source_path")
+        logs = logs.unionByName(decoded_owner(decoder(bins), bins).select(F.col("bin_path").alias("source_path"), "content"))
     # parsed once, read by every family
-    grouped_lines(logs).write.parquet(f"{staging}/lines")
-    lines = spark.read.parquet(f"{staging}/lines")
-    log, mers = tables_of(lines), mer_tables(own.where("source_kind = 'mer'"), strict=strict)
+    lines = keep(grouped_lines(logs), "lines")
+    reached("parsed")
+    log, mers = tables_of(lines), mer_tables(raw.where("source_kind = 'mer'"), strict=strict)
     _fail_on(misassigned(lines), "lines in no family, in several or read twice", F.concat_ws(":", "source_path", "line_number"))
-    skipped = mers.skipped
+    skipped = mers.skipped.withColumn("family", F.lit("mer"))
+    everything = own
     if decoder is None:
-        skipped = skipped.unionByName(bins.select("source_path", F.lit("no decoder for BIN files").alias("error")))
-    aside = {"malformed_log_lines": log.malformed, "untimed_log_episodes": log.untimed, "malformed_mer_blocks": mers.quarantine, "skipped_files": skipped.withColumn("skipped_at", F.lit(manifests.now()))}
+        lacking = _new_bins(spark, out, made.bins, plan)
+        skipped = skipped.unionByName(lacking.select("source_path", F.lit("no decoder for BIN files").alias("error"), F.lit("log").alias("family")))
+        everything = own.unionByName(lacking.select(own.columns))
+    aside = {"malformed_log_lines": log.malformed, "untimed_log_episodes": log.untimed, "malformed_mer_blocks": mers.quarantine, "skipped_files": skipped.withColumn("skipped_at", F.lit(journal.now()))}
     if strict:
         for name in QUARANTINE[:2]:
             _fail_on(aside[name], f"{name.replace('_', ' ')} in a strict run", F.concat_ws(" ", "source_path", "error", F.col("raw_line") if "raw_line" in aside[name].columns else F.lit("")))
-    everything = files.unionByName(bins) if decoder is None else files
-    todo_tables = [(name, _owned(table, files)) for name, table in (log.families | mers.families).items()]
-    todo_tables += [(f"quarantine/{name}", _owned(table, everything).withColumn("run_id", F.lit(run_id))) for name, table in aside.items()]
-    again = {(r.instrument_serial, r.family) for r in todo if r.action == "rewrite"}
-
-    def put(name: str, table: DataFrame) -> None:
-        for serial, family in again:
-            if f"{family}_" in name or name.endswith("skipped_files"):
-                manifests.remove(spark, f"{out}/{name}/instrument_serial={serial}")
-        _publish(spark, table, f"{out}/{name}")
+    tables = {name: _owned(table, own) for name, table in (log.families | mers.families).items()}
+    tables |= {f"quarantine/{name}": _owned(table, everything).withColumn("run_id", F.lit(run_id)) for name, table in aside.items()}
+
+    def put(name: str, table: DataFrame) -> list[tuple]:
+        seen = Observation()
+        counted = table.observe(seen, *counters(name, table.columns))
+        counted.write.mode("overwrite").partitionBy("instrument_serial").option("maxRecordsPerFile", RECORDS_A_FILE).parquet(f"{out}/{name}/run={run_id}")
+        layout = f"{out}/{name}/run=none/instrument_serial=none"
+        if not journal.exists(spark, layout):  # a table without any row keeps its schema as a file of no rows
+            spark.createDataFrame([], table.drop("instrument_serial").schema).coalesce(1).write.mode("overwrite").parquet(layout)
+        return counted_rows(name, seen.get)
 
     # the tables are independent, and most are small beside what it takes to plan them
     with ThreadPoolExecutor(6) as pool:
-        for done in [pool.submit(put, *x) for x in todo_tables]:
-            done.result()
-
-
-def _finish(spark: SparkSession, out: str, run_id: str, began: str, root: str | list[str], touched: DataFrame, current: DataFrame, told: DataFrame, error: str | None) -> None:
-    """State, counts and journal of a run; what failed is only recorded as such."""
-    named = lambda df: df.withColumn("run_id", F.lit(run_id))
-    if error is None:
-        gone = told.where("change_kind = 'removed'").withColumn("removed_at", F.lit(manifests.now()))
-        manifests.append(gone, out, "pruned")
-        manifests.append(named(current), out, "source_state")
-        counts = None
-        for family in (*LOG_FAMILIES, *MER_FAMILIES):
-            if manifests.exists(spark, f"{out}/{family}"):
-                one = read_family(spark, out, family).groupBy("instrument_serial").agg(F.count("*").alias("n_rows")).withColumn("family", F.lit(family))
-                counts = one if counts is None else counts.unionByName(one)
-        if counts is not None:
-            manifests.append(named(counts.join(touched, "instrument_serial", "left_semi")), out, "outputs")
-    status = "success" if error is None else "partial" if any(manifests.exists(spark, f"{out}/{f}") for f in (*LOG_FAMILIES, *MER_FAMILIES)) else "failed"
-    facts = {"started_at": began, "completed_at": manifests.now(), "input_root": root if isinstance(root, str) else None, "output_root": out, "normalization_version": __version__, "status": status, "error": error}
-    manifests.append(named(touched).withColumns({k: F.lit(v) for k, v in facts.items()}), out, "runs")
+        return state, [row for done in [pool.submit(put, *x) for x in tables.items()] for row in done.result()]
+
+
+def _new_bins(spark: SparkSession, out: str, bins: DataFrame, plan: DataFrame) -> DataFrame:
+    """BIN files of the instruments whose LOG family is written, without those that stay listed as skipped."""
+    logs = plan.where("family = 'log' and action <> 'noop'")
+    own = bins.join(logs.select("instrument_serial", "action"), "instrument_serial")
+    if journal.pointer(spark, out) is None or not journal.exists(spark, f"{out}/quarantine/skipped_files"):
+        return own.drop("action")
+    listed = read_family(spark, out, "quarantine/skipped_files").select("instrument_serial", "source_file", F.lit("append").alias("action")).distinct()
+    return own.join(listed, ["instrument_serial", "source_file", "action"], "left_anti").drop("action")
+
+
+def _account(spark: SparkSession, out: str, run_id: str, state: DataFrame, plan: DataFrame, metrics: list[tuple], *, todo: bool) -> None:
+    """State, data files, rows a family and counters of a run; none of it counts before the run is published."""
+    manifests.put(state, out, "source_state", run_id)
+    names = [*LOG_FAMILIES, *MER_FAMILIES, *(f"quarantine/{q}" for q in QUARANTINE)] if todo else []
+    manifests.put(manifests.written_files(spark, out, names, run_id), out, "files", run_id)
+    new = manifests.table(spark, out, "files").where((F.col("run_id") == run_id) & ~F.col("name").startswith("quarantine/"))
+    rewritten = plan.where("action = 'rewrite'").select("instrument_serial", F.col("family").alias("of"))
+    before = manifests.latest_outputs(spark, out).withColumn("of", F.split_part("family", F.lit("_"), F.lit(1)))
+    stay = before.join(rewritten, ["instrument_serial", "of"], "left_anti").join(plan.select("instrument_serial").distinct(), "instrument_serial", "left_semi")
+    every = stay.select("instrument_serial", "family", "n_rows").unionByName(new.select("instrument_serial", F.col("name").alias("family"), "n_rows"))
+    manifests.put(every.groupBy("instrument_serial", "family").agg(F.sum("n_rows").alias("n_rows")), out, "outputs", run_id)
+    manifests.put(spark.createDataFrame(metrics, manifests.TABLES["metrics"]), out, "metrics", run_id)
+
+
+def _succeeded(spark: SparkSession, out: str, run_id: str, facts: dict) -> None:
+    """The outcome of a published run, and the sources that it found removed."""
+    told = manifests.table(spark, out, "diffs").where(F.col("run_id") == run_id)
+    manifests.put(told.where("change_kind = 'removed'").withColumn("removed_at", F.lit(journal.now())), out, "pruned", run_id)
+    _outcome(spark, out, run_id, facts, "success", None)
+
+
+def _failed(spark: SparkSession, out: str, run_id: str, facts: dict | None, broke: BaseException) -> None:
+    """The outcome of a run that broke off; nothing of it is live."""
+    if facts is not None:
+        at = journal.pointer(spark, out)
+        if at and at["run_id"] == run_id:  # broke off after it was published
+            return
+        _outcome(spark, out, run_id, facts, "partial" if at else "failed", f"{type(broke).__name__}: {broke}"[:2000])
+        journal.close(spark, out, run_id)
+    journal.remove(spark, f"{out}/_staging/{run_id}")
+
+
+def _outcome(spark: SparkSession, out: str, run_id: str, facts: dict, status: str, error: str | None) -> None:
+    touched = manifests.table(spark, out, "diffs").where(F.col("run_id") == run_id).select("instrument_serial").distinct()
+    given = {c: facts.get(c) for c in ("started_at", "input_root", "output_root", "normalization_version")} | {"completed_at": journal.now(), "status": status, "error": error}
+    manifests.put(touched.withColumns({k: F.lit(v) for k, v in given.items()}), out, "runs", run_id)
+
+
+def recover(spark: SparkSession, out: str) -> None:
+    """Ends what a killed run left open, then deletes what no snapshot reads.
+
+    A run that was killed after it was published is recorded as a success, any
+    other as broken off; its folders are not live, so nothing of it is lost or
+    doubled.
+    """
+    at = journal.pointer(spark, out)
+    for intent in journal.open_intents(spark, out):
+        run_id = intent["run_id"]
+        if at and at["run_id"] == run_id:
+            _succeeded(spark, out, run_id, intent)
+            manifests.write_root_manifest(spark, out, intent["input_root"])
+        else:
+            _outcome(spark, out, run_id, intent, "partial" if at else "failed", "broke off")
+        journal.close(spark, out, run_id)
+    if journal.exists(spark, out):
+        names = (*LOG_FAMILIES, *MER_FAMILIES, *(f"quarantine/{q}" for q in QUARANTINE))
+        journal.vacuum(spark, out, {n: manifests.kinds_of(n) for n in names})
 
 
 def read_family(spark: SparkSession, out: str, family: str) -> DataFrame:
-    """A published family or quarantine table, with the instrument among its first columns."""
-    rows = spark.read.parquet(f"{out}/{family}").where("instrument_serial <> 'none'").withColumn("instrument_serial", F.col("instrument_serial").cast("string"))
+    """A family or quarantine table of the published snapshot, with the instrument among its first columns."""
+    if journal.pointer(spark, out) is None:
+        raise ValueError(f"{out} holds no finished run")
+    rows = spark.read.parquet(f"{out}/{family}").where("instrument_serial <> 'none'").withColumns({c: F.col(c).cast("string") for c in ("instrument_serial", "run")})
+    live = journal.live(spark, out).withColumnRenamed("run_id", "run")
+    kinds = manifests.kinds_of(family)
+    if len(kinds) == 1:
+        rows = rows.join(live.where(F.col("kind") == kinds[0]), ["run", "instrument_serial"], "left_semi")
+    else:
+        rows = rows.join(live.withColumnRenamed("kind", "family"), ["run", "instrument_serial", "family"], "left_semi")
+    rows = rows.drop("run")
     return rows.select(*(c for c in PREFIX if c in rows.columns), *(c for c in rows.columns if c not in PREFIX))
 
 
@@ -332,4 +486,4 @@ def export_all(spark: SparkSession, out: str, target: str) -> None:
         export_jsonl(read_family(spark, out, family).drop("source_path"), f"{target}/{family}", ABSENT.get(family, ()))
 
 
-__all__ = ["event_kind", "export_all", "export_jsonl", "grouped_lines", "json_lines", "log_tables", "mer_tables", "normalize", "read_family", "snapshot_id", "tables_of", "unassigned"]
+__all__ = ["event_kind", "export_all", "export_jsonl", "grouped_lines", "json_lines", "log_tables", "mer_tables", "normalize", "read_family", "recover", "snapshot_id", "tables_of", "unassigned"]

@@ -25,8 +25,13 @@ def parse_inputs(values: list[str]) -> list[str]:
     return list(dict.fromkeys(x for v in values for x in v.replace(",", " ").split()))
 
 
-def discover(spark: SparkSession, root: str | list[str], kinds: tuple[str, ...] = KINDS) -> DataFrame:
-    """Every artifact below the folder ``root`` (or each listed file): path, kind, size, hash, content. Suffixes match in any case; files of no bytes hold nothing and are not listed."""
+#: Paths that are read one by one; for more, all files of their span of times are read.
+FEW_PATHS = 10_000
+_GLOB_SIGNS = set("[]{}*?\\")
+SERIAL_LINE = r"\](?:buoy|board) (\d+\.\d+-[A-Z]+-\d+)"
+
+
+def _reader(spark: SparkSession, root: str | list[str], kinds: tuple[str, ...]) -> DataFrame:
     reader = spark.read.format("binaryFile")
     if isinstance(root, str):
         if not _exists(spark, root):
@@ -36,8 +41,40 @@ def discover(spark: SparkSession, root: str | list[str], kinds: tuple[str, ...]
         odd = [f for f in root if f.rpartition(".")[2].lower() not in kinds]
         if odd:
             raise ValueError(f"not a {', '.join(k.upper() for k in kinds)} file: {', '.join(odd)}")
-    files = reader.load(root)
-    return with_provenance(files.select(F.col("path").alias("source_path"), F.col("length").alias("size_bytes"), "content"))
+    return reader.load(root)
+
+
+def listing(spark: SparkSession, root: str | list[str], kinds: tuple[str, ...] = KINDS) -> DataFrame:
+    """``discover`` without reading any file: path, size, modified_at and what the name says."""
+    return named(_reader(spark, root, kinds).select(F.col("path").alias("source_path"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at")))
+
+
+def contents(spark: SparkSession, root: str | list[str], wanted: DataFrame) -> DataFrame:
+    """source_path, source_sha256, named_serial and content of the ``wanted`` files (source_path, modified_at) below ``root``.
+
+    Few files are read by their paths, exactly. For many the folder is read
+    within their span of modification times, which Spark applies before it opens
+    a file; the result may then hold other files too.
+    """
+    few = [r.source_path for r in wanted.select("source_path").limit(FEW_PATHS + 1).collect()]
+    if len(few) <= FEW_PATHS and not any(_GLOB_SIGNS & set(p) for p in few):
+        files = spark.read.format("binaryFile").load(few) if few else spark.createDataFrame([], "path string, content binary")
+    else:
+        span = wanted.agg(F.unix_millis(F.min("modified_at")).alias("a"), F.unix_millis(F.max("modified_at")).alias("z")).first()
+        files = _reader(spark, root, KINDS).where(F.col("modificationTime").between(F.timestamp_millis(F.lit(span.a)), F.timestamp_millis(F.lit(span.z))))
+    is_log = F.lower(F.substring("path", -4, 4)) == ".log"
+    return files.select(F.col("path").alias("source_path"), F.sha2(F.col("content").cast("binary"), 256).alias("source_sha256"), F.when(is_log, head_serial(F.col("content"))).alias("named_serial"), "content")
+
+
+def head_serial(content: Column) -> Column:
+    """The serial that a buoy or board line names among the first 32 lines, which alone are split off."""
+    lines = F.slice(F.split(F.make_valid_utf8(content.cast("string")), r"\r\n|\r|\n", 33), 1, 32)
+    return F.try_element_at(F.transform(F.filter(lines, lambda x: x.rlike(SERIAL_LINE)), lambda x: F.regexp_extract(x, SERIAL_LINE, 1)), F.lit(1))
+
+
+def discover(spark: SparkSession, root: str | list[str], kinds: tuple[str, ...] = KINDS) -> DataFrame:
+    """Every artifact below the folder ``root`` (or each listed file): path, kind, size, hash, content. Suffixes match in any case; files of no bytes hold nothing and are not listed."""
+    return with_provenance(_reader(spark, root, kinds).select(F.col("path").alias("source_path"), F.col("length").alias("size_bytes"), "content"))
 
 
 def count_kinds(files: DataFrame) -> DataFrame:
@@ -52,10 +89,16 @@ def vit_names(spark: SparkSession, root: str) -> DataFrame:
     return rows.withColumn("i", name).where("i is not null").groupBy(F.col("i.number").alias("prefix")).agg(F.max_by("i.serial", "path").alias("serial"))
 
 
-def with_provenance(files: DataFrame) -> DataFrame:
+def named(files: DataFrame) -> DataFrame:
+    """Adds what the path of ``files`` (source_path) says: source_file, source_kind, prefix, stem."""
     name = F.element_at(F.split("source_path", "/"), -1)
+    return files.withColumns({"source_file": name, "source_kind": F.lower(F.regexp_extract(name, r"\.([^.]+)$", 1)), "prefix": F.split_part(name, F.lit("_"), F.lit(1)), "stem": F.lower(F.regexp_replace(name, r"\.[^.]+$", ""))})
+
+
+def with_provenance(files: DataFrame) -> DataFrame:
+    """``named`` with source_sha256 and source_id of the content."""
     digest = F.sha2(F.col("content").cast("binary"), 256)
-    return files.withColumns({"source_file": name, "source_kind": F.lower(F.regexp_extract(name, r"\.([^.]+)$", 1)), "source_sha256": digest, "source_id": F.concat(F.lit("sha256:"), digest), "prefix": F.split_part(name, F.lit("_"), F.lit(1)), "stem": F.lower(F.regexp_replace(name, r"\.[^.]+$", ""))})
+    return named(files).withColumns({"source_sha256": digest, "source_id": F.concat(F.lit("sha256:"), digest)})
 
 
 def authoritative(files: DataFrame) -> DataFrame:
@@ -117,5 +160,5 @@ def belonging_to(files: DataFrame, serial: str) -> DataFrame:
 
 def serial_from_log(lines: DataFrame) -> DataFrame:
     """(source_path, serial) named by a buoy or board line among the first 32 lines."""
-    found = F.regexp_extract("raw_line", r"\](?:buoy|board) (\d+\.\d+-[A-Z]+-\d+)", 1)
+    found = F.regexp_extract("raw_line", SERIAL_LINE, 1)
     return lines.where("line_number <= 32").withColumn("serial", found).where("serial <> ''").groupBy("source_path").agg(F.min_by("serial", "line_number").alias("serial"))
