@@ -31,6 +31,8 @@ WINDOW = 2048
 END = 1
 #: Tokens of one range of documents, and of one index; documents of one index.
 RANGE_TOKENS, SHARD_TOKENS, SHARD_DOCS = 1 << 22, 1 << 18, 2048
+#: Texts of one batch, besides its bytes.
+BATCH_ROWS = 4096
 #: Minima of a document's sorting key.
 MINIMA = 4
 #: BM25's saturation and length weight.
@@ -56,7 +58,7 @@ def _encoded(tokenizer: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
 
 def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, ids, doc_tokens, near) of docs (doc_id, text): token ids with ``END``, two or four bytes each, and the sorting key; null text is empty."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_ROWS)  # the more words a batch repeats, the fewer lookups
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(partial(_encoded, tokenizer), "doc_id long, ids binary, doc_tokens long, near binary")
 

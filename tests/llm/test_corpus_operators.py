@@ -160,7 +160,7 @@ def test_known_words_are_bounded(monkeypatch):
     made, whole = encode.WordEncoder(TOKENS), Tokenizer.from_file(TOKENS)
     for k in range(5):
         text = " ".join(f"word{k}x{i}" for i in range(30))
-        assert made.encode(pa.array([text]))[0].tolist() == whole.encode(text, add_special_tokens=False).ids and len(made.slot) <= 60
+        assert made.encode(pa.array([text]))[0].tolist() == whole.encode(text, add_special_tokens=False).ids and len(made.words.known) <= 60
 
 
 def _checked(pieces, docs, window):
