@@ -41,18 +41,25 @@ _SALT = np.arange(1, MINIMA + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def distinct(ids: np.ndarray) -> np.ndarray:
+    """The ids in order, each once; a stable sort of 16-bit numbers takes linear time."""
+    own = np.sort(ids, kind="stable")
+    return own[np.append(True, own[1:] != own[:-1])] if len(own) else own
+
+
 def _encoded(tokenizer: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     made = encoder(tokenizer)
     for b in batches:
         ids, first = made.encode(b.column("text"))
         held, keys, size = [], [], []
-        order = mix(np.arange(np.iinfo(made.kind).max + 1 if made.kind == np.uint16 else int(ids.max(initial=0)) + 1, dtype=np.uint64)[:, None] + _SALT)
+        order = mix(np.arange(np.iinfo(made.kind).max + 1 if made.kind == np.uint16 else int(ids.max(initial=0)) + 1, dtype=np.uint64)[:, None] + _SALT) >> np.uint64(48)
+        order = order.astype(np.uint16)
         for a, z in zip(first[:-1], first[1:], strict=True):
             own = ids[a:z]
             held.append(np.append(own, made.kind(END)).tobytes())
             size.append(z - a + 1)
             # the top 16 bits of the least hashes: many documents share one only if they share tokens
-            keys.append((order[np.unique(own)].min(0) >> np.uint64(48)).astype(">u2").tobytes() if z > a else b"")
+            keys.append(order[distinct(own)].min(0).astype(">u2").tobytes() if z > a else b"")
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(held, pa.binary()), pa.array(size, pa.int64()), pa.array(keys, pa.binary())], ["doc_id", "ids", "doc_tokens", "near"])
 
 
@@ -68,7 +75,7 @@ def _documents_of(kind: type, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
     n = np.zeros(0, np.int64)
     for b in batches:
         for raw in b.column("ids"):
-            seen = np.unique(np.frombuffer(raw.as_buffer(), kind))
+            seen = distinct(np.frombuffer(raw.as_buffer(), kind))
             if int(seen[-1]) >= len(n):
                 n = np.append(n, np.zeros(int(seen[-1]) + 1 - len(n), np.int64))
             n[seen] += 1
@@ -89,16 +96,16 @@ class Index:
     """Inverted BM25 index of a shard: the postings of each token id with the scores they add."""
 
     def __init__(self, texts: list[np.ndarray], weight: np.ndarray, mean: float):
-        found = [np.unique(t[:-1], return_counts=True) for t in texts]  # without END
-        term = np.concatenate([f[0] for f in found]).astype(np.int64)
-        doc = np.repeat(np.arange(len(texts)), [len(f[0]) for f in found])
-        often = np.concatenate([f[1] for f in found])
+        every = [np.sort(t[:-1], kind="stable") for t in texts]  # without END
         size = np.array([len(t) for t in texts])
+        term, doc = np.concatenate(every).astype(np.int64), np.repeat(np.arange(len(texts)), size - 1)
+        lead = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (doc[1:] != doc[:-1]))[: len(term)])
+        often, term, doc = np.diff(np.append(lead, len(term))), term[lead], doc[lead]
         kept = weight[term] > 0
         term, doc, often = term[kept], doc[kept], often[kept]
         score = weight[term] * often * (K1 + 1) / (often + K1 * (1 - B + B * size[doc] / mean))
         by = np.argsort(term, kind="stable")
-        self.n, self.terms = len(texts), [f[0][weight[f[0]] > 0].astype(np.int64) for f in found]
+        self.n, self.terms = len(texts), np.split(term, np.searchsorted(doc, np.arange(1, len(texts))))
         self.doc, self.score = doc[by], score[by]
         self.ends = np.searchsorted(term[by], np.arange(len(weight) + 1))
 
