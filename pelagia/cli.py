@@ -6,6 +6,7 @@ import argparse
 import importlib
 import json
 import os
+import re
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +56,7 @@ def checked(args: argparse.Namespace) -> argparse.Namespace:
             raise ValueError("give either --input-root or --input-file")
         if args.json and not args.dry_run:
             raise ValueError("--json needs --dry-run")
-        if args.instrument_serial and not __import__("re").match(NAME, args.instrument_serial):
+        if args.instrument_serial and not re.match(NAME, args.instrument_serial):
             raise ValueError(f"not an instrument serial: {args.instrument_serial}")
         if args.instrument_serial and args.input_file:
             raise ValueError("--instrument-serial needs --input-root")
@@ -94,9 +95,12 @@ def report(diff: DataFrame, *, as_json: bool) -> str:
     found = _counts(diff)
     if as_json:
         changed = diff.where("change_kind <> 'unchanged'").select("instrument_serial", "family", "source_file", "change_kind").orderBy("source_file").collect()
+        by: dict[tuple[str, str], list[dict]] = {}
+        for r in changed:
+            by.setdefault((r.instrument_serial, r.family), []).append(r.asDict())
         for one in found:
             for family, own in one["families"].items():
-                own["file_diffs"] = [r.asDict() for r in changed if (r.instrument_serial, r.family) == (one["instrument_serial"], family)]
+                own["file_diffs"] = by.get((one["instrument_serial"], family), [])
         return json.dumps({"instruments": found}, indent=2)
     overall = {r.instrument_serial: r.action for r in overall_action(diff).collect()}
     lines = [f"{x['instrument_serial']}: {overall[x['instrument_serial']]} (" + ", ".join(f"{f} {a['action']}" for f, a in x["families"].items()) + "); " + ", ".join(f"{n} {k}" for k, n in x["counts"].items() if n) for x in found]
@@ -123,6 +127,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         diff = normalize(spark, root, out, force=args.force, dry_run=args.dry_run, strict=bool(args.input_file), serial=args.instrument_serial, decoder=decoder, fingerprint=args.decoder_fingerprint)
         print(report(diff, as_json=args.json))
         if not args.dry_run and args.verbose:
+            done = manifests.latest_runs(spark, out).agg({"run_id": "max"}).first()[0]
+            for r in manifests.table(spark, out, "metrics").where(F.col("run_id") == done).where("counter like '%=%'").orderBy("family", "counter").collect():
+                print(f"  {r.family} {r.counter}: {r.n} written")
             for r in manifests.latest_outputs(spark, out).orderBy("instrument_serial", "family").collect():
                 print(f"  {r.instrument_serial} {r.family}: {r.n_rows} rows")
             for name in QUARANTINE:

@@ -6,15 +6,19 @@ engines run: a user is a file, the order of its events that of its lines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.functions.families import EVENT_FIELDS, battery_values, classified, event_fields, event_kind, gps_kind, matches, pressure_values
-from pelagia.functions.lines import artifact_name, explode_lines, log_epoch_time, parse_lines, severity, strip
-from pelagia.operators.episodes import build_episodes, group_episodes
-from pelagia.operators.mer import attributes, sections
+from pelagia.functions.families import EVENT_FIELDS, battery_values, classified, event_fields, event_kind, family_fields, gps_kind, matches, pressure_values
+from pelagia.functions.lines import artifact_name, explode_lines, format_time, iso_time, log_epoch_time, parse_lines, severity, strip
+from pelagia.operators.episodes import build_episodes, ctd_samples, group_episodes, iridium_sessions
+from pelagia.operators.mer import attributes, events, judged, sections
 from pelagia.operators.state import actions, diff_sources, snapshot_id
 from pelagia.plans.audit import audit_family, sample_rows
+from pelagia.plans.metrics import mer_summary as summary_of_mer
+from pelagia.plans.metrics import value_counts
 from pelagia.plans.normalize import grouped_lines, mer_tables, misassigned
 from pelagia.sources.files import authoritative, instrument, with_provenance
 
@@ -147,6 +151,25 @@ def topk_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.orderBy(F.desc("n"), "subsystem", "code", "message").limit(10)
 
 
+def log_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of states and kinds with the place of the first record of each."""
+    rows, found = _classified(spark, sf_dir), None
+    for family in ("acquisition", "ascent_request", "gps", "battery"):
+        own = rows.where(F.col("family") == family).withColumns(family_fields(family, F.col("message")))
+        one = value_counts(own.withColumn("source_line_number", F.col("line_number")), f"log_{family}")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def iso_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates written in four forms of ISO 8601 and read again."""
+    day, k = F.col("o_orderdate").cast("date"), F.col("o_orderkey")
+    week = F.concat(F.expr("extract(YEAROFWEEK FROM day)").cast("string"), F.lit("-W"), F.lpad(F.weekofyear("day").cast("string"), 2, "0"), F.lit("-"), (F.weekday("day") + 1).cast("string"))
+    basic = F.date_format("day", "yyyyMMdd")
+    text = F.when(k % 4 == 0, F.concat(week, F.lit("T07:08:09,5+01:30"))).when(k % 4 == 1, F.concat(basic, F.lit("T224722"))).when(k % 4 == 2, F.concat(basic, F.lit(" 22:47-0100"))).otherwise(F.date_format("day", "yyyy-MM-dd"))
+    return _read(spark, sf_dir, "orders").withColumn("day", day).select("o_orderkey", format_time(iso_time(text)).alias("record_time"))
+
+
 def attr_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "pages").select("page_id", attributes(F.regexp_extract("html", r"<(html [^>]*)>", 1)).alias("a"))
     return rows.select("page_id", F.explode("a").alias("name", "content"))
@@ -216,6 +239,17 @@ def mer_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mer_tables(_mer_files(spark, sf_dir)).quarantine.select("source_path", "block_kind", "raw_block")
 
 
+#: Some files with tags and keys that no record knows.
+_ODD = """SELECT source_path, CASE WHEN user_id % 10 = 1 THEN replace(replace(content, '<ADC ', '<ODDTAG '), '<DIVE ', '<EXTRA ') WHEN user_id % 10 = 3 THEN replace(content, 'ROUNDS=', 'BADKEY=') ELSE content END AS content FROM mer"""
+
+
+def mer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the MER files hold: files, events, kinds, and tags and keys that are unknown."""
+    rows = spark.sql(f"WITH mer AS ({_MER.replace('FROM events', 'FROM {events}')}) {_ODD}", events=_read(spark, sf_dir, "events"))
+    files = rows.withColumn("content", F.encode("content", "UTF-8"))
+    return summary_of_mer(files, sections(files), judged(events(files), strict=False))
+
+
 def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("/x/"), F.col("source"), F.lit("_"), F.col("doc_id").cast("string"), F.lit(".LOG")).alias("source_path"), F.col("text").alias("content"))
     return with_provenance(docs).select("doc_id", "source_file", "source_kind", "prefix", "source_sha256", "source_id")
@@ -251,6 +285,33 @@ def audit_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_family(stored, "log_battery").select("source_file", "place", "issue")
 
 
+def _without_first(field: str) -> Callable[[Column, Column], Column]:
+    return lambda entry, place: F.when(place == 0, entry.withField(field, F.lit(None))).otherwise(entry)
+
+
+def audit_grouped_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of all Iridium and CTD episodes; of every 5th by its first line one event's or sample's field is wrong."""
+    grouped, found = build_episodes(group_episodes(_lines(spark, sf_dir))), None
+    wrong = F.col("line_start_index") % 5 == 0
+    for name, made, column, field in (("log_iridium", iridium_sessions(grouped), "iridium_events", "message"), ("log_ctd", ctd_samples(grouped), "ctd_samples", "temperature_mdegc_tenths")):
+        changed = F.transform(column, _without_first(field))
+        rows = made.withColumn(column, F.when(wrong, changed).otherwise(F.col(column))).withColumns({"instrument_serial": F.lit("x"), "source_file": F.col("source_path")})
+        one = audit_family(rows, name)
+        found = one if found is None else found.unionByName(one)
+    return found.select("family", "source_file", "place", "issue")
+
+
+def audit_mer_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of all MER rows: of every 5th user's file the dive, the gain and the event's rounds are wrong."""
+    made, found = mer_tables(_mer_files(spark, sf_dir)).families, None
+    wrong = F.regexp_extract("source_path", r"\d+", 0).cast("long") % 5 == 0
+    for name, column, other in (("mer_environment", "dive_id", F.col("dive_id") + 1), ("mer_parameter", "adc_gain", F.col("adc_gain") + 1), ("mer_event", "rounds", F.lit("odd"))):
+        rows = made[name].withColumn(column, F.when(wrong, other).otherwise(F.col(column))).withColumns({"instrument_serial": F.lit("x"), "source_file": F.col("source_path")})
+        one = audit_family(rows, name)
+        found = one if found is None else found.unionByName(one)
+    return found.select("family", "source_file", "issue")
+
+
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A seeded row of each of up to three files a family, of distinct instruments first: a country stands for an instrument, a customer for a file."""
     rows = _read(spark, sf_dir, "orders").join(_read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
@@ -262,7 +323,7 @@ QUERIES = {f.__name__: f for f in (
     line_explode, tagged_parse, classify_single_line, classify_exclusivity, family_counts, inventory, pressure_fields, battery_fields, gps_kinds, severities,
     artifact_references, iridium_events, episodes_latch, episode_build, topk_patterns, attr_parse, section_extract, source_diff, source_actions,
     authority_antijoin, mer_environment, mer_parameter, mer_events, file_param_attach, mer_quarantine, content_hash, log_accounting, snapshot_digest, instrument_name,
-    audit_findings, hash_sample,
+    audit_findings, hash_sample, log_summary, mer_summary, iso_times, audit_grouped_findings, audit_mer_findings,
 )}
 
 #: An independent line-by-line automaton: each line extends the state of the one before it.
@@ -326,4 +387,21 @@ ORACLE_SQL = {
     "hash_sample": """WITH r AS (SELECT c_mktsegment AS family, CAST(c_nationkey AS VARCHAR) AS instrument_serial, CAST(c_custkey AS VARCHAR) AS source_file, o_orderkey AS place, md5('7|' || c_mktsegment || '|' || c_nationkey || '|' || c_custkey || '|' || o_orderkey) AS h FROM orders JOIN customer ON o_custkey = c_custkey),
       o AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY family, instrument_serial, source_file ORDER BY h, place) = 1), n AS (SELECT *, row_number() OVER (PARTITION BY family, instrument_serial ORDER BY h, place) AS nth FROM o)
       SELECT family, instrument_serial, source_file, place FROM n QUALIFY row_number() OVER (PARTITION BY family ORDER BY nth, h, place) <= 3""",
+    "log_summary": rf"""WITH {_P}, c AS (SELECT *, {_FAMILY} AS family, lower(message) AS low FROM t WHERE tagged),
+      a AS (SELECT *, CASE WHEN low LIKE '%started' THEN 'started' ELSE 'stopped' END AS state, CASE WHEN low LIKE '%already%' THEN 'assertion' ELSE 'transition' END AS kind FROM c WHERE family = 'acquisition'),
+      v AS (SELECT source_path, line_number, family, 'acquisition_state' AS counter, state AS value FROM a UNION ALL SELECT source_path, line_number, family, 'acquisition_evidence_kind', kind FROM a UNION ALL SELECT source_path, line_number, family, 'acquisition', state || ':' || kind FROM a
+        UNION ALL SELECT source_path, line_number, family, 'ascent_request_state', split_part(low, ' ', 3) FROM c WHERE family = 'ascent_request'
+        UNION ALL SELECT source_path, line_number, family, 'gps_record_kind', CASE WHEN message LIKE '%GPS fix...%' THEN 'fix_attempt' WHEN message LIKE '%deg%mn%' THEN 'fix_position' WHEN message LIKE '%dop%' THEN 'dop' ELSE 'gps_ack' END FROM c WHERE family = 'gps'
+        UNION ALL SELECT source_path, line_number, family, 'battery_record_kind', CASE WHEN message LIKE 'Vbat%' THEN 'vbat_summary' ELSE 'voltage_current' END FROM c WHERE family = 'battery'),
+      g AS (SELECT family, counter, value, count(*) AS n, min(source_path || chr(1) || lpad(CAST(line_number AS VARCHAR), 12, '0')) AS p FROM v GROUP BY 1, 2, 3)
+      SELECT 'log_' || family AS family, counter, value, n, split_part(p, chr(1), 1) AS first_path, CAST(split_part(p, chr(1), 2) AS BIGINT) AS first_line FROM g""",
+    "mer_summary": rf"""WITH mer AS ({_MER}), o AS ({_ODD}), tag AS (SELECT unnest(regexp_extract_all(content, '<(SOFTWARE|DIVE|EXTRA|SAMPLE|ADC|ODDTAG|STANFORD_PROCESS) ', 1)) AS tag FROM o),
+      k AS (SELECT CASE WHEN tag IN ('SOFTWARE', 'DIVE', 'EXTRA', 'SAMPLE') THEN 'environment' ELSE 'parameter' END AS section, tag, tag IN ('EXTRA', 'ODDTAG') AS odd FROM tag),
+      r AS (SELECT 'total_files' AS item, '' AS key FROM o UNION ALL SELECT CASE WHEN content LIKE '%<EVENT>%' THEN 'event_blocks' ELSE 'zero_event_files' END, '' FROM o UNION ALL SELECT section || '_kind', CASE WHEN odd THEN 'unknown' ELSE lower(tag) END FROM k
+        UNION ALL SELECT 'unknown_' || section || '_tag', tag FROM k WHERE odd UNION ALL SELECT 'unknown_info_key', 'BADKEY' FROM o WHERE content LIKE '%BADKEY=%') SELECT item, key, count(*) AS n FROM r GROUP BY 1, 2""",
+    "iso_times": """SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE) + CASE o_orderkey % 4 WHEN 0 THEN INTERVAL '20289500' MILLISECOND WHEN 1 THEN INTERVAL '82042' SECOND WHEN 2 THEN INTERVAL '85620' SECOND ELSE INTERVAL '0' SECOND END, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS record_time FROM orders""",
+    "audit_grouped_findings": f"""{_WALK}, g AS (SELECT source_path, episode, min(line_number) AS place, bool_or(regexp_matches(raw_line, 'P 100, T 200, S 300')) AS sampled FROM e GROUP BY source_path, episode, episode_index)
+      SELECT 'log_' || episode AS family, source_path AS source_file, place, CASE WHEN episode = 'ctd' THEN 'ctd_samples' ELSE 'iridium_events' END || ' does not match the raw lines' AS issue FROM g WHERE place % 5 = 0 AND (episode = 'iridium' OR episode = 'ctd' AND sampled)""",
+    "audit_mer_findings": """WITH u AS (SELECT DISTINCT user_id FROM events WHERE user_id % 5 = 0) SELECT 'mer_environment' AS family, 'mer' || user_id AS source_file, 'dive_id does not match the line' AS issue FROM u
+      UNION ALL SELECT 'mer_parameter', 'mer' || user_id, 'adc_gain does not match the line' FROM u UNION ALL SELECT 'mer_event', 'mer' || user_id, 'rounds does not match INFO' FROM u WHERE user_id % 4 <> 0""",
 }

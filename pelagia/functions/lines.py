@@ -44,12 +44,63 @@ def explode_lines(files: DataFrame, content: str = "content") -> DataFrame:
     return some.select(*keep, F.posexplode(parts).alias("pos", "raw_line")).select(*keep, (F.col("pos") + 1).cast("long").alias("line_number"), "raw_line")
 
 
+#: The first and the last microsecond of years 1 to 9999.
+_FIRST, _LAST = -62135596800_000000, 253402300799_999999
+_HOUR, _SIXTY, _FRACTION = r"(?:[01]\d|2[0-3])", r"[0-5]\d", r"(?:[.,]\d+)?"
+_DATE = r"\d{4}(?:-\d\d-\d\d|\d{4}|-W\d\d(?:-[1-7])?|W\d\d[1-7]?)"
+_CLOCK = rf"(?:{_HOUR}(?::{_SIXTY}(?::{_SIXTY}{_FRACTION})?)?|{_HOUR}{_SIXTY}(?:{_SIXTY}{_FRACTION})?)"
+#: ISO 8601: a date, and after any sign a clock time with or without an offset, each in the extended or the basic form.
+ISO = rf"(?ds)^({_DATE})(?:.({_CLOCK})(Z|[+-]{_CLOCK})?)?$"
+
+
+def _micros(clock: Column) -> Column:
+    """Microseconds of a clock time or offset without its sign; 0 where it is empty."""
+    digits = F.rpad(F.translate(clock, ":.,", ""), 12, "0")  # HHMMSSffffff
+    at = lambda k, n: F.substring(digits, k, n).try_cast("long")
+    return at(1, 2) * 3_600_000_000 + at(3, 2) * 60_000_000 + at(5, 8)
+
+
+def iso_parts(text: Column) -> list[Column]:
+    """Date, clock time and offset of an ISO-8601 time; empty where ``text`` is none."""
+    return [F.regexp_extract(text, ISO, k) for k in (1, 2, 3)]
+
+
+def _days(date: Column) -> Column:
+    """Days since 1970 of a calendar or week date; null if there is no such day."""
+    plain = F.regexp_replace(date, "-", "")
+    year = F.substring(plain, 1, 4)
+    calendar = F.unix_date(F.concat_ws("-", year, F.substring(plain, 5, 2), F.substring(plain, 7, 2)).try_cast("date"))
+    # the Monday of the week that the 4th of January is in; 1970 began on a Thursday
+    fourth = F.unix_date(F.concat(year, F.lit("-01-04")).try_cast("date"))
+    monday = fourth - F.pmod(fourth + 3, F.lit(7)) + F.substring(plain, 6, 2).try_cast("int") * 7 - 7
+    # a week belongs to the year that its Thursday is in
+    weekly = F.when(F.date_format(F.date_from_unix_date(monday + 3), "yyyy") == year, monday + F.rpad(F.substring(plain, 8, 1), 1, "1").cast("int") - 1)
+    return F.when(plain.contains("W"), F.when(~F.substring(plain, 6, 2).isin("00"), weekly)).otherwise(calendar).cast("long")
+
+
+def iso_from(date: Column, clock: Column, offset: Column) -> Column:
+    """The time of ``iso_parts``."""
+    shift = F.when(offset.startswith("-"), -1).otherwise(1) * _micros(F.translate(offset, "+-Z", ""))
+    micros = F.when(date >= "0001", _days(date)) * 86_400_000_000 + _micros(clock) - shift
+    return F.when(micros.between(_FIRST, _LAST), F.timestamp_micros(micros))
+
+
+def iso_time(text: Column) -> Column:
+    """An ISO-8601 time in UTC: calendar and week dates, basic and extended, any sign between date and time, fractions of a
+    second (cut to microseconds) and offsets to them. Without a time it is midnight, without an offset UTC; null if it is none
+    or falls outside years 1 to 9999."""
+    return iso_from(*iso_parts(text))
+
+
+def epoch_time(text: Column) -> Column:
+    """Whole epoch seconds; null if it is none or falls outside years 1 to 9999."""
+    seconds = F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("long"))
+    return F.when(seconds.between(_FIRST // 1_000_000, _LAST // 1_000_000), F.timestamp_seconds(F.when(seconds.between(_FIRST // 1_000_000, _LAST // 1_000_000), seconds)))
+
+
 def parse_time(text: Column) -> Column:
     """Epoch seconds or ISO-8601 (naive is UTC); null outside years 1 to 9999."""
-    seconds = F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("long"))
-    epoch = F.when(seconds.between(-62135596800, 253402300799), F.timestamp_seconds(F.when(seconds.between(-62135596800, 253402300799), seconds)))
-    iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"), text.try_cast("timestamp"))
-    return F.coalesce(epoch, iso)
+    return F.coalesce(epoch_time(text), iso_time(text))
 
 
 def format_time(ts: Column) -> Column:
@@ -69,12 +120,13 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         {
             "subsystem": strip(F.split_part("_tag", F.lit(","), F.lit(1))),
             "code": F.nullif(strip(F.expr("substring(_tag, nullif(instr(_tag, ','), 0) + 1)")), F.lit("")),
-            "record_time": format_time(parse_time(F.col("time_text"))),
+            "_epoch": epoch_time(F.col("time_text")),
+            **dict(zip(("_date", "_clock", "_offset"), iso_parts(F.col("time_text")), strict=True)),
             "is_blank": strip(raw) == "",
             "is_parameter": ~F.col("tagged") & F.coalesce(F.col("_content").rlike(PARAMETER), F.lit(False)),
             "rollover_target": extract(F.col("_content"), ROLLOVER),
         }
-    ).drop("_tag", "_content")
+    ).withColumn("_day", F.when(F.col("_epoch").isNull(), iso_from(F.col("_date"), F.col("_clock"), F.col("_offset")))).withColumn("record_time", format_time(F.coalesce("_epoch", "_day"))).drop("_tag", "_content", "_epoch", "_date", "_clock", "_offset", "_day")
 
 
 def severity(message: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pelagia.functions.lines import format_time, parse_time, strip
+from pelagia.functions.lines import format_time, iso_time, strip
 
 ATTRIBUTE = r"([A-Za-z_][A-Za-z0-9_\[\]]*)=([^\s>]+)"
 #: Known tags and attribute keys.
@@ -57,7 +57,8 @@ def _typed(tag: str, kind: str, *keys: str) -> Column:
     return F.when(F.col("tag") == tag, value)
 
 
-def environment(lines: DataFrame) -> DataFrame:
+def environment(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The environment rows of metadata lines, with the columns ``keep`` of these."""
     rows = lines.where("section = 'environment'").withColumn("attrs", attributes(F.col("line")))
     kind = F.when(F.col("tag").isin(*ENVIRONMENT), F.lower("tag")).otherwise("unknown")
     bare = F.regexp_extract("line", r"^<[A-Z0-9_]+\s+([^>]+?)\s*/>$", 1)
@@ -70,11 +71,12 @@ def environment(lines: DataFrame) -> DataFrame:
         _typed("POOL", "long", "EVENTS").alias("pool_declared_event_count"), _typed("POOL", "long", "SIZE").alias("pool_declared_size_bytes"),
         _typed("SAMPLE", "long", "MIN").alias("sample_min"), _typed("SAMPLE", "long", "MAX").alias("sample_max"),
         _typed("TRUE_SAMPLE_FREQ", "double", "FS_Hz").alias("true_sample_freq_hz"),
-        format_time(parse_time(_typed("GPSINFO", "string", "DATE"))).alias("gpsinfo_date"), raw.alias("raw_values"), "line",
+        format_time(iso_time(_typed("GPSINFO", "string", "DATE"))).alias("gpsinfo_date"), raw.alias("raw_values"), "line", *keep,
     )
 
 
-def parameters(lines: DataFrame) -> DataFrame:
+def parameters(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The parameter rows of metadata lines, with the columns ``keep`` of these."""
     rows = lines.where("section = 'parameter'").withColumn("attrs", attributes(F.col("line")))
     kind = F.when(F.col("tag").isin(*PARAMETERS), F.lower("tag")).otherwise("unknown")
     s = "STANFORD_PROCESS"
@@ -84,7 +86,7 @@ def parameters(lines: DataFrame) -> DataFrame:
         _typed(s, "long", "DURATION_h", "DURATION_H").alias("stanford_process_duration_h"), _typed(s, "long", "PROCESS_PERIOD_h", "PROCESS_PERIOD_H").alias("stanford_process_period_h"),
         _typed(s, "long", "WINDOW_LEN").alias("stanford_process_window_len"), _typed(s, "string", "WINDOW_TYPE").alias("stanford_process_window_type"),
         _typed(s, "long", "OVERLAP_PERCENT").alias("stanford_process_overlap_percent"), _typed(s, "double", "dB_OFFSET", "DB_OFFSET").alias("stanford_process_db_offset"),
-        _typed("MISC", "string", "UPLOAD_MAX").alias("upload_max"), raw.alias("raw_values"), "line",
+        _typed("MISC", "string", "UPLOAD_MAX").alias("upload_max"), raw.alias("raw_values"), "line", *keep,
     )
 
 
@@ -169,7 +171,7 @@ def typed(value: Column, kind: str) -> Column:
     if kind == "bool":
         return F.when(F.upper(value) == "YES", True).when(F.upper(value) == "NO", False)
     if kind == "time":
-        return parse_time(value)
+        return iso_time(value)
     number = value.try_cast(kind)
     return F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number) if kind == "double" else number
 
@@ -182,13 +184,15 @@ def judged(framed: DataFrame, *, strict: bool) -> DataFrame:
     checks = [(F.col("error").isNotNull(), "event_data", F.col("error"))]
     if not strict:
         checks.append((F.col("info_line").isNull(), "event_info", F.lit("missing INFO tag")))
+    # parsed once, not in every check
+    framed = framed.withColumns({f"_{x}": attributes(F.coalesce(x, F.lit(""))) for x in ("info_line", "format_line")})
     for line, kind, types in (("info_line", "event_info", _INFO_TYPES), ("format_line", "event_format", _FORMAT_TYPES)):
-        attrs = attributes(F.coalesce(line, F.lit("")))
+        attrs = F.col(f"_{line}")
         checks += [(attrs[k].isNotNull() & typed(attrs[k], t).isNull(), kind, F.lit(f"unparseable {k}")) for k, t in types.items()]
     kind, error = F.lit(None).cast("string"), F.lit(None).cast("string")
     for bad, name, said in reversed(checks):
         kind, error = F.when(bad, name).otherwise(kind), F.when(bad, said).otherwise(error)
-    return framed.withColumns({"block_kind": kind, "error": error})
+    return framed.withColumns({"block_kind": kind, "error": error}).drop("_info_line", "_format_line")
 
 
 def odd_metadata(lines: DataFrame) -> DataFrame:
@@ -224,7 +228,7 @@ def event_records(framed: DataFrame, params: DataFrame, env: DataFrame) -> DataF
     rows = rows.withColumn("source_path", checked)
     names = {k.lower(): F.col("_info")[k] for k in INFO_KEYS if k != "DATE"} | {k.lower(): F.col("_format")[k] for k in FORMAT_KEYS}
     expected = F.col("_format")["LENGTH"].try_cast("long") * F.col("_format")["BYTES_PER_SAMPLE"].try_cast("long")
-    date = format_time(parse_time(F.col("_info")["DATE"]))
+    date = format_time(iso_time(F.col("_info")["DATE"]))
     size = F.octet_length("payload").cast("long")
     rows = rows.withColumns(names | {"date": date, "event_info_date": date, "event_rounds": F.col("_info")["ROUNDS"], "expected_payload_nbytes": expected, "encoded_payload_byte_count": size, "data_payload_nbytes": size, "payload_length_matches_expected": size == expected, "encoded_payload": F.translate(F.base64("payload"), "\r\n", "")})
     stanford = env.where("software like '%STANFORD%'").select("source_path").distinct()

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pelagia.functions.families import classify, family_fields
-from pelagia.functions.lines import log_epoch_time, parse_lines
-from pelagia.operators.episodes import CTD_SAMPLE
-from pelagia.operators.mer import attributes
+from pelagia.functions.lines import format_time, iso_time, log_epoch_time, parse_lines
+from pelagia.operators.episodes import build_episodes, ctd_samples, iridium_sessions
+from pelagia.operators.mer import FORMAT_KEYS, INFO_KEYS, attributes, environment, parameters
 from pelagia.plans import manifests
 from pelagia.plans.normalize import LOG_FAMILIES, MER_FAMILIES, SINGLE, read_family
 
@@ -41,48 +41,57 @@ def audit_single(rows: DataFrame, family: str) -> DataFrame:
     return anew.withColumn("issues", _issues(checks)).select(*(F.col(f"s_{c}").alias(c) for c in stored), "raw_line", "issues")
 
 
+#: What an episode's own lines say, and what its families add.
+EPISODE_FIELDS = ("line_start_index", "line_end_index", "start_record_time", "end_record_time", "start_log_epoch_time", "end_log_epoch_time", "source_line_numbers", "raw_lines")
+GROUP_FIELDS = {"ctd": ("ctd_sample_count", "ctd_samples"), "iridium": ("session_index", "session_kind", "iridium_event_count", "iridium_events")}
+
+
 def audit_grouped(rows: DataFrame, family: str) -> DataFrame:
-    """``rows`` of a grouped LOG family with issues."""
+    """``rows`` of a grouped LOG family with issues.
+
+    The raw lines of every row are parsed and grouped again as one episode, and
+    each field, nested ones as a whole, is compared with what comes out.
+    """
+    keyed = rows.withColumn("_key", F.concat_ws("\u0000", "source_path", F.col("line_start_index").cast("string"), F.col("episode_index").cast("string")))
+    line = F.explode(F.arrays_zip(F.col("source_line_numbers").alias("line_number"), F.col("raw_lines").alias("raw_line")))
+    lines = keyed.select("_key", F.lit(family).alias("episode"), F.col("episode_index").alias("episode_index"), line.alias("l")).select("_key", "episode", "episode_index", "l.line_number", "l.raw_line")
+    anew = build_episodes(parse_lines(lines), "_key")
+    anew = ctd_samples(anew) if family == "ctd" else iridium_sessions(anew) if family == "iridium" else anew
+    fields = (*EPISODE_FIELDS, *GROUP_FIELDS.get(family, ()))
+    both = keyed.join(anew.select("_key", F.struct(*fields).alias("_anew")), "_key", "left")
     c = F.col
     checks = {
         "line numbers and raw lines differ in number": F.size("source_line_numbers") == F.size("raw_lines"),
-        "line span does not match the line numbers": (F.array_min("source_line_numbers") == c("line_start_index")) & (F.array_max("source_line_numbers") == c("line_end_index")),
         "line numbers do not ascend": c("source_line_numbers") == F.sort_array("source_line_numbers"),
         "start is after end": F.coalesce(c("start_log_epoch_time").try_cast("long") <= c("end_log_epoch_time").try_cast("long"), F.lit(True)),
         "a time is missing": c("start_record_time").isNotNull() & c("end_record_time").isNotNull(),
     }
-    if family == "ctd":
-        sampled = F.size(F.filter("raw_lines", lambda x: x.rlike(CTD_SAMPLE)))
-        checks["ctd_sample_count does not match the raw lines"] = (F.size("ctd_samples") == c("ctd_sample_count")) & (sampled == c("ctd_sample_count"))
-    if family == "iridium":
-        explicit = F.exists("iridium_events", lambda e: e["iridium_event_kind"] == "session_start")
-        checks |= {
-            "iridium_event_count does not match the events": F.size("iridium_events") == c("iridium_event_count"),
-            "session_kind does not match the events": (c("session_kind") == "explicit_session") == explicit,
-            "an event is on no line of the session": F.forall("iridium_events", lambda e: F.array_contains("source_line_numbers", e["source_line_number"])),
-        }
-    return rows.withColumn("issues", _issues(checks))
+    checks |= {f"{n} does not match the raw lines": _same(c(n), c("_anew")[n]) for n in fields}
+    return both.withColumn("issues", _issues(checks)).drop("_key", "_anew")
 
 
 def audit_mer(rows: DataFrame, family: str) -> DataFrame:
-    """``rows`` of a MER family with issues."""
+    """``rows`` of a MER family with issues: every field is derived anew from the kept line or lines."""
     c = F.col
     if family == "event":
-        info = attributes(F.coalesce("raw_info_line" if "raw_info_line" in rows.columns else "info_line", F.lit("")))
+        info, form = (attributes(F.coalesce(line, F.lit(""))) for line in ("raw_info_line", "raw_format_line"))
+        rows = rows.withColumns({"_info": info, "_format": form})
         size = F.octet_length(F.unbase64("encoded_payload")).cast("long")
-        checks = {
-            "encoded_payload_byte_count does not match the payload": c("encoded_payload_byte_count").eqNullSafe(size),
-            "payload_length_matches_expected is wrong": c("payload_length_matches_expected").eqNullSafe(size == c("expected_payload_nbytes")),
-        }
-        checks |= {f"{k} does not match INFO": c(k).eqNullSafe(info[k.upper()]) for k in ("rounds", "pressure", "temperature", "criterion", "snr", "trig", "detrig")}
-        return rows.withColumn("issues", _issues(checks))
-    tag, attrs = F.lower(F.regexp_extract("line", r"^<([A-Z0-9_]+)\b", 1)), attributes(F.col("line"))
-    kind = c(f"{family}_kind")
-    checks = {f"{family}_kind does not match the line": (kind == "unknown") | (kind == tag)}
-    for name, key, on in (("dive_id", "ID", "dive"), ("sample_min", "MIN", "sample"), ("sample_max", "MAX", "sample"), ("adc_gain", "GAIN", "adc")):
-        if name in rows.columns:
-            checks[f"{name} does not match the line"] = c(name).eqNullSafe(F.when(kind == on, attrs[key].try_cast("long")))
-    return rows.withColumn("issues", _issues(checks))
+        date, expected = format_time(iso_time(c("_info")["DATE"])), c("_format")["LENGTH"].try_cast("long") * c("_format")["BYTES_PER_SAMPLE"].try_cast("long")
+        checks = {f"{n} does not match the payload": c(n).eqNullSafe(size) for n in ("encoded_payload_byte_count", "data_payload_nbytes")}
+        checks |= {"expected_payload_nbytes does not match FORMAT": c("expected_payload_nbytes").eqNullSafe(expected), "payload_length_matches_expected is wrong": c("payload_length_matches_expected").eqNullSafe(size == c("expected_payload_nbytes"))}
+        checks |= {f"{n} does not match INFO": c(n).eqNullSafe(date) for n in ("date", "event_info_date")} | {"event_rounds does not match INFO": c("event_rounds").eqNullSafe(c("_info")["ROUNDS"])}
+        checks |= {f"{k.lower()} does not match INFO": c(k.lower()).eqNullSafe(c("_info")[k]) for k in INFO_KEYS if k != "DATE"}
+        checks |= {f"{k.lower()} does not match FORMAT": c(k.lower()).eqNullSafe(c("_format")[k]) for k in FORMAT_KEYS}
+        checks["the event has neither a FORMAT line nor rounds"] = c("raw_format_line").isNotNull() | c("rounds").isNotNull()
+        return rows.withColumn("issues", _issues(checks)).drop("_info", "_format")
+    derive = environment if family == "environment" else parameters
+    tag = F.regexp_extract("line", r"^<([A-Z0-9_]+)\b", 1)
+    stored = rows.select(F.struct(*rows.columns).alias("_stored"), "source_path", "body_pos", "line_pos", "line", F.lit(family).alias("section"), F.when(tag == "", "UNKNOWN").otherwise(tag).alias("tag"))
+    fields = [x for x in derive(stored).columns if x in rows.columns and x not in ("source_path", "body_pos", "line_pos", "line")]
+    anew = derive(stored, ("_stored",)).select("_stored", F.struct(*fields).alias("_anew"))
+    checks = {f"{n} does not match the line": _same(c("_stored")[n], c("_anew")[n]) for n in fields}
+    return anew.withColumn("issues", _issues(checks)).select("_stored.*", "issues")
 
 
 def audit_family(rows: DataFrame, name: str) -> DataFrame:
@@ -109,15 +118,30 @@ def audit(spark: SparkSession, out: str) -> DataFrame:
     return found
 
 
-def sample_rows(rows: DataFrame, files: int, seed: int, *, keys: tuple[str, ...] = ("family", "instrument_serial", "source_file")) -> DataFrame:
+def is_stanford(rows: DataFrame) -> Column:
+    """Whether a MER row is of the processed kind: of such an instrument, or an event with rounds and no FORMAT line."""
+    processed = F.col("raw_format_line").isNull() & F.col("rounds").isNotNull() if {"raw_format_line", "rounds"} <= set(rows.columns) else F.lit(False)
+    return F.col("family").startswith("mer_") & (F.col("instrument_serial").startswith("465.152-R-") | processed)
+
+
+def sample_rows(rows: DataFrame, files: int, seed: int, *, keys: tuple[str, ...] = ("family", "instrument_serial", "source_file"), forced: Column | None = None) -> DataFrame:
     """One row of each file by seeded hash, of at most ``files`` files a family, of distinct instruments as far as there are.
 
-    The choice within a file and an instrument is an aggregated minimum, so no group meets in one task.
+    If none of them is ``forced`` but some file's row is, the first such row by
+    the same order comes too. The choice within a file is an aggregated minimum;
+    of an instrument's or a family's files no more than ``files`` are ranked, as
+    Spark limits each group before it is shuffled.
     """
     family, serial, file = keys
     order = F.struct(F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.col(c).cast("string") for c in rows.columns if c in (*keys, "place")))), *(c for c in ("place",) if c in rows.columns))
-    one = rows.groupBy(family, serial, file).agg(F.min_by(F.struct(*rows.columns), order).alias("r"), F.min(order).alias("o"))
-    # the first file of each instrument before any second one; nth is bounded by the files of one instrument
+    flag = F.lit(False) if forced is None else F.coalesce(forced, F.lit(False))
+    one = rows.withColumn("_forced", flag).groupBy(family, serial, file).agg(F.min_by(F.struct(*rows.columns, "_forced"), order).alias("r"), F.min(order).alias("o"))
+    # the first file of each instrument before any second one
     nth = F.row_number().over(Window.partitionBy(family, serial).orderBy("o"))
     pick = F.row_number().over(Window.partitionBy(family).orderBy("nth", "o"))
-    return one.withColumn("nth", nth).withColumn("pick", pick).where(F.col("pick") <= files).select("r.*")
+    picked = one.withColumn("nth", nth).where(F.col("nth") <= files).withColumn("pick", pick).where(F.col("pick") <= files).select("r.*")
+    if forced is not None:
+        first = one.where("r._forced").agg(F.min_by("r", "o").alias("r")).where("r is not null").select("r.*")
+        have = picked.agg(F.coalesce(F.bool_or("_forced"), F.lit(False)).alias("have"))
+        picked = picked.unionByName(first.join(have, ~F.col("have")).select(picked.columns))
+    return picked.drop("_forced")

@@ -88,7 +88,7 @@ def hashed(spark: SparkSession, out: str, folders: list[str]) -> DataFrame:
 
 def written_files(spark: SparkSession, out: str, names: list[str], run_id: str) -> DataFrame:
     """The rows of ``files`` for what ``run_id`` wrote: each file is hashed once, by the run that made it."""
-    own = hashed(spark, out, [f"{out}/{n}/run={run_id}" for n in names]).withColumn("p", F.split("path", f"/run={run_id}/instrument_serial="))
+    own = hashed(spark, out, [f for n in names if exists(spark, f := f"{out}/{n}/run={run_id}")]).withColumn("p", F.split("path", f"/run={run_id}/instrument_serial="))
     serial = F.url_decode(F.replace(F.split_part(F.col("p")[1], F.lit("/"), F.lit(1)), F.lit("+"), F.lit("%2B")))
     return own.select(F.col("p")[0].alias("name"), serial.alias("instrument_serial"), "path", "byte_size", "sha256", "n_rows")
 

@@ -46,7 +46,7 @@ def counters(name: str, columns: list[str]) -> list[Column]:
     for k, (_, value, values) in enumerate(_counted().get(name, ())):
         for j, v in enumerate(values):
             own = F.when(value == v, F.struct("source_path", *((F.col("body_pos"),) if "body_pos" in columns else ()), F.col(place)))
-            record = F.to_json(F.struct(*(c for c in columns if c != "source_path")), {"ignoreNullFields": "false"})
+            record = F.struct(*(c for c in columns if c != "source_path"))
             out += [F.count_if(value == v).alias(f"n{k}_{j}"), F.min_by(record, own).alias(f"e{k}_{j}")]
     return out
 
@@ -55,7 +55,9 @@ def counted_rows(name: str, got: dict[str, Any]) -> list[tuple[str, str, int, st
     """(family, counter, n, example) of what was observed."""
     rows = [(name, "records", got["n"], None), (name, "source_lines", got["lines"], None)]
     for k, (column, _, values) in enumerate(_counted().get(name, ())):
-        rows += [(name, f"{column}={v}", got[f"n{k}_{j}"], got[f"e{k}_{j}"]) for j, v in enumerate(values) if got[f"n{k}_{j}"]]
+        for j, v in enumerate(values):
+            if got[f"n{k}_{j}"]:
+                rows.append((name, f"{column}={v}", got[f"n{k}_{j}"], json.dumps(got[f"e{k}_{j}"].asDict(recursive=True), default=str)))
     return rows
 
 
@@ -78,6 +80,15 @@ def log_summary(rows: list) -> dict:
     return out
 
 
+def value_counts(rows: DataFrame, name: str) -> DataFrame:
+    """(family, counter, value, n, first_path, first_line) of a table's counted values, as rows: what ``counters`` observes, for any rows of a single-line family."""
+    pairs = F.array(*(F.struct(F.lit(c).alias("counter"), v.cast("string").alias("value")) for c, v, _ in _counted()[name]))
+    every = rows.select("source_path", "source_line_number", F.explode(pairs).alias("c")).where("c.value is not null")
+    first = F.min(F.struct("source_path", "source_line_number")).alias("first")
+    counts = every.groupBy("c.counter", "c.value").agg(F.count("*").alias("n"), first)
+    return counts.select(F.lit(name).alias("family"), "counter", "value", "n", F.col("first.source_path").alias("first_path"), F.col("first.source_line_number").alias("first_line"))
+
+
 def mer_summary(files: DataFrame, lines: DataFrame, framed: DataFrame) -> DataFrame:
     """(item, key, n): what MER files hold, of ``files`` (source_path), their metadata ``lines`` and their ``framed`` events.
 

@@ -342,13 +342,17 @@ def _write(
     tables = {name: _owned(table, own) for name, table in (log.families | mers.families).items()}
     tables |= {f"quarantine/{name}": _owned(table, everything).withColumn("run_id", F.lit(run_id)) for name, table in aside.items()}
 
+    active = {r.family for r in plan.where("action <> 'noop'").select("family").distinct().collect()}  # log, mer or both
+
     def put(name: str, table: DataFrame) -> list[tuple]:
-        seen = Observation()
-        counted = table.observe(seen, *counters(name, table.columns))
-        counted.write.mode("overwrite").partitionBy("instrument_serial").option("maxRecordsPerFile", RECORDS_A_FILE).parquet(f"{out}/{name}/run={run_id}")
         layout = f"{out}/{name}/run=none/instrument_serial=none"
         if not journal.exists(spark, layout):  # a table without any row keeps its schema as a file of no rows
             spark.createDataFrame([], table.drop("instrument_serial").schema).coalesce(1).write.mode("overwrite").parquet(layout)
+        if not active & set(manifests.kinds_of(name)):
+            return []
+        seen = Observation()
+        counted = table.observe(seen, *counters(name, table.columns))
+        counted.write.mode("overwrite").partitionBy("instrument_serial").option("maxRecordsPerFile", RECORDS_A_FILE).parquet(f"{out}/{name}/run={run_id}")
         return counted_rows(name, seen.get)
 
     # the tables are independent, and most are small beside what it takes to plan them

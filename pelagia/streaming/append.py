@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pelagia.plans.journal import remove
 from pelagia.plans.normalize import grouped_lines, tables_of
 from pelagia.sources.files import identify, with_provenance
 
@@ -29,5 +30,6 @@ def append_logs(spark: SparkSession, root: str, out: str, checkpoint: str) -> St
         names = found.select("source_path", "instrument_serial", "source_id")
         for name, table in {**made.families, "malformed_log_lines": made.malformed}.items():
             table.join(names, "source_path").write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
+        remove(spark, f"{out}/_staging")
 
     return files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -79,3 +79,35 @@ def test_every_line_once(spark):
 def test_no_files(spark):
     tables = log_tables(_files(spark, a="").limit(0))
     assert all(t.count() == 0 for t in tables.families.values())
+
+
+def _iso_forms(rng):
+    date = rng.choice([f"{rng.choice((1, 1999, 2020, 2024, 9999)):04}-{rng.randrange(0, 14):02}-{rng.randrange(0, 33):02}", f"{rng.choice((1999, 2024)):04}{rng.randrange(1, 13):02}{rng.randrange(1, 32):02}", f"{rng.choice((1998, 2015, 2020, 2021, 2024)):04}-W{rng.choice((0, 1, 9, 52, 53, 54)):02}", f"{rng.choice((2015, 2020, 2024)):04}-W{rng.choice((1, 52, 53)):02}-{rng.randrange(0, 9)}", f"2020W{rng.choice((1, 52, 53)):02}{rng.randrange(1, 8)}", "2024W07"])
+    h, m, s = rng.randrange(0, 25), rng.choice((0, 5, 59, 60)), rng.choice((0, 7, 59, 60))
+    fraction = rng.choice(("", ".5", ",5", ".123456", ".1234567", ",000001"))
+    clock = rng.choice(("", f"{h:02}", f"{h:02}:{m:02}", f"{h:02}{m:02}", f"{h:02}:{m:02}:{s:02}{fraction}", f"{h:02}{m:02}{s:02}{fraction}", f"{h:02}:{m:02}{s:02}"))
+    offset = rng.choice(("", "", "Z", "+00:00", "-0130", "+05", "+23:59", "-00:00:30", "+01:02:03.5", "+24:00"))
+    return date + (rng.choice("T  x_") + clock + offset if clock else "")
+
+
+def test_times_are_read_as_iso_8601(spark):
+    import random
+    from datetime import UTC, datetime
+
+    from pelagia.functions.lines import format_time, iso_time
+
+    rng = random.Random(11)
+    texts = sorted({_iso_forms(rng) for _ in range(6000)} | {"20240207T224722", "2024-02-07T22:47:22+0000", "2024-W06-3", "2024-02-07T22:47:22,5", "", "x", "2024-02-07T", "2024-02-07T22:47:22z", "0000-01-01", "9999-12-31T23:59:59-01:00", "0001-01-01T00:00:00+01:00"})
+
+    def expected(text):
+        try:
+            made = datetime.fromisoformat(text[:-1] + "+00:00" if text.endswith("Z") else text)
+            made = made.replace(tzinfo=UTC) if made.tzinfo is None else made.astimezone(UTC)
+            return made.isoformat(timespec="microseconds").replace("+00:00", "Z")
+        except (ValueError, OverflowError):
+            return None
+
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", format_time(iso_time(F.col("t"))).alias("got")).collect()
+    wrong = [(r.t, r.got, expected(r.t)) for r in rows if r.got != expected(r.t)]
+    assert not wrong, wrong[:10]
+    assert sum(r.got is not None for r in rows) > 500
