@@ -6,9 +6,13 @@ problem
 
     min over r >= 0 of sum_d (sum_i r_i n_i p_id - target_d)^2 / mass_d
 
-for the rate r_i of every document. A document's rate depends on the iterations
-only through one residual per domain, so a step is one aggregation that returns
-as many numbers as there are domains.
+for the rate r_i of every document. A document's rate depends on the
+steps only through one shift per domain and step, so rates are never stored: a
+step is one aggregation over the posteriors that returns the domain totals and
+how they answer to a shift (as many numbers as there are domains, and their
+square). The gradient is scaled by the inverse of that answer, which meets
+targets in a few steps; where this does not lower the squares, the plain
+gradient takes the step.
 """
 
 from __future__ import annotations
@@ -16,10 +20,11 @@ from __future__ import annotations
 import json
 from math import log
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.scratch import drop, release, save
+from pelagia.llm.scratch import save
 
 #: Slots of the hashed terms; the model is this many numbers a domain.
 SLOTS = 4096
@@ -52,24 +57,26 @@ def _fit(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> tuple[list
     return prior, weight
 
 
-def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> DataFrame:
-    """doc_id, tokens and p_<k> for the k-th domain, for every row of docs (doc_id, text).
+def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], *, keep: bool = False) -> DataFrame:
+    """doc_id, tokens and p_<k> for the k-th domain, for every row of docs (doc_id, text); ``keep``: with the row as ``doc``.
 
     The evidence of n distinct terms counts as that of sqrt(n) independent ones,
     as terms of one text are not independent. A text without terms gets the
     prior. ``labelled`` is (doc_id, domain); labels of other domains and of
     unknown rows are ignored.
     """
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", *([F.struct(*docs.columns).alias("doc")] if keep else []))
+    own = ["doc_id", "tokens", *(["doc"] if keep else [])]
     prior, weight = _fit(docs, labelled, domains)
     tokens = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     # one column first, else every sum would split the text again
-    rows = save(docs.select("doc_id", tokens.alias("tokens"), _slots(F.coalesce("text", F.lit(""))).alias("_s")).select("doc_id", "tokens", "_s", F.sqrt(F.greatest(F.size("_s"), F.lit(1))).alias("_n")).select("doc_id", "tokens", *(_log(k, prior[k], weight[k]) for k in range(len(domains)))))
+    rows = docs.withColumns({"tokens": tokens, "_s": _slots(F.coalesce("text", F.lit("")))}).select(*own, "_s", F.sqrt(F.greatest(F.size("_s"), F.lit(1))).alias("_n"))
+    rows = save(rows.select(*own, *(_log(k, prior[k], weight[k]) for k in range(len(domains)))))
     names = [f"_l{k}" for k in range(len(domains))]
     rows = rows.withColumn("_top", F.greatest(*names) if len(names) > 1 else F.col(names[0]))
     rows = rows.withColumns({n: F.exp(F.col(n) - F.col("_top")) for n in names})
     total = sum((F.col(n) for n in names), F.lit(0.0))
-    return rows.select("doc_id", "tokens", *((F.col(n) / total).alias(f"p_{k}") for k, n in enumerate(names)))
+    return rows.select(*own, *((F.col(n) / total).alias(f"p_{k}") for k, n in enumerate(names)))
 
 
 def _log(k: int, prior: float, weight: list[float]) -> Column:
@@ -77,8 +84,18 @@ def _log(k: int, prior: float, weight: list[float]) -> Column:
     return (F.lit(prior) + F.aggregate("_s", F.lit(0.0), lambda a, s: a + F.get(table, s)) / F.col("_n")).alias(f"_l{k}")
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> DataFrame:
-    """doc_id, tokens, p_<k>, rate, copies for every row of docs.
+def _folded(live: list[int], shifts: list[list[float]]) -> Column:
+    """A row's rate after ``shifts``: each moves it by the posteriors' share, and never below zero.
+
+    The numbers are one JSON text, so all steps have the same compiled code.
+    """
+    own = F.array(*(F.col(f"p_{k}") for k in live))
+    dot = lambda s: F.aggregate(F.zip_with(own, s, lambda p, x: p * x), F.lit(0.0), lambda a, x: a + x)
+    return F.aggregate(F.from_json(F.lit(json.dumps(shifts)), "array<array<double>>"), F.lit(1.0), lambda r, s: F.greatest(F.lit(0.0), r + dot(s)))
+
+
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *, keep: bool = False) -> DataFrame:
+    """doc_id, tokens, p_<k>, rate, copies for every row of docs; ``keep``: after all columns of docs.
 
     Targets are shares of the smallest total at which no domain has to shrink,
     so rates say how often a document is read and no document is dropped by
@@ -88,36 +105,47 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> Data
     by less than that share of what it was at first; without either after
     ``STEPS`` the job fails. Defined cases: null and empty texts have no tokens and rate 1; an
     empty table or one without tokens gives rates of 1; a domain without mass
-    keeps none; repeated rows are rated each; extra columns are ignored.
+    keeps none; repeated rows are rated each; extra columns are ignored, and
+    with ``keep`` those named like a column of the result give way to it.
     """
     domains = list(targets)
     total_weight = sum(targets.values())
-    base = save(posteriors(docs, labelled, domains))
-    release(docs.sparkSession)
+    base = save(posteriors(docs, labelled, domains, keep=keep))
     n_p = [(F.col("tokens") * F.col(f"p_{k}")) for k in range(len(domains))]
     mass = [float(x or 0.0) for x in base.agg(*(F.sum(x).alias(f"m{k}") for k, x in enumerate(n_p))).first()]
     live = [k for k, m in enumerate(mass) if m > 0 and targets[domains[k]] > 0]
     budget = max((mass[k] * total_weight / targets[domains[k]] for k in live), default=0.0)
-    goal = [budget * targets[d] / total_weight for d in domains]
-    # three steps at a time keep the plan short; what they start from is kept in a table
-    rated, rate, spent, squares = base.withColumn("rate", F.lit(1.0)), F.col("rate"), None, []
-    for step in range(STEPS + 1 if live else 0):
-        have = [float(x or 0.0) for x in rated.agg(*(F.sum(x * rate).alias(f"h{k}") for k, x in enumerate(n_p))).first()]
-        squares.append(sum((goal[k] - have[k]) ** 2 / mass[k] for k in live))
-        miss = [(goal[k] - have[k]) / mass[k] for k in live]
-        if max(abs(goal[k] - have[k]) for k in live) <= TOLERANCE * budget or (step and squares[-2] - squares[-1] <= TOLERANCE * squares[0]):
-            break
-        if step == STEPS:
+    goal = np.array([budget * targets[domains[k]] / total_weight for k in live])
+    weight = 1 / np.array([mass[k] for k in live])
+    shifts: list[list[float]] = []
+    squares, plain, steps = [], False, STEPS if live else -1
+    pairs = [(i, j) for i in range(len(live)) for j in range(i, len(live))]
+    for step in range(steps + 1):
+        # how totals answer to a shift: only rows above zero move with it
+        moved = [F.sum(F.when(F.col("rate") > 0, n_p[live[i]] * F.col(f"p_{live[j]}")).otherwise(0.0)) for i, j in pairs]
+        got = base.withColumn("rate", _folded(live, shifts)).agg(*(F.sum(n_p[k] * F.col("rate")) for k in live), *moved).first()
+        have, answer = np.array(got[: len(live)], float), np.zeros((len(live), len(live)))
+        for (i, j), v in zip(pairs, got[len(live) :], strict=True):
+            answer[i, j] = answer[j, i] = v
+        now = float(((goal - have) ** 2 * weight).sum())
+        if squares and now > squares[-1] and not plain:
+            shifts.pop()  # the scaled step went astray: take the plain one from where it began
+            plain, miss = True, last
+        else:
+            gained = squares[-1] - now if squares else None
+            squares.append(now)
+            if np.abs(goal - have).max() <= TOLERANCE * budget or (gained is not None and gained <= TOLERANCE * squares[0] and plain):
+                break
+            # a small gain of a scaled step is no end yet
+            plain, miss = gained is not None and gained <= TOLERANCE * squares[0], goal - have
+        if step == steps:
             raise RuntimeError(f"rates do not settle in {STEPS} steps: {have} for {goal}")
-        # as one array, not as numbers in the code, or every step would be compiled anew
-        shift = F.zip_with(F.array(*(f"p_{k}" for k in live)), F.from_json(F.lit(json.dumps(miss)), "array<double>"), lambda p, m: p * m)
-        rate = F.greatest(F.lit(0.0), rate + F.aggregate(shift, F.lit(0.0), lambda a, x: a + x))
-        if step % 3 == 2:
-            rated = save(rated.withColumn("rate", rate))
-            if spent is not None:
-                drop(spent)
-            spent, rate = rated, F.col("rate")
+        last = miss
+        shifts.append((miss * weight if plain else np.linalg.lstsq(answer, miss, rcond=1e-12)[0]).tolist())
     part = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) / float(1 << 20)
-    final = F.when(F.col("tokens") > 0, rate).otherwise(1.0)
-    out = rated.withColumn("rate", final).withColumn("copies", (F.floor("rate") + (part < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
-    return out.select("doc_id", "tokens", *(f"p_{k}" for k in range(len(domains))), "rate", "copies")
+    rated = base.withColumn("rate", F.when(F.col("tokens") > 0, _folded(live, shifts)).otherwise(1.0) if live else F.lit(1.0))
+    rated = rated.withColumn("copies", (F.floor("rate") + (part < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
+    made = ["tokens", *(f"p_{k}" for k in range(len(domains))), "rate", "copies"]
+    if not keep:
+        return rated.select("doc_id", *made)
+    return rated.select(*(F.col("doc")[c].alias(c) for c in docs.columns if c not in made), *made)

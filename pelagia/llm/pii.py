@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-#: Session setting that holds the secret key.
-KEY_SETTING = "spark.pelagia.pii.key"
+#: Session setting that holds the secret key; Spark hides the values of settings named so.
+KEY_SETTING = "spark.pelagia.pii.secret"
 
 #: Characters of a bank account number, by country.
 ACCOUNTS = {
@@ -56,7 +56,7 @@ HINT = r"[0-9][0-9.)(/ -]{0,3}[0-9]|@|[0-9a-f]{32}"
 
 
 def session_key(spark: SparkSession) -> str:
-    """The secret named by ``spark.pelagia.pii.key``.
+    """The secret named by ``spark.pelagia.pii.secret``.
 
     Where it is unset the session gets a random one, so no published value can
     undo the pseudonyms; they then are linked within this session only.
@@ -72,12 +72,20 @@ def _q(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _key(key: str) -> str:
+    """SQL for a key: a text, or, after a NUL, the name of the column that holds it, with what follows the colon."""
+    if not key.startswith("\0"):
+        return _q(key)
+    name, _, use = key[1:].partition(":")
+    return f"concat(`{name}`, {_q(':' + use)})"
+
+
 def _feistel(values: str, bases: str, key: str) -> str:
     """SQL for the permuted array; both arguments are array<bigint> SQL of two places or more."""
     half = f"cast(size({values}) div 2 as int)"
     rest = f"size({values}) - {half}"
     start = f"named_struct('a', slice({values}, 1, {half}), 'b', slice({values}, {half} + 1, {rest}), 'p', slice({bases}, 1, {half}), 'q', slice({bases}, {half} + 1, {rest}))"
-    shift = f"cast(conv(substring(sha2(concat_ws(',', {_q(key)}, r, j, array_join(s.b, '.')), 256), 1, 10), 16, 10) as bigint)"
+    shift = f"cast(conv(substring(sha2(concat_ws(',', {_key(key)}, r, j, array_join(s.b, '.')), 256), 1, 10), 16, 10) as bigint)"
     turn = f"named_struct('a', s.b, 'b', transform(s.a, (x, j) -> pmod(x + {shift}, s.p[j])), 'p', s.q, 'q', s.p)"
     return f"aggregate(sequence(1, {ROUNDS}), {start}, (s, r) -> {turn}, s -> concat(s.a, s.b))"
 
@@ -99,7 +107,7 @@ def _one(char: str, key: str) -> str:
     """One letter or digit, moved within its class; a Feistel network needs two places."""
     first = f"ascii(CASE WHEN {char} rlike '[0-9]' THEN '0' WHEN {char} rlike '[a-z]' THEN 'a' ELSE 'A' END)"
     base = f"if({char} rlike '[0-9]', 10, 26)"
-    shift = f"1 + cast(conv(substring(sha2({_q(key)}, 256), 1, 10), 16, 10) as bigint) % ({base} - 1)"
+    shift = f"1 + cast(conv(substring(sha2({_key(key)}, 256), 1, 10), 16, 10) as bigint) % ({base} - 1)"
     return f"chr({first} + (ascii({char}) - {first} + {shift}) % {base})"
 
 
@@ -229,7 +237,10 @@ def pseudonymize(docs: DataFrame, *, key: str, text: str = "text", count: str |
     alike, all other columns pass through, whatever their names; dates of years
     before 1900 or after 2100-05-01 stay.
     """
-    found, gaps, new = (_free(docs, n) for n in ("_pii_found", "_pii_gaps", "_pii_new"))
+    found, gaps, new, secret = (_free(docs, n) for n in ("_pii_found", "_pii_gaps", "_pii_new", "_pii_secret"))
+    columns, given = docs.columns, docs.sparkSession.createDataFrame([(key,)], f"`{secret}` string")
+    # the secret comes as data, one row, so no plan, log or user interface shows it
+    docs, key = docs.join(F.broadcast(given)), "\0" + secret
     held = F.col(text).rlike(HINT)
     run = "m rlike '^[0-9][0-9 -]*$' and not m rlike '^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{32,64})$'"
     other = f"transform(array({_pseudonym('m', key)}), t -> named_struct('t', t, 'n', if(t <> m, 1, 0)))[0]"
@@ -242,4 +253,4 @@ def pseudonymize(docs: DataFrame, *, key: str, text: str = "text", count: str |
     out = {text: F.when(some, joined).otherwise(F.col(text))}
     if count:
         out[count] = F.when(some, F.expr(f"aggregate({new}, 0, (a, x) -> a + x.n)")).otherwise(0).cast("long")
-    return rows.withColumns(out).drop(found, gaps, new)
+    return rows.withColumns(out).select(*(f"`{c}`" for c in columns), *([count] if count else []))

@@ -115,7 +115,8 @@ def test_viterbi_brute_force():
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    assert 0 < out.count() < docs.count() and {"doc_id", "rate", "copies"} <= set(out.columns)
+    assert 0 < out.count() < docs.count() and out.columns == [*docs.columns, "tokens", "p_en", "p_de", "p_fr", "p_es", "rate", "copies"]
+    assert out.where("text is not null").count() > 0
     names = docs
     for _, stage in corpus_pipeline.STAGES[:-1]:
         names = stage(spark, names, "/root/testdata/sf0.001")

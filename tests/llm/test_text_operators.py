@@ -491,6 +491,33 @@ def test_rates_where_targets_cannot_be_met(spark):
     assert {round(r.rate, 3) for r in got} == {2.0}
 
 
+def test_targets_that_weak_posteriors_can_meet(spark, monkeypatch):
+    """Posteriors of 0.545 and 0.455 at most: plain gradient steps would take hundreds."""
+    docs = _docs(spark, [(i, "w " * (5 + i % 7)) for i in range(220)])
+    posteriors = docs.select("doc_id", F.size(F.split(F.trim("text"), " ")).cast("long").alias("tokens"), F.when(F.col("doc_id") % 2 == 0, 0.545).otherwise(0.455).alias("p_0")).withColumn("p_1", 1 - F.col("p_0"))
+    monkeypatch.setattr(mixing, "posteriors", lambda *a, **k: posteriors)
+    monkeypatch.setattr(mixing, "STEPS", 12)
+    got = mixing.mix(docs, None, {"a": 0.53, "b": 0.47}).collect()
+    total = sum(r.tokens * r.rate for r in got)
+    assert sum(r.tokens * r.rate * r.p_0 for r in got) / total == pytest.approx(0.53, abs=1e-5) and all(r.rate >= 0 for r in got)
+
+
+def test_mix_keeps_the_rows(spark):
+    docs = spark.createDataFrame([(1, "der und", "de", 0.5, "x"), (1, "der und", "de", 0.5, "x"), (None, None, None, None, None), (2, "the of", "en", 9.0, "y")], "doc_id long, text string, lang string, rate double, _s string")
+    labelled = spark.createDataFrame([(1, "de"), (2, "en")], "doc_id long, domain string")
+    got = mixing.mix(docs, labelled, {"en": 0.5, "de": 0.5}, keep=True)
+    assert got.columns == ["doc_id", "text", "lang", "_s", "tokens", "p_0", "p_1", "rate", "copies"]
+    assert sorted((r.doc_id or 0, r.text or "", r._s or "", r.tokens) for r in got.collect()) == [(0, "", "", 0), (1, "der und", "x", 2), (1, "der und", "x", 2), (2, "the of", "y", 2)]
+
+
+def test_the_secret_is_in_no_plan(spark):
+    docs = _docs(spark, [(1, "mail j.doe@firm.com or 192.168.10.7")])
+    made = pii.pseudonymize(docs, key="very-private-key")
+    plan = made._jdf.queryExecution().toString() + spark._jvm.PythonSQLUtils.explainString(made._jdf.queryExecution(), "formatted")
+    assert "very-private-key" not in plan and made.columns == docs.columns
+    assert made.first().text == pii.pseudonymize(docs, key="very-private-key").first().text != pii.pseudonymize(docs, key="other").first().text
+
+
 def test_patience():
     a, b = "x a b c y d e".split(), "a b q c d e".split()
     assert [a[i] for i, _ in licenses.patience(a, b)] == ["a", "b", "c", "d", "e"]
