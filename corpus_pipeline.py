@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pelagia.llm import decontam, minhash, mixing, pii, toxicity
 from pelagia.llm.queries import TARGETS, labelled_domains
-from pelagia.llm.scratch import save
+from pelagia.llm.scratch import drop, save
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,9 +36,9 @@ def hide_persons(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def weigh(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its rate and its whole number of copies in the mix."""
-    rates = mixing.mix(docs, labelled_domains(docs, _labels(spark, sf_dir)), TARGETS)
-    return rates.select("doc_id", "tokens", *(F.col(f"p_{k}").alias(f"p_{d}") for k, d in enumerate(TARGETS)), "rate", "copies")
+    """Every document, text and all, with its rate and its whole number of copies in the mix."""
+    rates = mixing.mix(docs, labelled_domains(docs, _labels(spark, sf_dir)), TARGETS, keep=True)
+    return rates.withColumnsRenamed({f"p_{k}": f"p_{d}" for k, d in enumerate(TARGETS)})
 
 
 STAGES = [
@@ -54,7 +54,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, spent = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES:
         docs = save(stage(spark, docs, sf_dir))
+        if spent is not None:  # what the stage before wrote has been read
+            drop(spent)
+        spent = docs
     return docs
