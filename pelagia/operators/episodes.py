@@ -2,8 +2,9 @@
 
 Within a file ordered by line_number every state of the grouping is a latch: on
 from the last line that sets it to the last that resets it. Files whose lines
-could couple two latches (rare) take an exact line-by-line walk instead; both
-give the same rows where both apply.
+could couple two latches (rare), and very long ones, take an exact line-by-line
+walk instead, spread over blocks of lines by composing what each block does to
+every state; both give the same rows where both apply.
 """
 
 from __future__ import annotations
@@ -21,6 +22,10 @@ from pelagia.functions.lines import strip
 #: Subsystems and messages that steer the grouping.
 CTD_SUBSYSTEMS = ("SBE", "SBE41", "SBE61", "PROFIL")
 TEST_EXITS = ("end of test mode", "reboot mermaid board", "reboot float")
+#: Lines that one task walks, or one window over a file holds.
+BLOCK_LINES = 50_000
+#: What a line may find open.
+STATES = (None, "testmode", "iridium", "ctd", "parameter")
 FLAGS = ("is_test", "is_exit", "ir_start", "ir_event", "ir_line", "ir_end", "ctd_hard", "ctd_soft")
 
 
@@ -71,57 +76,121 @@ def _latched(rows: DataFrame, source: str) -> DataFrame:
     ).drop("in_test", "ir_open", "ir_was", "in_ir", "in_ctd", "in_par")
 
 
-def walk(rows: Iterable[dict]) -> list[tuple[str | None, bool]]:
-    """(episode, starts) of each line of one file, in order: the plain meaning."""
-    state, out = None, []
+def advance(state: str | None, r: dict) -> tuple[str | None, bool, str | None]:
+    """(episode, starts, next state) of a line after ``state``: the plain meaning of the grouping."""
+    if state == "testmode":
+        return "testmode", False, None if r["is_exit"] else state
+    if r["tagged"] and state == "iridium" and (r["ir_start"] or r["ir_line"]):
+        return "iridium", r["ir_start"], None if r["ir_end"] else "iridium"
+    new = None
+    if r["is_test"]:
+        new = "testmode"
+    elif r["ctd_hard"] or (r["ctd_soft"] and state == "ctd"):
+        new = "ctd"
+    elif r["ir_event"]:
+        new = "iridium"
+    elif r["is_parameter"]:
+        new = "parameter"
+    ends = (new == "testmode" and r["is_exit"]) or (new == "iridium" and r["ir_end"])
+    return new, new is not None and new != state or new in ("testmode", "iridium"), None if ends else new
+
+
+def walk(rows: Iterable[dict], state: str | None = None) -> list[tuple[str | None, bool]]:
+    """(episode, starts) of each line, in order, from ``state`` on."""
+    out = []
     for r in rows:
-        new = None
-        if state == "testmode":
-            out.append(("testmode", False))
-            state = None if r["is_exit"] else state
-            continue
-        if r["tagged"] and state == "iridium" and (r["ir_start"] or r["ir_line"]):
-            starts = r["ir_start"]
-            out.append(("iridium", starts))
-            state = None if r["ir_end"] else "iridium"
-            continue
-        if r["is_test"]:
-            new = "testmode"
-        elif r["ctd_hard"] or (r["ctd_soft"] and state == "ctd"):
-            new = "ctd"
-        elif r["ir_event"]:
-            new = "iridium"
-        elif r["is_parameter"]:
-            new = "parameter"
-        out.append((new, new is not None and new != state or new in ("testmode", "iridium")))
-        state = new
-        if (new == "testmode" and r["is_exit"]) or (new == "iridium" and r["ir_end"]):
-            state = None
+        episode, starts, state = advance(state, r)
+        out.append((episode, starts))
     return out
 
 
-def group_episodes(lines: DataFrame, source: str = "source_path") -> DataFrame:
+def transition(rows: list[dict]) -> list[tuple[int, list[int]]]:
+    """What a block of lines does to each state of STATES: the state after it, and the episodes that start in it by kind.
+
+    Runs from different states become one at the first line that treats them
+    alike, and are followed once from there.
+    """
+    at, count = list(range(len(STATES))), [[0] * len(STATES) for _ in STATES]
+    same = {s: [s] for s in at}  # current state: the first states that have led to it
+    for r in rows:
+        then: dict[int, list[int]] = {}
+        for s, came in same.items():
+            episode, starts, after = advance(STATES[s], r)
+            if starts:
+                for first in came:
+                    count[first][STATES.index(episode)] += 1
+            then.setdefault(STATES.index(after), []).extend(came)
+        same = then
+    for s, came in same.items():
+        for first in came:
+            at[first] = s
+    return list(zip(at, count, strict=True))
+
+
+def _blocks_of(pdf: pd.DataFrame) -> list[dict]:
+    return pdf.sort_values("line_number")[["line_number", "tagged", "is_parameter", *FLAGS]].to_dict("records")
+
+
+def _exact(rows: DataFrame, source: str, block: int) -> DataFrame:
+    """episode and episode_index by the exact walk, block by block.
+
+    Each block of ``block`` lines is first reduced to its transition, one row a
+    block; a file's transitions are composed in order, which gives every block
+    the state and the counts that it starts with; then the blocks are walked,
+    each in a task of its own. No task holds a file's lines.
+    """
+    rows = rows.withColumn("_block", F.floor((F.col("line_number") - 1) / block))
+    flags = rows.select(source, "_block", "line_number", "tagged", "is_parameter", *FLAGS)
+
+    def reduce(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        made = transition(_blocks_of(pdf))
+        return pd.DataFrame({source: [key[0]], "_block": [key[1]], "ends": [[e for e, _ in made]], "counts": [[n for _, own in made for n in own]]})
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        state, count, out, width = 0, [0] * len(STATES), [], len(STATES)
+        for r in pdf.sort_values("_block").itertuples(index=False):
+            out.append((r[0], r[1], state, list(count)))
+            count = [x + y for x, y in zip(count, r[3][state * width : (state + 1) * width], strict=True)]
+            state = r[2][state]
+        return pd.DataFrame(out, columns=[source, "_block", "_state", "_count"])
+
+    kind = next(f.dataType.simpleString() for f in rows.schema if f.name == source)
+    maps = flags.groupBy(source, "_block").applyInPandas(reduce, f"`{source}` {kind}, _block long, ends array<int>, counts array<long>")
+    begins = maps.groupBy(source).applyInPandas(compose, f"`{source}` {kind}, _block long, _state int, _count array<long>")
+
+    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("line_number")
+        count, episodes, index = list(pdf["_count"].iloc[0]), [], []
+        for episode, starts in walk(_blocks_of(pdf), STATES[pdf["_state"].iloc[0]]):
+            k = STATES.index(episode)
+            count[k] += bool(starts)
+            episodes.append(episode)
+            index.append(None if episode is None else count[k] - 1)
+        out = pdf.drop(columns=["_block", "_state", "_count"])
+        return out.assign(episode=episodes, episode_index=pd.array(index, "Int64"))
+
+    made = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("_block").schema)
+    return rows.join(begins, [source, "_block"]).groupBy(source, "_block").applyInPandas(replay, f"{made}, episode string, episode_index long")
+
+
+def group_episodes(lines: DataFrame, source: str = "source_path", *, block: int = BLOCK_LINES) -> DataFrame:
     """Adds episode (testmode, iridium, ctd, parameter or null) and episode_index.
 
     ``lines`` has line_number, raw_line and what parse_lines adds. episode_index
-    counts from 0 per file and episode family.
+    counts from 0 per file and episode family. Files whose lines couple two
+    latches, and those of more than ``block`` lines, are walked block by block;
+    the windows over a file hold at most ``block`` lines.
     """
     rows = predicates(lines)
     unclear = (F.col("is_test") & F.col("ir_line")) | (F.col("ctd_soft") & ~F.col("ctd_hard") & F.col("ir_event"))
-    rows = rows.withColumn("_unclear", F.max(unclear).over(Window.partitionBy(source)))
-    clean = _latched(rows.where(~F.col("_unclear")), source)
-
-    def exact(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("line_number")
-        got = walk(pdf.to_dict("records"))
-        return pdf.assign(episode=[e for e, _ in got], starts=[s for _, s in got])
-
-    hard = rows.where("_unclear")
-    hard = hard.groupBy(source).applyInPandas(exact, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in hard.schema)}, episode string, starts boolean")
-    both = clean.select(hard.columns).unionByName(hard)
+    files = rows.groupBy(source).agg((F.bool_or(unclear) | (F.max("line_number") > block)).alias("_walked"))
+    rows = rows.join(files, source)
+    clean = _latched(rows.where(~F.col("_walked")), source)
     by = Window.partitionBy(source, "episode").orderBy("line_number").rowsBetween(Window.unboundedPreceding, 0)
     index = F.when(F.col("episode").isNotNull(), F.sum(F.col("starts").cast("long")).over(by) - 1)
-    return both.withColumn("episode_index", index).drop("_unclear", "starts", *FLAGS)
+    clean = clean.withColumn("episode_index", index)
+    hard = _exact(rows.where("_walked"), source, block)
+    return clean.select(hard.columns).unionByName(hard).drop("_walked", *FLAGS)
 
 
 def build_episodes(grouped: DataFrame, source: str = "source_path") -> DataFrame:

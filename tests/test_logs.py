@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pelagia.functions.families import classify, event_kind, event_payload
 from pelagia.functions.lines import explode_lines, parse_lines
-from pelagia.operators.episodes import FLAGS, group_episodes, predicates, walk
+from pelagia.operators.episodes import FLAGS, STATES, advance, group_episodes, predicates, transition, walk
 from pelagia.plans.normalize import log_tables, unassigned
 
 
@@ -58,7 +58,8 @@ def test_windows_agree_with_the_walk(spark):
     rng = random.Random(5)
     texts = {f"f{n}": "\n".join("" if rng.random() < 0.1 else f"{1500000000 + i}:{rng.choice(MIX[:13] if n % 2 else MIX)}" for i in range(25)) for n in range(120)}
     lines = parse_lines(explode_lines(_files(spark, **texts)))
-    got = {(r.source_path, r.line_number): (r.episode, r.episode_index) for r in group_episodes(lines).collect()}
+    got, blocks = ({(r.source_path, r.line_number): (r.episode, r.episode_index) for r in group_episodes(lines, block=n).collect()} for n in (10_000, 4))
+    assert blocks == got  # all files in blocks of four lines
     flagged = {}
     for r in predicates(lines).select("source_path", "line_number", "tagged", "is_parameter", *FLAGS).collect():
         flagged.setdefault(r.source_path, {})[r.line_number] = r.asDict()
@@ -69,6 +70,23 @@ def test_windows_agree_with_the_walk(spark):
             assert got[path, at] == (episode, count[episode] if episode else None), (path, at)
 
 
+def test_transitions_compose():
+    rng = random.Random(9)
+    for _ in range(200):
+        rows = [{n: rng.random() < 0.3 for n in ("tagged", "is_parameter", *FLAGS)} for _ in range(12)]
+        for k, state in enumerate(STATES):
+            at, count = k, [0] * len(STATES)
+            for block in (rows[:5], rows[5:6], rows[6:6], rows[6:]):
+                at, more = transition(block)[at]
+                count = [x + y for x, y in zip(count, more, strict=True)]
+            found = walk(rows, state)
+            assert count == [sum(starts for episode, starts in found if episode == s) for s in STATES]
+            after = state
+            for r in rows:
+                after = advance(after, r)[2]
+            assert STATES[at] == after
+
+
 def test_every_line_once(spark):
     files = _files(spark, a="\n".join(f"{1500000000 + i}:{m}" for i, m in enumerate(MIX[4:] + MIX[2:6])) + "\n<ERR> no tag\n\nxx:[A]bad time", b="")
     tables = log_tables(files)
