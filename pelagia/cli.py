@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from pelagia import __version__
 from pelagia.operators.state import overall_action
-from pelagia.plans import manifests
+from pelagia.plans import journal, manifests
 from pelagia.plans.audit import audit
-from pelagia.plans.normalize import QUARANTINE, export_all, normalize, read_family
+from pelagia.plans.normalize import QUARANTINE, export_all, export_canonical, normalize, read_family
+from pelagia.sources.decoder import DecoderError, Program, run_preflight
+from pelagia.sources.decoder import decoder as program_decoder
 from pelagia.sources.files import NAME, parse_inputs
 
 #: Environment variables that stand for options not given.
@@ -33,6 +35,10 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--instrument-serial")
     run.add_argument("-o", "--output-dir", default=os.environ.get(OUTPUT))
     run.add_argument("--decoder", default=os.environ.get(DECODER), help="module:function from BIN files to LOG files")
+    run.add_argument("--decoder-command", nargs="+", help="program and its arguments; it gets a folder of BIN files and leaves LOG files there")
+    run.add_argument("--decoder-preflight", nargs="+", default=[], help="command that refreshes what the program needs")
+    run.add_argument("--decoder-database", nargs="+", default=[], help="files that the program decodes with")
+    run.add_argument("--decoder-seconds", type=float, default=600, help="time limit of one call")
     run.add_argument("--decoder-fingerprint", default=os.environ.get(FINGERPRINT))
     run.add_argument("--preflight-mode", choices=("strict", "cached"), default="strict", help="whether the decoder must refresh its database")
     run.add_argument("--dry-run", action="store_true")
@@ -42,6 +48,8 @@ def parser() -> argparse.ArgumentParser:
     for name in ("audit", "export"):
         job = jobs.add_parser(name)
         job.add_argument("-o", "--output-dir", default=os.environ.get(OUTPUT))
+        if name == "export":
+            job.add_argument("--canonical", action="store_true", help="one file a family and instrument, in the order of the sources")
         job.add_argument("--target" if name == "export" else "--limit", **({"required": True} if name == "export" else {"type": int, "default": 25}))
     return top
 
@@ -58,6 +66,8 @@ def checked(args: argparse.Namespace) -> argparse.Namespace:
             raise ValueError("--json needs --dry-run")
         if args.instrument_serial and not re.match(NAME, args.instrument_serial):
             raise ValueError(f"not an instrument serial: {args.instrument_serial}")
+        if args.decoder and args.decoder_command:
+            raise ValueError("give either --decoder or --decoder-command")
         if args.instrument_serial and args.input_file:
             raise ValueError("--instrument-serial needs --input-root")
     return args
@@ -113,7 +123,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         spark = spark or SparkSession.builder.appName("pelagia").config("spark.sql.session.timeZone", "UTC").getOrCreate()
         out = args.output_dir
         if args.job == "export":
-            export_all(spark, out, args.target)
+            (export_canonical if args.canonical else export_all)(spark, out, args.target)
             return 0
         if args.job == "audit":
             found = audit(spark, out)
@@ -123,8 +133,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             print(f"{n} findings")
             return int(n > 0)
         root = args.input_root or args.input_file
-        decoder = load_decoder(args.decoder, args.preflight_mode)
-        diff = normalize(spark, root, out, force=args.force, dry_run=args.dry_run, strict=bool(args.input_file), serial=args.instrument_serial, decoder=decoder, fingerprint=args.decoder_fingerprint)
+        decoder, fingerprint = load_decoder(args.decoder, args.preflight_mode), args.decoder_fingerprint
+        if args.decoder_command:
+            program = Program(tuple(args.decoder_command), args.decoder_seconds, preflight=tuple(args.decoder_preflight), database=tuple(args.decoder_database))
+            status = run_preflight(program, args.preflight_mode)
+            decoder, fingerprint = program_decoder(program), fingerprint or program.fingerprint()
+            if not args.dry_run:
+                journal.write_json(spark, f"{out}/preflight_status.json", status)
+        diff = normalize(spark, root, out, force=args.force, dry_run=args.dry_run, strict=bool(args.input_file), serial=args.instrument_serial, decoder=decoder, fingerprint=fingerprint)
         print(report(diff, as_json=args.json))
         if not args.dry_run and args.verbose:
             done = manifests.latest_runs(spark, out).agg({"run_id": "max"}).first()[0]
@@ -136,7 +152,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 if manifests.exists(spark, f"{out}/quarantine/{name}"):
                     print(f"  {name}: {read_family(spark, out, f'quarantine/{name}').count()} rows")
         return 0
-    except (ValueError, ImportError, AttributeError) as wrong:
+    except (ValueError, ImportError, AttributeError, DecoderError) as wrong:
         print(f"pelagia: {wrong}", file=sys.stderr)
         return 2
 

@@ -74,21 +74,31 @@ def read_json(spark: SparkSession, path: str) -> dict | None:
         stream.close()
 
 
-def write_json(spark: SparkSession, path: str, value: dict) -> None:
-    """Replaces the file as a whole: a reader sees the old text or the new one."""
+def replace(spark: SparkSession, source: str, path: str) -> None:
+    """Moves a file to ``path`` in one step, also where there is one already."""
     jvm = spark.sparkContext._jvm
     fs, where = file_system(spark, path)
-    spare = _path(spark, f"{path.rpartition('/')[0]}/.{secrets.token_hex(6)}.json")
-    stream = fs.create(spare, True)
-    stream.write(bytearray(json.dumps(value, indent=2).encode()))
-    stream.close()
     kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
     options = spark.sparkContext._gateway.new_array(kind, 1)
     options[0] = kind.OVERWRITE
-    qualified = [fs.makeQualified(p) for p in (spare, where)]
+    qualified = [fs.makeQualified(p) for p in (_path(spark, source), where)]
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(qualified[1].toUri(), _conf(spark)).rename(*qualified, options)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replaces the file as a whole: a reader sees the old text or the new one."""
+    spare = f"{path.rpartition('/')[0]}/.{secrets.token_hex(6)}"
+    fs, where = file_system(spark, spare)
+    stream = fs.create(where, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    replace(spark, spare, path)
+
+
+def write_json(spark: SparkSession, path: str, value: dict) -> None:
+    write_text(spark, path, json.dumps(value, indent=2))
+
+
 def pointer(spark: SparkSession, out: str) -> dict | None:
     """The published snapshot: run_id, previous, stateful, published_at."""
     return read_json(spark, f"{out}/{POINTER}")

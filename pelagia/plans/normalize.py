@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pelagia import __version__
 from pelagia.functions.families import FAMILIES, KINDS_OF, PRESSURE_FIELDS, classified, event_kind, family_fields, matches
+from pelagia.functions.filenames import record_filename, validated_serial
 from pelagia.functions.lines import explode_lines, log_epoch_time, parse_lines
 from pelagia.operators import mer
 from pelagia.operators.episodes import build_episodes, ctd_samples, group_episodes, iridium_sessions
@@ -452,21 +453,23 @@ def _pair(name: str, value: Column, kind: str) -> Column:
     return F.substring(text, F.lit(2), F.length(text) - 2)
 
 
-def json_lines(table: DataFrame, absent: tuple[str, ...] = ()) -> DataFrame:
-    """One JSON object a row in column ``value``, in column order.
+def json_lines(table: DataFrame, absent: tuple[str, ...] = (), keep: tuple[str, ...] = ()) -> DataFrame:
+    """One JSON object a row in column ``value``, in column order; columns ``keep`` are in none of them and come before it.
 
     Keys of null columns in ``absent`` are left out, all other nulls written.
     Events of ``iridium_events`` have the keys of their kind only.
     """
     parts = []
     for field in table.schema:
+        if field.name in keep:
+            continue
         value = F.col(f"`{field.name}`")
         if field.name == "iridium_events":
             text = F.concat(F.lit('"iridium_events":['), F.array_join(F.transform(value, partial(_event_json, field.dataType.elementType.names)), ","), F.lit("]"))
         else:
             text = _pair(field.name, value, field.dataType.simpleString())
         parts.append(F.when(value.isNotNull(), text) if field.name in absent else text)
-    return table.select(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("value"))
+    return table.select(*keep, F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("value"))
 
 
 def _event_json(names: list[str], event: Column) -> Column:
@@ -490,4 +493,34 @@ def export_all(spark: SparkSession, out: str, target: str) -> None:
         export_jsonl(read_family(spark, out, family).drop("source_path"), f"{target}/{family}", ABSENT.get(family, ()))
 
 
-__all__ = ["event_kind", "export_all", "export_jsonl", "grouped_lines", "json_lines", "log_tables", "mer_tables", "normalize", "read_family", "recover", "snapshot_id", "tables_of", "unassigned"]
+def export_canonical(spark: SparkSession, out: str, target: str) -> None:
+    """One JSON-lines file a family and instrument, ``target/<serial>/<family>_records.<serial>.jsonl``, all thirteen for each.
+
+    Rows follow their sources by path and these by line, so a file is the same
+    for the same records. Instruments are dealt over the tasks; as one file is
+    wanted, an instrument's family is sorted and written by one task, which
+    spills. Each file appears whole, by a rename.
+    """
+    serials = sorted(r[0] for r in manifests.latest_outputs(spark, out).select("instrument_serial").distinct().collect())
+    spare = f"{target}/_parts-{journal.new_run_id()}"
+    fs, _ = journal.file_system(spark, target)
+    for family in (*LOG_FAMILIES, *MER_FAMILIES):
+        rows = read_family(spark, out, family)
+        place = [c for c in ("body_pos", "line_pos", "event_pos", "source_line_number", "line_start_index") if c in rows.columns]
+        lines = json_lines(rows.withColumn("_serial", F.col("instrument_serial")).withColumns({f"_{c}": F.col(c) for c in place}), ABSENT.get(family, ()), ("source_path", "_serial", *(f"_{c}" for c in place)))
+        order = ["_serial", "source_path", *(f"_{c}" for c in place)]
+        lines.repartition("_serial").sortWithinPartitions(*order).select("_serial", "value").write.mode("overwrite").partitionBy("_serial").text(f"{spare}/{family}")
+        part = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+        for serial in serials:
+            folder = f"{spare}/{family}/{part('_serial', serial)}"
+            made = [n for n in journal.children(spark, folder) if n.startswith("part-")]
+            path = f"{target}/{validated_serial(serial)}/{record_filename(family, serial)}"
+            fs.mkdirs(journal.file_system(spark, path)[1].getParent())
+            if made:
+                journal.replace(spark, f"{folder}/{made[0]}", path)
+            else:
+                journal.write_text(spark, path, "")
+    journal.remove(spark, spare)
+
+
+__all__ = ["event_kind", "export_all", "export_canonical", "export_jsonl", "grouped_lines", "json_lines", "log_tables", "mer_tables", "normalize", "read_family", "recover", "snapshot_id", "tables_of", "unassigned"]
