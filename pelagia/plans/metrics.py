@@ -56,7 +56,7 @@ def counted_rows(name: str, got: dict[str, Any]) -> list[tuple[str, str, int, st
     rows = [(name, "records", got["n"], None), (name, "source_lines", got["lines"], None)]
     for k, (column, _, values) in enumerate(_counted().get(name, ())):
         for j, v in enumerate(values):
-            if got[f"n{k}_{j}"]:
+            if got.get(f"n{k}_{j}"):
                 rows.append((name, f"{column}={v}", got[f"n{k}_{j}"], json.dumps(got[f"e{k}_{j}"].asDict(recursive=True), default=str)))
     return rows
 

@@ -326,7 +326,13 @@ def _write(
         bins = raw.where("source_kind = 'bin'").join(own.select("source_path", "instrument_serial", "size_bytes", "source_sha256"), "source_path")
         logs = logs.unionByName(decoded_owner(decoder(bins), bins).select(F.col("bin_path").alias("source_path"), "content"))
     # parsed once, read by every family
-    lines = keep(grouped_lines(logs), "lines")
+    held, families = Observation(), (*SINGLE, *GROUPED, "malformed")
+    parsed = grouped_lines(logs)
+    lines = keep(parsed.observe(held, *(F.count_if((F.col("family").eqNullSafe(f)) | F.col("episode").eqNullSafe(f)).alias(f) for f in families)), "lines")
+    counts = held.get
+    # what no line belongs to is not planned
+    idle = {f"log_{f}" for f in (*SINGLE, *GROUPED) if not counts[f]} | ({"quarantine/malformed_log_lines"} if not counts["malformed"] else set())
+    idle |= {"quarantine/untimed_log_episodes"} if not any(counts[f] for f in GROUPED) else set()
     reached("parsed")
     log, mers = tables_of(lines), mer_tables(raw.where("source_kind = 'mer'"), strict=strict)
     _fail_on(misassigned(lines), "lines in no family, in several or read twice", F.concat_ws(":", "source_path", "line_number"))
@@ -351,6 +357,8 @@ def _write(
             spark.createDataFrame([], table.drop("instrument_serial").schema).coalesce(1).write.mode("overwrite").parquet(layout)
         if not active & set(manifests.kinds_of(name)):
             return []
+        if name in idle:
+            return counted_rows(name, {"n": 0, "lines": 0})
         seen = Observation()
         counted = table.observe(seen, *counters(name, table.columns))
         counted.write.mode("overwrite").partitionBy("instrument_serial").option("maxRecordsPerFile", RECORDS_A_FILE).parquet(f"{out}/{name}/run={run_id}")
