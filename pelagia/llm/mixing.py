@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.scratch import save
+from pelagia.llm.scratch import save, short_plans
 
 #: Slots of the hashed terms; the model is this many numbers a domain.
 SLOTS = 4096
@@ -65,6 +65,7 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], *, keep
     prior. ``labelled`` is (doc_id, domain); labels of other domains and of
     unknown rows are ignored.
     """
+    short_plans(docs.sparkSession)
     docs = docs.select("doc_id", "text", *([F.struct(*docs.columns).alias("doc")] if keep else []))
     own = ["doc_id", "tokens", *(["doc"] if keep else [])]
     prior, weight = _fit(docs, labelled, domains)
@@ -80,8 +81,9 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], *, keep
 
 
 def _log(k: int, prior: float, weight: list[float]) -> Column:
-    table = F.from_json(F.lit(json.dumps(weight)), "array<double>")
-    return (F.lit(prior) + F.aggregate("_s", F.lit(0.0), lambda a, s: a + F.get(table, s)) / F.col("_n")).alias(f"_l{k}")
+    # the prior follows the slots: as data, so that every fit has the same compiled code
+    table = F.from_json(F.lit(json.dumps([*weight, prior])), "array<double>")
+    return (F.get(table, F.lit(SLOTS)) + F.aggregate("_s", F.lit(0.0), lambda a, s: a + F.get(table, s)) / F.col("_n")).alias(f"_l{k}")
 
 
 def _folded(live: list[int], shifts: list[list[float]]) -> Column:

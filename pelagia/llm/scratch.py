@@ -47,6 +47,12 @@ def drop(table: DataFrame) -> None:
     path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def short_plans(spark: SparkSession, characters: int = 16_384) -> None:
+    """Bound the text of each plan that the driver keeps and logs, once for each change of the plan; plans themselves stay as they are."""
+    if int(spark.conf.get("spark.sql.maxPlanStringLength").rstrip("b")) > characters:
+        spark.conf.set("spark.sql.maxPlanStringLength", str(characters))
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files that no live DataFrame needs."""
     for wait in (0.1, 0.1):  # the first collection frees the plans, the second what only they held
