@@ -158,6 +158,12 @@ def _exact(rows: DataFrame, source: str, block: int) -> DataFrame:
     maps = flags.groupBy(source, "_block").applyInPandas(reduce, f"`{source}` {kind}, _block long, ends array<int>, counts array<long>")
     begins = maps.groupBy(source).applyInPandas(compose, f"`{source}` {kind}, _block long, _state int, _count array<long>")
 
+    return _replayed(rows.join(begins, [source, "_block"]), source)
+
+
+def _replayed(rows: DataFrame, source: str) -> DataFrame:
+    """The walk of each block from the _state and the _count that it begins with."""
+
     def replay(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("line_number")
         count, episodes, index = list(pdf["_count"].iloc[0]), [], []
@@ -169,8 +175,8 @@ def _exact(rows: DataFrame, source: str, block: int) -> DataFrame:
         out = pdf.drop(columns=["_block", "_state", "_count"])
         return out.assign(episode=episodes, episode_index=pd.array(index, "Int64"))
 
-    made = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("_block").schema)
-    return rows.join(begins, [source, "_block"]).groupBy(source, "_block").applyInPandas(replay, f"{made}, episode string, episode_index long")
+    made = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("_block", "_state", "_count").schema)
+    return rows.groupBy(source, "_block").applyInPandas(replay, f"{made}, episode string, episode_index long")
 
 
 def group_episodes(lines: DataFrame, source: str = "source_path", *, block: int = BLOCK_LINES) -> DataFrame:
@@ -179,18 +185,20 @@ def group_episodes(lines: DataFrame, source: str = "source_path", *, block: int
     ``lines`` has line_number, raw_line and what parse_lines adds. episode_index
     counts from 0 per file and episode family. Files whose lines couple two
     latches, and those of more than ``block`` lines, are walked block by block;
-    the windows over a file hold at most ``block`` lines.
+    the ordered windows over a file hold at most ``block`` lines.
     """
     rows = predicates(lines)
     unclear = (F.col("is_test") & F.col("ir_line")) | (F.col("ctd_soft") & ~F.col("ctd_hard") & F.col("ir_event"))
-    files = rows.groupBy(source).agg((F.bool_or(unclear) | (F.max("line_number") > block)).alias("_walked"))
-    rows = rows.join(files, source)
-    clean = _latched(rows.where(~F.col("_walked")), source)
+    # one shuffle by file serves the mark, the windows and the walk; only this mark passes over a whole file, and it spills
+    mark = F.when(F.col("line_number") > block, 2).when(unclear, 1).otherwise(0)
+    rows = rows.withColumn("_walked", F.max(mark).over(Window.partitionBy(source)))
+    clean = _latched(rows.where("_walked = 0"), source)
     by = Window.partitionBy(source, "episode").orderBy("line_number").rowsBetween(Window.unboundedPreceding, 0)
     index = F.when(F.col("episode").isNotNull(), F.sum(F.col("starts").cast("long")).over(by) - 1)
     clean = clean.withColumn("episode_index", index)
-    hard = _exact(rows.where("_walked"), source, block)
-    return clean.select(hard.columns).unionByName(hard).drop("_walked", *FLAGS)
+    short = _replayed(rows.where("_walked = 1").withColumns({"_block": F.lit(0).cast("long"), "_state": F.lit(0), "_count": F.array_repeat(F.lit(0).cast("long"), len(STATES))}), source)
+    long = _exact(rows.where("_walked = 2"), source, block)
+    return clean.select(short.columns).unionByName(short).unionByName(long).drop("_walked", *FLAGS)
 
 
 def build_episodes(grouped: DataFrame, source: str = "source_path") -> DataFrame:
