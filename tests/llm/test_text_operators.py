@@ -291,6 +291,33 @@ def test_toxicity_learns_what_no_sum_of_weights_can():
     assert np.mean((m.scores(text, np.concatenate(sets), len(sets)) > 0.5) == np.array(toxic)) > 0.95
 
 
+def test_isotonic_brute_force():
+    rng = np.random.default_rng(11)
+    for n in (1, 2, 7, 40):
+        z, toxic = np.round(rng.normal(size=n), 1), rng.integers(0, 2, n)
+        x, p = toxicity.isotonic(z, toxic)
+        order = np.lexsort((toxic, z))
+        y, w = toxic[order].astype(float), np.where(toxic[order] > 0, toxicity.TOXIC_WEIGHT, 1.0)
+        # the rising fit at i: the largest, over starts, of the least mean up to any end
+        mean = lambda a, b: (y[a:b] * w[a:b]).sum() / w[a:b].sum()
+        truth = [max(min(mean(a, b) for b in range(i + 1, n + 1)) for a in range(i + 1)) for i in range(n)]
+        assert np.allclose(np.unique(np.round(truth, 9)), np.unique(np.round(p, 9))) and (np.diff(x) >= 0).all()
+
+
+def test_toxicity_of_the_tables(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").groupBy("toxic").agg(F.avg("predicted").alias("share")).collect()
+    share = {r.toxic: r.share for r in rows}
+    assert share[1] >= 0.6 and share[0] <= 0.02
+
+
+def test_kin_terms_have_slots_of_their_own():
+    import pyarrow as pa
+
+    got = [set(toxicity.slots(pa.array([x]))[1].tolist()) for x in ("stemma", "stemma stemma", "stemma stemmb", "stemmb stemma stemma")]
+    assert got[0] == got[1] and got[2] == got[3] and len(got[0]) == 2 and len(got[2]) == 4
+
+
 def test_decontamination(spark):
     rng = random.Random(4)
     item = [f"t{rng.randrange(500)}" for _ in range(40)]
