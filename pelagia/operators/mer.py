@@ -16,6 +16,8 @@ ATTRIBUTE = r"([A-Za-z_][A-Za-z0-9_\[\]]*)=([^\s>]+)"
 ENVIRONMENT = ("BOARD", "SOFTWARE", "DIVE", "POOL", "GPSINFO", "DRIFT", "CLOCK", "SAMPLE", "TRUE_SAMPLE_FREQ")
 PARAMETERS = ("ADC", "INPUT_FILTER", "STALTA", "EVENT_LEN", "RATING", "CDF24", "MODEL", "ASCEND_THRESH", "STANFORD_PROCESS", "MISC")
 INFO_KEYS = ("DATE", "ROUNDS", "PRESSURE", "TEMPERATURE", "CRITERION", "SNR", "TRIG", "DETRIG", "FNAME", "SMP_OFFSET", "TRUE_FS")
+#: Said of a file that holds neither a section nor an event.
+NOTHING = "no MER section or event"
 FORMAT_KEYS = ("ENDIANNESS", "BYTES_PER_SAMPLE", "SAMPLING_RATE", "STAGES", "NORMALIZED", "LENGTH")
 
 
@@ -38,6 +40,11 @@ def sections(files: DataFrame) -> DataFrame:
         bodies = F.regexp_extract_all(text, F.lit(rf"(?s)<{close}>(.*?)</{close}>"), F.lit(1))
         one = files.select("source_path", F.lit(name).alias("section"), F.posexplode(bodies).alias("body_pos", "body"))
         parts = one if parts is None else parts.unionByName(one)
+    return section_lines(parts)
+
+
+def section_lines(parts: DataFrame) -> DataFrame:
+    """The lines of section bodies (source_path, section, body_pos, body)."""
     ascii_only = F.regexp_replace("body", r"[^\x00-\x7F]", "")
     lines = parts.select("source_path", "section", "body_pos", F.posexplode(F.split(ascii_only, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e]")).alias("line_pos", "raw"))
     lines = lines.withColumn("line", strip(F.col("raw"))).where("line <> ''").drop("raw")
@@ -210,7 +217,7 @@ def hopeless(files: DataFrame) -> DataFrame:
     """(source_path, error) of files that hold neither a complete section nor an event."""
     text = F.decode("content", "ISO-8859-1")
     found = text.rlike(r"(?s)<(ENVIRONMENT|PARAMETERS)>.*?</\1>") | text.contains("<EVENT>")
-    return files.where(~found).select("source_path", F.lit("no MER section or event").alias("error"))
+    return files.where(~found).select("source_path", F.lit(NOTHING).alias("error"))
 
 
 def event_records(framed: DataFrame, params: DataFrame, env: DataFrame) -> DataFrame:

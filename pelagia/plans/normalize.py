@@ -24,6 +24,7 @@ from pelagia.operators.episodes import build_episodes, ctd_samples, group_episod
 from pelagia.operators.state import actions, diff_sources, invalidated, paths_for, snapshot_id
 from pelagia.plans import journal, manifests
 from pelagia.plans.metrics import counted_rows, counters
+from pelagia.sources import mer_format
 from pelagia.sources.files import authoritative, belonging_to, contents, decoded_owner, identify, instrument, listing, named, vit_names
 
 SINGLE = (*FAMILIES, "unclassified")
@@ -97,7 +98,17 @@ def mer_tables(files: DataFrame, *, strict: bool = False) -> MerTables:
     ``strict`` keeps odd metadata lines and events without INFO as records and
     fails the job on any other block that can't be one.
     """
-    lines, framed = mer.sections(files), mer.judged(mer.events(files), strict=strict)
+    return mer_tables_of(mer.sections(files), mer.events(files), mer.hopeless(files), strict=strict)
+
+
+def read_mer(spark: SparkSession, root: str, *, strict: bool = False) -> MerTables:
+    """``mer_tables`` of all MER files below ``root``, framed as they are read (see ``mer_format``)."""
+    return mer_tables_of(*mer_format.framed(spark, root), strict=strict)
+
+
+def mer_tables_of(lines: DataFrame, events: DataFrame, hopeless: DataFrame, *, strict: bool = False) -> MerTables:
+    """``mer_tables`` of metadata lines, framed events and files without either."""
+    framed = mer.judged(events, strict=strict)
     bad = framed.where("error is not null").select("source_path", F.col("event_pos").alias("block_index"), "block_kind", F.concat_ws("\n", "info_line", "format_line").alias("raw_block"), "error")
     if strict:
         said = F.concat(F.lit("malformed MER block in "), F.col("source_path"), F.lit(": "), F.col("error"))
@@ -108,7 +119,7 @@ def mer_tables(files: DataFrame, *, strict: bool = False) -> MerTables:
     env, par = mer.environment(good), mer.parameters(good)
     own = lambda df: df.withColumn("source_container", F.lit("mer"))
     tables = {"mer_environment": own(env), "mer_parameter": own(par), "mer_event": own(mer.event_records(framed, par, env))}
-    return MerTables(tables, quarantine, mer.hopeless(files))
+    return MerTables(tables, quarantine, hopeless)
 
 
 def unassigned(tables: LogTables, lines: DataFrame) -> DataFrame:
@@ -531,4 +542,4 @@ def export_canonical(spark: SparkSession, out: str, target: str) -> None:
     journal.remove(spark, spare)
 
 
-__all__ = ["event_kind", "export_all", "export_canonical", "export_jsonl", "grouped_lines", "json_lines", "log_tables", "mer_tables", "normalize", "read_family", "recover", "snapshot_id", "tables_of", "unassigned"]
+__all__ = ["event_kind", "export_all", "export_canonical", "export_jsonl", "grouped_lines", "json_lines", "log_tables", "mer_tables", "mer_tables_of", "normalize", "read_family", "read_mer", "recover", "snapshot_id", "tables_of", "unassigned"]
