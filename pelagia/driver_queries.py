@@ -137,7 +137,7 @@ def iridium_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def episodes_latch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return group_episodes(_lines(spark, sf_dir)).where("episode is not null").select("source_path", "line_number", "episode", "episode_index")
+    return group_episodes(_lines(spark, sf_dir), keep=()).where("episode is not null").select("source_path", "line_number", "episode", "episode_index")
 
 
 def episode_build(spark: SparkSession, sf_dir: str) -> DataFrame:

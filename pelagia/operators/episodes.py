@@ -1,20 +1,23 @@
-"""Ordered grouping of lines into episodes, as window latches.
+"""Ordered grouping of lines into episodes, as an exact walk.
 
-Within a file ordered by line_number every state of the grouping is a latch: on
-from the last line that sets it to the last that resets it. Files whose lines
-could couple two latches (rare), and very long ones, take an exact line-by-line
-walk instead, spread over blocks of lines by composing what each block does to
-every state; both give the same rows where both apply.
+The lines of a file, sorted by line_number, move a state of five values. A
+line's flags are one small code, so a step is a look-up. Very long files are
+walked in blocks of lines, spread over tasks by composing what each block does
+to every state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.types import StructField, StructType
 
 from pelagia.functions.families import COMMAND, event_fields, event_kind
 from pelagia.functions.lines import strip
@@ -22,11 +25,14 @@ from pelagia.functions.lines import strip
 #: Subsystems and messages that steer the grouping.
 CTD_SUBSYSTEMS = ("SBE", "SBE41", "SBE61", "PROFIL")
 TEST_EXITS = ("end of test mode", "reboot mermaid board", "reboot float")
-#: Lines that one task walks, or one window over a file holds.
+#: Lines that one task walks of a file in one go.
 BLOCK_LINES = 50_000
 #: What a line may find open.
 STATES = (None, "testmode", "iridium", "ctd", "parameter")
 FLAGS = ("is_test", "is_exit", "ir_start", "ir_event", "ir_line", "ir_end", "ctd_hard", "ctd_soft")
+#: What a line's code tells, a bit each, and the number of such codes.
+CODED = ("tagged", "is_parameter", *FLAGS)
+LINE_CODES = 1 << len(CODED)
 
 
 def predicates(lines: DataFrame) -> DataFrame:
@@ -49,33 +55,6 @@ def predicates(lines: DataFrame) -> DataFrame:
     return lines.withColumns({n: F.col("tagged") & F.coalesce(c, F.lit(False)) for n, c in flags.items()}).drop("_own", "_kind")
 
 
-def _last(cond: Column, window) -> Column:
-    return F.coalesce(F.last(F.when(cond, F.col("line_number")), ignorenulls=True).over(window), F.lit(-1))
-
-
-def _latched(rows: DataFrame, source: str) -> DataFrame:
-    by = Window.partitionBy(source).orderBy("line_number")
-    upto, before = by.rowsBetween(Window.unboundedPreceding, 0), by.rowsBetween(Window.unboundedPreceding, -1)
-    c = F.col
-    lag = lambda x: F.coalesce(F.lag(x).over(by), F.lit(False))
-    rows = rows.withColumn("in_test", _last(c("is_test"), upto) > _last(c("is_exit"), before))
-    live = ~c("in_test") & c("tagged")
-    opens = live & ~c("is_test") & ~c("ctd_hard") & c("ir_event") & ~c("ir_end")
-    holds = live & c("ir_line") & ~c("ir_end")
-    rows = rows.withColumn("ir_open", _last(opens, upto) > _last(~opens & ~holds, upto)).withColumn("ir_was", lag("ir_open"))
-    rows = rows.withColumn("in_ir", live & ((c("ir_was") & c("ir_line")) | (~c("is_test") & ~c("ctd_hard") & c("ir_event"))))
-    free = live & ~c("in_ir")
-    sets, keeps = free & ~c("is_test") & c("ctd_hard"), free & c("ctd_soft")
-    rows = rows.withColumn("in_ctd", _last(sets, upto) > _last(~sets & ~keeps, upto))
-    rows = rows.withColumn("in_par", ~c("in_test") & c("is_parameter"))
-    return rows.withColumns(
-        {
-            "episode": F.when(c("in_test"), "testmode").when(c("in_ir"), "iridium").when(c("in_ctd"), "ctd").when(c("in_par"), "parameter"),
-            "starts": (c("in_test") & ~lag(c("in_test") & ~c("is_exit"))) | (c("in_ir") & (c("ir_start") | ~c("ir_was"))) | (~c("in_ir") & c("in_ctd") & ~lag("in_ctd")) | (c("in_par") & ~lag("in_par")),
-        }
-    ).drop("in_test", "ir_open", "ir_was", "in_ir", "in_ctd", "in_par")
-
-
 def advance(state: str | None, r: dict) -> tuple[str | None, bool, str | None]:
     """(episode, starts, next state) of a line after ``state``: the plain meaning of the grouping."""
     if state == "testmode":
@@ -104,101 +83,135 @@ def walk(rows: Iterable[dict], state: str | None = None) -> list[tuple[str | Non
     return out
 
 
-def transition(rows: list[dict]) -> list[tuple[int, list[int]]]:
-    """What a block of lines does to each state of STATES: the state after it, and the episodes that start in it by kind.
+@cache
+def _moves() -> tuple[list[int], np.ndarray, np.ndarray]:
+    """``advance`` as tables by state and code: next state, episode (as a place in STATES) and whether it starts.
 
-    Runs from different states become one at the first line that treats them
-    alike, and are followed once from there.
+    A code holds the FLAGS of a line as bits; one of LINE_CODES + k stands for no
+    line and sets the state k.
     """
-    at, count = list(range(len(STATES))), [[0] * len(STATES) for _ in STATES]
-    same = {s: [s] for s in at}  # current state: the first states that have led to it
-    for r in rows:
-        then: dict[int, list[int]] = {}
-        for s, came in same.items():
-            episode, starts, after = advance(STATES[s], r)
-            if starts:
-                for first in came:
-                    count[first][STATES.index(episode)] += 1
-            then.setdefault(STATES.index(after), []).extend(came)
-        same = then
-    for s, came in same.items():
-        for first in came:
-            at[first] = s
-    return list(zip(at, count, strict=True))
-
-
-def _blocks_of(pdf: pd.DataFrame) -> list[dict]:
-    return pdf.sort_values("line_number")[["line_number", "tagged", "is_parameter", *FLAGS]].to_dict("records")
-
-
-def _exact(rows: DataFrame, source: str, block: int) -> DataFrame:
-    """episode and episode_index by the exact walk, block by block.
-
-    Each block of ``block`` lines is first reduced to its transition, one row a
-    block; a file's transitions are composed in order, which gives every block
-    the state and the counts that it starts with; then the blocks are walked,
-    each in a task of its own. No task holds a file's lines.
+    after, episode, starts = ([0] * (len(STATES) * 2 * LINE_CODES) for _ in range(3))
+    for s, state in enumerate(STATES):
+        for code in range(LINE_CODES):
+            key = s * 2 * LINE_CODES + code
+            own, begins, then = advance(state, {n: bool(code >> k & 1) for k, n in enumerate(CODED)})
+            after[key], episode[key], starts[key] = STATES.index(then), STATES.index(own), int(bool(begins))
+        for k in range(len(STATES)):
+            after[s * 2 * LINE_CODES + LINE_CODES + k] = k
+    return after, np.array(episode, "int8"), np.array(starts, bool)
+
+
+def _transition(codes: list[int]) -> list[tuple[int, list[int]]]:
+    after, episode, starts = _moves()
+    out = []
+    for state in range(len(STATES)):
+        keys = []
+        for code in codes:
+            key = state * 2 * LINE_CODES + code
+            keys.append(key)
+            state = after[key]
+        own = np.array(keys, "int64")
+        out.append((state, np.bincount(episode[own][starts[own]], minlength=len(STATES)).tolist()))
+    return out
+
+
+def transition(rows: list[dict]) -> list[tuple[int, list[int]]]:
+    """What a block of lines does to each state of STATES: the state after it, and the episodes that start in it by kind."""
+    return _transition([sum(bool(r[n]) << k for k, n in enumerate(CODED)) for r in rows])
+
+
+def _begins(rows: DataFrame, source: str) -> DataFrame:
+    """(source, _block, _code, _count) of every block of ``rows`` (source, _block, line_number, _code): the state, as a code, and the counts that it begins with.
+
+    Each block is reduced to its transition, one row a block, and a file's
+    transitions are composed in order. No task holds a file's lines. Counts are
+    text, as Spark's measuring of Arrow batches is quadratic in the rows of one
+    whose array column is null.
     """
-    rows = rows.withColumn("_block", F.floor((F.col("line_number") - 1) / block))
-    flags = rows.select(source, "_block", "line_number", "tagged", "is_parameter", *FLAGS)
 
     def reduce(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        made = transition(_blocks_of(pdf))
+        made = _transition(pdf.sort_values("line_number")["_code"].tolist())
         return pd.DataFrame({source: [key[0]], "_block": [key[1]], "ends": [[e for e, _ in made]], "counts": [[n for _, own in made for n in own]]})
 
     def compose(pdf: pd.DataFrame) -> pd.DataFrame:
         state, count, out, width = 0, [0] * len(STATES), [], len(STATES)
         for r in pdf.sort_values("_block").itertuples(index=False):
-            out.append((r[0], r[1], state, list(count)))
+            out.append((r[0], r[1], LINE_CODES + state, " ".join(map(str, count))))
             count = [x + y for x, y in zip(count, r[3][state * width : (state + 1) * width], strict=True)]
             state = r[2][state]
-        return pd.DataFrame(out, columns=[source, "_block", "_state", "_count"])
-
-    kind = next(f.dataType.simpleString() for f in rows.schema if f.name == source)
-    maps = flags.groupBy(source, "_block").applyInPandas(reduce, f"`{source}` {kind}, _block long, ends array<int>, counts array<long>")
-    begins = maps.groupBy(source).applyInPandas(compose, f"`{source}` {kind}, _block long, _state int, _count array<long>")
-
-    return _replayed(rows.join(begins, [source, "_block"]), source)
-
-
-def _replayed(rows: DataFrame, source: str) -> DataFrame:
-    """The walk of each block from the _state and the _count that it begins with."""
-
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("line_number")
-        count, episodes, index = list(pdf["_count"].iloc[0]), [], []
-        for episode, starts in walk(_blocks_of(pdf), STATES[pdf["_state"].iloc[0]]):
-            k = STATES.index(episode)
-            count[k] += bool(starts)
-            episodes.append(episode)
-            index.append(None if episode is None else count[k] - 1)
-        out = pdf.drop(columns=["_block", "_state", "_count"])
-        return out.assign(episode=episodes, episode_index=pd.array(index, "Int64"))
-
-    made = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("_block", "_state", "_count").schema)
-    return rows.groupBy(source, "_block").applyInPandas(replay, f"{made}, episode string, episode_index long")
-
-
-def group_episodes(lines: DataFrame, source: str = "source_path", *, block: int = BLOCK_LINES) -> DataFrame:
+        return pd.DataFrame(out, columns=[source, "_block", "_code", "_count"])
+
+    kind = rows.schema[source].dataType.simpleString()
+    maps = rows.groupBy(source, "_block").applyInPandas(reduce, f"`{source}` {kind}, _block long, ends array<int>, counts array<long>")
+    return maps.groupBy(source).applyInPandas(compose, f"`{source}` {kind}, _block long, _code int, _count string")
+
+
+def _unlike_last(column: pa.Array) -> np.ndarray:
+    """Whether each value but the first differs from the one before it."""
+    one, two = column.slice(1), column.slice(0, len(column) - 1)
+    both, either = pc.and_(one.is_null(), two.is_null()), pc.or_(one.is_null(), two.is_null())
+    return pc.if_else(either, pc.invert(both), pc.fill_null(pc.not_equal(one, two), True)).to_numpy(zero_copy_only=False)
+
+
+def _follow(source: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The walk over rows sorted by source, _block and line_number; a block's row without a line comes first and says how it begins."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        after, episodes, begin = _moves()
+        names, wide = pa.array(STATES, pa.string()), 2 * LINE_CODES
+        last, state, count = None, 0, np.zeros(len(STATES), "int64")
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            files, blocks, codes = b.column(source), b.column("_block").to_numpy(), b.column("_code").to_numpy()
+            new = np.ones(n, bool)
+            new[1:] = _unlike_last(files) | (blocks[1:] != blocks[:-1])
+            new[0] = (files[0].as_py(), blocks[0]) != last
+            last = (files[n - 1].as_py(), blocks[n - 1])
+            keys = []
+            for code, fresh in zip(codes.tolist(), new.tolist(), strict=True):
+                key = code if fresh else state * wide + code
+                keys.append(key)
+                state = after[key]
+            own = np.array(keys, "int64")
+            episode, starts, group = episodes[own], begin[own], np.cumsum(new)
+            heads = np.flatnonzero(codes >= LINE_CODES)
+            at = np.concatenate(([0], np.flatnonzero(new)))  # the first is the block that the batch before ended in
+            before = np.zeros((len(at), len(STATES)), "int64")
+            before[0] = count
+            for i in heads:
+                before[group[i]] = [int(x) for x in b.column("_count")[int(i)].as_py().split()]
+            index = np.zeros(n, "int64")
+            for k in range(1, len(STATES)):
+                seen = np.concatenate(([0], np.cumsum(starts & (episode == k))))
+                base = before[:, k] - seen[at]
+                index = np.where(episode == k, seen[1:] + base[group] - 1, index)
+                count[k] = seen[-1] + base[-1]
+            keep = [c for c in b.schema.names if c not in ("_block", "_code", "_count")]
+            made = pa.RecordBatch.from_arrays([*map(b.column, keep), names.take(pa.array(episode)), pa.array(index, mask=episode == 0)], [*keep, "episode", "episode_index"])
+            yield made.filter(pa.array(codes < LINE_CODES)) if len(heads) else made
+
+    return run
+
+
+def group_episodes(lines: DataFrame, source: str = "source_path", *, block: int = BLOCK_LINES, keep: tuple[str, ...] | None = None) -> DataFrame:
     """Adds episode (testmode, iridium, ctd, parameter or null) and episode_index.
 
-    ``lines`` has line_number, raw_line and what parse_lines adds. episode_index
-    counts from 0 per file and episode family. Files whose lines couple two
-    latches, and those of more than ``block`` lines, are walked block by block;
-    the ordered windows over a file hold at most ``block`` lines.
+    ``lines`` has line_number, raw_line and what parse_lines adds; ``keep`` names
+    the columns that the result carries, all where it is None. episode_index
+    counts from 0 per file and episode family. Lines are parsed, shuffled and
+    sorted once and walked as they stream by, so a task's memory is that of its
+    sort, which spills. Files of more than ``block`` lines are spread over blocks;
+    their names, one for ``block`` lines at least, are sent to all tasks.
     """
-    rows = predicates(lines)
-    unclear = (F.col("is_test") & F.col("ir_line")) | (F.col("ctd_soft") & ~F.col("ctd_hard") & F.col("ir_event"))
-    # one shuffle by file serves the mark, the windows and the walk; only this mark passes over a whole file, and it spills
-    mark = F.when(F.col("line_number") > block, 2).when(unclear, 1).otherwise(0)
-    rows = rows.withColumn("_walked", F.max(mark).over(Window.partitionBy(source)))
-    clean = _latched(rows.where("_walked = 0"), source)
-    by = Window.partitionBy(source, "episode").orderBy("line_number").rowsBetween(Window.unboundedPreceding, 0)
-    index = F.when(F.col("episode").isNotNull(), F.sum(F.col("starts").cast("long")).over(by) - 1)
-    clean = clean.withColumn("episode_index", index)
-    short = _replayed(rows.where("_walked = 1").withColumns({"_block": F.lit(0).cast("long"), "_state": F.lit(0), "_count": F.array_repeat(F.lit(0).cast("long"), len(STATES))}), source)
-    long = _exact(rows.where("_walked = 2"), source, block)
-    return clean.select(short.columns).unionByName(short).unionByName(long).drop("_walked", *FLAGS)
+    kept = list(lines.columns if keep is None else dict.fromkeys((source, "line_number", *keep)))
+    coded = lambda rows: predicates(rows).withColumns({"_code": sum(F.when(F.col(n), 1 << k).otherwise(0) for k, n in enumerate(CODED)), "_block": F.floor((F.col("line_number") - 1) / block)})
+    long = lines.where(F.col("line_number") > block).select(source).distinct()
+    begins = _begins(coded(lines.join(F.broadcast(long), source, "left_semi")).select(source, "_block", "line_number", "_code"), source)
+    rows = coded(lines).select(*kept, "_block", "_code").unionByName(begins, allowMissingColumns=True)
+    made = StructType([StructField(f.name, f.dataType) for f in rows.schema if f.name in kept]).add("episode", "string").add("episode_index", "long")
+    return rows.repartition(source, "_block").sortWithinPartitions(source, "_block", "line_number").mapInArrow(_follow(source), made)
 
 
 def build_episodes(grouped: DataFrame, source: str = "source_path") -> DataFrame:

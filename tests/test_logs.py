@@ -70,6 +70,30 @@ def test_windows_agree_with_the_walk(spark):
             assert got[path, at] == (episode, count[episode] if episode else None), (path, at)
 
 
+def test_lines_are_read_once_and_walked_in_small_batches(spark):
+    rng = random.Random(7)
+    texts = {f"f{n}": "\n".join(f"{1500000000 + i}:{rng.choice(MIX)}" for i in range(n)) for n in range(30)}
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    rows = explode_lines(_files(spark, **texts)).localCheckpoint()
+    lines = parse_lines(rows.mapInPandas(count, rows.schema))
+    whole = {tuple(r) for r in group_episodes(lines).select("source_path", "line_number", "episode", "episode_index").collect()}
+    # once to find very long files, once to walk
+    assert len(whole) == rows.count() and seen.value <= 2 * rows.count()
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        for block in (50_000, 4):
+            assert {tuple(r) for r in group_episodes(lines, block=block, keep=()).collect()} == whole
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_transitions_compose():
     rng = random.Random(9)
     for _ in range(200):
