@@ -92,22 +92,26 @@ def value_counts(rows: DataFrame, name: str) -> DataFrame:
 def mer_summary(files: DataFrame, lines: DataFrame, framed: DataFrame) -> DataFrame:
     """(item, key, n): what MER files hold, of ``files`` (source_path), their metadata ``lines`` and their ``framed`` events.
 
-    Items: total_files, zero_event_files (by anti join), event_blocks,
+    Items: total_files, zero_event_files, event_blocks,
     environment_kind and parameter_kind by kind, and how often each unknown tag
     or key occurs: unknown_environment_tag, unknown_parameter_tag,
     unknown_info_key, unknown_format_key. Sets of names are rows, so none is
-    gathered in one place.
+    gathered in one place. Each of the three inputs is read once.
     """
-    one = lambda rows, item, key=None: rows.select(F.lit(item).alias("item"), (F.lit("") if key is None else key).alias("key"))
-    paths, good = files.select("source_path").distinct(), framed.where("error is null")
-    parts = [one(paths, "total_files"), one(paths.join(good.select("source_path"), "source_path", "left_anti"), "zero_event_files"), one(good, "event_blocks")]
+    item = lambda name, key=F.lit(""): F.struct(F.lit(name).alias("item"), key.alias("key"))
+    odd = lambda line, keys: F.array_except(F.map_keys(attributes(F.coalesce(line, F.lit("")))), F.array(*map(F.lit, keys)))
+    named = lambda keys, name: F.transform(keys, lambda k: item(name, k))
+    unknown = (named(odd("info_line", INFO_KEYS), "unknown_info_key"), named(odd("format_line", FORMAT_KEYS), "unknown_format_key"))
+    held = framed.where("error is null").select("source_path", F.explode(F.concat(F.array(item("event_blocks")), *unknown)).alias("i")).select("source_path", "i.*")
+    by_file = files.select("source_path", F.lit("total_files").alias("item"), F.lit("").alias("key")).unionByName(held).groupBy("source_path", "item", "key").agg(F.count("*").alias("n"))
+    # a file counts once; it has no event until a row of its events takes that back
+    once = F.when(F.col("item") == "total_files", F.array(F.struct("item", "key", F.lit(1).cast("long").alias("n")), F.struct(F.lit("zero_event_files").alias("item"), "key", F.lit(1).cast("long").alias("n"))))
+    own = F.struct("item", "key", "n")
+    by_item = by_file.select(F.explode(once.when(F.col("item") == "event_blocks", F.array(own, F.struct(F.lit("zero_event_files").alias("item"), "key", F.lit(-1).cast("long").alias("n")))).otherwise(F.array(own))).alias("i")).select("i.*")
+    of_line = None
     for section, tags in (("environment", ENVIRONMENT), ("parameter", PARAMETERS)):
-        own, known = lines.where(F.col("section") == section), F.col("tag").isin(*tags)
-        parts += [one(own, f"{section}_kind", F.when(known, F.lower("tag")).otherwise("unknown")), one(own.where(~known), f"unknown_{section}_tag", F.col("tag"))]
-    for line, keys, item in (("info_line", INFO_KEYS, "unknown_info_key"), ("format_line", FORMAT_KEYS, "unknown_format_key")):
-        odd = F.array_except(F.map_keys(attributes(F.coalesce(line, F.lit("")))), F.array(*map(F.lit, keys)))
-        parts.append(one(good.select(F.explode(odd).alias("k")), item, F.col("k")))
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    return every.groupBy("item", "key").agg(F.count("*").alias("n"))
+        known = F.col("tag").isin(*tags)
+        made = F.when(known, F.array(item(f"{section}_kind", F.lower("tag")))).otherwise(F.array(item(f"{section}_kind", F.lit("unknown")), item(f"unknown_{section}_tag", F.col("tag"))))
+        of_line = F.when(F.col("section") == section, made) if of_line is None else of_line.when(F.col("section") == section, made)
+    tagged = lines.select(F.explode(of_line).alias("i")).select("i.*", F.lit(1).cast("long").alias("n"))
+    return by_item.unionByName(tagged).groupBy("item", "key").agg(F.sum("n").alias("n")).where("n <> 0")

@@ -241,3 +241,26 @@ def test_stream_writes_each_batch_once(spark, tmp_path):
     got = spark.read.parquet(f"{out}/log_acquisition")
     assert sorted((r.acquisition_state, r.instrument_serial) for r in got.collect()) == [("started", "06"), ("stopped", "06")]
     assert spark.read.parquet(f"{out}/malformed_log_lines").count() == 1
+
+
+def test_mer_summary_reads_each_input_once(spark):
+    from pelagia.operators.mer import events, judged, sections
+    from pelagia.plans.metrics import mer_summary
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    event = b"<EVENT><INFO DATE=2024-01-02T03:04:05 ROUNDS=1 ODD=1 ODD=2 /><FORMAT LENGTH=1 BYTES_PER_SAMPLE=2 /><DATA>xx</DATA></EVENT>"
+    rows = [("a", event + event), ("b", b"<ENVIRONMENT>\n<DIVE ID=1 />\n<NEW />\n</ENVIRONMENT>"), ("c", event.replace(b"2024-01", b"2024-31"))]
+    files = spark.createDataFrame(rows, "source_path string, content binary")
+    counted = files.mapInPandas(count, files.schema)
+    got = {(r.item, r.key): r.n for r in mer_summary(counted, sections(counted), judged(events(counted), strict=False)).collect()}
+    assert got == {("total_files", ""): 3, ("zero_event_files", ""): 2, ("event_blocks", ""): 2, ("environment_kind", "dive"): 1, ("environment_kind", "unknown"): 1, ("unknown_environment_tag", "NEW"): 1, ("unknown_info_key", "ODD"): 2}
+    assert seen.value == 4 * len(rows)  # the paths, the events and both kinds of sections
+    every = [("a", event), ("b", event)]
+    files = spark.createDataFrame(every, "source_path string, content binary")
+    assert not [r for r in mer_summary(files, sections(files), judged(events(files), strict=False)).collect() if r.item == "zero_event_files"]
