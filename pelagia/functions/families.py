@@ -48,6 +48,12 @@ EVENTS = (
     ("disconnect", r"(?i)disconnected after (\d+)s", {"disconnect_duration_s": 1}, 0),
     ("upload_batch", r"(?i)^Upload data files\.\.\.$", {}, 0),
 )
+#: What a message of the kind holds, lower-cased: looked for before the pattern is tried.
+EVENT_HINTS = {
+    "session_start": "iridium...", "connection": "connected in ", "connection_failure": "failed to connect #", "no_connection": "no connection after ", "command": "$",
+    "command_summary": " cmd", "remote_command_end": "prompt received,", "upload_artifact": "uploaded at ", "upload_resume": "peer ask to resume ", "upload_progress_artifact": " bytes in ",
+    "upload_error_artifact": "<err>", "upload_retry": "transfer interrupted", "upload_failed": "uploading failed", "upload_session_summary": " file", "disconnect": "disconnected after ", "upload_batch": "upload data files...",
+}
 EVENT_FIELDS = tuple(dict.fromkeys(f for _, _, fields, _ in EVENTS for f in fields))
 #: The kinds that have each payload field; other kinds lack its key in JSON.
 KINDS_OF = {f: tuple(kind for kind, _, fields, _ in EVENTS if f in fields) for f in EVENT_FIELDS} | {
@@ -60,15 +66,17 @@ def collapsed(message: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(message), r"(?U)\s+", " "))
 
 
-def event_kind(message: Column, own: Column | None = None) -> Column:
-    """The Iridium kind of a message; session_line if it is no event. ``own`` is the stripped message, where it is a column already."""
+def event_kind(message: Column, own: Column | None = None, low: Column | None = None) -> Column:
+    """The Iridium kind of a message; session_line if it is no event. ``own`` is the stripped message, ``low`` that in lower case, where they are columns already."""
     own = strip(message) if own is None else own
+    low = F.lower(own) if low is None else low
     kind = None
     for name, pattern, _, _ in EVENTS:
         value: Column | str = name
         if name == "command":
             value = F.when(F.upper(F.regexp_extract(own, COMMAND, 1)).isin("GPSACK", "GPSOFF"), "session_line").otherwise("command")
-        kind = F.when(own.rlike(pattern), value) if kind is None else kind.when(own.rlike(pattern), value)
+        fits = low.contains(EVENT_HINTS[name]) & own.rlike(pattern)
+        kind = F.when(fits, value) if kind is None else kind.when(fits, value)
     return kind.otherwise("session_line")
 
 

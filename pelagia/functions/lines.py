@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ``(?d)`` keeps U+2028 and its like inside a line, as only \n ends one here.
@@ -17,8 +17,9 @@ _SPACE = r"(?U)^\s+|\s+$"
 
 
 def strip(text: Column) -> Column:
-    """Unicode-wide trim."""
-    return F.regexp_replace(text, _SPACE, "")
+    """Unicode-wide trim; a text that begins and ends with visible ASCII needs no pattern."""
+    firm = F.ascii(text).between(33, 126) & F.ascii(F.substring(text, -1, 1)).between(33, 126)
+    return F.when(firm, text).otherwise(F.regexp_replace(text, _SPACE, ""))
 
 
 def extract(text: Column, pattern: str, group: int = 1) -> Column:
@@ -107,8 +108,15 @@ def format_time(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
+def compiled(spark: SparkSession) -> None:
+    """Keep Spark from fusing an expression-heavy stage into one method of over 8,000 bytes, which Java would only interpret."""
+    if int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) > 8000:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Adds tagged, time_text, subsystem, code, message, record_time, is_blank and is_parameter."""
+    compiled(lines.sparkSession)
     raw = F.col("raw_line")
     plain, wrapped = raw.rlike(TAGGED), raw.rlike(WRAPPED)
     tag = F.when(plain, F.regexp_extract(raw, TAGGED, 2)).when(wrapped, F.regexp_extract(raw, WRAPPED, 3))
@@ -121,11 +129,13 @@ def parse_lines(lines: DataFrame) -> DataFrame:
             "subsystem": strip(F.split_part("_tag", F.lit(","), F.lit(1))),
             "code": F.nullif(strip(F.expr("substring(_tag, nullif(instr(_tag, ','), 0) + 1)")), F.lit("")),
             "_epoch": epoch_time(F.col("time_text")),
-            **dict(zip(("_date", "_clock", "_offset"), iso_parts(F.col("time_text")), strict=True)),
             "is_blank": strip(raw) == "",
             "is_parameter": ~F.col("tagged") & F.coalesce(F.col("_content").rlike(PARAMETER), F.lit(False)),
             "rollover_target": extract(F.col("_content"), ROLLOVER),
         }
+    ).withColumns(
+        # only what is no epoch time is matched against ISO 8601
+        dict(zip(("_date", "_clock", "_offset"), iso_parts(F.when(F.col("_epoch").isNull(), F.col("time_text"))), strict=True))
     ).withColumn("_day", F.when(F.col("_epoch").isNull(), iso_from(F.col("_date"), F.col("_clock"), F.col("_offset")))).withColumn("record_time", format_time(F.coalesce("_epoch", "_day"))).drop("_tag", "_content", "_epoch", "_date", "_clock", "_offset", "_day")
 
 

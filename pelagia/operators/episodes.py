@@ -38,21 +38,21 @@ LINE_CODES = 1 << len(CODED)
 def predicates(lines: DataFrame) -> DataFrame:
     """Adds the flags of FLAGS, false on untagged lines."""
     # stripped once and classified once, not in every flag
-    lines = lines.withColumn("_own", strip(F.col("message")))
-    lines = lines.withColumn("_kind", event_kind(F.col("message"), F.col("_own")))
-    own, low, kind = F.col("_own"), F.lower("_own"), F.col("_kind")
+    lines = lines.withColumn("_own", strip(F.col("message"))).withColumn("_low", F.lower("_own"))
+    lines = lines.withColumn("_kind", event_kind(F.col("message"), F.col("_own"), F.col("_low")))
+    own, low, kind = F.col("_own"), F.col("_low"), F.col("_kind")
     stage = F.col("subsystem") == "STAGE"
     flags = {
         "is_test": F.col("subsystem") == "TESTMD",
         "is_exit": ((F.col("subsystem") == "TESTMD") & low.isin('"q"', '"quit"')) | low.isin(*TEST_EXITS) | low.startswith("rebooting with code"),
-        "ir_start": own.rlike(r"(?i)^Iridium\.\.\.$"),
+        "ir_start": low.startswith("iridium...") & own.rlike(r"(?i)^Iridium\.\.\.$"),
         "ir_event": kind != "session_line",
-        "ir_line": (kind != "session_line") | own.rlike(COMMAND),
-        "ir_end": own.rlike(r"(?i)disconnected after \d+s") | own.rlike(r"(?i)no connection after \d+s"),
+        "ir_line": (kind != "session_line") | own.startswith("$") & own.rlike(COMMAND),
+        "ir_end": low.contains("connect") & (own.rlike(r"(?i)disconnected after \d+s") | own.rlike(r"(?i)no connection after \d+s")),
         "ctd_hard": F.col("subsystem").isin(*CTD_SUBSYSTEMS) | (stage & (F.col("message").contains("SBE41") | F.col("message").contains("SBE61"))),
         "ctd_soft": stage,
     }
-    return lines.withColumns({n: F.col("tagged") & F.coalesce(c, F.lit(False)) for n, c in flags.items()}).drop("_own", "_kind")
+    return lines.withColumns({n: F.col("tagged") & F.coalesce(c, F.lit(False)) for n, c in flags.items()}).drop("_own", "_low", "_kind")
 
 
 def advance(state: str | None, r: dict) -> tuple[str | None, bool, str | None]:
@@ -214,15 +214,15 @@ def group_episodes(lines: DataFrame, source: str = "source_path", *, block: int
     return rows.repartition(source, "_block").sortWithinPartitions(source, "_block", "line_number").mapInArrow(_follow(source), made)
 
 
-def build_episodes(grouped: DataFrame, source: str = "source_path") -> DataFrame:
-    """One row per episode: line span, times of its first and last timed line, lines."""
+def build_episodes(grouped: DataFrame, source: str = "source_path", *more: Column) -> DataFrame:
+    """One row per episode: line span, times of its first and last timed line, lines, and the aggregates ``more``; rows without a line_number are no lines."""
     timed = F.when(F.col("record_time").isNotNull(), F.col("line_number"))
     line = F.struct("line_number", "raw_line", "message", "tagged", "record_time", "time_text", "subsystem", "code")
     rows = grouped.where("episode is not null").groupBy(source, "episode", "episode_index").agg(
         F.min("line_number").alias("line_start_index"), F.max("line_number").alias("line_end_index"),
         F.min_by("record_time", timed).alias("start_record_time"), F.max_by("record_time", timed).alias("end_record_time"),
         F.min_by("time_text", timed).alias("start_log_epoch_time"), F.max_by("time_text", timed).alias("end_log_epoch_time"),
-        F.sort_array(F.collect_list(line)).alias("lines"),
+        F.sort_array(F.collect_list(F.when(F.col("line_number").isNotNull(), line))).alias("lines"), *more,
     )
     return rows.withColumns({"source_line_numbers": F.transform("lines", lambda x: x["line_number"]), "raw_lines": F.transform("lines", lambda x: x["raw_line"])})
 

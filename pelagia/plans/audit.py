@@ -53,12 +53,15 @@ def audit_grouped(rows: DataFrame, family: str) -> DataFrame:
     each field, nested ones as a whole, is compared with what comes out.
     """
     keyed = rows.withColumn("_key", F.concat_ws("\u0000", "source_path", F.col("line_start_index").cast("string"), F.col("episode_index").cast("string")))
-    line = F.explode(F.arrays_zip(F.col("source_line_numbers").alias("line_number"), F.col("raw_lines").alias("raw_line")))
-    lines = keyed.select("_key", F.lit(family).alias("episode"), F.col("episode_index").alias("episode_index"), line.alias("l")).select("_key", "episode", "episode_index", "l.line_number", "l.raw_line")
-    anew = build_episodes(parse_lines(lines), "_key")
+    kind = "struct<line_number:bigint,raw_line:string>"
+    line = F.coalesce(F.arrays_zip(F.col("source_line_numbers").alias("line_number"), F.col("raw_lines").alias("raw_line")).cast(f"array<{kind}>"), F.array().cast(f"array<{kind}>"))
+    # a row goes first and its lines follow, so that both meet again in one grouping
+    opened = keyed.select("_key", F.lit(family).alias("episode"), "episode_index", F.struct(*rows.columns).alias("_row"), F.posexplode(F.concat(F.array(F.lit(None).cast(kind)), line)).alias("_at", "l"))
+    lines = opened.select("_key", "episode", "episode_index", "l.line_number", "l.raw_line", F.when(F.col("_at") == 0, F.col("_row")).alias("_row"))
+    anew = build_episodes(parse_lines(lines), "_key", F.collect_list("_row").alias("_rows"))
     anew = ctd_samples(anew) if family == "ctd" else iridium_sessions(anew) if family == "iridium" else anew
     fields = (*EPISODE_FIELDS, *GROUP_FIELDS.get(family, ()))
-    both = keyed.join(anew.select("_key", F.struct(*fields).alias("_anew")), "_key", "left")
+    both = anew.select(F.explode("_rows").alias("_row"), F.when(F.size("lines") > 0, F.struct(*fields)).alias("_anew")).select("_row.*", "_anew")
     c = F.col
     checks = {
         "line numbers and raw lines differ in number": F.size("source_line_numbers") == F.size("raw_lines"),
@@ -67,7 +70,7 @@ def audit_grouped(rows: DataFrame, family: str) -> DataFrame:
         "a time is missing": c("start_record_time").isNotNull() & c("end_record_time").isNotNull(),
     }
     checks |= {f"{n} does not match the raw lines": _same(c(n), c("_anew")[n]) for n in fields}
-    return both.withColumn("issues", _issues(checks)).drop("_key", "_anew")
+    return both.withColumn("issues", _issues(checks)).drop("_anew")
 
 
 def audit_mer(rows: DataFrame, family: str) -> DataFrame:

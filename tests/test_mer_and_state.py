@@ -264,3 +264,47 @@ def test_mer_summary_reads_each_input_once(spark):
     every = [("a", event), ("b", event)]
     files = spark.createDataFrame(every, "source_path string, content binary")
     assert not [r for r in mer_summary(files, sections(files), judged(events(files), strict=False)).collect() if r.item == "zero_event_files"]
+
+
+def test_audit_of_episodes_reads_its_rows_once(spark):
+    from pelagia.operators.episodes import build_episodes, group_episodes, iridium_sessions
+    from pelagia.functions.lines import parse_lines
+
+    texts = ["1500000000:[SURF]Iridium...", "1500000001:[SURF]connected in 37s, signal quality 5", "1500000003:[SURF]disconnected after 9s"]
+    lines = spark.createDataFrame([("f", n + 1, x) for n, x in enumerate(texts)], "source_path string, line_number long, raw_line string")
+    made = iridium_sessions(build_episodes(group_episodes(parse_lines(lines)))).withColumns({"instrument_serial": F.lit("x"), "source_file": F.col("source_path")})
+    rows = spark.createDataFrame(made.collect(), made.schema)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    counted = rows.mapInArrow(count, rows.schema)
+    assert audit_family(counted, "log_iridium").count() == 0 and seen.value == 1
+    # rows without lines, or without numbers, are findings; rows stored twice are both judged
+    none = rows.withColumns({"source_line_numbers": F.array().cast("array<bigint>"), "raw_lines": F.array().cast("array<string>")})
+    for odd, column in ((none, "source_line_numbers"), (rows.withColumn("source_line_numbers", F.lit(None).cast("array<bigint>")), "raw_lines")):
+        assert {f"{c} does not match the raw lines" for c in (column, "iridium_events")} <= {r.issue for r in audit_family(odd, "log_iridium").collect()}
+    assert {r.issue for r in audit_family(rows.union(rows), "log_iridium").collect()} >= {"raw_lines does not match the raw lines"}
+
+
+def test_kinds_and_trims_equal_their_patterns(spark):
+    from pelagia.functions.families import EVENTS, event_kind
+    from pelagia.functions.lines import parse_lines, strip
+
+    texts = ["IRIDIUM...", "xConnected IN 3s, signal quality -1", "Failed to connect #1,code 2,net 3,qual 4,dial 5", "NO connection after 7s", "$TIME:1;", " $GPSACK:1;", "a$b;", "1 CMD received", "2 cmd(s) received", "Prompt received,  remote cmd end",
+             '"07/AB.MER" Uploaded at 3bytes/s', "peer ask to resume 07/AB.LOG (1bytes) from byte 2", "3 bytes in 07/AB.BIN", "<err> upload of 07/AB.MER", "transfer interrupted, RETRY now", "<ERR>uploading failed", "1 FILE(S) uploaded", "Disconnected after 2s", "upload data FILES...",
+             "connecKed", " x ", "　", "", " ", "\ta b\x0b", "İridium...", "é x", "x é", "x\x85"]
+    rows = spark.createDataFrame([(x,) for x in texts], "m string")
+    trim = F.regexp_replace("m", r"(?U)^\s+|\s+$", "")
+    plain = F.lit("session_line")
+    for name, pattern, _, _ in reversed(EVENTS):
+        value = F.when(F.upper(F.regexp_extract(trim, pattern, 1)).isin("GPSACK", "GPSOFF"), "session_line").otherwise(name) if name == "command" else F.lit(name)
+        plain = F.when(trim.rlike(pattern), value).otherwise(plain)
+    got = rows.select("m", strip(F.col("m")).alias("s"), trim.alias("t"), event_kind(F.col("m")).alias("k"), plain.alias("p")).collect()
+    assert all(r.s == r.t and r.k == r.p for r in got), [r for r in got if r.s != r.t or r.k != r.p]
+    assert {r.k for r in got} >= {n for n, *_ in EVENTS}
+    parse_lines(rows.select(F.col("m").alias("raw_line")))
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
