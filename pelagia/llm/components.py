@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.scratch import drop, save
+from pelagia.llm.scratch import drop, release, save
 
 #: Links a task contracts at a time; bounds its memory, not the graph.
 CHUNK = 1 << 20
@@ -82,6 +82,7 @@ def components(links: DataFrame) -> DataFrame:
     while not _stars(edges):
         spent, edges = edges, save(_small_star(_large_star(_contracted(edges))))
         drop(spent)
+        release(links.sparkSession)
     leaves = edges.distinct()
     roots = edges.select(F.col("b").alias("node")).distinct()
     return leaves.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots.select("node", F.col("node").alias("component")))

@@ -317,10 +317,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     met = post.groupBy("token").agg(_heads(F.lit(True), 0).alias("heads"), F.count("*").alias("n")).where("n > 1")
     star = save(post.join(met, "token").select(F.explode("heads").alias("a"), F.col("node").alias("b")).where("a <> b").distinct())
     post = save(post.join(met.select("token"), "token").select("token", "node"))
+    release(spark)
     label = save(components(_linked_pairs(star, cand)))
     drop(star)
     release(spark)
     label = _contracted(post, label, cand)
+    release(spark)
     more = _across(post, label, cand)
     drop(post)
     drop(cand)

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagia.llm.scratch import save, short_plans
+from pelagia.llm.scratch import release, save, short_plans
 
 #: Slots of the hashed terms; the model is this many numbers a domain.
 SLOTS = 4096
@@ -69,6 +69,7 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], *, keep
     docs = docs.select("doc_id", "text", *([F.struct(*docs.columns).alias("doc")] if keep else []))
     own = ["doc_id", "tokens", *(["doc"] if keep else [])]
     prior, weight = _fit(docs, labelled, domains)
+    release(docs.sparkSession)
     tokens = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     # one column first, else every sum would split the text again
     rows = docs.withColumns({"tokens": tokens, "_s": _slots(F.coalesce("text", F.lit("")))}).select(*own, "_s", F.sqrt(F.greatest(F.size("_s"), F.lit(1))).alias("_n"))
@@ -113,6 +114,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *, keep
     domains = list(targets)
     total_weight = sum(targets.values())
     base = save(posteriors(docs, labelled, domains, keep=keep))
+    release(docs.sparkSession)
     n_p = [(F.col("tokens") * F.col(f"p_{k}")) for k in range(len(domains))]
     mass = [float(x or 0.0) for x in base.agg(*(F.sum(x).alias(f"m{k}") for k, x in enumerate(n_p))).first()]
     live = [k for k, m in enumerate(mass) if m > 0 and targets[domains[k]] > 0]
@@ -144,6 +146,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], *, keep
             raise RuntimeError(f"rates do not settle in {STEPS} steps: {have} for {goal}")
         last = miss
         shifts.append((miss * weight if plain else np.linalg.lstsq(answer, miss, rcond=1e-12)[0]).tolist())
+    release(docs.sparkSession)  # a plan a step
     part = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) / float(1 << 20)
     rated = base.withColumn("rate", F.when(F.col("tokens") > 0, _folded(live, shifts)).otherwise(1.0) if live else F.lit(1.0))
     rated = rated.withColumn("copies", (F.floor("rate") + (part < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))

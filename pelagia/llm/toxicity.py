@@ -28,6 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pelagia.llm.scratch import release
 from pelagia.llm.words import byte_hashes, mix, small_batches, word_table
 
 #: Bound of the labelled rows that fitting reads.
@@ -203,6 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Callable[[Iterator[pa.RecordBatch
     once = rows.mapInArrow(_slot_sets, "toxic int, slots binary").groupBy("slots").agg(F.max("toxic").alias("toxic"))
     m = _machine(once)
     sent = docs.sparkSession.sparkContext.broadcast(m)
+    release(docs.sparkSession)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
