@@ -19,7 +19,7 @@ from pelagia.operators.state import actions, diff_sources, snapshot_id
 from pelagia.plans.audit import audit_family, sample_rows
 from pelagia.plans.metrics import mer_summary as summary_of_mer
 from pelagia.plans.metrics import value_counts
-from pelagia.plans.normalize import grouped_lines, mer_tables, misassigned
+from pelagia.plans.normalize import accounted, grouped_lines, mer_tables
 from pelagia.sources.files import authoritative, instrument, with_provenance
 
 _V = "CAST(CAST(floor(value) AS BIGINT) AS STRING)"
@@ -260,10 +260,7 @@ def log_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = spark.sql(LINES_SQL.replace("FROM events", "FROM {events}"), events=_read(spark, sf_dir, "events"))
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_number", "raw_line"))), lambda x: x["raw_line"]), "\n")
     files = lines.groupBy("source_path").agg(F.concat(text, F.lit("\n")).alias("content"))
-    grouped = grouped_lines(files)
-    where = F.coalesce("family", "episode", F.when(F.col("is_blank"), "blank"))
-    held = grouped.groupBy(where.alias("held_by")).agg(F.count("*").alias("n_lines"))
-    return held.unionByName(misassigned(grouped).agg(F.lit("misassigned").alias("held_by"), F.count("*").alias("n_lines")))
+    return accounted(grouped_lines(files, keep=()))
 
 
 def snapshot_digest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -195,7 +195,7 @@ def _follow(source: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
-def group_episodes(lines: DataFrame, source: str = "source_path", *, block: int = BLOCK_LINES, keep: tuple[str, ...] | None = None) -> DataFrame:
+def group_episodes(lines: DataFrame, source: str = "source_path", *, block: int = BLOCK_LINES, keep: tuple[str, ...] | None = None, large: DataFrame | None = None) -> DataFrame:
     """Adds episode (testmode, iridium, ctd, parameter or null) and episode_index.
 
     ``lines`` has line_number, raw_line and what parse_lines adds; ``keep`` names
@@ -203,12 +203,14 @@ def group_episodes(lines: DataFrame, source: str = "source_path", *, block: int
     counts from 0 per file and episode family. Lines are parsed, shuffled and
     sorted once and walked as they stream by, so a task's memory is that of its
     sort, which spills. Files of more than ``block`` lines are spread over blocks;
-    their names, one for ``block`` lines at least, are sent to all tasks.
+    their names, one for ``block`` lines at least, are sent to all tasks. ``large``
+    gives the lines of the files that may be so long, where fewer have to be looked at.
     """
     kept = list(lines.columns if keep is None else dict.fromkeys((source, "line_number", *keep)))
     coded = lambda rows: predicates(rows).withColumns({"_code": sum(F.when(F.col(n), 1 << k).otherwise(0) for k, n in enumerate(CODED)), "_block": F.floor((F.col("line_number") - 1) / block)})
-    long = lines.where(F.col("line_number") > block).select(source).distinct()
-    begins = _begins(coded(lines.join(F.broadcast(long), source, "left_semi")).select(source, "_block", "line_number", "_code"), source)
+    large = lines if large is None else large
+    long = large.where(F.col("line_number") > block).select(source).distinct()
+    begins = _begins(coded(large.join(F.broadcast(long), source, "left_semi")).select(source, "_block", "line_number", "_code"), source)
     rows = coded(lines).select(*kept, "_block", "_code").unionByName(begins, allowMissingColumns=True)
     made = StructType([StructField(f.name, f.dataType) for f in rows.schema if f.name in kept]).add("episode", "string").add("episode_index", "long")
     return rows.repartition(source, "_block").sortWithinPartitions(source, "_block", "line_number").mapInArrow(_follow(source), made)

@@ -20,7 +20,7 @@ from pelagia.functions.families import FAMILIES, KINDS_OF, PRESSURE_FIELDS, clas
 from pelagia.functions.filenames import record_filename, validated_serial
 from pelagia.functions.lines import explode_lines, log_epoch_time, parse_lines
 from pelagia.operators import mer
-from pelagia.operators.episodes import build_episodes, ctd_samples, group_episodes, iridium_sessions
+from pelagia.operators.episodes import BLOCK_LINES, build_episodes, ctd_samples, group_episodes, iridium_sessions
 from pelagia.operators.state import actions, diff_sources, invalidated, paths_for, snapshot_id
 from pelagia.plans import journal, manifests
 from pelagia.plans.metrics import counted_rows, counters
@@ -32,6 +32,10 @@ GROUPED = ("parameter", "testmode", "ctd", "iridium")
 LOG_FAMILIES = tuple(f"log_{f}" for f in (*SINGLE, *GROUPED))
 MER_FAMILIES = ("mer_environment", "mer_parameter", "mer_event")
 QUARANTINE = ("malformed_log_lines", "untimed_log_episodes", "malformed_mer_blocks", "skipped_files")
+#: Parsed columns that a line's family is told from.
+JUDGED = ("tagged", "is_blank", "rollover_target", "record_time", "message")
+#: Of a line's place: it is read twice, or held by several tables, or by none though it is not blank.
+_WRONG = "times > 1 or n > 1 or (n = 0 and not blank)"
 #: Rows of one data file at most.
 RECORDS_A_FILE = 2_000_000
 #: Turns BIN files (source_path, prefix, stem, content, ...) into LOG files (prefix, stem, content).
@@ -56,9 +60,15 @@ class MerTables:
     skipped: DataFrame
 
 
-def grouped_lines(files: DataFrame) -> DataFrame:
-    """Every line of ``files`` (source_path, content, ...) parsed, in its episode, with its family; this is all that the log tables read."""
-    rows = group_episodes(parse_lines(explode_lines(files.select("source_path", "content"))))
+def grouped_lines(files: DataFrame, *, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """Every line of ``files`` (source_path, content, ...) parsed, in its episode, with its family; this is all that the log tables read.
+
+    ``keep`` names the parsed columns that are carried besides those of ``JUDGED``, all where it is None.
+    """
+    lines = lambda some: parse_lines(explode_lines(some.select("source_path", "content")))
+    # a file of more lines than a block has as many bytes at least
+    large = lines(files.where(F.octet_length("content") >= BLOCK_LINES))
+    rows = group_episodes(lines(files), keep=None if keep is None else (*keep, *JUDGED), large=large)
     ordinary = F.col("episode").isNull() & ~F.col("is_blank")
     fine = (F.col("tagged") | F.col("rollover_target").isNotNull()) & F.col("record_time").isNotNull()
     rows = rows.withColumn("_found", F.when(ordinary & fine & F.col("tagged"), matches(F.col("message"))))
@@ -134,10 +144,28 @@ def unassigned(tables: LogTables, lines: DataFrame) -> DataFrame:
 
 def misassigned(lines: DataFrame) -> DataFrame:
     """(source_path, line_number) of lines of ``grouped_lines`` that the tables would not hold exactly once: must be empty."""
-    tables = F.col("family").isNotNull().cast("int") + F.col("episode").isin(*GROUPED).cast("int")
-    n = F.sum(F.coalesce(tables, F.col("family").isNotNull().cast("int"))).alias("n")
-    rows = lines.groupBy("source_path", "line_number").agg(n, F.count("*").alias("times"), F.bool_and("is_blank").alias("blank"))
-    return rows.where("times > 1 or n > 1 or (n = 0 and not blank)")
+    rows = lines.groupBy("source_path", "line_number").agg(F.sum(_tables()).alias("n"), F.count("*").alias("times"), F.bool_and("is_blank").alias("blank"))
+    return rows.where(_WRONG)
+
+
+def _tables() -> Column:
+    """How many tables hold a line of ``grouped_lines``."""
+    single = F.col("family").isNotNull().cast("int")
+    return F.coalesce(single + F.col("episode").isin(*GROUPED).cast("int"), single)
+
+
+def accounted(lines: DataFrame) -> DataFrame:
+    """(held_by, n_lines) of lines of ``grouped_lines``, and how many of them are ``misassigned``, all in one pass over the lines."""
+    holder = F.coalesce("family", "episode", F.when(F.col("is_blank"), "blank"))
+    # a line counts once for what holds it, once for its own place
+    place = lambda own, *at: F.struct(F.lit(own).alias("own"), *(c.alias(n) for c, n in zip(at, ("held_by", "source_path", "line_number"), strict=True)))
+    held = place(False, holder, F.lit(None).cast("string"), F.lit(None).cast("long"))
+    own = place(True, F.lit("misassigned"), F.col("source_path"), F.col("line_number"))
+    both = lines.select(_tables().alias("n"), "is_blank", F.explode(F.array(held, own)).alias("at")).select("n", "is_blank", "at.*")
+    rows = both.groupBy("own", "held_by", "source_path", "line_number").agg(F.sum("n").alias("n"), F.count("*").alias("times"), F.bool_and("is_blank").alias("blank"))
+    counts = rows.select("held_by", F.when(~F.col("own"), F.col("times")).when(F.expr(_WRONG), 1).otherwise(0).alias("n_lines"))
+    none = lines.sparkSession.sql("SELECT 'misassigned' AS held_by, 0L AS n_lines")
+    return counts.unionByName(none).groupBy("held_by").agg(F.sum("n_lines").alias("n_lines"))
 
 
 def _fail_on(rows: DataFrame, what: str, place: Column) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pelagia.functions.families import classify, event_kind, event_payload
 from pelagia.functions.lines import explode_lines, parse_lines
 from pelagia.operators.episodes import FLAGS, STATES, advance, group_episodes, predicates, transition, walk
-from pelagia.plans.normalize import log_tables, unassigned
+from pelagia.plans.normalize import accounted, grouped_lines, log_tables, misassigned, unassigned
 
 
 def _files(spark, **texts):
@@ -153,3 +153,29 @@ def test_times_are_read_as_iso_8601(spark):
     wrong = [(r.t, r.got, expected(r.t)) for r in rows if r.got != expected(r.t)]
     assert not wrong, wrong[:10]
     assert sum(r.got is not None for r in rows) > 500
+
+
+def test_accounting_walks_its_lines_once(spark, tmp_path):
+    path = str(tmp_path / "files")
+    _files(spark, a="1:[SBE61]P 1, T 2, S 3\n2:[X]odd\n\nnothing\n", b="1:[MRMAID]acq started\n").write.parquet(path)
+    lines = grouped_lines(spark.read.parquet(path), keep=())
+    plan = accounted(lines)._jdf.queryExecution().sparkPlan().toString()
+    # the walk itself and, behind a grouping, that of files longer than a block
+    assert plan.count("MapInArrow") == 1
+    assert {r.held_by: r.n_lines for r in accounted(lines).collect()} == {"ctd": 1, "unclassified": 1, "blank": 1, "malformed": 1, "acquisition": 1, "misassigned": 0}
+    # read twice, held twice, held by none
+    held = spark.createDataFrame(
+        [("a", 1, "gps", None, False)] * 3 + [("a", 2, "gps", "ctd", False), ("a", 3, None, None, False), ("a", 4, None, None, True), ("a", 5, "gps", None, False), ("b", 1, None, "ctd", False)],
+        "source_path string, line_number long, family string, episode string, is_blank boolean",
+    )
+    assert {r.held_by: r.n_lines for r in accounted(held).collect()} == {"gps": 5, "ctd": 1, "blank": 1, None: 1, "misassigned": 3} and misassigned(held).count() == 3
+    assert [tuple(r) for r in accounted(held.limit(0)).collect()] == [("misassigned", 0)]
+
+
+def test_only_large_files_are_looked_through_for_long_ones(spark):
+    texts = {"a": "".join(f"{n}:[STAGE]x\n" for n in range(40)), "b": "1:[SBE61]x\n" + "\n" * 30, "c": "1:[SBE61]x\n2:[STAGE]y"}
+    lines = parse_lines(explode_lines(_files(spark, **texts)))
+    large = lines.where("source_path <> 'c'")
+    got = [group_episodes(lines, block=b, large=some).select("source_path", "line_number", "episode", "episode_index") for b, some in ((8, large), (8, None), (1000, None))]
+    rows = [sorted(map(tuple, df.collect())) for df in got]
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 73
