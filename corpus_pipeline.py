@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pelagia.llm import decontam, minhash, mixing, pii, toxicity
 from pelagia.llm.queries import TARGETS, labelled_domains
-from pelagia.llm.scratch import drop, save
+from pelagia.llm.scratch import drop, release, save
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,5 +59,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = save(stage(spark, docs, sf_dir))
         if spent is not None:  # what the stage before wrote has been read
             drop(spent)
+        release(spark)
         spent = docs
     return docs

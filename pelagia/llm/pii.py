@@ -14,7 +14,7 @@ import secrets
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagia.llm.scratch import short_plans
+from pelagia.llm.scratch import release, short_plans
 
 ROUNDS = 8
 #: Session setting that holds the secret key; Spark hides the values of settings named so.
@@ -240,6 +240,7 @@ def pseudonymize(docs: DataFrame, *, key: str, text: str = "text", count: str |
     before 1900 or after 2100-05-01 stay.
     """
     short_plans(docs.sparkSession)
+    release(docs.sparkSession)
     found, gaps, new, secret = (_free(docs, n) for n in ("_pii_found", "_pii_gaps", "_pii_new", "_pii_secret"))
     columns, given = docs.columns, docs.sparkSession.createDataFrame([(key,)], f"`{secret}` string")
     # the secret comes as data, one row, so no plan, log or user interface shows it

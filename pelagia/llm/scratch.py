@@ -6,6 +6,7 @@ import gc
 import time
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -53,9 +54,24 @@ def short_plans(spark: SparkSession, characters: int = 16_384) -> None:
         spark.conf.set("spark.sql.maxPlanStringLength", str(characters))
 
 
+def give_back(spark: SparkSession) -> str | None:
+    """Hand native memory that the driver's JVM has freed, mostly after compiling, back to the system; what the JVM says, or None where it has no such command."""
+    gateway = spark.sparkContext._gateway
+    jvm = gateway.jvm
+    try:
+        # by the interface, as the class of the bean server is not open to callers
+        call = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+        given = gateway.new_array(jvm.java.lang.Object, 4)
+        given[0], given[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        return call.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), given)
+    except Py4JError:
+        return None
+
+
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop shuffle files that no live DataFrame needs."""
+    """Let Spark's cleaner drop shuffle files that no live DataFrame needs, and the driver's JVM the memory that it has freed."""
     for wait in (0.1, 0.1):  # the first collection frees the plans, the second what only they held
         gc.collect()
         spark.sparkContext._jvm.System.gc()
         time.sleep(wait)
+    give_back(spark)

@@ -5,6 +5,7 @@ import pytest
 import corpus_pipeline
 from pelagia.llm import chat, urls
 from pelagia.llm.queries import QUERIES
+from pelagia.llm.scratch import give_back
 
 
 def test_urls(spark):
@@ -142,3 +143,7 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_runs(spark, name):
     assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_freed_memory_of_the_driver_is_given_back(spark):
+    assert give_back(spark).startswith("Trim native heap")
